@@ -11,6 +11,12 @@ from pyspark.sql import types as T
 from refinery.functions.stamps import now_or
 
 CORRUPT = "_corrupt_record"
+# Microsecond time formats, so timestamps survive a JSON round trip
+# (Spark's JSON default keeps milliseconds only).
+TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def with_corrupt_column(schema: T.StructType) -> T.StructType:
@@ -29,7 +35,8 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str,
     """
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    opts = {"multiLine": "false", "recursiveFileLookup": "true", "mode": "PERMISSIVE"}
+    opts = {"multiLine": "false", "recursiveFileLookup": "true", "mode": "PERMISSIVE",
+            **TIME_OPTIONS}
     opts.update(options or {})
     if keep_corrupt:
         schema = with_corrupt_column(schema)
@@ -39,7 +46,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str,
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON object per line, UTF-8, one file per partition."""
-    (df.write.mode(mode).option("encoding", "UTF-8")
+    (df.write.mode(mode).option("encoding", "UTF-8").options(**TIME_OPTIONS)
        .option("ignoreNullFields", "false").json(path))
 
 
@@ -48,13 +55,15 @@ def add_ingest_metadata(df: DataFrame, ingested_at: dt.datetime | None = None,
     """``_ingested_at``, ``_ingested_date`` and ``_source_file``.
 
     The file path comes from the scan's hidden ``_metadata`` column, so it is
-    only available on a frame read straight from files.
+    only available on a frame read straight from files (a stream selects it
+    at its source, see :func:`refinery.streaming.ingest.stream_source`).
     """
     at = now_or(ingested_at)
     day = F.lit(ingested_date).cast("date") if ingested_date else F.to_date(at)
-    return (df.withColumn("_ingested_at", at)
-              .withColumn("_ingested_date", day)
-              .withColumn("_source_file", F.col("_metadata.file_path")))
+    out = df.withColumn("_ingested_at", at).withColumn("_ingested_date", day)
+    if "_source_file" in df.columns:
+        return out
+    return out.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
 def read_change_files(spark: SparkSession, path: str, schema: T.StructType | str,

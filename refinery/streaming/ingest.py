@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refinery.operators.latest import latest_per_key
-from refinery.sources.files import add_ingest_metadata
+from refinery.sources.files import TIME_OPTIONS, add_ingest_metadata
 from refinery.sources.tables import VersionedTable
 
 
@@ -25,10 +25,10 @@ def stream_source(spark: SparkSession, landing: str, schema: T.StructType | str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """New JSON Lines files under ``landing`` as a stream."""
     reader = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-              .option("multiLine", "false"))
+              .option("multiLine", "false").options(**TIME_OPTIONS))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.json(landing)
+    return reader.json(landing).withColumn("_source_file", F.col("_metadata.file_path"))
 
 
 def ingest_available(spark: SparkSession, landing: str, schema: T.StructType | str,
