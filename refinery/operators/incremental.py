@@ -3,8 +3,9 @@
 Instead of rebuilding the aggregate from the whole table, the feed says which
 groups changed since the last run; only those groups are recomputed from the
 table and swapped into Gold in one commit. The groups never leave the
-cluster: they stay a DataFrame and reach the recompute as a semi join (AQE
-broadcasts them when their measured size is small, else it shuffles).
+cluster: they stay a DataFrame and reach the recompute as a semi join,
+broadcast when their counted size is under the bound (``joins.py``), else a
+shuffle join that AQE splits when one group is hot.
 
 Recomputing from the table, not adding deltas, is the primary method because
 a replayed range then converges instead of double counting (A14 is built as a
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from refinery.functions.money import cents, from_cents
 from refinery.functions.stamps import now_or
+from refinery.operators.joins import max_rows, rows_at_most
 from refinery.operators.merge import (CHANGE_TYPE, DELETE, INSERT, UPDATE_POST,
                                       UPDATE_PRE)
 
@@ -49,14 +51,18 @@ def distinct_groups(table: DataFrame, group_cols: Sequence[str]) -> DataFrame:
 def aggregate_groups(table: DataFrame, group_cols: Sequence[str], groups: DataFrame | None = None,
                      units: str = "unidades", amount: str = "importe",
                      stamp: dt.datetime | None = None,
-                     stamp_col: str = "_recalculado_at") -> DataFrame:
+                     stamp_col: str = "_recalculado_at", small: bool = False) -> DataFrame:
     """A2: count, units and exact amount per group, for the chosen groups only.
 
     ``groups=None`` means all groups (NULL groups are always left out, H4).
+    ``small=True`` (the caller checked the size of ``groups``) broadcasts the
+    groups, so the table is filtered where it is read and never shuffled by
+    group; otherwise a shuffle join, where AQE splits a hot group's partition.
     """
     src = table.where(_not_null(group_cols))
     if groups is not None:
-        src = src.join(groups.select(*group_cols), list(group_cols), "left_semi")
+        g = groups.select(*group_cols)
+        src = src.join(F.broadcast(g) if small else g, list(group_cols), "left_semi")
     return (src.groupBy(*group_cols)
             .agg(F.count(F.lit(1)).alias("num_pedidos"),
                  F.sum(units).cast("long").alias("unidades"),
@@ -131,7 +137,7 @@ def advance_pointer(control, dataset: str, version: int, change_rows: int,
     spark = control.spark
     row = (spark.createDataFrame([(dataset, version, change_rows)], CONTROL_DDL)
            .withColumn("_actualizado_at", now_or(stamp)))
-    control.upsert(row, keys=["dataset"], operation="POINTER", stamp=stamp)
+    control.upsert(row, keys=["dataset"], operation="POINTER", stamp=stamp, check_keys=False)
 
 
 def propagate(source, gold, control, dataset: str, group_cols: Sequence[str],
@@ -164,17 +170,19 @@ def propagate(source, gold, control, dataset: str, group_cols: Sequence[str],
         return PropagateResult(mode, current, 0)
 
     feed = source.read_changes(pointer + 1, current)
-    n = change_row_count(feed)
+    n = source.change_rows(pointer + 1, current)
     groups = affected_groups(feed, group_cols).persist()
     try:
-        n_groups = groups.count()
+        n_groups = rows_at_most(groups, max_rows(groups))
+        small = n_groups <= max_rows(groups)
         emptied = 0
         if n_groups:
-            fresh = aggregate_groups(table, group_cols, groups, units, amount, stamp).persist()
+            fresh = aggregate_groups(table, group_cols, groups, units, amount, stamp,
+                                     small=small).persist()
             try:
                 emptied = emptied_groups(fresh, groups, group_cols).count()
                 gold.replace_groups(groups, fresh, keys=group_cols,
-                                    operation="RECOMPUTE GROUPS", stamp=stamp)
+                                    operation="RECOMPUTE GROUPS", stamp=stamp, small=small)
             finally:
                 fresh.unpersist()
     finally:

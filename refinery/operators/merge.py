@@ -64,20 +64,27 @@ def align(source: DataFrame, columns: Sequence[str]) -> DataFrame:
     return source.select(*columns)
 
 
-def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _side(df: DataFrame, small: bool) -> DataFrame:
+    """The build side of a join; broadcast when its size was checked (see joins.py)."""
+    return F.broadcast(df) if small else df
+
+
+def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                 small: bool = False) -> DataFrame:
     """K4: matched rows replaced by the source row, others inserted, none deleted."""
     src = align(source, target.columns)
-    return target.join(src.select(*keys), list(keys), "left_anti").unionByName(src)
+    return target.join(_side(src.select(*keys), small), list(keys), "left_anti").unionByName(src)
 
 
 def delete_frame(target: DataFrame, keys: Sequence[str] | None = None,
-                 keys_df: DataFrame | None = None, condition: str | Column | None = None) -> DataFrame:
+                 keys_df: DataFrame | None = None, condition: str | Column | None = None,
+                 small: bool = False) -> DataFrame:
     """K5: drop the rows whose key is in ``keys_df``, or where ``condition`` is true.
 
     A NULL condition keeps the row (SQL ``DELETE ... WHERE`` semantics).
     """
     if keys_df is not None:
-        return target.join(keys_df.select(*keys), list(keys), "left_anti")
+        return target.join(_side(keys_df.select(*keys), small), list(keys), "left_anti")
     cond = F.expr(condition) if isinstance(condition, str) else condition
     return target.where(~F.coalesce(cond, F.lit(False)))
 
@@ -91,7 +98,8 @@ def _flatten(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                      F.col(f"c.{CHANGE_TYPE}").alias(CHANGE_TYPE))
 
 
-def upsert_changes(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert_changes(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                   small: bool = False) -> DataFrame:
     """F1 for an upsert: ``insert`` for new keys, pre/post images for changed rows.
 
     A matched row equal to its source row (null-safe, all columns) is silent.
@@ -102,7 +110,7 @@ def upsert_changes(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     src = align(source, cols)
     old = target.select(*keys, F.struct(*cols).alias("_old"))
     new = src.select(*keys, F.struct(*cols).alias("_new"))
-    matched = old.join(new, list(keys), "inner")
+    matched = old.join(_side(new, small), list(keys), "inner")
     updates = (matched.where(~F.col("_old").eqNullSafe(F.col("_new")))
                .select(F.explode(F.array(_typed("_old", UPDATE_PRE),
                                          _typed("_new", UPDATE_POST))).alias("c")))
@@ -112,10 +120,11 @@ def upsert_changes(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 
 def delete_changes(target: DataFrame, keys: Sequence[str] | None = None,
-                   keys_df: DataFrame | None = None, condition: str | Column | None = None) -> DataFrame:
+                   keys_df: DataFrame | None = None, condition: str | Column | None = None,
+                   small: bool = False) -> DataFrame:
     """F1 for a delete: one ``delete`` row per removed row."""
     if keys_df is not None:
-        gone = target.join(keys_df.select(*keys), list(keys), "left_semi")
+        gone = target.join(_side(keys_df.select(*keys), small), list(keys), "left_semi")
     else:
         cond = F.expr(condition) if isinstance(condition, str) else condition
         gone = target.where(F.coalesce(cond, F.lit(False)))
@@ -162,7 +171,7 @@ def full_merge_frame(target: DataFrame | None, source: DataFrame, keys: Sequence
 
 def cdc_merge_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                    seq_col: str = "_seq", op_col: str = "op_type",
-                   deleted_col: str = "is_deleted") -> DataFrame:
+                   deleted_col: str = "is_deleted", small: bool = False) -> DataFrame:
     """K7: the rows a CDC batch writes into a soft-delete table.
 
     ``changes`` carries the data columns, ``op_col`` in I/U/D and a sequence
@@ -175,7 +184,7 @@ def cdc_merge_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     """
     data = [c for c in target.columns if c not in (seq_col, deleted_col) and c not in keys]
     latest = latest_per_key(changes, keys, [seq_col])
-    stored = (target.join(latest.select(*keys), list(keys), "left_semi")
+    stored = (target.join(_side(latest.select(*keys), small), list(keys), "left_semi")
               .select(*keys, F.struct(*target.columns).alias("_t")))
     j = latest.join(stored, list(keys), "left")
     fresh = j.where(F.col("_t").isNull() | (F.col(seq_col) > F.col(f"_t.{seq_col}")))

@@ -28,6 +28,7 @@ from pyspark.sql.utils import AnalysisException
 from refinery.contracts import Contract, conform
 from refinery.functions.stamps import now_or
 from refinery.operators import merge as M
+from refinery.operators.joins import max_rows, rows_at_most
 
 COMMIT_DDL = ("version long, committed_at timestamp, operation string, "
               "num_rows long, num_changes long")
@@ -49,6 +50,9 @@ class VersionedTable:
         self.contract = contract
         self.keys = list(keys or (contract.keys if contract else ()))
         self.change_feed = change_feed or bool(contract and contract.change_data_feed)
+        # newest version this writer knows of; a writer that is behind fails on
+        # the "errorifexists" write of the next version instead of overwriting
+        self._version: int | None = None
 
     # ---- reads ---------------------------------------------------------
     def history(self) -> DataFrame:
@@ -61,7 +65,14 @@ class VersionedTable:
 
     def current_version(self) -> int | None:
         """Newest committed version, or None (O2 as a max aggregate)."""
-        return self.history().agg(F.max("version")).first()[0]
+        self._version = self.history().agg(F.max("version")).first()[0]
+        return self._version
+
+    def change_rows(self, starting_version: int, ending_version: int) -> int:
+        """A6 from the commit rows: change rows recorded for versions start..end."""
+        n = (self.history().where(F.col("version").between(starting_version, ending_version))
+             .agg(F.sum("num_changes")).first()[0])
+        return int(n or 0)
 
     def exists(self) -> bool:
         """S7."""
@@ -89,16 +100,25 @@ class VersionedTable:
         return self.spark.read.parquet(f"{self.path}/changes").where(cond)
 
     def feed_complete(self, starting_version: int, ending_version: int) -> bool:
-        """every version of the range still has its change rows."""
+        """every version of the range still has its change folder.
+
+        Checked on the file listing (``inputFiles``), not on rows: a version
+        whose change set is empty still has its (empty) file.
+        """
         if starting_version < 1:
             return False
         try:
-            have = (self.spark.read.parquet(f"{self.path}/changes")
-                    .where(F.col(COMMIT_VERSION).between(starting_version, ending_version))
-                    .select(COMMIT_VERSION).distinct().count())
+            files = self.spark.read.parquet(f"{self.path}/changes").inputFiles()
         except AnalysisException:
             return False
-        return have == ending_version - starting_version + 1
+        marker = f"/{COMMIT_VERSION}="
+        have = set()
+        for f in files:
+            if marker in f:
+                v = f.split(marker, 1)[1].split("/", 1)[0]
+                if v.isdigit():
+                    have.add(int(v))
+        return all(v in have for v in range(starting_version, ending_version + 1))
 
     # ---- writes --------------------------------------------------------
     def overwrite(self, df: DataFrame, operation: str = "WRITE",
@@ -112,18 +132,26 @@ class VersionedTable:
         return self._commit(v, df, changes, operation, stamp)
 
     def upsert(self, source: DataFrame, keys: Sequence[str] | None = None,
-               operation: str = "MERGE", stamp: dt.datetime | None = None) -> int:
-        """K4: matched rows updated, the rest inserted; duplicate/NULL keys refused."""
+               operation: str = "MERGE", stamp: dt.datetime | None = None,
+               check_keys: bool = True) -> int:
+        """K4: matched rows updated, the rest inserted; duplicate/NULL keys refused.
+
+        The batch is persisted once; its size decides whether it is broadcast
+        into the joins with the table (see ``joins.py``).
+        """
         keys = list(keys or self.keys)
         v = self._next_version()
         if v == 0:
             return self.overwrite(source, operation, stamp)
         source = self._conform(source).persist()
         try:
-            M.require_unique_keys(source, keys)
+            small = rows_at_most(source, max_rows(source)) <= max_rows(source)
+            if check_keys:
+                M.require_unique_keys(source, keys)
             old = self.read(v - 1)
-            new = M.upsert_frame(old, source, keys)
-            changes = (lambda _new: M.upsert_changes(old, source, keys)) if self.change_feed else None
+            new = M.upsert_frame(old, source, keys, small)
+            changes = ((lambda _new: M.upsert_changes(old, source, keys, small))
+                       if self.change_feed else None)
             return self._commit(v, new, changes, operation, stamp)
         finally:
             source.unpersist()
@@ -137,24 +165,38 @@ class VersionedTable:
         if v == 0:
             raise TableError(f"{self.path}: table does not exist")
         old = self.read(v - 1)
-        new = M.delete_frame(old, keys, keys_df, condition)
-        changes = ((lambda _new: M.delete_changes(old, keys, keys_df, condition))
-                   if self.change_feed else None)
-        return self._commit(v, new, changes, operation, stamp)
+        small = False
+        if keys_df is not None:
+            keys_df = keys_df.select(*keys).persist()
+            small = rows_at_most(keys_df, max_rows(keys_df)) <= max_rows(keys_df)
+        try:
+            new = M.delete_frame(old, keys, keys_df, condition, small)
+            changes = ((lambda _new: M.delete_changes(old, keys, keys_df, condition, small))
+                       if self.change_feed else None)
+            return self._commit(v, new, changes, operation, stamp)
+        finally:
+            if keys_df is not None:
+                keys_df.unpersist()
 
     def replace_groups(self, groups: DataFrame, rows: DataFrame, keys: Sequence[str] | None = None,
-                       operation: str = "REPLACE GROUPS", stamp: dt.datetime | None = None) -> int:
-        """Upsert ``rows`` and delete the ``groups`` keys that ``rows`` lacks, in one commit."""
+                       operation: str = "REPLACE GROUPS", stamp: dt.datetime | None = None,
+                       small: bool = False) -> int:
+        """Upsert ``rows`` and delete the ``groups`` keys that ``rows`` lacks, in one commit.
+
+        ``small``: the caller checked that ``groups`` may be broadcast.
+        """
         keys = list(keys or self.keys)
         v = self._next_version()
         rows = self._conform(rows)
         if v == 0:
             return self._commit(v, rows, None, operation, stamp)
         old = self.read(v - 1)
-        new = old.join(groups.select(*keys), keys, "left_anti").unionByName(rows.select(old.columns))
-        changes = ((lambda new_: M.diff_changes(
-            old.join(groups.select(*keys), keys, "left_semi"),
-            new_.join(groups.select(*keys), keys, "left_semi"), keys)) if self.change_feed else None)
+        g = groups.select(*keys)
+        g = F.broadcast(g) if small else g
+        new = old.join(g, keys, "left_anti").unionByName(rows.select(old.columns))
+        changes = ((lambda new_: M.diff_changes(old.join(g, keys, "left_semi"),
+                                                new_.join(g, keys, "left_semi"), keys))
+                   if self.change_feed else None)
         return self._commit(v, new, changes, operation, stamp)
 
     # ---- internals -----------------------------------------------------
@@ -162,7 +204,7 @@ class VersionedTable:
         return f"{self.path}/snapshot/_v={v}"
 
     def _next_version(self) -> int:
-        cur = self.current_version()
+        cur = self._version if self._version is not None else self.current_version()
         return 0 if cur is None else cur + 1
 
     def _conform(self, df: DataFrame) -> DataFrame:
@@ -179,6 +221,7 @@ class VersionedTable:
             num_changes = _write_counted(feed, f"{self.path}/changes/{COMMIT_VERSION}={v}")
         (self.spark.createDataFrame([(v, ts, operation, num_rows, num_changes)], COMMIT_DDL)
          .coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/commits/_v={v}"))
+        self._version = v
         return v
 
 
