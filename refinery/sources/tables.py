@@ -53,6 +53,7 @@ class VersionedTable:
         # newest version this writer knows of; a writer that is behind fails on
         # the "errorifexists" write of the next version instead of overwriting
         self._version: int | None = None
+        self._version_read = False
 
     # ---- reads ---------------------------------------------------------
     def history(self) -> DataFrame:
@@ -66,6 +67,7 @@ class VersionedTable:
     def current_version(self) -> int | None:
         """Newest committed version, or None (O2 as a max aggregate)."""
         self._version = self.history().agg(F.max("version")).first()[0]
+        self._version_read = True
         return self._version
 
     def change_rows(self, starting_version: int, ending_version: int) -> int:
@@ -74,13 +76,18 @@ class VersionedTable:
              .agg(F.sum("num_changes")).first()[0])
         return int(n or 0)
 
+    def known_version(self) -> int | None:
+        """The newest version this object has seen or written (reads it once if unknown)."""
+        return self._version if self._version_read else self.current_version()
+
     def exists(self) -> bool:
         """S7."""
-        return self.current_version() is not None
+        return self.known_version() is not None
 
     def read(self, version: int | None = None) -> DataFrame:
-        """Rows of one version (the newest by default)."""
-        v = self.current_version() if version is None else version
+        """Rows of one version (the newest this object knows by default;
+        call ``current_version()`` first to pick up another writer's commit)."""
+        v = self.known_version() if version is None else version
         if v is None:
             raise TableError(f"{self.path}: table does not exist")
         return self.spark.read.parquet(self._snapshot(v))
@@ -128,7 +135,7 @@ class VersionedTable:
         v = self._next_version()
         changes = None
         if self.change_feed and v > 0:
-            changes = lambda new: M.diff_changes(self.read(v - 1), new, self.keys)
+            changes = lambda new: M.diff_changes(self.read(v - 1), new(), self.keys)
         return self._commit(v, df, changes, operation, stamp)
 
     def upsert(self, source: DataFrame, keys: Sequence[str] | None = None,
@@ -195,7 +202,7 @@ class VersionedTable:
         g = F.broadcast(g) if small else g
         new = old.join(g, keys, "left_anti").unionByName(rows.select(old.columns))
         changes = ((lambda new_: M.diff_changes(old.join(g, keys, "left_semi"),
-                                                new_.join(g, keys, "left_semi"), keys))
+                                                new_().join(g, keys, "left_semi"), keys))
                    if self.change_feed else None)
         return self._commit(v, new, changes, operation, stamp)
 
@@ -204,7 +211,7 @@ class VersionedTable:
         return f"{self.path}/snapshot/_v={v}"
 
     def _next_version(self) -> int:
-        cur = self._version if self._version is not None else self.current_version()
+        cur = self.known_version()
         return 0 if cur is None else cur + 1
 
     def _conform(self, df: DataFrame) -> DataFrame:
@@ -216,12 +223,12 @@ class VersionedTable:
         num_rows = _write_counted(new, self._snapshot(v))
         num_changes = 0
         if changes is not None:
-            written = self.spark.read.parquet(self._snapshot(v))
+            written = lambda: self.spark.read.parquet(self._snapshot(v))
             feed = changes(written).withColumn(COMMIT_TS, now_or(ts))
             num_changes = _write_counted(feed, f"{self.path}/changes/{COMMIT_VERSION}={v}")
         (self.spark.createDataFrame([(v, ts, operation, num_rows, num_changes)], COMMIT_DDL)
          .coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/commits/_v={v}"))
-        self._version = v
+        self._version, self._version_read = v, True
         return v
 
 
