@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions.stamps import now_or
+from refinery.operators.joins import max_rows, rows_at_most
 from refinery.operators.merge import cdc_merge_rows
 from refinery.plans import roles as R
 from refinery.plans.reports import customer_gold
@@ -51,7 +52,8 @@ class CustomersCase:
             empty = self.spark.createDataFrame([], R.SILVER_CUSTOMERS.schema)
             rows = cdc_merge_rows(empty, changes, R.CUSTOMER_KEYS)
             return self.silver.overwrite(rows, "CDC MERGE", stamp)
-        rows = cdc_merge_rows(self.silver.read(), changes, R.CUSTOMER_KEYS)
+        small = rows_at_most(changes, max_rows(changes)) <= max_rows(changes)
+        rows = cdc_merge_rows(self.silver.read(), changes, R.CUSTOMER_KEYS, small=small)
         return self.silver.upsert(rows, R.CUSTOMER_KEYS, "CDC MERGE", stamp)
 
     def gold(self) -> DataFrame:

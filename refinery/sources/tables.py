@@ -6,10 +6,11 @@ Layout of one table at ``path``::
     changes/_commit_version=N/     row-level change feed of version N (if on)
     commits/_v=N/                  one row: version, time, operation, counts
 
-A version exists once its commit row exists; the commit row is written last,
-so a job lost half way leaves no visible version and can simply be re-run.
-Every write goes to a new folder: nothing is ever overwritten while it may be
-read. Version 0 is the first load and has no feed; reading the feed from
+A version exists once its commit row exists; the commit row is written last
+(``errorifexists``), so a job lost half way leaves no visible version and can
+simply be re-run: the uncommitted folders of that version are replaced.
+Committed folders are never written again, so nothing is overwritten while
+it may be read. One writer per table. Version 0 is the first load and has no feed; reading the feed from
 version 0 is refused (F5).
 
 Bronze tables are the exception: :class:`PartitionedTable` keeps one folder
@@ -135,7 +136,11 @@ class VersionedTable:
         v = self._next_version()
         changes = None
         if self.change_feed and v > 0:
-            changes = lambda new: M.diff_changes(self.read(v - 1), new(), self.keys)
+            def changes(new):
+                written = new()
+                if self.keys:   # a keyed diff needs unique keys, or it would pair rows
+                    M.require_unique_keys(written, self.keys, "new table")
+                return M.diff_changes(self.read(v - 1), written, self.keys)
         return self._commit(v, df, changes, operation, stamp)
 
     def upsert(self, source: DataFrame, keys: Sequence[str] | None = None,
@@ -233,9 +238,14 @@ class VersionedTable:
 
 
 def _write_counted(df: DataFrame, path: str) -> int:
-    """Write parquet and count the rows on the way (no second scan)."""
+    """Write parquet and count the rows on the way (no second scan).
+
+    Overwrite is safe here: the folder belongs to a version that has no commit
+    row yet, so nobody reads it; a re-run after a lost job replaces the
+    half-written folder.
+    """
     obs = Observation()
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return int(obs.get["rows"])
 
 

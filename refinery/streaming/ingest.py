@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,10 +38,10 @@ def ingest_available(spark: SparkSession, landing: str, schema: T.StructType | s
     written = {"rows": 0}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = add_ingest_metadata(batch, ingested_at)
-        path = f"{bronze_path}/_batch={batch_id}"
-        out.write.mode("overwrite").parquet(path)
-        written["rows"] += spark.read.parquet(path).count()
+        obs = Observation()
+        out = add_ingest_metadata(batch, ingested_at).observe(obs, F.count(F.lit(1)).alias("n"))
+        out.write.mode("overwrite").parquet(f"{bronze_path}/_batch={batch_id}")
+        written["rows"] += int(obs.get["n"])
 
     q = (stream_source(spark, landing, schema).writeStream
          .foreachBatch(write_batch)

@@ -113,3 +113,22 @@ def test_contract_check_counts(spark):
     assert rows["k"]["not_null_violations"] == 2
     assert rows["v"]["nulls"] == 1 and rows["v"]["not_null_violations"] == 0
     assert rows["n"]["present"] is False and rows["n"]["nulls"] == 3
+
+
+def test_rerun_after_lost_commit_replaces_uncommitted_folder(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", keys=["k"], change_feed=True)
+    t.overwrite(spark.createDataFrame([(1, "a")], DDL))
+    # a job that died after writing the next snapshot but before its commit row
+    spark.createDataFrame([(9, "junk")], DDL).write.parquet(f"{tmp_root}/t/snapshot/_v=1")
+    fresh = VersionedTable(spark, f"{tmp_root}/t", keys=["k"], change_feed=True)
+    assert fresh.current_version() == 0
+    assert fresh.upsert(spark.createDataFrame([(2, "b")], DDL)) == 1
+    assert _rows(fresh.read()) == [(1, "a"), (2, "b")]
+
+
+def test_keyed_overwrite_with_duplicate_keys_is_refused(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", keys=["k"], change_feed=True)
+    t.overwrite(spark.createDataFrame([(1, "a")], DDL))
+    with pytest.raises(Exception):
+        t.overwrite(spark.createDataFrame([(1, "a"), (1, "b")], DDL))
+    assert t.current_version() == 0
