@@ -100,3 +100,30 @@ def test_stream_equals_batch(spark, tmp_root):
     batch = H.finish(H.hourly_aggregate(ev))
     cols = ["window_start", "event_type", "n", "value_sum", "value_avg"]
     assert _rows(gold.read().select(cols)) == _rows(batch.select(cols))
+
+
+def test_purged_feed_forces_rebuild(spark, tmp_root):
+    """a version whose change rows are gone cannot be propagated; Gold is rebuilt."""
+    orders = R.load(spark, SF, "orders")
+    case, rows = seeded_case(spark, tmp_root, orders)
+    case.propagate(stamp=stamp_at(1))
+    # a writer without the feed commits a version: its change rows do not exist
+    blind = VersionedTable(spark, case.source.path, keys=R.ORDER_KEYS)
+    blind.delete(condition="o_orderstatus = 'F'")
+    case.source.current_version()
+    res = case.propagate(stamp=stamp_at(2))
+    assert res.mode == "rebuild"
+    assert _rows(_gold(case)) == _rows(_full(case))
+
+
+def test_ingest_collects_failures_and_skips_disabled(spark, tmp_root):
+    from refinery.plans.pipeline import PipelineFailed
+    p = SalesPipeline(spark, tmp_root)
+    p.bronze_specs[0].source_path = f"{tmp_root}/no/such/landing"
+    with pytest.raises(PipelineFailed) as err:
+        p.ingest_bronze(dt.datetime(2024, 1, 1))
+    assert err.value.failed == ["ventas"]
+    log = spark.read.parquet(p.ops_log).collect()
+    assert [(r.step, r.status) for r in log] == [("ingest_bronze", "failed")]
+    p.bronze_specs[0].enabled = False
+    assert p.ingest_bronze(dt.datetime(2024, 1, 1)) == []

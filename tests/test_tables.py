@@ -132,3 +132,15 @@ def test_keyed_overwrite_with_duplicate_keys_is_refused(spark, tmp_root):
     with pytest.raises(Exception):
         t.overwrite(spark.createDataFrame([(1, "a"), (1, "b")], DDL))
     assert t.current_version() == 0
+
+
+def test_corrupt_landing_lines_are_kept_aside(spark, tmp_root):
+    from refinery.sources.files import read_jsonl
+    spark.createDataFrame([('{"k": 1, "v": "a"}',), ("{not json",), ('{"k": "x", "v": "b"}',)],
+                          "value string").coalesce(1).write.text(f"{tmp_root}/landing/a")
+    df = read_jsonl(spark, f"{tmp_root}/landing", DDL).cache()
+    assert df.where("_corrupt_record IS NULL").count() == 1
+    c = Contract.from_dict(CONTRACT, {"catalog": {"silver": "x"}})
+    rows = {r["column"]: r for r in check(df, c).collect()}
+    assert rows["_corrupt_record"]["cast_failures"] == 2
+    df.unpersist()
