@@ -28,6 +28,9 @@ from refinery.operators.merge import (CHANGE_TYPE, DELETE, INSERT, UPDATE_POST,
                                       UPDATE_PRE)
 
 AGG_COLUMNS = ["num_pedidos", "unidades", "importe_total"]
+# Up to this many affected groups become an IN filter (partition pruning at
+# the scan); more stay a DataFrame and reach the table as a semi join.
+IN_LIST_MAX = 1000
 CONTROL_DDL = "dataset string, ultima_version long, filas_procesadas long"
 
 
@@ -51,16 +54,23 @@ def distinct_groups(table: DataFrame, group_cols: Sequence[str]) -> DataFrame:
 def aggregate_groups(table: DataFrame, group_cols: Sequence[str], groups: DataFrame | None = None,
                      units: str = "unidades", amount: str = "importe",
                      stamp: dt.datetime | None = None,
-                     stamp_col: str = "_recalculado_at", small: bool = False) -> DataFrame:
+                     stamp_col: str = "_recalculado_at", small: bool = False,
+                     values: list | None = None) -> DataFrame:
     """A2: count, units and exact amount per group, for the chosen groups only.
 
     ``groups=None`` means all groups (NULL groups are always left out, H4).
     ``small=True`` (the caller checked the size of ``groups``) broadcasts the
     groups, so the table is filtered where it is read and never shuffled by
     group; otherwise a shuffle join, where AQE splits a hot group's partition.
+    ``values`` (a counted short list of group values) replaces the join by an
+    ``IN`` filter that the scan uses for partition pruning.
     """
     src = table.where(_not_null(group_cols))
-    if groups is not None:
+    if values is not None:
+        # a short, counted list of one group column: an IN filter that prunes
+        # partition folders and row groups at the scan
+        src = src.where(F.col(group_cols[0]).isin(values))
+    elif groups is not None:
         g = groups.select(*group_cols)
         src = src.join(F.broadcast(g) if small else g, list(group_cols), "left_semi")
     return (src.groupBy(*group_cols)
@@ -175,10 +185,13 @@ def propagate(source, gold, control, dataset: str, group_cols: Sequence[str],
     try:
         n_groups = rows_at_most(groups, max_rows(groups))
         small = n_groups <= max_rows(groups)
+        values = None
+        if len(group_cols) == 1 and n_groups <= IN_LIST_MAX:
+            values = [r[0] for r in groups.collect()]     # at most IN_LIST_MAX values
         emptied = 0
         if n_groups:
             fresh = aggregate_groups(table, group_cols, groups, units, amount, stamp,
-                                     small=small).persist()
+                                     small=small, values=values).persist()
             try:
                 emptied = emptied_groups(fresh, groups, group_cols).count()
                 gold.replace_groups(groups, fresh, keys=group_cols,

@@ -86,7 +86,7 @@ INSERT_KEY_OFFSET = 10_000_000
 
 SILVER_ORDERS = Contract.from_dict({
     "name": "pedidos", "schema": "cdf", "catalog": "silver", "keys": ORDER_KEYS,
-    "change_data_feed": True,
+    "change_data_feed": True, "partitions": [ORDER_GROUP],
     "columns": _cols([("o_orderkey", "LONG", False), ("o_custkey", "LONG", True),
                       ("o_orderdate", "TIMESTAMP_NTZ", True), ("o_orderstatus", "STRING", True),
                       ("o_orderpriority", "STRING", True), ("o_units", "INTEGER", True),

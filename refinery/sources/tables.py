@@ -45,11 +45,15 @@ class VersionedTable:
     """A table with versions and an optional change feed, stored as parquet."""
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (),
-                 change_feed: bool = False, contract: Contract | None = None):
+                 change_feed: bool = False, contract: Contract | None = None,
+                 partition_by: Sequence[str] = ()):
         self.spark = spark
         self.path = path.rstrip("/")
         self.contract = contract
         self.keys = list(keys or (contract.keys if contract else ()))
+        # snapshot folders partitioned by these (low-cardinality) columns, so
+        # reads filtered on them prune folders at the scan
+        self.partition_by = list(partition_by or (contract.partitions if contract else ()))
         self.change_feed = change_feed or bool(contract and contract.change_data_feed)
         # newest version this writer knows of; a writer that is behind fails on
         # the "errorifexists" write of the next version instead of overwriting
@@ -91,6 +95,10 @@ class VersionedTable:
         v = self.known_version() if version is None else version
         if v is None:
             raise TableError(f"{self.path}: table does not exist")
+        if self.contract is not None:
+            # the contract's types (partition values are not re-inferred) and order
+            return (self.spark.read.schema(self.contract.schema).parquet(self._snapshot(v))
+                    .select(*self.contract.names))
         return self.spark.read.parquet(self._snapshot(v))
 
     def read_changes(self, starting_version: int, ending_version: int | None = None) -> DataFrame:
@@ -225,10 +233,10 @@ class VersionedTable:
     def _commit(self, v: int, new: DataFrame, changes, operation: str,
                 stamp: dt.datetime | None) -> int:
         ts = stamp or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        num_rows = _write_counted(new, self._snapshot(v))
+        num_rows = _write_counted(new, self._snapshot(v), self.partition_by)
         num_changes = 0
         if changes is not None:
-            written = lambda: self.spark.read.parquet(self._snapshot(v))
+            written = lambda: self.read(v)
             feed = changes(written).withColumn(COMMIT_TS, now_or(ts))
             num_changes = _write_counted(feed, f"{self.path}/changes/{COMMIT_VERSION}={v}")
         (self.spark.createDataFrame([(v, ts, operation, num_rows, num_changes)], COMMIT_DDL)
@@ -237,7 +245,7 @@ class VersionedTable:
         return v
 
 
-def _write_counted(df: DataFrame, path: str) -> int:
+def _write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Write parquet and count the rows on the way (no second scan).
 
     Overwrite is safe here: the folder belongs to a version that has no commit
@@ -245,7 +253,10 @@ def _write_counted(df: DataFrame, path: str) -> int:
     half-written folder.
     """
     obs = Observation()
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     return int(obs.get["rows"])
 
 
