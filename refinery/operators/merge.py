@@ -49,12 +49,22 @@ def duplicate_or_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
               .where((F.col("n") > 1) | _any_null(keys)))
 
 
-def require_unique_keys(df: DataFrame, keys: Sequence[str], what: str = "source") -> None:
-    """Refuse a merge source with duplicate or NULL keys: it would be ambiguous."""
+def require_unique_keys(df: DataFrame, keys: Sequence[str], what: str = "source") -> int:
+    """Refuse a merge source with duplicate or NULL keys: it would be ambiguous.
+
+    One aggregate job (partial counts per key); returns the number of rows.
+    """
     if not keys:
         raise MergeError("a merge needs at least one key column")
-    if not duplicate_or_null_keys(df, keys).isEmpty():
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                    _any_null(keys).alias("null_key"))
+    row = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+                      F.coalesce(F.max("n"), F.lit(0)).alias("max_n"),
+                      F.coalesce(F.max(F.col("null_key").cast("int")), F.lit(0)).alias("nulls")
+                      ).first()
+    if row["max_n"] > 1 or row["nulls"]:
         raise MergeError(f"{what} has duplicate or NULL values of key {list(keys)}")
+    return int(row["rows"])
 
 
 def align(source: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -49,12 +49,18 @@ class OrdersCase:
         versions = []
         for part in ("inserts", "updates"):
             df = batch.get(part)
-            if df is not None and not df.isEmpty():
-                versions.append(self.source.upsert(with_stamp(df, "_updated_at", stamp),
-                                                   operation=f"MERGE {part}", stamp=stamp))
+            if df is not None:
+                before = self.source.known_version()
+                v = self.source.upsert(with_stamp(df, "_updated_at", stamp),
+                                       operation=f"MERGE {part}", stamp=stamp, skip_empty=True)
+                if v != before:
+                    versions.append(v)
         dels = batch.get("deletes")
-        if dels is not None and not dels.isEmpty():
-            versions.append(self.source.delete(keys_df=dels, operation="DELETE", stamp=stamp))
+        if dels is not None:
+            before = self.source.known_version()
+            v = self.source.delete(keys_df=dels, operation="DELETE", stamp=stamp, skip_empty=True)
+            if v != before:
+                versions.append(v)
         return versions
 
     def delete_where(self, condition: str, stamp: dt.datetime | None = None) -> int:

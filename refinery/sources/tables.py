@@ -153,7 +153,7 @@ class VersionedTable:
 
     def upsert(self, source: DataFrame, keys: Sequence[str] | None = None,
                operation: str = "MERGE", stamp: dt.datetime | None = None,
-               check_keys: bool = True) -> int:
+               check_keys: bool = True, skip_empty: bool = False) -> int:
         """K4: matched rows updated, the rest inserted; duplicate/NULL keys refused.
 
         The batch is persisted once; its size decides whether it is broadcast
@@ -165,9 +165,13 @@ class VersionedTable:
             return self.overwrite(source, operation, stamp)
         source = self._conform(source).persist()
         try:
-            small = rows_at_most(source, max_rows(source)) <= max_rows(source)
             if check_keys:
-                M.require_unique_keys(source, keys)
+                n = M.require_unique_keys(source, keys)
+            else:
+                n = rows_at_most(source, max_rows(source))
+            if n == 0 and skip_empty:
+                return v - 1            # nothing to merge: no new version
+            small = n <= max_rows(source)
             old = self.read(v - 1)
             new = M.upsert_frame(old, source, keys, small)
             changes = ((lambda _new: M.upsert_changes(old, source, keys, small))
@@ -178,7 +182,7 @@ class VersionedTable:
 
     def delete(self, keys_df: DataFrame | None = None, condition=None,
                keys: Sequence[str] | None = None, operation: str = "DELETE",
-               stamp: dt.datetime | None = None) -> int:
+               stamp: dt.datetime | None = None, skip_empty: bool = False) -> int:
         """K5: delete by a key frame (anti join) or by a predicate."""
         keys = list(keys or self.keys)
         v = self._next_version()
@@ -188,7 +192,11 @@ class VersionedTable:
         small = False
         if keys_df is not None:
             keys_df = keys_df.select(*keys).persist()
-            small = rows_at_most(keys_df, max_rows(keys_df)) <= max_rows(keys_df)
+            n = rows_at_most(keys_df, max_rows(keys_df))
+            if n == 0 and skip_empty:
+                keys_df.unpersist()
+                return v - 1            # nothing to delete: no new version
+            small = n <= max_rows(keys_df)
         try:
             new = M.delete_frame(old, keys, keys_df, condition, small)
             changes = ((lambda _new: M.delete_changes(old, keys, keys_df, condition, small))
