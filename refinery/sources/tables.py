@@ -136,6 +136,19 @@ class VersionedTable:
                     have.add(int(v))
         return all(v in have for v in range(starting_version, ending_version + 1))
 
+    # ---- SQL ------------------------------------------------------------
+    def create_view(self, name: str, version: int | None = None) -> str:
+        """Expose a version (newest by default) to ``spark.sql`` as a temp view."""
+        self.read(version).createOrReplaceTempView(name)
+        return name
+
+    def create_changes_view(self, name: str, starting_version: int,
+                            ending_version: int | None = None) -> str:
+        """The feed from ``starting_version`` on as a temp view, the counterpart of
+        ``table_changes(t, v)``: ``SELECT _change_type, COUNT(*) FROM name GROUP BY 1``."""
+        self.read_changes(starting_version, ending_version).createOrReplaceTempView(name)
+        return name
+
     # ---- writes --------------------------------------------------------
     def overwrite(self, df: DataFrame, operation: str = "WRITE",
                   stamp: dt.datetime | None = None) -> int:

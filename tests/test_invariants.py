@@ -127,3 +127,25 @@ def test_ingest_collects_failures_and_skips_disabled(spark, tmp_root):
     assert [(r.step, r.status) for r in log] == [("ingest_bronze", "failed")]
     p.bronze_specs[0].enabled = False
     assert p.ingest_bronze(dt.datetime(2024, 1, 1)) == []
+
+
+def test_jobs_run_the_change_feed_flow(spark, tmp_root):
+    import json
+    from refinery import jobs
+    rows = R.orders_rows(R.load(spark, SF, "orders"))
+    b = R.valid_batch(rows)
+    for name, df in [("rows", rows), *b.items()]:
+        df.write.parquet(f"{tmp_root}/in/{name}")
+    cfg = f"{tmp_root}-cfg.json"
+    with open(cfg.replace("file:", ""), "w") as fh:
+        json.dump({"path": {"root": f"{tmp_root}/lake"}}, fh)
+    cfg = cfg.replace("file:", "")
+    assert jobs.main(["seed_orders", "--config", cfg, "--rows", f"{tmp_root}/in/rows"]) == 0
+    assert jobs.main(["propagate", "--config", cfg]) == 0
+    assert jobs.main(["apply_batch", "--config", cfg, "--inserts", f"{tmp_root}/in/inserts",
+                      "--updates", f"{tmp_root}/in/updates",
+                      "--deletes", f"{tmp_root}/in/deletes"]) == 0
+    assert jobs.main(["propagate", "--config", cfg]) == 0
+    case = OrdersCase(spark, f"{tmp_root}/lake")
+    assert case.source.current_version() == 3
+    assert _rows(_gold(case)) == _rows(_full(case))

@@ -144,3 +144,19 @@ def test_corrupt_landing_lines_are_kept_aside(spark, tmp_root):
     rows = {r["column"]: r for r in check(df, c).collect()}
     assert rows["_corrupt_record"]["cast_failures"] == 2
     df.unpersist()
+
+
+def test_sql_views_over_versions_and_feed(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", keys=["k"], change_feed=True)
+    t.overwrite(spark.createDataFrame([(1, "a"), (2, "b")], DDL))
+    t.upsert(spark.createDataFrame([(2, "B"), (3, "c")], DDL))
+    t.create_view("t_now")
+    t.create_view("t_v0", 0)
+    t.create_changes_view("t_changes", 1)
+    got = spark.sql("""
+        SELECT 'now' AS v, COUNT(*) AS n FROM t_now
+        UNION ALL SELECT 'v0', COUNT(*) FROM t_v0""").collect()
+    assert sorted(tuple(r) for r in got) == [("now", 3), ("v0", 2)]
+    by_type = spark.sql("SELECT _change_type, COUNT(*) AS n FROM t_changes GROUP BY _change_type")
+    assert sorted(tuple(r) for r in by_type.collect()) == [
+        ("insert", 1), ("update_postimage", 1), ("update_preimage", 1)]
