@@ -82,7 +82,8 @@ def main() -> None:
     from refinery.queries import QUERIES
     from refinery.session import build_session
 
-    spark = build_session(f"local[{cpus}]", max(8, int(cpus) * 2), app="refinery-bench")
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, int(cpus) * 2)))
+    spark = build_session(f"local[{cpus}]", shuffle, app="refinery-bench")
     names = only or HEADLINE
     _run(QUERIES["kpi_daily"], spark, sf)            # warm-up
     times = {}

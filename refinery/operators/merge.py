@@ -168,20 +168,22 @@ def diff_changes(old: DataFrame, new: DataFrame, keys: Sequence[str] | None = No
 
 def full_merge_frame(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
                      watermark_col: str, stamp_col: str = "_silver_modified_at",
-                     stamp: dt.datetime | None = None) -> DataFrame:
+                     stamp: dt.datetime | None = None, delete_missing: bool = False) -> DataFrame:
     """K6: latest source row per key (W1, total order), stamped, upserted into target.
 
-    Target keys absent from the source are kept (no delete of missing keys).
+    Target keys absent from the source are kept unless ``delete_missing``
+    (then the result is exactly the source's latest rows).
     """
     latest = latest_per_key(source, keys, [watermark_col]).withColumn(stamp_col, now_or(stamp))
-    if target is None:
-        return latest
+    if target is None or delete_missing:
+        return latest if target is None else align(latest, target.columns)
     return upsert_frame(target, latest, keys)
 
 
 def cdc_merge_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                    seq_col: str = "_seq", op_col: str = "op_type",
-                   deleted_col: str = "is_deleted", small: bool = False) -> DataFrame:
+                   deleted_col: str = "is_deleted", small: bool = False,
+                   time_col: str | None = None, deleted_at_col: str = "deleted_at") -> DataFrame:
     """K7: the rows a CDC batch writes into a soft-delete table.
 
     ``changes`` carries the data columns, ``op_col`` in I/U/D and a sequence
@@ -191,8 +193,12 @@ def cdc_merge_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     which batches arrive does not matter. ``D`` sets ``deleted_col`` and keeps
     the row: its values are the delete record's image, and the stored values
     where the record carries only the key. A later ``I``/``U`` revives the row.
+    When the target has ``deleted_at_col`` and the changes carry ``time_col``,
+    a delete stamps the change's time there (NULL on I/U).
     """
-    data = [c for c in target.columns if c not in (seq_col, deleted_col) and c not in keys]
+    stamped = time_col is not None and deleted_at_col in target.columns
+    skip = (seq_col, deleted_col) + ((deleted_at_col,) if stamped else ())
+    data = [c for c in target.columns if c not in skip and c not in keys]
     latest = latest_per_key(changes, keys, [seq_col])
     stored = (target.join(_side(latest.select(*keys), small), list(keys), "left_semi")
               .select(*keys, F.struct(*target.columns).alias("_t")))
@@ -204,6 +210,9 @@ def cdc_merge_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str],
         out.append(F.when(is_del, F.coalesce(F.col(c), F.col(f"_t.{c}")))
                    .otherwise(F.col(c)).alias(c))
     out += [F.col(seq_col), is_del.alias(deleted_col)]
+    if stamped:
+        out.append(F.when(is_del, F.col(time_col)).cast(target.schema[deleted_at_col].dataType)
+                   .alias(deleted_at_col))
     return fresh.select(*out).select(*target.columns)
 
 

@@ -33,6 +33,7 @@ class IngestionSpec:
     options: dict = field(default_factory=dict)
     merge_keys: tuple[str, ...] = ()
     watermark_col: str | None = None
+    delete_missing: bool = False      # full merge: drop target keys the source lacks
 
 
 class PipelineFailed(RuntimeError):
@@ -106,7 +107,7 @@ class SalesPipeline:
             try:
                 bronze = self.bronze.read()
                 target = self.silver.read() if self.silver.exists() else None
-                if target is None:
+                if target is None or spec.delete_missing:
                     merged = full_merge_frame(None, bronze, spec.merge_keys, spec.watermark_col,
                                               stamp=stamp)
                     self.silver.overwrite(merged, "FULL MERGE", stamp)

@@ -97,3 +97,25 @@ def test_cdc_order_of_arrival_does_not_matter(spark):
     reversed_ = _cdc(spark, [changes[3:], changes[2:3], changes[:2]])
     one_batch = _cdc(spark, [changes])
     assert in_order == reversed_ == one_batch == [(1, "a2", 3, True), (2, "b2", 2, False)]
+
+
+def test_full_merge_keeps_or_deletes_missing_keys(spark):
+    t = spark.createDataFrame([(1, "a", 1.0, None), (5, "e", 5.0, None)],
+                              "k long, v string, x double, _silver_modified_at timestamp")
+    src = spark.createDataFrame([(1, "a1", 1.0), (1, "a2", 2.0), (2, "b", 2.0)], DDL)
+    keep = M.full_merge_frame(t, src, ["k"], "x").drop("_silver_modified_at")
+    assert _rows(keep) == [(1, "a2", 2.0), (2, "b", 2.0), (5, "e", 5.0)]
+    drop = M.full_merge_frame(t, src, ["k"], "x", delete_missing=True).drop("_silver_modified_at")
+    assert _rows(drop) == [(1, "a2", 2.0), (2, "b", 2.0)]
+
+
+def test_cdc_delete_stamps_deleted_at(spark):
+    t = spark.createDataFrame([], "k long, v string, _seq long, is_deleted boolean, "
+                                  "deleted_at timestamp")
+    ch = spark.createDataFrame([(1, "a", "I", 1, "2024-01-01 00:00:00"),
+                                (1, "a", "D", 2, "2024-01-02 00:00:00"),
+                                (2, "b", "I", 1, "2024-01-01 00:00:00")],
+                               "k long, v string, op_type string, _seq long, ts string")
+    out = M.cdc_merge_frame(t, ch, ["k"], time_col="ts")
+    got = {r.k: (r.is_deleted, str(r.deleted_at)) for r in out.collect()}
+    assert got == {1: (True, "2024-01-02 00:00:00"), 2: (False, "None")}
