@@ -169,6 +169,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT * FROM upd UNION ALL SELECT * FROM ins""",
         "delete_orders": f"WITH {ORDERS} SELECT * FROM r WHERE o_orderkey % 17 <> 3",
         "apply_change_batch": f"WITH {ORDERS} SELECT {ORDER_COLS} FROM final",
+        "apply_batch_single_commit": f"WITH {ORDERS} SELECT {ORDER_COLS} FROM final",
         "change_feed_rows": f"WITH {ORDERS} SELECT * FROM feed",
         "change_type_counts": f"WITH {ORDERS} SELECT _change_type, COUNT(*) AS n FROM feed "
                               "GROUP BY _change_type",

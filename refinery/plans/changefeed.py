@@ -42,10 +42,21 @@ class OrdersCase:
         """First load: version 0 of the source table."""
         return self.source.overwrite(with_stamp(rows, "_updated_at", stamp), "CREATE", stamp)
 
-    def apply_batch(self, batch: dict[str, DataFrame], stamp: dt.datetime | None = None) -> list[int]:
+    def apply_batch(self, batch: dict[str, DataFrame], stamp: dt.datetime | None = None,
+                    single_commit: bool = False) -> list[int]:
         """K8: inserts (upsert, so a repeated batch does not duplicate keys), updates
         (upsert), deletes (by key frame); three commits in this order. Empty parts
-        are skipped."""
+        are skipped. ``single_commit`` applies the batch as one version (one
+        rewrite of the table instead of three)."""
+        if single_commit:
+            parts = [batch[p] for p in ("inserts", "updates") if batch.get(p) is not None]
+            ups = None
+            for p in parts:
+                ups = p if ups is None else ups.unionByName(p)
+            before = self.source.known_version()
+            v = self.source.apply(with_stamp(ups, "_updated_at", stamp) if ups is not None else None,
+                                  batch.get("deletes"), stamp=stamp)
+            return [v] if v != before else []
         versions = []
         for part in ("inserts", "updates"):
             df = batch.get(part)

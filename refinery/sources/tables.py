@@ -219,6 +219,42 @@ class VersionedTable:
             if keys_df is not None:
                 keys_df.unpersist()
 
+    def apply(self, upserts: DataFrame | None = None, delete_keys: DataFrame | None = None,
+              keys: Sequence[str] | None = None, operation: str = "APPLY BATCH",
+              stamp: dt.datetime | None = None) -> int:
+        """K4 + K5 in one commit: one rewrite of the table for a whole batch.
+
+        A key both upserted and deleted ends deleted (deletes apply last).
+        Returns the current version unchanged when the batch is empty.
+        """
+        keys = list(keys or self.keys)
+        v = self._next_version()
+        if v == 0:
+            raise TableError(f"{self.path}: table does not exist")
+        spark = self.spark
+        ups = (self._conform(upserts) if upserts is not None
+               else spark.createDataFrame([], self.read(v - 1).schema)).persist()
+        dels = (delete_keys.select(*keys) if delete_keys is not None
+                else ups.select(*keys).limit(0)).persist()
+        try:
+            n_ups = M.require_unique_keys(ups, keys)
+            n_dels = rows_at_most(dels, max_rows(dels))
+            if n_ups == 0 and n_dels == 0:
+                return v - 1
+            bound = max_rows(ups)
+            small = n_ups <= bound and n_dels <= bound
+            kept_ups = ups.join(F.broadcast(dels) if small else dels, keys, "left_anti")
+            old = self.read(v - 1)
+            touched = ups.select(*keys).unionByName(dels)
+            new = M.upsert_frame(M.delete_frame(old, keys, touched, small=small), kept_ups, keys)
+            changes = ((lambda _new: M.upsert_changes(old, kept_ups, keys, small).unionByName(
+                M.delete_changes(old, keys, dels, small=small)))
+                if self.change_feed else None)
+            return self._commit(v, new, changes, operation, stamp)
+        finally:
+            ups.unpersist()
+            dels.unpersist()
+
     def replace_groups(self, groups: DataFrame, rows: DataFrame, keys: Sequence[str] | None = None,
                        operation: str = "REPLACE GROUPS", stamp: dt.datetime | None = None,
                        small: bool = False) -> int:

@@ -149,3 +149,19 @@ def test_jobs_run_the_change_feed_flow(spark, tmp_root):
     case = OrdersCase(spark, f"{tmp_root}/lake")
     assert case.source.current_version() == 3
     assert _rows(_gold(case)) == _rows(_full(case))
+
+
+def test_single_commit_batch_equals_three_commits(spark, tmp_root):
+    orders = R.load(spark, SF, "orders")
+    three, rows = seeded_case(spark, f"{tmp_root}/three", orders)
+    one, _ = seeded_case(spark, f"{tmp_root}/one", orders)
+    batch = R.valid_batch(rows)
+    assert three.apply_batch(batch, stamp_at(2)) == [1, 2, 3]
+    assert one.apply_batch(batch, stamp_at(2), single_commit=True) == [1]
+    assert _rows(one.source.read()) == _rows(three.source.read())
+    cols = [c for c in one.source.read_changes(1).columns
+            if c not in ("_commit_version", "_commit_timestamp")]
+    assert _rows(one.source.read_changes(1).select(cols)) == \
+        _rows(three.source.read_changes(1).select(cols))
+    one.propagate(stamp=stamp_at(3))
+    assert _rows(_gold(one)) == _rows(_full(one))
