@@ -35,13 +35,21 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set a local one only if unset."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext            # not available on a Spark Connect session
+    except Exception:  # noqa: BLE001
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="refinery-ckpt-"))
-        root = sc.getCheckpointDir()
+        local = tempfile.mkdtemp(prefix="refinery-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(local)
+            root = sc.getCheckpointDir()
+        else:
+            spark.conf.set("spark.checkpoint.dir", local)
+            root = local
     return root.rstrip("/")
 
 

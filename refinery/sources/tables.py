@@ -110,9 +110,13 @@ class VersionedTable:
             raise TableError(f"{self.path}: change feed is not enabled")
         if starting_version < 1:
             raise TableError("the change feed starts at version 1 (version 0 is the creation)")
-        cond = F.col(COMMIT_VERSION) >= starting_version
-        if ending_version is not None:
-            cond = cond & (F.col(COMMIT_VERSION) <= ending_version)
+        if ending_version is None:
+            # open range: up to the newest *committed* version, never the
+            # folder of a version whose job died before its commit row
+            ending_version = self.current_version()
+            if ending_version is None:
+                raise TableError(f"{self.path}: table does not exist")
+        cond = (F.col(COMMIT_VERSION) >= starting_version) & (F.col(COMMIT_VERSION) <= ending_version)
         return self.spark.read.parquet(f"{self.path}/changes").where(cond)
 
     def feed_complete(self, starting_version: int, ending_version: int) -> bool:

@@ -1,6 +1,8 @@
 """Versioned tables, feed, partitioned Bronze, contracts."""
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 import pytest
 
 from refinery.contracts import Contract, ContractError, check, conform, resolve
@@ -160,3 +162,13 @@ def test_sql_views_over_versions_and_feed(spark, tmp_root):
     by_type = spark.sql("SELECT _change_type, COUNT(*) AS n FROM t_changes GROUP BY _change_type")
     assert sorted(tuple(r) for r in by_type.collect()) == [
         ("insert", 1), ("update_postimage", 1), ("update_preimage", 1)]
+
+
+def test_open_feed_read_ignores_uncommitted_version(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", keys=["k"], change_feed=True)
+    t.overwrite(spark.createDataFrame([(1, "a")], DDL))
+    t.upsert(spark.createDataFrame([(2, "b")], DDL))
+    # change rows of a version 2 whose commit row was never written
+    (t.read_changes(1).withColumn("v", F.lit("zz")).drop("_commit_version")
+     .write.parquet(f"{tmp_root}/t/changes/_commit_version=2"))
+    assert t.read_changes(1).count() == 1
