@@ -2,8 +2,9 @@
 
 The usual case is a small batch against a large table, so every plan keeps
 the table on the streamed side of its join: the batch (or its keys) is the
-side that a join may broadcast, and AQE decides that at run time from the
-measured size of the batch, falling back to a shuffle join when it is large.
+build side. ``small=True`` means the caller counted the batch under the
+broadcast bound (``joins.py``) and it is broadcast; otherwise the join is left
+to the planner (a shuffle join, with AQE splitting skewed partitions).
 
 * new table after an upsert:  ``table ANTI JOIN batch.keys  UNION  batch``
 * change rows of an upsert:   ``table SEMI/INNER JOIN batch`` (matched rows,
