@@ -167,6 +167,21 @@ def diff_changes(old: DataFrame, new: DataFrame, keys: Sequence[str] | None = No
     return _flatten(j.select(F.explode(change).alias("c")), cols)
 
 
+def newer_rows(target: DataFrame, latest: DataFrame, keys: Sequence[str], watermark_col: str,
+               small: bool = False) -> DataFrame:
+    """Rows of ``latest`` (one per key) whose watermark is not older than the stored row's.
+
+    Only the target's keys and watermark are read (column pruning); the batch is
+    the build side. Used by incremental promotion, where an old re-emission
+    arriving late must not overwrite a newer stored row.
+    """
+    stored = (target.join(_side(latest.select(*keys), small), list(keys), "left_semi")
+              .select(*keys, F.col(watermark_col).alias("_stored_wm")))
+    return (latest.join(stored, list(keys), "left")
+            .where(F.col("_stored_wm").isNull() | (F.col(watermark_col) >= F.col("_stored_wm")))
+            .drop("_stored_wm"))
+
+
 def full_merge_frame(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
                      watermark_col: str, stamp_col: str = "_silver_modified_at",
                      stamp: dt.datetime | None = None, delete_missing: bool = False) -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.contracts import Contract
-from refinery.operators.merge import full_merge_frame
+from refinery.operators.joins import max_rows, rows_at_most
+from refinery.operators.merge import full_merge_frame, newer_rows
 from refinery.plans import roles as R
 from refinery.plans.gold import compute_kpis
 from refinery.sources.files import CORRUPT, add_ingest_metadata, read_jsonl, write_jsonl
@@ -98,8 +99,14 @@ class SalesPipeline:
         return failed
 
     def promote_silver(self, stamp: dt.datetime | None = None,
-                       raise_on_failure: bool = True) -> list[str]:
-        """Bronze -> Silver by full merge: latest row per key, stamped."""
+                       raise_on_failure: bool = True,
+                       ingested_since: dt.date | None = None) -> list[str]:
+        """Bronze -> Silver by full merge: latest row per key, stamped.
+
+        ``ingested_since`` makes the promotion incremental: only the Bronze
+        partitions ingested since that day are read (partition pruning), and a
+        stored row is replaced only by a row with a watermark at least as new.
+        """
         failed = []
         for spec in self.silver_specs:
             if not spec.enabled:
@@ -107,7 +114,19 @@ class SalesPipeline:
             try:
                 bronze = self.bronze.read()
                 target = self.silver.read() if self.silver.exists() else None
-                if target is None or spec.delete_missing:
+                if ingested_since is not None and target is not None:
+                    bronze = bronze.where(F.col("_ingested_date") >= F.lit(ingested_since))
+                    latest = full_merge_frame(None, bronze, spec.merge_keys, spec.watermark_col,
+                                              stamp=stamp).persist()
+                    try:
+                        n = rows_at_most(latest, max_rows(latest))
+                        fresh = newer_rows(target, latest, spec.merge_keys, spec.watermark_col,
+                                           small=n <= max_rows(latest))
+                        self.silver.upsert(fresh, spec.merge_keys, "INCREMENTAL MERGE", stamp,
+                                           check_keys=False, skip_empty=True)
+                    finally:
+                        latest.unpersist()
+                elif target is None or spec.delete_missing:
                     merged = full_merge_frame(None, bronze, spec.merge_keys, spec.watermark_col,
                                               stamp=stamp)
                     self.silver.overwrite(merged, "FULL MERGE", stamp)
