@@ -125,6 +125,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'partitioned', DATE '2024-01-02', COUNT(*) FROM lineitem
             UNION ALL SELECT 'append', DATE '2024-01-01', 2 * COUNT(*) FROM lineitem""",
         "silver_full_merge": f"SELECT {SALES_TEXT} FROM ({LATEST})",
+        "silver_incremental_merge": f"SELECT {SALES_TEXT} FROM ({LATEST})",
         "layer_counts": f"""
             WITH silver AS ({LATEST}), {k_silver}
             SELECT 'Bronze' AS capa, COUNT(*) AS filas FROM lineitem

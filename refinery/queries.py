@@ -90,6 +90,23 @@ def silver_full_merge(spark, sf):
     return p.silver.read().select(*SALES_COLS)
 
 
+def silver_incremental_merge(spark, sf):
+    """S3 + K6 incremental: sales land on two days (split by ship date, every row lands);
+    day 2 is promoted from its own Bronze partition only, watermark-guarded."""
+    p = SalesPipeline(spark, work_dir(spark, "silver_inc"))
+    sales = R.sales_landing(R.load(spark, sf, "lineitem"))
+    split = F.col("l_shipdate") < F.lit("1998-01-01")
+    at1, at2 = dt.datetime(2024, 1, 1, 6), dt.datetime(2024, 1, 2, 6)
+    p.land(sales.where(split), "d1")
+    p.ingest_bronze(at1, DAY1)
+    p.promote_silver(at1)
+    p.land(sales.where(~split), "d2")
+    p.bronze_specs[0].source_path = f"{p.landing}/d2"
+    p.ingest_bronze(at2, DAY2)
+    p.promote_silver(at2, ingested_since=DAY2)
+    return p.silver.read().select(*SALES_COLS)
+
+
 def layer_counts(spark, sf):
     """U1 + A12 + Q6: rows per layer after a full pipeline run."""
     p = _pipeline(spark, sf, "layers")
@@ -382,6 +399,7 @@ QUERIES: dict[str, Query] = {
     "bronze_jsonl_roundtrip": bronze_jsonl_roundtrip,
     "bronze_day_overwrite": bronze_day_overwrite,
     "silver_full_merge": silver_full_merge,
+    "silver_incremental_merge": silver_incremental_merge,
     "layer_counts": layer_counts,
     "revenue_total": revenue_total,
     "units_total": units_total,
