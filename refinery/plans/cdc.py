@@ -28,8 +28,10 @@ class CustomersCase:
     def __post_init__(self):
         self.landing = f"{self.root}/landing/clientes"
         # append-only: a change log is never replaced; replays are harmless
-        # because the merge keeps only the newest change per key
-        self.bronze = PartitionedTable(self.spark, f"{self.root}/bronze/cdc/clientes_raw")
+        # because the merge keeps only the newest change per key. Day partitions
+        # let a batch be read back without scanning the whole history.
+        self.bronze = PartitionedTable(self.spark, f"{self.root}/bronze/cdc/clientes_raw",
+                                       partition_by=["_ingested_date"], append=True)
         self.silver = VersionedTable(self.spark, f"{self.root}/silver/cdc/clientes",
                                      contract=R.SILVER_CUSTOMERS)
 
@@ -44,7 +46,9 @@ class CustomersCase:
         batch = add_ingest_metadata(raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
                                     ingested_at, ingested_at.date())
         self.bronze.write(batch)
-        return self.bronze.read().where(F.col("_ingested_at") == now_or(ingested_at))
+        return (self.bronze.read()
+                .where(F.col("_ingested_date") == F.lit(ingested_at.date()))   # partition pruning
+                .where(F.col("_ingested_at") == now_or(ingested_at)))
 
     def merge_silver(self, changes: DataFrame, stamp: dt.datetime | None = None) -> int:
         """Apply a change batch with soft deletes."""

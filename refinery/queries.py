@@ -367,17 +367,20 @@ def _land_events(spark, sf, root):
 
 
 def stream_ingest(spark, sf):
-    """T1 + T2 + T3: two stream runs over two landing waves, then Silver."""
+    """T1 + T2 + T3: two stream runs over two landing waves, each promoted to Silver
+    (the second from its own micro-batches only)."""
     root = work_dir(spark, "stream")
     ev = _land_events(spark, sf, root)
     bronze, ckpt = f"{root}/bronze/events", f"{root}/_checkpoints/bronze"
+    silver = VersionedTable(spark, f"{root}/silver/events", keys=["event_id"])
     S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt)
+    S.promote(spark, bronze, silver, ["event_id"], "ts")
+    done = S.last_batch(spark, bronze)
     write_jsonl(ev.where(F.col("ts") >= F.lit(STREAM_SPLIT)), f"{root}/landing/w2")
     S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt)
     if S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt) != 0:
         raise RuntimeError("a third run with no new files must read nothing")
-    silver = VersionedTable(spark, f"{root}/silver/events", keys=["event_id"])
-    S.promote(spark, bronze, silver, ["event_id"], "ts")
+    S.promote(spark, bronze, silver, ["event_id"], "ts", after_batch=done)   # new batches only
     return silver.read().select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 

@@ -325,17 +325,22 @@ class PartitionedTable:
     """K1/K2: a Bronze table replaced one partition at a time, or appended."""
 
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = (),
-                 contract: Contract | None = None):
+                 contract: Contract | None = None, append: bool = False):
         self.spark = spark
         self.path = path.rstrip("/")
         self.contract = contract
         self.partition_by = list(partition_by or (contract.partitions if contract else ()))
+        self.append = append    # a log (e.g. change records): partitioned, never replaced
 
     def write(self, df: DataFrame) -> None:
-        """Overwrite the partitions present in ``df``; append when unpartitioned."""
+        """Overwrite the partitions present in ``df``; append when unpartitioned
+        (or when the table is an append-only log)."""
         if self.contract:
             df = conform(df, self.contract)
-        if self.partition_by:
+        if self.append:
+            w = df.write.mode("append")
+            (w.partitionBy(*self.partition_by) if self.partition_by else w).parquet(self.path)
+        elif self.partition_by:
             (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*self.partition_by).parquet(self.path))
         else:

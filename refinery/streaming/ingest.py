@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from refinery.functions.stamps import now_or
+from refinery.operators.joins import max_rows, rows_at_most
 from refinery.operators.latest import latest_per_key
+from refinery.operators.merge import newer_rows
 from refinery.sources.files import TIME_OPTIONS, add_ingest_metadata
 from refinery.sources.tables import VersionedTable
 
@@ -53,16 +56,37 @@ def ingest_available(spark: SparkSession, landing: str, schema: T.StructType | s
     return written["rows"]
 
 
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    return spark.read.parquet(bronze_path).drop("_batch")
+def read_bronze(spark: SparkSession, bronze_path: str, after_batch: int | None = None) -> DataFrame:
+    """Bronze of a stream; ``after_batch`` keeps only later micro-batches (partition pruning)."""
+    df = spark.read.parquet(bronze_path)
+    if after_batch is not None:
+        df = df.where(F.col("_batch") > after_batch)
+    return df.drop("_batch")
+
+
+def last_batch(spark: SparkSession, bronze_path: str) -> int | None:
+    """Highest micro-batch id written to Bronze (a partition-column max)."""
+    return spark.read.parquet(bronze_path).agg(F.max("_batch")).first()[0]
 
 
 def promote(spark: SparkSession, bronze_path: str, silver: VersionedTable, keys: list[str],
-            order_col: str, stamp: dt.datetime | None = None) -> int:
-    """Bronze -> Silver after a stream run: latest row per key, merged (K6)."""
-    latest = latest_per_key(read_bronze(spark, bronze_path), keys, [order_col])
-    latest = latest.withColumn("_silver_modified_at",
-                               F.lit(stamp).cast("timestamp") if stamp else F.current_timestamp())
-    if silver.exists():
+            order_col: str, stamp: dt.datetime | None = None,
+            after_batch: int | None = None) -> int:
+    """Bronze -> Silver after a stream run: latest row per key, merged (K6).
+
+    ``after_batch`` promotes only the micro-batches written after that id, and
+    a stored row is replaced only by a row at least as new by ``order_col``.
+    """
+    latest = latest_per_key(read_bronze(spark, bronze_path, after_batch), keys, [order_col])
+    latest = latest.withColumn("_silver_modified_at", now_or(stamp))
+    if not silver.exists():
+        return silver.overwrite(latest, "STREAM MERGE", stamp)
+    if after_batch is None:
         return silver.upsert(latest, keys, "STREAM MERGE", stamp)
-    return silver.overwrite(latest, "STREAM MERGE", stamp)
+    latest = latest.persist()
+    try:
+        n = rows_at_most(latest, max_rows(latest))
+        fresh = newer_rows(silver.read(), latest, keys, order_col, small=n <= max_rows(latest))
+        return silver.upsert(fresh, keys, "STREAM MERGE", stamp, check_keys=False, skip_empty=True)
+    finally:
+        latest.unpersist()
