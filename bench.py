@@ -25,7 +25,8 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 HEADLINE = [
-    "kpi_daily", "silver_full_merge", "layer_counts", "upsert_orders", "apply_change_batch",
+    "kpi_daily", "silver_full_merge", "silver_incremental_merge", "layer_counts",
+    "upsert_orders", "apply_change_batch", "apply_batch_single_commit",
     "change_feed_rows", "incremental_aggregate", "delta_aggregate", "amount_violations",
     "duplicate_keys", "cdc_soft_delete", "stream_ingest", "stream_hourly",
 ]
