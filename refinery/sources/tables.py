@@ -179,6 +179,8 @@ class VersionedTable:
         keys = list(keys or self.keys)
         v = self._next_version()
         if v == 0:
+            if check_keys:
+                M.require_unique_keys(source, keys)
             return self.overwrite(source, operation, stamp)
         source = self._conform(source).persist()
         try:
@@ -314,7 +316,10 @@ def _write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     half-written folder.
     """
     obs = Observation()
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    # static: the whole folder is replaced, whatever the session's overwrite mode;
+    # a partition left by a dead attempt must not survive into the version
+    w = (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

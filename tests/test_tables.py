@@ -172,3 +172,28 @@ def test_open_feed_read_ignores_uncommitted_version(spark, tmp_root):
     (t.read_changes(1).withColumn("v", F.lit("zz")).drop("_commit_version")
      .write.parquet(f"{tmp_root}/t/changes/_commit_version=2"))
     assert t.read_changes(1).count() == 1
+
+
+def test_rerun_replaces_partitions_left_by_a_dead_attempt(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", keys=["k"], partition_by=["v"])
+    t.overwrite(spark.createDataFrame([(1, "a")], DDL))
+    # a dead attempt at version 1 left a partition that the re-run does not write
+    spark.createDataFrame([(9,)], "k long").write.parquet(f"{tmp_root}/t/snapshot/_v=1/v=zz")
+    fresh = VersionedTable(spark, f"{tmp_root}/t", keys=["k"], partition_by=["v"])
+    fresh.upsert(spark.createDataFrame([(2, "b")], DDL))
+    assert sorted((r.k, r.v) for r in fresh.read().collect()) == [(1, "a"), (2, "b")]
+
+
+def test_version_with_no_changes_keeps_the_feed_complete(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", keys=["k"], change_feed=True)
+    t.overwrite(spark.createDataFrame([(1, "a")], DDL))
+    t.upsert(spark.createDataFrame([(1, "a")], DDL))        # equal row: no change rows
+    assert t.current_version() == 1 and t.read_changes(1).count() == 0
+    assert t.feed_complete(1, 1)
+
+
+def test_first_upsert_refuses_duplicate_keys(spark, tmp_root):
+    from refinery.operators.merge import MergeError
+    t = VersionedTable(spark, f"{tmp_root}/t", keys=["k"])
+    with pytest.raises(MergeError):
+        t.upsert(spark.createDataFrame([(1, "a"), (1, "b")], DDL))
