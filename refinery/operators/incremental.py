@@ -158,7 +158,7 @@ def propagate(source, gold, control, dataset: str, group_cols: Sequence[str],
     * no pointer: cold start, the full aggregate; pointer = current, 0 rows (F2)
     * pointer == current: nothing to do, nothing written (F4)
     * pointer > current: the source was recreated; refuse (H7)
-    * feed range purged: full rebuild (F7)
+    * feed range purged, or Gold missing: full rebuild (F7)
     * else: feed (pointer+1 .. current), affected groups, recompute them from
       the *pinned* version (H5), replace them in Gold in one commit (upsert +
       emptied groups), then move the pointer, last (H6)
@@ -172,7 +172,8 @@ def propagate(source, gold, control, dataset: str, group_cols: Sequence[str],
         raise ValueError(f"pointer {pointer} is ahead of the source version {current}")
     if pointer is not None and pointer == current:
         return PropagateResult("noop", current, 0)
-    if pointer is None or not source.feed_complete(pointer + 1, current):
+    # a missing Gold (dropped or recreated) cannot be patched group by group
+    if pointer is None or not gold.exists() or not source.feed_complete(pointer + 1, current):
         mode = "cold" if pointer is None else "rebuild"
         gold.overwrite(aggregate_groups(table, group_cols, None, units, amount, stamp),
                        operation="FULL AGGREGATE", stamp=stamp)

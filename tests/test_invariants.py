@@ -187,3 +187,12 @@ def test_incremental_promotion_equals_full_promotion(spark, tmp_root):
         return p.silver.read().select(*[c for c in li.columns])
 
     assert _rows(run("inc", True)) == _rows(run("full", False))
+
+
+def test_missing_gold_is_rebuilt_not_patched(spark, tmp_root):
+    case, rows = seeded_case(spark, tmp_root, R.load(spark, SF, "orders"))
+    case.propagate(stamp=stamp_at(1))
+    case.apply_batch(R.valid_batch(rows), stamp_at(2))
+    case.gold = VersionedTable(spark, f"{tmp_root}/gold-new", contract=R.GOLD_ORDERS)
+    assert case.propagate(stamp=stamp_at(3)).mode == "rebuild"
+    assert _rows(_gold(case)) == _rows(_full(case))
