@@ -184,11 +184,14 @@ def propagate(source, gold, control, dataset: str, group_cols: Sequence[str],
     n = source.change_rows(pointer + 1, current)
     groups = affected_groups(feed, group_cols).persist()
     try:
-        n_groups = rows_at_most(groups, max_rows(groups))
-        small = n_groups <= max_rows(groups)
         values = None
-        if len(group_cols) == 1 and n_groups <= IN_LIST_MAX:
-            values = [r[0] for r in groups.collect()]     # at most IN_LIST_MAX values
+        if len(group_cols) == 1:
+            # one bounded job: at most IN_LIST_MAX + 1 group values reach the driver
+            first = [r[0] for r in groups.limit(IN_LIST_MAX + 1).collect()]
+            if len(first) <= IN_LIST_MAX:
+                values = first
+        n_groups = len(values) if values is not None else rows_at_most(groups, max_rows(groups))
+        small = n_groups <= max_rows(groups)
         emptied = 0
         if n_groups:
             fresh = aggregate_groups(table, group_cols, groups, units, amount, stamp,
