@@ -109,23 +109,38 @@ def _flatten(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                      F.col(f"c.{CHANGE_TYPE}").alias(CHANGE_TYPE))
 
 
+def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                 small: bool = False) -> DataFrame:
+    """Stored and incoming row of every batch key already in the table (``_old``, ``_new``).
+
+    One scan of the table against the (broadcast) batch; at most one row per
+    batch row, so a caller may persist it to serve both feed branches.
+    """
+    cols = target.columns
+    src = align(source, cols)
+    old = target.select(*keys, F.struct(*cols).alias("_old"))
+    new = src.select(*keys, F.struct(*cols).alias("_new"))
+    return old.join(_side(new, small), list(keys), "inner")
+
+
 def upsert_changes(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                   small: bool = False) -> DataFrame:
+                   small: bool = False, matched: DataFrame | None = None) -> DataFrame:
     """F1 for an upsert: ``insert`` for new keys, pre/post images for changed rows.
 
     A matched row equal to its source row (null-safe, all columns) is silent.
-    Call with a persisted ``source``; the matched part is at most one row per
-    source row.
+    ``matched`` (from :func:`matched_rows`, ideally persisted) saves a second
+    scan of the table.
     """
     cols = target.columns
     src = align(source, cols)
-    old = target.select(*keys, F.struct(*cols).alias("_old"))
     new = src.select(*keys, F.struct(*cols).alias("_new"))
-    matched = old.join(_side(new, small), list(keys), "inner")
+    if matched is None:
+        matched = matched_rows(target, source, keys, small)
     updates = (matched.where(~F.col("_old").eqNullSafe(F.col("_new")))
                .select(F.explode(F.array(_typed("_old", UPDATE_PRE),
                                          _typed("_new", UPDATE_POST))).alias("c")))
-    inserts = (new.join(matched.select(*keys), list(keys), "left_anti")
+    # matched has at most one row per source row, so the source's size check bounds it
+    inserts = (new.join(_side(matched.select(*keys), small), list(keys), "left_anti")
                .select(_typed("_new", INSERT).alias("c")))
     return _flatten(updates.unionByName(inserts), cols)
 

@@ -183,6 +183,7 @@ class VersionedTable:
                 M.require_unique_keys(source, keys)
             return self.overwrite(source, operation, stamp)
         source = self._conform(source).persist()
+        matched = None
         try:
             if check_keys:
                 n = M.require_unique_keys(source, keys)
@@ -193,11 +194,15 @@ class VersionedTable:
             small = n <= max_rows(source)
             old = self.read(v - 1)
             new = M.upsert_frame(old, source, keys, small)
-            changes = ((lambda _new: M.upsert_changes(old, source, keys, small))
+            if self.change_feed:    # batch-sized; computed once for both feed branches
+                matched = M.matched_rows(old, source, keys, small).persist()
+            changes = ((lambda _new: M.upsert_changes(old, source, keys, small, matched))
                        if self.change_feed else None)
             return self._commit(v, new, changes, operation, stamp)
         finally:
             source.unpersist()
+            if matched is not None:
+                matched.unpersist()
 
     def delete(self, keys_df: DataFrame | None = None, condition=None,
                keys: Sequence[str] | None = None, operation: str = "DELETE",
@@ -242,6 +247,7 @@ class VersionedTable:
                else spark.createDataFrame([], self.read(v - 1).schema)).persist()
         dels = (delete_keys.select(*keys) if delete_keys is not None
                 else ups.select(*keys).limit(0)).persist()
+        matched = None
         try:
             n_ups = M.require_unique_keys(ups, keys)
             n_dels = rows_at_most(dels, max_rows(dels))
@@ -253,13 +259,17 @@ class VersionedTable:
             old = self.read(v - 1)
             touched = ups.select(*keys).unionByName(dels)
             new = M.upsert_frame(M.delete_frame(old, keys, touched, small=small), kept_ups, keys)
-            changes = ((lambda _new: M.upsert_changes(old, kept_ups, keys, small).unionByName(
-                M.delete_changes(old, keys, dels, small=small)))
-                if self.change_feed else None)
+            if self.change_feed:    # batch-sized; computed once for both feed branches
+                matched = M.matched_rows(old, kept_ups, keys, small).persist()
+            changes = ((lambda _new: M.upsert_changes(old, kept_ups, keys, small, matched)
+                        .unionByName(M.delete_changes(old, keys, dels, small=small)))
+                       if self.change_feed else None)
             return self._commit(v, new, changes, operation, stamp)
         finally:
             ups.unpersist()
             dels.unpersist()
+            if matched is not None:
+                matched.unpersist()
 
     def replace_groups(self, groups: DataFrame, rows: DataFrame, keys: Sequence[str] | None = None,
                        operation: str = "REPLACE GROUPS", stamp: dt.datetime | None = None,
