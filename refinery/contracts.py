@@ -73,6 +73,11 @@ class Contract:
     def full_name(self) -> str:
         return f"{self.catalog}.{self.schema_name}.{self.name}"
 
+    @property
+    def view_name(self) -> str:
+        """``catalog_schema_name``: the temp-view name of the table for ``spark.sql``."""
+        return f"{self.catalog}_{self.schema_name}_{self.name}"
+
     @property
     def names(self) -> list[str]:
         return [c.name for c in self.columns]

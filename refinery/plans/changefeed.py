@@ -77,6 +77,16 @@ class OrdersCase:
     def delete_where(self, condition: str, stamp: dt.datetime | None = None) -> int:
         return self.source.delete(condition=condition, stamp=stamp)
 
+    def register_views(self, feed_from: int = 1) -> list[str]:
+        """Source, Gold, control and the feed (``<source>_changes``) as temp views."""
+        names = [self.source.create_view(R.SILVER_ORDERS.view_name),
+                 self.gold.create_view(R.GOLD_ORDERS.view_name),
+                 self.control.create_view(R.CONTROL.view_name)]
+        if (self.source.current_version() or 0) >= feed_from:
+            names.append(self.source.create_changes_view(
+                f"{R.SILVER_ORDERS.view_name}_changes", feed_from))
+        return names
+
     def propagate(self, group_cols=(R.ORDER_GROUP,), stamp: dt.datetime | None = None):
         return inc.propagate(self.source, self.gold, self.control, self.dataset,
                              list(group_cols), R.ORDER_UNITS, R.ORDER_AMOUNT, stamp)

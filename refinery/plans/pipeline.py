@@ -149,6 +149,13 @@ class SalesPipeline:
         # rows whose date text does not parse have no day; the contract check counts them
         return self.gold.overwrite(kpis.where(F.col("fecha").isNotNull()), "OVERWRITE", stamp)
 
+    def register_views(self) -> list[str]:
+        """Expose the three layers to ``spark.sql`` under their contract names."""
+        self.bronze.read().createOrReplaceTempView(R.BRONZE_SALES.view_name)
+        return [R.BRONZE_SALES.view_name,
+                self.silver.create_view(R.SILVER_SALES.view_name),
+                self.gold.create_view(R.GOLD_KPIS.view_name)]
+
     def run(self, rows: DataFrame, stamp: dt.datetime | None = None) -> "SalesPipeline":
         self.land(rows)
         self.ingest_bronze(stamp, stamp.date() if stamp else None)

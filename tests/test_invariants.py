@@ -196,3 +196,25 @@ def test_missing_gold_is_rebuilt_not_patched(spark, tmp_root):
     case.gold = VersionedTable(spark, f"{tmp_root}/gold-new", contract=R.GOLD_ORDERS)
     assert case.propagate(stamp=stamp_at(3)).mode == "rebuild"
     assert _rows(_gold(case)) == _rows(_full(case))
+
+
+def test_dashboard_sql_over_registered_views(spark, tmp_root):
+    li = R.load(spark, SF, "lineitem")
+    p = SalesPipeline(spark, f"{tmp_root}/sales").run(R.sales_landing(li), dt.datetime(2024, 1, 1))
+    assert p.register_views() == ["bronze_batch_ventas_raw", "silver_batch_ventas",
+                                  "gold_batch_ventas_kpis"]
+    layers = spark.sql("""
+        SELECT 'Bronze' AS capa, COUNT(*) AS filas FROM bronze_batch_ventas_raw
+        UNION ALL SELECT 'Silver', COUNT(*) FROM silver_batch_ventas
+        UNION ALL SELECT 'Gold', COUNT(*) FROM gold_batch_ventas_kpis""")
+    got = {r.capa: r.filas for r in layers.collect()}
+    assert got["Bronze"] == li.count() and got["Gold"] == p.gold.read().count()
+    case = run_standard(spark, f"{tmp_root}/orders", R.load(spark, SF, "orders"), True)
+    names = case.register_views()
+    assert "silver_cdf_pedidos_changes" in names
+    ptr = spark.sql("SELECT MAX(ultima_version) AS v FROM gold_cdf_cdf_control").first().v
+    assert ptr == 3
+    by_type = spark.sql("""SELECT _change_type, COUNT(*) AS n FROM silver_cdf_pedidos_changes
+                           GROUP BY _change_type""").collect()
+    assert {r._change_type for r in by_type} == {"insert", "update_preimage", "update_postimage",
+                                                 "delete"}
