@@ -24,7 +24,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
