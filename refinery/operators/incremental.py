@@ -27,6 +27,8 @@ from refinery.operators.joins import max_rows, rows_at_most
 from refinery.operators.merge import (CHANGE_TYPE, DELETE, INSERT, UPDATE_POST,
                                       UPDATE_PRE)
 
+# The measure columns of the Gold order aggregate contract and
+# the columns of the pointer (control) table.
 AGG_COLUMNS = ["num_pedidos", "unidades", "importe_total"]
 # Up to this many affected groups become an IN filter (partition pruning at
 # the scan); more stay a DataFrame and reach the table as a semi join.

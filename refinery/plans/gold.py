@@ -11,6 +11,7 @@ from refinery.functions.dates import as_date
 from refinery.functions.money import cents, from_cents, mean_cents
 from refinery.functions.stamps import now_or
 
+# The column names of the Gold KPI table contract.
 KPI_COLUMNS = ["fecha", "categoria", "canal", "num_ventas", "unidades",
                "importe_total", "ticket_medio"]
 

@@ -46,6 +46,10 @@ def _cols(spec):
     return [{"name": n, "type": t, "nullable": nl} for n, t, nl in spec]
 
 
+# Contracts. The Silver/Gold/control table and column names that a consumer
+# queries (ventas, ventas_kpis, pedidos_agregado, cdf_control and their
+# Spanish column names) are fixed values of the original table contracts; the
+# data columns come from the driver's test tables.
 LANDING_SALES = Contract.from_dict({
     "name": "ventas_landing", "schema": "batch", "catalog": "landing", "format": "json",
     "columns": _cols(_LANDING_COLS)})
