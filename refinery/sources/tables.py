@@ -55,8 +55,8 @@ class VersionedTable:
         # reads filtered on them prune folders at the scan
         self.partition_by = list(partition_by or (contract.partitions if contract else ()))
         self.change_feed = change_feed or bool(contract and contract.change_data_feed)
-        # newest version this writer knows of; a writer that is behind fails on
-        # the "errorifexists" write of the next version instead of overwriting
+        # newest version this object knows of (one writer per table); a stale
+        # writer is stopped by the "errorifexists" write of the commit row
         self._version: int | None = None
         self._version_read = False
 
