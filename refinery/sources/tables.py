@@ -303,8 +303,20 @@ class VersionedTable:
     def _conform(self, df: DataFrame) -> DataFrame:
         return conform(df, self.contract) if self.contract else df
 
+    def _committed(self, v: int) -> bool:
+        """Does version ``v`` have a commit row? (a listing on the driver, no job)"""
+        try:
+            return bool(self.spark.read.schema(COMMIT_DDL)
+                        .parquet(f"{self.path}/commits/_v={v}").inputFiles())
+        except AnalysisException:
+            return False
+
     def _commit(self, v: int, new: DataFrame, changes, operation: str,
                 stamp: dt.datetime | None) -> int:
+        if self._committed(v):
+            # another writer got there first: never touch a committed version
+            self._version_read = False
+            raise TableError(f"{self.path}: version {v} is already committed")
         ts = stamp or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         num_rows = _write_counted(new, self._snapshot(v), self.partition_by)
         num_changes = 0

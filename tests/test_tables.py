@@ -197,3 +197,15 @@ def test_first_upsert_refuses_duplicate_keys(spark, tmp_root):
     t = VersionedTable(spark, f"{tmp_root}/t", keys=["k"])
     with pytest.raises(MergeError):
         t.upsert(spark.createDataFrame([(1, "a"), (1, "b")], DDL))
+
+
+def test_stale_writer_is_refused_before_writing(spark, tmp_root):
+    a = VersionedTable(spark, f"{tmp_root}/t", keys=["k"])
+    a.overwrite(spark.createDataFrame([(1, "a")], DDL))
+    b = VersionedTable(spark, f"{tmp_root}/t", keys=["k"])
+    assert b.current_version() == 0                     # b now caches version 0
+    a.upsert(spark.createDataFrame([(2, "b")], DDL))    # a commits version 1
+    with pytest.raises(TableError):
+        b.upsert(spark.createDataFrame([(3, "c")], DDL))
+    assert _rows(a.read(1)) == [(1, "a"), (2, "b")]      # version 1 untouched
+    assert b.upsert(spark.createDataFrame([(3, "c")], DDL)) == 2   # b re-reads and goes on
