@@ -140,6 +140,45 @@ class VersionedTable:
                     have.add(int(v))
         return all(v in have for v in range(starting_version, ending_version + 1))
 
+    # ---- retention ------------------------------------------------------
+    def vacuum(self, keep_versions: int = 10, keep_changes: int | None = None) -> dict:
+        """Delete the snapshot folders of all but the newest ``keep_versions``
+        versions and, with ``keep_changes``, the change folders older than that
+        many versions (F7: a pointer behind the kept feed triggers a rebuild).
+
+        Commit rows stay as history; reading a removed version fails. Files are
+        removed through the Hadoop FileSystem client of the session, so the
+        shared storage of a cluster works like a local folder.
+        """
+        if keep_versions < 1:
+            raise ValueError("keep at least the current version")
+        cur = self.current_version()
+        if cur is None:
+            return {"snapshots": [], "changes": []}
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+
+        def remove(folder: str, marker: str, below: int) -> list[int]:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            fs = path.getFileSystem(conf)
+            if not fs.exists(path):
+                return []
+            gone = []
+            for st in fs.listStatus(path):
+                name = st.getPath().getName()
+                if st.isDirectory() and name.startswith(marker) and name[len(marker):].isdigit():
+                    v = int(name[len(marker):])
+                    if v < below and fs.delete(st.getPath(), True):
+                        gone.append(v)
+            return sorted(gone)
+
+        out = {"snapshots": remove(f"{self.path}/snapshot", "_v=", cur - keep_versions + 1),
+               "changes": []}
+        if keep_changes is not None:
+            out["changes"] = remove(f"{self.path}/changes", f"{COMMIT_VERSION}=",
+                                    cur - keep_changes + 1)
+        return out
+
     # ---- SQL ------------------------------------------------------------
     def create_view(self, name: str, version: int | None = None) -> str:
         """Expose a version (newest by default) to ``spark.sql`` as a temp view."""

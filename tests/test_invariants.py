@@ -218,3 +218,13 @@ def test_dashboard_sql_over_registered_views(spark, tmp_root):
                            GROUP BY _change_type""").collect()
     assert {r._change_type for r in by_type} == {"insert", "update_preimage", "update_postimage",
                                                  "delete"}
+
+
+def test_vacuumed_feed_behind_the_pointer_forces_rebuild(spark, tmp_root):
+    case, rows = seeded_case(spark, tmp_root, R.load(spark, SF, "orders"))
+    case.propagate(stamp=stamp_at(1))                       # pointer at version 0
+    case.apply_batch(R.valid_batch(rows), stamp_at(2))      # versions 1..3
+    case.source.vacuum(keep_versions=1, keep_changes=1)     # feed of 1..2 purged
+    res = case.propagate(stamp=stamp_at(3))
+    assert res.mode == "rebuild"
+    assert _rows(_gold(case)) == _rows(_full(case))

@@ -209,3 +209,18 @@ def test_stale_writer_is_refused_before_writing(spark, tmp_root):
         b.upsert(spark.createDataFrame([(3, "c")], DDL))
     assert _rows(a.read(1)) == [(1, "a"), (2, "b")]      # version 1 untouched
     assert b.upsert(spark.createDataFrame([(3, "c")], DDL)) == 2   # b re-reads and goes on
+
+
+def test_vacuum_keeps_recent_versions_and_feed(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/t", keys=["k"], change_feed=True)
+    t.overwrite(spark.createDataFrame([(1, "a")], DDL))
+    for i in range(2, 6):
+        t.upsert(spark.createDataFrame([(i, "x")], DDL))
+    assert t.current_version() == 4
+    out = t.vacuum(keep_versions=2, keep_changes=2)
+    assert out == {"snapshots": [0, 1, 2], "changes": [1, 2]}
+    assert t.read().count() == 5 and t.read(3).count() == 4
+    with pytest.raises(Exception):
+        t.read(1).count()
+    assert t.feed_complete(3, 4) and not t.feed_complete(2, 4)
+    assert t.history().count() == 5            # commit rows stay
