@@ -7,7 +7,8 @@ runtime provides (``getOrCreate``), runs one step and exits non-zero when the
 step reports failed ingestion specs.
 
 Jobs: ingest_bronze, promote_silver, build_gold (batch sales); seed_orders,
-apply_batch, propagate (change feed); ingest_changes (CDC); stream_ingest.
+apply_batch, propagate (change feed); ingest_changes (CDC); stream_ingest;
+vacuum (retention of old snapshots and feed folders).
 """
 
 from __future__ import annotations
@@ -51,7 +52,8 @@ def _frame(spark, path: str | None):
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="refinery.jobs")
     ap.add_argument("job", choices=["ingest_bronze", "promote_silver", "build_gold", "seed_orders",
-                                    "apply_batch", "propagate", "ingest_changes", "stream_ingest"])
+                                    "apply_batch", "propagate", "ingest_changes", "stream_ingest",
+                                    "vacuum"])
     ap.add_argument("--config", required=True)
     ap.add_argument("--inserts")
     ap.add_argument("--updates")
@@ -59,6 +61,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--rows", help="seed rows (parquet folder or .json)")
     ap.add_argument("--path", help="landing folder of one change batch / stream")
     ap.add_argument("--schema", help="DDL schema of the stream's files")
+    ap.add_argument("--keep-versions", type=int, default=10)
+    ap.add_argument("--keep-changes", type=int, default=None)
     args = ap.parse_args(argv)
     cfg = json.loads(Path(args.config).read_text(encoding="utf-8"))
     spark = _session(cfg)
@@ -81,6 +85,11 @@ def main(argv: list[str] | None = None) -> int:
             case = CustomersCase(spark, root)
             at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
             print("version", case.merge_silver(case.ingest_bronze(args.path, at), at))
+        elif args.job == "vacuum":
+            case, sales = OrdersCase(spark, root), _sales(spark, cfg)
+            for t in (case.source, case.gold, case.control, sales.silver, sales.gold):
+                if t.exists():
+                    print(t.path, t.vacuum(args.keep_versions, args.keep_changes))
         elif args.job == "stream_ingest":
             name = Path(args.path.rstrip("/")).name
             rows = ingest_available(spark, args.path, args.schema, f"{root}/bronze/stream/{name}",

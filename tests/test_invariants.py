@@ -149,6 +149,8 @@ def test_jobs_run_the_change_feed_flow(spark, tmp_root):
     case = OrdersCase(spark, f"{tmp_root}/lake")
     assert case.source.current_version() == 3
     assert _rows(_gold(case)) == _rows(_full(case))
+    assert jobs.main(["vacuum", "--config", cfg, "--keep-versions", "1"]) == 0
+    assert _rows(_gold(case)) == _rows(_full(case))
 
 
 def test_single_commit_batch_equals_three_commits(spark, tmp_root):
