@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions.money import cents
+from refinery.operators.joins import max_rows, rows_at_most
 
 # The order lifecycle of the change-feed use case. An order only
 # moves forward or is cancelled; delivered and cancelled are final.
@@ -31,21 +32,30 @@ def transitions_frame(spark: SparkSession, transitions: Mapping[str, Sequence[st
 
 
 def previous_state(updates: DataFrame, current: DataFrame, keys: Sequence[str],
-                   state_col: str) -> DataFrame:
-    """Each update with the state its key has now (``from_state``)."""
+                   state_col: str, small: bool = False) -> DataFrame:
+    """Each update with the state its key has now (``from_state``).
+
+    The table is the streamed side; ``small`` (a checked batch size) broadcasts
+    the updates so the table is not shuffled.
+    """
     now = current.select(*keys, F.col(state_col).alias("from_state"))
-    return updates.join(now, list(keys), "inner")
+    upd = F.broadcast(updates) if small else updates
+    return now.join(upd, list(keys), "inner")
 
 
 def transition_violations(updates: DataFrame, current: DataFrame, keys: Sequence[str],
-                          state_col: str, transitions: Mapping[str, Sequence[str]]) -> DataFrame:
+                          state_col: str, transitions: Mapping[str, Sequence[str]],
+                          small: bool | None = None) -> DataFrame:
     """Q1: updates whose (state now -> new state) is not an allowed transition.
 
-    The transition table has a fixed size, so it is broadcast; the join to the
-    current rows keeps the large table on the streamed side.
+    The transition table has a fixed size, so it is broadcast. The updates are
+    broadcast too when their counted size is under the bound (``small=None``
+    counts them, early-stopping), so the current table is only streamed.
     """
+    if small is None:
+        small = rows_at_most(updates, max_rows(updates)) <= max_rows(updates)
     allowed = F.broadcast(transitions_frame(updates.sparkSession, transitions))
-    pairs = (previous_state(updates, current, keys, state_col)
+    pairs = (previous_state(updates, current, keys, state_col, small)
              .select(*keys, "from_state", F.col(state_col).alias("to_state")))
     cond = (pairs["from_state"] == allowed["_from"]) & (pairs["to_state"] == allowed["_to"])
     return pairs.join(allowed, cond, "left_anti")
