@@ -75,12 +75,20 @@ def amount_violations(df: DataFrame, keys: Sequence[str], quantity: str, price_c
 
 
 def batch_conflicts(inserts: DataFrame, updates: DataFrame, deletes: DataFrame,
-                    existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys both updated and deleted in a batch; inserts that reuse a key."""
+                    existing: DataFrame, keys: Sequence[str],
+                    small: bool | None = None) -> DataFrame:
+    """Keys both updated and deleted in a batch; inserts that reuse a key.
+
+    The reuse check streams the table's keys (unique) against the insert keys,
+    broadcast when their counted size is under the bound.
+    """
     k = list(keys)
     both = (updates.select(*k).join(deletes.select(*k), k, "left_semi")
             .withColumn("conflict", F.lit("update_and_delete")))
-    reuse = (inserts.select(*k).join(existing.select(*k), k, "left_semi")
+    ins = inserts.select(*k)
+    if small is None:
+        small = rows_at_most(ins, max_rows(ins)) <= max_rows(ins)
+    reuse = (existing.select(*k).join(F.broadcast(ins) if small else ins, k, "left_semi")
              .withColumn("conflict", F.lit("insert_existing_key")))
     return both.unionByName(reuse)
 
