@@ -86,6 +86,9 @@ def main():
             li, R.SALES_KEYS, "l_quantity",
             half_up_div(cents("l_extendedprice"), F.col("l_quantity").cast("long")),
             "l_extendedprice"),
+        "Q1 lifecycle check": Q.transition_violations(upd, table, R.ORDER_KEYS, R.ORDER_GROUP,
+                                                      R.ORDER_TRANSITIONS),
+        "Q3 batch conflicts": Q.batch_conflicts(upd, upd, batch["deletes"], table, R.ORDER_KEYS),
         "Q4 duplicate keys": Q.duplicate_keys(li, R.SALES_KEYS),
         "P9 filtered KPIs": compute_kpis(li, **R.SALES_ROLE).filter(
             "categoria = 'R' AND canal = 'F'"),
