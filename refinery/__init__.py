@@ -6,6 +6,9 @@ with a row-level change feed, and Gold aggregates are maintained
 incrementally by recomputing only the groups that the feed touched.
 """
 
+from refinery.contracts import Contract, check, conform
 from refinery.session import build_session, work_dir
+from refinery.sources.tables import PartitionedTable, VersionedTable
 
-__all__ = ["build_session", "work_dir"]
+__all__ = ["Contract", "PartitionedTable", "VersionedTable", "build_session", "check",
+           "conform", "work_dir"]

@@ -230,3 +230,24 @@ def test_vacuumed_feed_behind_the_pointer_forces_rebuild(spark, tmp_root):
     res = case.propagate(stamp=stamp_at(3))
     assert res.mode == "rebuild"
     assert _rows(_gold(case)) == _rows(_full(case))
+
+
+def test_jobs_ingest_changes_and_stream(spark, tmp_root):
+    import json
+    from refinery import jobs
+    from refinery.plans.cdc import CustomersCase
+    from refinery.queries import EVENT_DDL
+    from refinery.sources.files import write_jsonl
+    write_jsonl(R.customer_changes(R.load(spark, SF, "customer")), f"{tmp_root}/in/cdc")
+    cfg = (tmp_root + "/cfg.json").replace("file:", "")
+    with open(cfg, "w") as fh:
+        json.dump({"path": {"root": f"{tmp_root}/lake"}}, fh)
+    assert jobs.main(["ingest_changes", "--config", cfg, "--path", f"{tmp_root}/in/cdc"]) == 0
+    silver = CustomersCase(spark, f"{tmp_root}/lake").silver
+    assert silver.read().count() == R.load(spark, SF, "customer").count()
+    write_jsonl(R.load(spark, SF, "events"), f"{tmp_root}/in/events/a")
+    args = ["stream_ingest", "--config", cfg, "--path", f"{tmp_root}/in/events",
+            "--schema", EVENT_DDL]
+    assert jobs.main(args) == 0 and jobs.main(args) == 0      # the second run reads nothing
+    bronze = spark.read.parquet(f"{tmp_root}/lake/bronze/stream/events")
+    assert bronze.count() == R.load(spark, SF, "events").count()
