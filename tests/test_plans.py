@@ -55,3 +55,31 @@ def test_kpi_scan_prunes_columns_and_aggregates_partially(spark, capsys):
     assert plan.count("HashAggregate") >= 2 and "BatchEvalPython" not in plan
     plan = _plan(kpi_filtered(spark, SF), capsys)
     assert re.search(r"PushedFilters: \[.*EqualTo\(l_returnflag,R\).*EqualTo\(l_linestatus,F\)", plan)
+
+
+def test_above_the_broadcast_bound_merges_shuffle_and_stay_correct(spark, tmp_root, capsys):
+    from refinery.operators import merge as M
+    from refinery.operators.joins import CONF_KEY, broadcast_if_small
+    from refinery.sources.tables import VersionedTable
+    confs = {CONF_KEY: "1", "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        src = spark.createDataFrame([(2, "B"), (3, "c")], "k long, v string")
+        assert broadcast_if_small(src) is src                 # 2 rows > bound of 1
+        t = VersionedTable(spark, f"{tmp_root}/t", keys=["k"], change_feed=True)
+        t.overwrite(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"))
+        t.upsert(src)
+        assert sorted(map(tuple, t.read().collect())) == [(1, "a"), (2, "B"), (3, "c")]
+        assert sorted((r.k, r._change_type) for r in t.read_changes(1).collect()) == [
+            (2, "update_postimage"), (2, "update_preimage"), (3, "insert")]
+        plan = _plan(M.upsert_frame(t.read(0), src, ["k"], small=False), capsys)
+        assert "SortMergeJoin LeftAnti" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
