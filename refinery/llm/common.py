@@ -77,23 +77,20 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S)
 
 
-def text_slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array, size: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, UTF-8 bytes, row offsets into them) of runs of rows; null is empty."""
     arr = column.cast(pa.binary()).fill_null(b"")
     off = np.frombuffer(arr.buffers()[1], np.int32)[arr.offset:arr.offset + len(arr) + 1].astype(np.int64)
     data = np.frombuffer(arr.buffers()[2] or b"", np.uint8)
     i = 0
     while i < len(arr):
-        j = max(i + 1, int(np.searchsorted(off, off[i] + SLICE, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(off, off[i] + size, "right")) - 1)
         yield i, data[off[i]:off[j]], off[i:j + 1] - off[i]
         i = j
 
 
-def hash_words(data: np.ndarray, off: np.ndarray, space: np.ndarray = _SPACE
-               ) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of every word with A-Z lower-cased, word offsets per row)."""
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+def _spans(data: np.ndarray, off: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends (exclusive) of the words of all rows."""
     sp = space[data]
     edge = np.ones(len(data) + 1, bool)
     edge[1:] = sp
@@ -101,7 +98,14 @@ def hash_words(data: np.ndarray, off: np.ndarray, space: np.ndarray = _SPACE
     starts = np.flatnonzero(~sp & edge[:-1])
     edge[:-1] = sp
     edge[off] = True
-    ends = np.flatnonzero(~sp & edge[1:]) + 1
+    return starts, np.flatnonzero(~sp & edge[1:]) + 1
+
+
+def hash_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word with A-Z lower-cased, word offsets per row)."""
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+    starts, ends = _spans(data, off, _SPACE)
     p, q = _power_tables(len(data))
     c = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_R[_LOWER[data]] * p[:len(data)], out=c[1:])
@@ -109,6 +113,35 @@ def hash_words(data: np.ndarray, off: np.ndarray, space: np.ndarray = _SPACE
     return h, np.searchsorted(starts, off)
 
 
+_NO_LETTER = np.zeros(256, bool)
+_NO_LETTER[:128] = True
+_NO_LETTER[65:91] = _NO_LETTER[97:123] = False
+
+
+def hash_word_prefixes(data: np.ndarray, off: np.ndarray, prefixes: tuple[int, ...]
+                       ) -> tuple[np.ndarray, np.ndarray]:
+    """(words x (1 + prefixes) hashes, word offsets per row) of runs of letters.
+
+    Bytes from 0x80 count as letters; A-Z and the accented capitals of Latin-1
+    are lower-cased. Column 0 is the whole word, the others its byte prefixes.
+    """
+    if not len(data):
+        return np.zeros((0, 1 + len(prefixes)), np.uint64), np.zeros(len(off), np.int64)
+    low = _LOWER[data]
+    capital = np.flatnonzero((data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97) & (data[:-1] == 0xC3))
+    low[capital + 1] += 0x20
+    starts, ends = _spans(data, off, _NO_LETTER)
+    p, q = _power_tables(len(data))
+    c = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_R[low] * p[:len(data)], out=c[1:])
+    base, scale = c[starts], q[starts]
+    out = np.empty((len(starts), 1 + len(prefixes)), np.uint64)
+    out[:, 0] = _mix((c[ends] - base) * scale)
+    for j, n in enumerate(prefixes, 1):
+        out[:, j] = _mix((c[np.minimum(starts + n, ends)] - base) * scale + np.uint64(n))
+    return out, np.searchsorted(starts, off)
+
+
 def ngram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """One 64-bit hash per window of ``k`` words, in text order (fewer words: one hash)."""
     if not len(h):

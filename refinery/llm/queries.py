@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from refinery.llm.common import table
 from refinery.llm.ngram_join import ngram_components
+from refinery.llm.toxicity import toxicity
+
+
+def op4_conv_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +20,7 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_ngram_jaccard_join,)
+    f.__name__: f for f in (op4_conv_toxicity, op7_ngram_jaccard_join)
 }
 
 ORACLES: dict[str, str] = {}
