@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from refinery.llm.common import table
+from refinery.llm.hilbert_shards import hilbert_shards
 from refinery.llm.ngram_join import ngram_components
 from refinery.llm.toxicity import toxicity
 
 
+def op3_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards(table(spark, sf_dir, "documents"))
+
+
 def op4_conv_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -20,7 +25,8 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_conv_toxicity, op7_ngram_jaccard_join)
+    f.__name__: f for f in (
+        op3_hilbert_sharding, op4_conv_toxicity, op7_ngram_jaccard_join)
 }
 
 ORACLES: dict[str, str] = {}
