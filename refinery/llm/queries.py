@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from refinery.llm.common import table
+from refinery.llm.decontaminate import contaminated
 from refinery.llm.hilbert_shards import hilbert_shards
 from refinery.llm.ngram_join import ngram_components
 from refinery.llm.toxicity import toxicity
@@ -20,13 +21,18 @@ def op4_conv_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_hilbert_sharding, op4_conv_toxicity, op7_ngram_jaccard_join)
+        op3_hilbert_sharding, op4_conv_toxicity, op5_benchmark_decontamination,
+        op7_ngram_jaccard_join)
 }
 
 ORACLES: dict[str, str] = {}
