@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from refinery.llm.common import table
 from refinery.llm.decontaminate import contaminated
 from refinery.llm.hilbert_shards import hilbert_shards
+from refinery.llm.mixing import soft_mixing
 from refinery.llm.ngram_join import ngram_components
 from refinery.llm.toxicity import toxicity
 
@@ -29,10 +30,14 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return soft_mixing(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op3_hilbert_sharding, op4_conv_toxicity, op5_benchmark_decontamination,
-        op7_ngram_jaccard_join)
+        op7_ngram_jaccard_join, op8_soft_mixing)
 }
 
 ORACLES: dict[str, str] = {}
