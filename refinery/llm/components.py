@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from refinery.llm.common import stored
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"),
-                    F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _settled(edges: DataFrame) -> bool:
+    """Is every edge (a, b) one from a leaf to the root of its star?"""
+    ends = (edges.select(F.col("a").alias("x"), F.lit(1).alias("up"))
+            .unionByName(edges.select(F.col("b").alias("x"), F.lit(0).alias("up"))))
+    seen = ends.groupBy("x").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return seen.where("up > 1 or (up = 1 and least = 0)").isEmpty()
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -24,15 +26,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     e = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
                                             F.least("a", "b").alias("b")).distinct(), "cc")
-    last = _fingerprint(e)
     for _ in range(max_rounds):
-        if not last[0]:
+        if _settled(e):
             break
         # large star: larger neighbours of a node move to its smallest neighbour
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (both.where("b > a").join(low, "a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+                 .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"))
         # small star: smaller neighbours of a node move to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a")
@@ -41,10 +42,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                          .alias("e"))
                  .select("e.a", "e.b").where("a <> b").distinct())
         e = stored(small, "cc")
-        now = _fingerprint(e)
-        if now == last:
-            break
-        last = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = e.select(F.col("b").alias("node")).distinct()

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.common import map_arrow, shingle_sets, stored, tune
@@ -110,6 +110,13 @@ def _entries(docs: DataFrame, sketch, k: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "token long, doc_id long, n int, pos int")
 
 
+def _may_link(n: Column, pos: Column, m: Column, at: Column, percent: int) -> Column:
+    """Size-derived bounds: the sizes are close enough, and a first shared column at these
+    positions leaves room for the overlap that the threshold needs."""
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+            & (F.least(n - pos, m - at) * (100 + percent) >= percent * (n + m)))
+
+
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Documents whose id may be in ``ids`` (a fixed-size bit filter; false hits are harmless)."""
     sc, mask = docs.sparkSession.sparkContext, (1 << FILTER_BITS) - 1
@@ -184,22 +191,27 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD
                    .otherwise(F.col("doc_id")).alias("rep"), (F.col("lo") < F.col("hi")).alias("several")))
     ties = (rep.join(one.where("several").select("doc_id"), "doc_id")
             .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b"))
-    one = one.drop("several")
+    one = stored(one.drop("several"), "ngram-ids")
 
     sketch = spark.sparkContext.broadcast(shingle_sketch(docs, k))
     entries = _entries(docs, sketch, k, percent)
-    block = (entries.groupBy("token").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-             .where("first < last").select("token", "first"))
+    # per block: its smallest document, with that document's set size and position
+    entry = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long"))
+    block = (entries.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("first"),
+                                          F.min_by(entry, "doc_id").alias("_e"))
+             .where("df > 1").select("token", "first", F.shiftright("_e", 32).cast("int").alias("first_n"),
+                                     F.col("_e").bitwiseAND(0xFFFFFFFF).cast("int").alias("first_pos")))
     # entries of blocks with two documents or more, by class
-    shared = stored(entries.join(block, "token")
-                    .join(one, "doc_id")
-                    .select("token", "first", F.col("rep").alias("id"), "n", "pos"), "ngram-blocks")
-    star = (shared.select("first", "id").distinct()
+    shared = stored(entries.join(block, "token").join(one, "doc_id")
+                    .select("token", "first", "first_n", "first_pos", F.col("rep").alias("id"), "n", "pos"),
+                    "ngram-blocks")
+    star = (shared.where(_may_link(F.col("n"), F.col("pos"), F.col("first_n"), F.col("first_pos"), percent))
+            .select("first", "id").distinct()
             .join(one.select(F.col("doc_id").alias("first"), F.col("rep").alias("a")), "first")
             .select("a", F.col("id").alias("b")).where("a <> b").distinct())
     links = ties.unionByName(_links(stored(star, "ngram-star"), docs, k, percent))
     links = stored(links, "ngram-links")
-    comp = connected_components(links)
+    comp = stored(connected_components(links), "ngram-components")
 
     # blocks that still hold several components: pairs within the bounds
     named = (shared.select("token", "id", "n", "pos").distinct()
@@ -209,20 +221,25 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD
              .where("lo < hi").select("token"))
     open_ = stored(named.join(mixed, "token"), "ngram-open")
     s, t = open_.alias("s"), open_.alias("t")
-    n_s, n_t, need = F.col("s.n"), F.col("t.n"), percent
-    # the first column that a linked pair shares leaves room for the overlap it needs
+    n_s, n_t = F.col("s.n"), F.col("t.n")
     rest = (s.join(t, (F.col("s.token") == F.col("t.token")) & (F.col("s.comp") != F.col("t.comp"))
                    & ((n_s < n_t) | ((n_s == n_t) & (F.col("s.id") < F.col("t.id"))))
-                   & (100 * n_s >= need * n_t)
-                   & (F.least(n_s - F.col("s.pos"), n_t - F.col("t.pos")) * (100 + need)
-                      >= need * (n_s + n_t)))
+                   & _may_link(n_s, F.col("s.pos"), n_t, F.col("t.pos"), percent))
             .select(F.least("s.id", "t.id").alias("a"), F.greatest("s.id", "t.id").alias("b"))
             .distinct().join(star, ["a", "b"], "left_anti"))
     rest = stored(rest, "ngram-rest")
     if not rest.isEmpty():
         more = stored(_links(rest, docs, k, percent), "ngram-links")
         if not more.isEmpty():
-            comp = connected_components(links.unionByName(more))
+            # links between components found so far, as links between their roots
+            for end in ("a", "b"):
+                more = (more.join(comp.select(F.col("node").alias(end), F.col("root").alias("_r")), end, "left")
+                        .withColumn(end, F.coalesce("_r", end)).drop("_r"))
+            top = stored(connected_components(more), "ngram-roots").select(
+                F.col("node").alias("root"), F.col("root").alias("_top"))
+            comp = (comp.join(top, "root", "left").select("node", F.coalesce("_top", "root").alias("root"))
+                    .unionByName(top.join(comp.select("root"), "root", "left_anti")
+                                 .select(F.col("root").alias("node"), F.col("_top").alias("root"))))
     final = (one.join(comp, F.col("rep") == F.col("node"), "left")
              .select("doc_id", F.coalesce("root", "rep").alias("component")))
     return (prof.join(final, "doc_id", "left")
