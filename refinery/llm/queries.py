@@ -11,6 +11,7 @@ from refinery.llm.decontaminate import contaminated
 from refinery.llm.hilbert_shards import hilbert_shards
 from refinery.llm.mixing import soft_mixing
 from refinery.llm.ngram_join import ngram_components
+from refinery.llm.secrets import find_secrets
 from refinery.llm.toxicity import toxicity
 
 
@@ -34,10 +35,15 @@ def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return soft_mixing(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op3_hilbert_sharding, op4_conv_toxicity, op5_benchmark_decontamination,
-        op7_ngram_jaccard_join, op8_soft_mixing)
+        op7_ngram_jaccard_join, op8_soft_mixing,
+        op9_entropy_secrets)
 }
 
 ORACLES: dict[str, str] = {}
