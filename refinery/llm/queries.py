@@ -11,6 +11,7 @@ from refinery.llm.decontaminate import contaminated
 from refinery.llm.hilbert_shards import hilbert_shards
 from refinery.llm.mixing import soft_mixing
 from refinery.llm.ngram_join import ngram_components
+from refinery.llm.quality import quality_rules
 from refinery.llm.secrets import find_secrets
 from refinery.llm.toxicity import toxicity
 
@@ -27,6 +28,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))
 
@@ -42,7 +47,7 @@ def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op3_hilbert_sharding, op4_conv_toxicity, op5_benchmark_decontamination,
-        op7_ngram_jaccard_join, op8_soft_mixing,
+        op6_robust_quality, op7_ngram_jaccard_join, op8_soft_mixing,
         op9_entropy_secrets)
 }
 
