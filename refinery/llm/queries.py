@@ -14,6 +14,11 @@ from refinery.llm.ngram_join import ngram_components
 from refinery.llm.quality import quality_rules
 from refinery.llm.secrets import find_secrets
 from refinery.llm.toxicity import toxicity
+from refinery.llm.warc import warc_roundtrip
+
+
+def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_roundtrip(table(spark, sf_dir, "pages"))
 
 
 def op3_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +51,7 @@ def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_hilbert_sharding, op4_conv_toxicity, op5_benchmark_decontamination,
+        op1_warc_transactions, op3_hilbert_sharding, op4_conv_toxicity, op5_benchmark_decontamination,
         op6_robust_quality, op7_ngram_jaccard_join, op8_soft_mixing,
         op9_entropy_secrets)
 }
