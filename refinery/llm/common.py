@@ -171,6 +171,11 @@ def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
     return out
 
 
+def binary_texts(column: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of a string column, null as empty."""
+    return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
               schema: str) -> DataFrame:
     """``mapInArrow`` of a per-batch function; empty results are left out."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from refinery.llm.common import table
 from refinery.llm.decontaminate import contaminated
 from refinery.llm.hilbert_shards import hilbert_shards
+from refinery.llm.licenses import scan_licenses
 from refinery.llm.mixing import soft_mixing
 from refinery.llm.ngram_join import ngram_components
 from refinery.llm.quality import quality_rules
@@ -21,6 +22,10 @@ def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_roundtrip(table(spark, sf_dir, "pages"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(table(spark, sf_dir, "documents"))
 
@@ -51,7 +56,7 @@ def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_warc_transactions, op3_hilbert_sharding, op4_conv_toxicity, op5_benchmark_decontamination,
+        op1_warc_transactions, op2_license_scan, op3_hilbert_sharding, op4_conv_toxicity, op5_benchmark_decontamination,
         op6_robust_quality, op7_ngram_jaccard_join, op8_soft_mixing,
         op9_entropy_secrets)
 }
