@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from refinery.llm.common import table
 from refinery.llm.decontaminate import contaminated
 from refinery.llm.hilbert_shards import hilbert_shards
+from refinery.llm.html_text import main_text
 from refinery.llm.licenses import scan_licenses
 from refinery.llm.mixing import soft_mixing
 from refinery.llm.ngram_join import ngram_components
@@ -54,11 +55,15 @@ def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op10_boosted_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_transactions, op2_license_scan, op3_hilbert_sharding, op4_conv_toxicity, op5_benchmark_decontamination,
         op6_robust_quality, op7_ngram_jaccard_join, op8_soft_mixing,
-        op9_entropy_secrets)
+        op9_entropy_secrets, op10_boosted_html_text)
 }
 
 ORACLES: dict[str, str] = {}
