@@ -63,8 +63,8 @@ def hilbert_index(axes: list[Column], bits: int = BITS) -> Column:
     return let(F.aggregate(steps, start, undo), number)
 
 
-def _quantised(docs: DataFrame) -> DataFrame:
-    """The input's columns with _size, _crc, curve cell and sub-cell."""
+def _quantised(docs: DataFrame, carried: list[str]) -> DataFrame:
+    """The carried columns as ``row``, with size, checksum, curve cell and sub-cell."""
     top = (1 << BITS) - 1
     ids = docs.agg(F.min(F.col("doc_id").cast("double")).alias("lo"),
                    F.max(F.col("doc_id").cast("double")).alias("hi")).first()
@@ -82,14 +82,14 @@ def _quantised(docs: DataFrame) -> DataFrame:
             F.coalesce(clipped((F.col("doc_id").cast("double") - lo) / step), F.lit(0))]
     h = F.xxhash64(F.col("doc_id").cast("long"), F.crc32(text.cast("binary")), size)
     return docs.select(
-        "*", size.alias("_size"), F.crc32(text.cast("binary")).alias("_crc"),
+        F.struct(*carried).alias("row"), size.alias("_size"), F.crc32(text.cast("binary")).alias("_crc"),
         hilbert_index(axes).alias("_cell"), h.alias("_h"),
         F.shiftrightunsigned(h, 64 - SUBS.bit_length() + 1).cast("int").alias("_sub"))
 
 
-def number_rows(docs: DataFrame) -> tuple[DataFrame, int]:
+def number_rows(docs: DataFrame, carried: list[str]) -> tuple[DataFrame, int]:
     """(rows with their place _rank in curve order from 0, number of rows)."""
-    q = _quantised(docs)
+    q = _quantised(docs, carried)
     counts = stored(q.groupBy("_cell", "_sub").agg(F.count(F.lit(1)).alias("n"))
                     .withColumn("_block", F.shiftright("_cell", 8)), "hilbert-counts")
     blocks = counts.groupBy("_block").agg(F.sum("n").alias("n"))        # at most 256 rows
@@ -100,18 +100,18 @@ def number_rows(docs: DataFrame) -> tuple[DataFrame, int]:
         .join(F.broadcast(blocks), "_block")
         .select("_cell", "_sub", (F.col("_base") + F.col("_within")).alias("_before")))
     order = W.partitionBy("_cell", "_sub").orderBy(
-        "_h", "doc_id", "_crc", "_size", F.col("lang").cast("string"), F.col("source").cast("string"))
+        "_h", "row.doc_id", "_crc", "_size", F.col("row.lang").cast("string"), F.col("row.source").cast("string"))
     ranked = (q.withColumn("_n", F.row_number().over(order)).join(offsets, ["_cell", "_sub"])
               .withColumn("_rank", F.col("_before") + F.col("_n") - 1))
     return ranked, counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
-def shard_columns(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The input rows with _size, _crc, _shard and _slot (and work columns).
+def shard_columns(docs: DataFrame, carried: list[str], shards: int = SHARDS) -> DataFrame:
+    """The carried columns (as ``row``) with _size, _crc, _shard and _slot.
 
     Run s holds the ranks from ceil(s*N/shards) on: run lengths differ by one at most.
     """
-    ranked, n = number_rows(docs)
+    ranked, n = number_rows(docs, carried)
     shard = F.expr(f"(_rank * {shards}) div {max(n, 1)}").cast("int")
     return (ranked.withColumn("_shard", shard)
             .withColumn("_slot", F.col("_rank") - F.expr(f"(_shard * {n}L + {shards - 1}) div {shards}")))
@@ -126,9 +126,8 @@ def hilbert_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     a hash and stay separate rows; an empty table gives no rows; fewer rows than
     shards leave shards empty.
     """
-    cols = docs.select("doc_id", "text", "lang", "source")
-    return shard_columns(cols, shards).select(
-        "doc_id", F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"),
+    return shard_columns(docs, ["doc_id", "lang", "source"], shards).select(
+        "row.doc_id", F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"),
         F.lit("rows").alias("law"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))
 
@@ -136,8 +135,8 @@ def hilbert_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The input's columns with shard and slot (columns of these names are replaced)."""
     kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    return shard_columns(docs.select(*kept), shards).select(
-        *kept, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    return shard_columns(docs, kept, shards).select(
+        *[F.col("row").getField(c).alias(c) for c in kept], F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:

@@ -128,13 +128,12 @@ def posteriors(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def _solve(matrix: list[list[float]], right: list[float]) -> list[float]:
-    """Gauss elimination of a small symmetric system; a domain without mass gets 0."""
+    """Gauss elimination of a small symmetric system, with a small ridge for domains that
+    have no mass or cannot be told apart."""
     n = len(right)
-    m = [row[:] + [b] for row, b in zip(matrix, right)]
-    scale = max((m[i][i] for i in range(n)), default=0.0)
+    ridge = 1e-9 * max((matrix[i][i] for i in range(n)), default=0.0) or 1.0
+    m = [[x + ridge * (i == j) for j, x in enumerate(row)] + [b] for i, (row, b) in enumerate(zip(matrix, right))]
     for i in range(n):
-        if m[i][i] <= 1e-12 * scale:
-            m[i] = [float(i == j) for j in range(n)] + [0.0]
         for k in range(n):
             if k != i:
                 f = m[k][i] / m[i][i]
