@@ -26,8 +26,10 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8             # per width
 PREFIXES = (4, 5, 6)    # bytes; the whole word is always added
 #: Bounds of the training sample: rows per class, and bytes of a training text.
-TOXIC_ROWS, CLEAN_ROWS, TRAIN_BYTES = 3000, 5000, 20_000
+TOXIC_ROWS, CLEAN_ROWS, TRAIN_BYTES = 1500, 2500, 20_000
 EPOCHS = 4
+#: Rows of each class that a language needs in the calibration part for a threshold of its own.
+LEAST_PER_CLASS = 40
 PREDICT_AT = 0.3
 SCORE_SLICE = 1 << 20   # bytes scored at a time
 
@@ -97,13 +99,13 @@ def score(ids: np.ndarray, w: np.ndarray, model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x.astype(np.float64), -50, 50)))
 
 
-def _log_odds(ids, w, y, strength=5.0):
+def _log_odds(ids, w, y, rows, strength=5.0):
     """Shrunk log odds of label 1 given that a slot occurs in the text."""
     n = np.zeros((2, SLOTS))
-    for i in range(len(y)):
+    for i in rows.tolist():
         u = np.unique(ids[w[i]:w[i + 1]])
         n[y[i], u] += 1
-    prior = y.mean()
+    prior = y[rows].mean()
     p = (n[1] + strength * prior) / (n.sum(0) + strength)
     return np.log(p / (1 - p)) - np.log(prior / (1 - prior))
 
@@ -124,7 +126,12 @@ def train(column: pa.Array, labels: np.ndarray, langs: list, seed: int = 7,
         i, w = slot_ids(data, off)
         ids.append(i)
         counts.append(np.diff(w))
-    ids = np.concatenate(ids)
+    joined, ids = ids, np.empty((sum(map(len, ids)), 1 + len(PREFIXES)), np.int32)
+    at = 0
+    while joined:       # freed one by one: the driver has little memory
+        part = joined.pop(0)
+        ids[at:at + len(part)] = part
+        at += len(part)
     w = np.concatenate(([0], np.cumsum(np.concatenate(counts))))
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
@@ -139,8 +146,7 @@ def train(column: pa.Array, labels: np.ndarray, langs: list, seed: int = 7,
         return ids[idx], wo
 
     emb = rng.normal(0, 0.05, (SLOTS, DIM)).astype(np.float32)
-    fit_ids, fit_w = rows_of(fit)
-    emb[:, 0] = _log_odds(fit_ids, fit_w, y[fit]) / 4
+    emb[:, 0] = _log_odds(ids, w, y, fit) / 4
     conv = [rng.normal(0, 0.2, (width, DIM, FILTERS)).astype(np.float32) for width in WIDTHS]
     for c in conv:
         c[:, 0, :] = rng.uniform(0.2, 1.0, (len(c), FILTERS)) / len(c)
@@ -208,7 +214,7 @@ def train(column: pa.Array, labels: np.ndarray, langs: list, seed: int = 7,
     tongue = np.array([str(x) for x in langs])[check]
     for lang in sorted(set(tongue)):
         m = tongue == lang
-        if y[check][m].sum() >= 20 and (1 - y[check][m]).sum() >= 20:
+        if y[check][m].sum() >= LEAST_PER_CLASS and (1 - y[check][m]).sum() >= LEAST_PER_CLASS:
             model.thresholds[lang] = _best_cut(s[m], y[check][m], weight[m])
     return model
 
