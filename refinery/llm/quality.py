@@ -117,8 +117,8 @@ def _quantile(rows: DataFrame, by: list[str], value: str, share: float, name: st
             .groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("k")))
     up = W.partitionBy(*by).orderBy("bin")      # a few hundred bins per group
     ranked = bins.withColumn("upto", F.sum("k").over(up)).withColumn("all", F.sum("k").over(W.partitionBy(*by)))
-    return (ranked.where(F.col("upto") >= share * F.col("all")).groupBy(*by)
-            .agg(F.pow(F.lit(2.0), (F.min("bin") + 1) / 64.0).alias(name)))
+    return stored(ranked.where(F.col("upto") >= share * F.col("all")).groupBy(*by)
+                  .agg(F.pow(F.lit(2.0), (F.min("bin") + 1) / 64.0).alias(name)), "mcd-quantile")
 
 
 def _mcd(rows: DataFrame) -> DataFrame:
@@ -129,7 +129,10 @@ def _mcd(rows: DataFrame) -> DataFrame:
     p, by = len(DIMS), ["g", "s"]
     twice = rows.withColumn("s", F.explode(F.array(F.lit(0), F.lit(1))))
     # start 0: the central share by scaled distance from the medians; start 1: all rows
-    mid = rows.groupBy("g").agg(*[F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"q{i}") for i in range(p)])
+    # (tables per group are stored before they are joined: their known size lets them be
+    # broadcast, so that rows are never dealt out by group)
+    mid = stored(rows.groupBy("g").agg(*[F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"q{i}")
+                                         for i in range(p)]), "mcd-median")
     near = twice.join(mid, "g").withColumn("d2", sum(
         (F.pow(F.col(f"x{i}") - F.col(f"q{i}"), F.lit(2)) / FLOORS[i] for i in range(1, p)), F.lit(0.0)))
     cut = _quantile(near.where("s = 0"), ["g"], "d2", KEEP, "cut")
@@ -140,7 +143,7 @@ def _mcd(rows: DataFrame) -> DataFrame:
         est = stored(_moments(d.join(cut, by), by, F.col("d2") <= F.col("cut")), "mcd-estimate")
     # the smaller determinant wins; a tie goes to the first start
     best = est.groupBy("g").agg(F.min(F.struct("det", "s")).alias("_b"))
-    est = est.join(best, "g").where("s = _b.s").drop("_b", "s")
+    est = stored(est.join(best, "g").where("s = _b.s").drop("_b", "s"), "mcd-best")
     scale = _quantile(_distances(rows, est, ["g"]), ["g"], "d2_given", 0.5, "mid")
     size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("rows"))
     return stored(est.join(scale, "g").join(size, "g")
@@ -170,7 +173,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     rows = stored(rows.withColumn("base_failed", failed), "quality-rows")
     judged = rows.where("not base_failed").select("lang", "source", *[v.alias(f"x{i}") for i, v in enumerate(_vector())])
     # estimates per (language, source), per language and over all rows, in one pass
-    levels = [_group("lang", "source"), _group("lang"), F.lit("all")]
+    levels = [_group("lang", "source"), _group("lang"), F.substring(F.concat(F.lit("all"), "lang"), 1, 3)]
     est = _mcd(stored(judged.select(F.explode(F.array(*levels)).alias("g"),
                                     *[f"x{i}" for i in range(len(DIMS))]), "quality-vectors"))
     values = [f"m{i}" for i in range(len(DIMS))] + [
