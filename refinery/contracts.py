@@ -126,7 +126,8 @@ def missing_columns(df: DataFrame, contract: Contract) -> list[str]:
 def conform(df: DataFrame, contract: Contract, check_nulls: bool = True) -> DataFrame:
     """K11 + P4: project to contract order and types, refusing what does not fit.
 
-    Missing columns fail at once (driver-side, schema only). The NOT NULL rule
+    Missing and undeclared columns fail at once (driver-side, schema only), and a
+    fraction that a whole-number column would cut off fails in the writing task. The NOT NULL rule
     is checked inline: a NULL in a NOT NULL column raises inside the task that
     writes it (``raise_error``), so the check costs no extra pass over the
     data and a failed write leaves no committed version behind.
@@ -134,9 +135,16 @@ def conform(df: DataFrame, contract: Contract, check_nulls: bool = True) -> Data
     missing = missing_columns(df, contract)
     if missing:
         raise ContractError(f"{contract.full_name}: missing columns {missing}")
+    extra = [n for n in df.columns if n not in contract.names]
+    if extra:
+        raise ContractError(f"{contract.full_name}: undeclared columns {extra}")
     out = []
     for c in contract.columns:
         col = F.col(c.name).cast(c.spark_type)
+        if isinstance(df.schema[c.name].dataType, T.FractionalType) and isinstance(c.spark_type, T.IntegralType):
+            msg = f"{contract.full_name}: {c.name} would lose its fraction"
+            col = F.when(F.col(c.name) != F.floor(F.col(c.name)),
+                         F.raise_error(F.lit(msg)).cast(c.spark_type)).otherwise(col)
         if check_nulls and not c.nullable:
             msg = f"{contract.full_name}: NULL in NOT NULL column {c.name}"
             col = F.when(col.isNull(), F.raise_error(F.lit(msg)).cast(c.spark_type)).otherwise(col)

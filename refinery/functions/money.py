@@ -27,9 +27,13 @@ def from_cents(col) -> Column:
 
 
 def half_up_div(num, den) -> Column:
-    """``num / den`` rounded half up, integers only; valid for num >= 0, den > 0."""
-    n, d = _c(num), _c(den)
-    return F.when(d > 0, F.floor((n * 2 + d) / (d * 2)).cast("long"))
+    """``num / den`` rounded half up (ties away from zero), in whole numbers; NULL unless den > 0.
+
+    Exact for every bigint: the doubled numerator is a decimal, never a double.
+    """
+    n, d = _c(num).cast("decimal(20,0)"), _c(den).cast("decimal(20,0)")
+    up = F.call_function("div", F.abs(n) * 2 + d, F.when(d > 0, d * 2))
+    return F.when(n < 0, -up).otherwise(up).cast("long")
 
 
 def mean_cents(sum_cents, count) -> Column:

@@ -3,9 +3,8 @@
 Instead of rebuilding the aggregate from the whole table, the feed says which
 groups changed since the last run; only those groups are recomputed from the
 table and swapped into Gold in one commit. The groups never leave the
-cluster: they stay a DataFrame and reach the recompute as a semi join,
-broadcast when their counted size is under the bound (``joins.py``), else a
-shuffle join that AQE splits when one group is hot.
+cluster: they stay a cached DataFrame of measured size and reach the recompute as a
+semi join, broadcast or shuffled as the planner sees fit (``joins.py``).
 
 Recomputing from the table, not adding deltas, is the primary method because
 a replayed range then converges instead of double counting (A14 is built as a
@@ -23,16 +22,13 @@ from pyspark.sql import functions as F
 
 from refinery.functions.money import cents, from_cents
 from refinery.functions.stamps import now_or
-from refinery.operators.joins import max_rows, rows_at_most
+from refinery.operators.joins import measured
 from refinery.operators.merge import (CHANGE_TYPE, DELETE, INSERT, UPDATE_POST,
                                       UPDATE_PRE)
 
 # The measure columns of the Gold order aggregate contract and
 # the columns of the pointer (control) table.
 AGG_COLUMNS = ["num_pedidos", "unidades", "importe_total"]
-# Up to this many affected groups become an IN filter (partition pruning at
-# the scan); more stay a DataFrame and reach the table as a semi join.
-IN_LIST_MAX = 1000
 CONTROL_DDL = "dataset string, ultima_version long, filas_procesadas long"
 
 
@@ -56,25 +52,16 @@ def distinct_groups(table: DataFrame, group_cols: Sequence[str]) -> DataFrame:
 def aggregate_groups(table: DataFrame, group_cols: Sequence[str], groups: DataFrame | None = None,
                      units: str = "unidades", amount: str = "importe",
                      stamp: dt.datetime | None = None,
-                     stamp_col: str = "_recalculado_at", small: bool = False,
-                     values: list | None = None) -> DataFrame:
+                     stamp_col: str = "_recalculado_at") -> DataFrame:
     """A2: count, units and exact amount per group, for the chosen groups only.
 
     ``groups=None`` means all groups (NULL groups are always left out, H4).
-    ``small=True`` (the caller checked the size of ``groups``) broadcasts the
-    groups, so the table is filtered where it is read and never shuffled by
-    group; otherwise a shuffle join, where AQE splits a hot group's partition.
-    ``values`` (a counted short list of group values) replaces the join by an
-    ``IN`` filter that the scan uses for partition pruning.
+    Cached groups have a known size: when they are broadcast, the table is filtered
+    where it is read and never shuffled by group.
     """
     src = table.where(_not_null(group_cols))
-    if values is not None:
-        # a short, counted list of one group column: an IN filter that prunes
-        # partition folders and row groups at the scan
-        src = src.where(F.col(group_cols[0]).isin(values))
-    elif groups is not None:
-        g = groups.select(*group_cols)
-        src = src.join(F.broadcast(g) if small else g, list(group_cols), "left_semi")
+    if groups is not None:
+        src = src.join(groups.select(*group_cols), list(group_cols), "left_semi")
     return (src.groupBy(*group_cols)
             .agg(F.count(F.lit(1)).alias("num_pedidos"),
                  F.sum(units).cast("long").alias("unidades"),
@@ -184,24 +171,15 @@ def propagate(source, gold, control, dataset: str, group_cols: Sequence[str],
 
     feed = source.read_changes(pointer + 1, current)
     n = source.change_rows(pointer + 1, current)
-    groups = affected_groups(feed, group_cols).persist()
+    groups, n_groups = measured(affected_groups(feed, group_cols))
     try:
-        values = None
-        if len(group_cols) == 1:
-            # one bounded job: at most IN_LIST_MAX + 1 group values reach the driver
-            first = [r[0] for r in groups.limit(IN_LIST_MAX + 1).collect()]
-            if len(first) <= IN_LIST_MAX:
-                values = first
-        n_groups = len(values) if values is not None else rows_at_most(groups, max_rows(groups))
-        small = n_groups <= max_rows(groups)
         emptied = 0
         if n_groups:
-            fresh = aggregate_groups(table, group_cols, groups, units, amount, stamp,
-                                     small=small, values=values).persist()
+            fresh = aggregate_groups(table, group_cols, groups, units, amount, stamp).persist()
             try:
                 emptied = emptied_groups(fresh, groups, group_cols).count()
                 gold.replace_groups(groups, fresh, keys=group_cols,
-                                    operation="RECOMPUTE GROUPS", stamp=stamp, small=small)
+                                    operation="RECOMPUTE GROUPS", stamp=stamp)
             finally:
                 fresh.unpersist()
     finally:

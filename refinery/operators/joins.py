@@ -1,35 +1,20 @@
-"""Size-checked broadcast for the small side of a join.
+"""The small side of a join, measured.
 
 A batch, a key list or a set of groups is usually small next to the table it
-meets, but its size is not known from the plan: a filter over a 100 TB table
-is estimated at 100 TB, so Spark would shuffle the table. Here the small side
-is counted with an early-stopping ``limit(max + 1)``; it is broadcast only
-when it is proven to be at most ``max_rows`` rows. Beyond that bound the join
-is left to the planner (shuffle join, with AQE's skew-join splitting of hot
-partitions).
+meets, but a filter over a 100 TB table is estimated at 100 TB, so Spark would
+shuffle the table. Here the small side is computed and cached once; from then on the
+planner knows its size in bytes and broadcasts it under
+``spark.sql.autoBroadcastJoinThreshold``. A larger one is joined by a shuffle, with
+the runtime splitting skewed partitions. There is one plan for every size, and no bound
+of this library's own.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 2_000_000
-CONF_KEY = "spark.refinery.broadcastMaxRows"
 
-
-def max_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(CONF_KEY, str(DEFAULT_MAX_ROWS)))
-
-
-def rows_at_most(df: DataFrame, bound: int) -> int:
-    """Row count capped at ``bound + 1`` (the scan stops early)."""
-    return df.limit(bound + 1).count()
-
-
-def broadcast_if_small(df: DataFrame, known_rows: int | None = None,
-                       bound: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``bound`` rows, else ``df`` unchanged."""
-    bound = max_rows(df) if bound is None else bound
-    n = known_rows if known_rows is not None else rows_at_most(df, bound)
-    return F.broadcast(df) if n <= bound else df
+def measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` cached, and its number of rows (a plain count, which fills the cache)."""
+    df = df.persist()
+    return df, df.count()

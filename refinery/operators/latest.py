@@ -18,14 +18,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 
-def _orderable(df: DataFrame, name: str) -> bool:
-    return not isinstance(df.schema[name].dataType, (MapType, ArrayType, StructType))
+def _sortable(kind) -> bool:
+    """Spark sorts everything but maps, also inside arrays and structs."""
+    if isinstance(kind, MapType):
+        return False
+    if isinstance(kind, ArrayType):
+        return _sortable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_sortable(f.dataType) for f in kind.fields)
+    return True
+
+
+def order_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    """The columns of the whole order: ``order`` first, then all others that can be sorted."""
+    return list(order) + [c for c in df.columns
+                          if c not in keys and c not in order and _sortable(df.schema[c].dataType)]
 
 
 def total_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list:
     """Descending sort expressions: ``order`` first, then all other columns."""
-    rest = [c for c in df.columns if c not in keys and c not in order and _orderable(df, c)]
-    return [F.col(c).desc_nulls_last() for c in list(order) + rest]
+    return [F.col(c).desc_nulls_last() for c in order_columns(df, keys, order)]
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -2,9 +2,8 @@
 
 The usual case is a small batch against a large table, so every plan keeps
 the table on the streamed side of its join: the batch (or its keys) is the
-build side. ``small=True`` means the caller counted the batch under the
-broadcast bound (``joins.py``) and it is broadcast; otherwise the join is left
-to the planner (a shuffle join, with AQE splitting skewed partitions).
+build side. Callers cache the batch first
+(``joins.measured``), so the planner knows its bytes and picks broadcast or shuffle.
 
 * new table after an upsert:  ``table ANTI JOIN batch.keys  UNION  batch``
 * change rows of an upsert:   ``table SEMI/INNER JOIN batch`` (matched rows,
@@ -22,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions.stamps import now_or
-from refinery.operators.latest import latest_per_key
+from refinery.operators.latest import latest_per_key, order_columns
 
 # The change types of a row-level change feed.
 INSERT = "insert"
@@ -75,27 +74,20 @@ def align(source: DataFrame, columns: Sequence[str]) -> DataFrame:
     return source.select(*columns)
 
 
-def _side(df: DataFrame, small: bool) -> DataFrame:
-    """The build side of a join; broadcast when its size was checked (see joins.py)."""
-    return F.broadcast(df) if small else df
-
-
-def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 small: bool = False) -> DataFrame:
+def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """K4: matched rows replaced by the source row, others inserted, none deleted."""
     src = align(source, target.columns)
-    return target.join(_side(src.select(*keys), small), list(keys), "left_anti").unionByName(src)
+    return target.join(src.select(*keys), list(keys), "left_anti").unionByName(src)
 
 
 def delete_frame(target: DataFrame, keys: Sequence[str] | None = None,
-                 keys_df: DataFrame | None = None, condition: str | Column | None = None,
-                 small: bool = False) -> DataFrame:
+                 keys_df: DataFrame | None = None, condition: str | Column | None = None) -> DataFrame:
     """K5: drop the rows whose key is in ``keys_df``, or where ``condition`` is true.
 
     A NULL condition keeps the row (SQL ``DELETE ... WHERE`` semantics).
     """
     if keys_df is not None:
-        return target.join(_side(keys_df.select(*keys), small), list(keys), "left_anti")
+        return target.join(keys_df.select(*keys), list(keys), "left_anti")
     cond = F.expr(condition) if isinstance(condition, str) else condition
     return target.where(~F.coalesce(cond, F.lit(False)))
 
@@ -109,8 +101,7 @@ def _flatten(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                      F.col(f"c.{CHANGE_TYPE}").alias(CHANGE_TYPE))
 
 
-def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 small: bool = False) -> DataFrame:
+def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored and incoming row of every batch key already in the table (``_old``, ``_new``).
 
     One scan of the table against the (broadcast) batch; at most one row per
@@ -120,11 +111,10 @@ def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
     src = align(source, cols)
     old = target.select(*keys, F.struct(*cols).alias("_old"))
     new = src.select(*keys, F.struct(*cols).alias("_new"))
-    return old.join(_side(new, small), list(keys), "inner")
+    return old.join(new, list(keys), "inner")
 
 
-def upsert_changes(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                   small: bool = False, matched: DataFrame | None = None) -> DataFrame:
+def upsert_changes(target: DataFrame, source: DataFrame, keys: Sequence[str], matched: DataFrame | None = None) -> DataFrame:
     """F1 for an upsert: ``insert`` for new keys, pre/post images for changed rows.
 
     A matched row equal to its source row (null-safe, all columns) is silent.
@@ -135,22 +125,20 @@ def upsert_changes(target: DataFrame, source: DataFrame, keys: Sequence[str],
     src = align(source, cols)
     new = src.select(*keys, F.struct(*cols).alias("_new"))
     if matched is None:
-        matched = matched_rows(target, source, keys, small)
+        matched = matched_rows(target, source, keys)
     updates = (matched.where(~F.col("_old").eqNullSafe(F.col("_new")))
                .select(F.explode(F.array(_typed("_old", UPDATE_PRE),
                                          _typed("_new", UPDATE_POST))).alias("c")))
-    # matched has at most one row per source row, so the source's size check bounds it
-    inserts = (new.join(_side(matched.select(*keys), small), list(keys), "left_anti")
+    inserts = (new.join(matched.select(*keys), list(keys), "left_anti")
                .select(_typed("_new", INSERT).alias("c")))
     return _flatten(updates.unionByName(inserts), cols)
 
 
 def delete_changes(target: DataFrame, keys: Sequence[str] | None = None,
-                   keys_df: DataFrame | None = None, condition: str | Column | None = None,
-                   small: bool = False) -> DataFrame:
+                   keys_df: DataFrame | None = None, condition: str | Column | None = None) -> DataFrame:
     """F1 for a delete: one ``delete`` row per removed row."""
     if keys_df is not None:
-        gone = target.join(_side(keys_df.select(*keys), small), list(keys), "left_semi")
+        gone = target.join(keys_df.select(*keys), list(keys), "left_semi")
     else:
         cond = F.expr(condition) if isinstance(condition, str) else condition
         gone = target.where(F.coalesce(cond, F.lit(False)))
@@ -182,38 +170,55 @@ def diff_changes(old: DataFrame, new: DataFrame, keys: Sequence[str] | None = No
     return _flatten(j.select(F.explode(change).alias("c")), cols)
 
 
-def newer_rows(target: DataFrame, latest: DataFrame, keys: Sequence[str], watermark_col: str,
-               small: bool = False) -> DataFrame:
-    """Rows of ``latest`` (one per key) whose watermark is not older than the stored row's.
+def newer_rows(target: DataFrame, latest: DataFrame, keys: Sequence[str], order: Sequence[str],
+               skip: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``latest`` (one per key) that are not older than the stored row of their key.
 
-    Only the target's keys and watermark are read (column pruning); the batch is
-    the build side. Used by incremental promotion, where an old re-emission
-    arriving late must not overwrite a newer stored row.
+    Rows are compared by the same whole order as in ``latest_per_key``: ``order`` first, then
+    every other column (but for ``skip``, e.g. a promotion stamp), nulls lowest. Only the
+    target's rows of these keys are kept; the batch is the build side.
     """
-    stored = (target.join(_side(latest.select(*keys), small), list(keys), "left_semi")
-              .select(*keys, F.col(watermark_col).alias("_stored_wm")))
+    cols = [c for c in order_columns(latest, keys, order) if c not in skip]
+    stored = (target.join(latest.select(*keys), list(keys), "left_semi")
+              .select(*keys, F.struct(*cols).alias("_stored")))
     return (latest.join(stored, list(keys), "left")
-            .where(F.col("_stored_wm").isNull() | (F.col(watermark_col) >= F.col("_stored_wm")))
-            .drop("_stored_wm"))
+            .where(F.col("_stored").isNull() | (F.struct(*cols) >= F.col("_stored")))
+            .drop("_stored"))
 
 
 def full_merge_frame(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
-                     watermark_col: str, stamp_col: str = "_silver_modified_at",
+                     order: str | Sequence[str], stamp_col: str = "_silver_modified_at",
                      stamp: dt.datetime | None = None, delete_missing: bool = False) -> DataFrame:
     """K6: latest source row per key (W1, total order), stamped, upserted into target.
 
     Target keys absent from the source are kept unless ``delete_missing``
     (then the result is exactly the source's latest rows).
     """
-    latest = latest_per_key(source, keys, [watermark_col]).withColumn(stamp_col, now_or(stamp))
+    order = [order] if isinstance(order, str) else list(order)
+    latest = latest_per_key(source, keys, order).withColumn(stamp_col, now_or(stamp))
     if target is None or delete_missing:
         return latest if target is None else align(latest, target.columns)
     return upsert_frame(target, latest, keys)
 
 
+# The operations of a change record.
+OPERATIONS = ("I", "U", "D")
+
+
+def change_fault(keys: Sequence[str], op_col: str = "op_type") -> Column:
+    """Why a change record cannot be applied, or NULL."""
+    return (F.when(_any_null(keys), "null key").when(F.col(op_col).isNull(), "no operation")
+            .when(~F.upper(F.trim(F.col(op_col))).isin(*OPERATIONS), "unknown operation"))
+
+
+def valid_changes(changes: DataFrame, keys: Sequence[str], op_col: str = "op_type") -> DataFrame:
+    """Change records that can be applied; callers quarantine the others (``change_fault``)."""
+    return changes.where(change_fault(keys, op_col).isNull())
+
+
 def cdc_merge_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                    seq_col: str = "_seq", op_col: str = "op_type",
-                   deleted_col: str = "is_deleted", small: bool = False,
+                   deleted_col: str = "is_deleted",
                    time_col: str | None = None, deleted_at_col: str = "deleted_at") -> DataFrame:
     """K7: the rows a CDC batch writes into a soft-delete table.
 
@@ -229,9 +234,10 @@ def cdc_merge_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     """
     stamped = time_col is not None and deleted_at_col in target.columns
     skip = (seq_col, deleted_col) + ((deleted_at_col,) if stamped else ())
+    changes = valid_changes(changes, keys, op_col)
     data = [c for c in target.columns if c not in skip and c not in keys]
     latest = latest_per_key(changes, keys, [seq_col])
-    stored = (target.join(_side(latest.select(*keys), small), list(keys), "left_semi")
+    stored = (target.join(latest.select(*keys), list(keys), "left_semi")
               .select(*keys, F.struct(*target.columns).alias("_t")))
     j = latest.join(stored, list(keys), "left")
     fresh = j.where(F.col("_t").isNull() | (F.col(seq_col) > F.col(f"_t.{seq_col}")))

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions.money import cents
-from refinery.operators.joins import max_rows, rows_at_most
 
 # The order lifecycle of the change-feed use case. An order only
 # moves forward or is cancelled; delivered and cancelled are final.
@@ -32,30 +31,24 @@ def transitions_frame(spark: SparkSession, transitions: Mapping[str, Sequence[st
 
 
 def previous_state(updates: DataFrame, current: DataFrame, keys: Sequence[str],
-                   state_col: str, small: bool = False) -> DataFrame:
+                   state_col: str) -> DataFrame:
     """Each update with the state its key has now (``from_state``).
 
-    The table is the streamed side; ``small`` (a checked batch size) broadcasts
-    the updates so the table is not shuffled.
+    The table is the streamed side; cached updates of known size are broadcast when
+    they are small, so the table is not shuffled.
     """
     now = current.select(*keys, F.col(state_col).alias("from_state"))
-    upd = F.broadcast(updates) if small else updates
-    return now.join(upd, list(keys), "inner")
+    return now.join(updates, list(keys), "inner")
 
 
 def transition_violations(updates: DataFrame, current: DataFrame, keys: Sequence[str],
-                          state_col: str, transitions: Mapping[str, Sequence[str]],
-                          small: bool | None = None) -> DataFrame:
+                          state_col: str, transitions: Mapping[str, Sequence[str]]) -> DataFrame:
     """Q1: updates whose (state now -> new state) is not an allowed transition.
 
-    The transition table has a fixed size, so it is broadcast. The updates are
-    broadcast too when their counted size is under the bound (``small=None``
-    counts them, early-stopping), so the current table is only streamed.
+    The transition table has a fixed size, so it is broadcast.
     """
-    if small is None:
-        small = rows_at_most(updates, max_rows(updates)) <= max_rows(updates)
     allowed = F.broadcast(transitions_frame(updates.sparkSession, transitions))
-    pairs = (previous_state(updates, current, keys, state_col, small)
+    pairs = (previous_state(updates, current, keys, state_col)
              .select(*keys, "from_state", F.col(state_col).alias("to_state")))
     cond = (pairs["from_state"] == allowed["_from"]) & (pairs["to_state"] == allowed["_to"])
     return pairs.join(allowed, cond, "left_anti")
@@ -75,20 +68,15 @@ def amount_violations(df: DataFrame, keys: Sequence[str], quantity: str, price_c
 
 
 def batch_conflicts(inserts: DataFrame, updates: DataFrame, deletes: DataFrame,
-                    existing: DataFrame, keys: Sequence[str],
-                    small: bool | None = None) -> DataFrame:
+                    existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys both updated and deleted in a batch; inserts that reuse a key.
 
-    The reuse check streams the table's keys (unique) against the insert keys,
-    broadcast when their counted size is under the bound.
+    The reuse check streams the table's keys (unique) against the insert keys.
     """
     k = list(keys)
     both = (updates.select(*k).join(deletes.select(*k), k, "left_semi")
             .withColumn("conflict", F.lit("update_and_delete")))
-    ins = inserts.select(*k)
-    if small is None:
-        small = rows_at_most(ins, max_rows(ins)) <= max_rows(ins)
-    reuse = (existing.select(*k).join(F.broadcast(ins) if small else ins, k, "left_semi")
+    reuse = (existing.select(*k).join(inserts.select(*k), k, "left_semi")
              .withColumn("conflict", F.lit("insert_existing_key")))
     return both.unionByName(reuse)
 

@@ -1,8 +1,8 @@
 """Session defaults and the shared scratch location.
 
 Scratch tables are written below the folder the cluster names in
-``spark.checkpoint.dir``; a local folder is only chosen when none is set
-(tests and single-machine runs).
+``spark.checkpoint.dir``; a local folder is only chosen when none is set and the
+master is local (tests and single-machine runs).
 """
 
 from __future__ import annotations
@@ -42,6 +42,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local[") and master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         local = tempfile.mkdtemp(prefix="refinery-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(local)
