@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions.stamps import now_or
-from refinery.operators.joins import max_rows, rows_at_most
-from refinery.operators.merge import cdc_merge_rows
+from refinery.operators.joins import measured
+from refinery.operators.merge import cdc_merge_rows, change_fault
 from refinery.plans import roles as R
 from refinery.plans.reports import customer_gold
 from refinery.sources.files import CORRUPT, add_ingest_metadata, read_change_files, write_jsonl
-from refinery.sources.tables import PartitionedTable, VersionedTable
+from refinery.sources.tables import PartitionedTable, VersionedTable, log_operation, quarantine
 
 CHANGE_DDL = ("c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
-              "c_mktsegment string, op_type string, _seq long")
+              "c_mktsegment string, op_type string, _seq long, op_time timestamp")
 
 
 @dataclass
@@ -34,6 +34,10 @@ class CustomersCase:
                                        partition_by=["_ingested_date"], append=True)
         self.silver = VersionedTable(self.spark, f"{self.root}/silver/cdc/clientes",
                                      contract=R.SILVER_CUSTOMERS)
+        self.gold_table = VersionedTable(self.spark, f"{self.root}/gold/cdc/clientes_segmento",
+                                         contract=R.GOLD_CUSTOMERS)
+        self.quarantine = f"{self.root}/quarantine/cdc"
+        self.ops_log = f"{self.root}/ops_log"
 
     def land(self, changes: DataFrame, name: str) -> str:
         path = f"{self.landing}/{name}"
@@ -43,24 +47,54 @@ class CustomersCase:
     def ingest_bronze(self, path: str, ingested_at: dt.datetime) -> DataFrame:
         """One landing batch of change files (S9) to Bronze (P1, K1); returns the batch."""
         raw = read_change_files(self.spark, path, CHANGE_DDL)
-        batch = add_ingest_metadata(raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
-                                    ingested_at, ingested_at.date())
-        self.bronze.write(batch)
+        fault = F.when(F.col(CORRUPT).isNotNull(), "corrupt record").otherwise(change_fault(R.CUSTOMER_KEYS))
+        rows = raw.withColumn("_fault", fault).withColumn("_source_file", F.col("_metadata.file_path")).persist()
+        try:
+            bad = rows.where("_fault IS NOT NULL")
+            record = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*[c for c in raw.columns if c != CORRUPT])))
+            n_bad = quarantine(bad, self.quarantine, "ingest_changes", F.col("_fault"), record,
+                               F.col("_source_file"), ingested_at)
+            good = rows.where("_fault IS NULL").drop(CORRUPT, "_fault")
+            self.bronze.write(add_ingest_metadata(good, ingested_at, ingested_at.date()))
+            log_operation(self.spark, self.ops_log, path, "ingest_changes", self.bronze.path, "ok",
+                          rows.count(), f"rejected={n_bad}", ingested_at)
+        finally:
+            rows.unpersist()
         return (self.bronze.read()
                 .where(F.col("_ingested_date") == F.lit(ingested_at.date()))   # partition pruning
                 .where(F.col("_ingested_at") == now_or(ingested_at)))
 
     def merge_silver(self, changes: DataFrame, stamp: dt.datetime | None = None) -> int:
         """Apply a change batch with soft deletes."""
-        if not self.silver.exists():
-            empty = self.spark.createDataFrame([], R.SILVER_CUSTOMERS.schema)
-            rows = cdc_merge_rows(empty, changes, R.CUSTOMER_KEYS)
-            return self.silver.overwrite(rows, "CDC MERGE", stamp)
-        small = rows_at_most(changes, max_rows(changes)) <= max_rows(changes)
-        rows = cdc_merge_rows(self.silver.read(), changes, R.CUSTOMER_KEYS, small=small)
-        return self.silver.upsert(rows, R.CUSTOMER_KEYS, "CDC MERGE", stamp)
+        changes, n = measured(changes)
+        try:
+            if not self.silver.exists():
+                empty = self.spark.createDataFrame([], R.SILVER_CUSTOMERS.schema)
+                rows = cdc_merge_rows(empty, changes, R.CUSTOMER_KEYS, time_col="op_time")
+                v = self.silver.overwrite(rows, "CDC MERGE", stamp)
+            else:
+                rows = cdc_merge_rows(self.silver.read(), changes, R.CUSTOMER_KEYS, time_col="op_time")
+                v = self.silver.upsert(rows, R.CUSTOMER_KEYS, "CDC MERGE", stamp)
+        finally:
+            changes.unpersist()
+        log_operation(self.spark, self.ops_log, "", "promote_silver", self.silver.path, "ok", n, "", stamp)
+        return v
+
+    def promote_silver(self, since: dt.date | None = None, stamp: dt.datetime | None = None) -> int:
+        """C2 as a job: the change log ingested since a day (all of it by default) into Silver.
+        Replaying changes is harmless: only newer sequences count."""
+        changes = self.bronze.read()
+        if since is not None:
+            changes = changes.where(F.col("_ingested_date") >= F.lit(since))    # partition pruning
+        return self.merge_silver(changes, stamp)
 
     def gold(self) -> DataFrame:
         """C3."""
         return customer_gold(self.silver.read())
 
+    def build_gold(self, stamp: dt.datetime | None = None) -> int:
+        """C3 as a table."""
+        v = self.gold_table.overwrite(self.gold(), "OVERWRITE", stamp)
+        log_operation(self.spark, self.ops_log, "", "build_gold", self.gold_table.path, "ok", None, "", stamp)
+        return v
+

@@ -43,16 +43,17 @@ class OrdersCase:
         return self.source.overwrite(with_stamp(rows, "_updated_at", stamp), "CREATE", stamp)
 
     def apply_batch(self, batch: dict[str, DataFrame], stamp: dt.datetime | None = None,
-                    single_commit: bool = False) -> list[int]:
+                    single_commit: bool = True) -> list[int]:
         """K8: inserts (upsert, so a repeated batch does not duplicate keys), updates
-        (upsert), deletes (by key frame); three commits in this order. Empty parts
-        are skipped. ``single_commit`` applies the batch as one version (one
-        rewrite of the table instead of three)."""
+        (upsert), deletes (by key frame), as one version: one rewrite of the table. An
+        update of a key that is also inserted wins, a delete wins over both.
+        ``single_commit=False`` makes three versions in this order; empty parts are
+        skipped."""
         if single_commit:
             parts = [batch[p] for p in ("inserts", "updates") if batch.get(p) is not None]
-            ups = None
-            for p in parts:
-                ups = p if ups is None else ups.unionByName(p)
+            ups = parts[-1] if parts else None
+            if len(parts) == 2:     # updates win over inserts of the same key
+                ups = ups.unionByName(parts[0].join(ups.select(*self.source.keys), self.source.keys, "left_anti"))
             before = self.source.known_version()
             v = self.source.apply(with_stamp(ups, "_updated_at", stamp) if ups is not None else None,
                                   batch.get("deletes"), stamp=stamp)
@@ -105,7 +106,7 @@ def run_standard(spark: SparkSession, root: str, orders: DataFrame, propagate: b
     case, rows = seeded_case(spark, root, orders)
     if propagate:
         case.propagate(stamp=stamp_at(1))
-    case.apply_batch(R.valid_batch(case.source.read(0).drop("_updated_at")), stamp_at(2))
+    case.apply_batch(R.valid_batch(case.source.read(0).drop("_updated_at")), stamp_at(2), single_commit=False)
     if propagate:
         case.propagate(stamp=stamp_at(3))
     return case

@@ -1,7 +1,9 @@
 """The batch sales pipeline: landing JSON -> Bronze -> Silver -> Gold.
 
-Ingestion specs play the role of ingestion contracts: each names a source,
-a destination contract and a strategy, and carries an ``enabled`` switch.
+Ingestion specs play the role of ingestion contracts: each names a source, a
+destination contract with a table of its own, and a strategy, and carries an
+``enabled`` switch. Rejected rows (corrupt landing lines, unparseable dates) go to
+quarantine tables with their reason and are counted in the operations log.
 ``ingest_bronze`` and ``promote_silver`` run every enabled spec, collect the
 names that failed and raise if any did (after trying all of them).
 """
@@ -10,18 +12,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 import datetime as dt
+from pathlib import Path
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.contracts import Contract
-from refinery.operators.joins import max_rows, rows_at_most
+from refinery.operators.joins import measured
 from refinery.operators.merge import full_merge_frame, newer_rows
 from refinery.plans import roles as R
 from refinery.plans.gold import compute_kpis
 from refinery.sources.files import CORRUPT, add_ingest_metadata, read_jsonl, write_jsonl
-from refinery.sources.tables import PartitionedTable, VersionedTable, log_operation
+from refinery.functions.dates import as_date
+from refinery.sources.tables import (PartitionedTable, VersionedTable, log_operation,
+                                     quarantine)
 
 
 @dataclass
@@ -33,7 +38,7 @@ class IngestionSpec:
     enabled: bool = True
     options: dict = field(default_factory=dict)
     merge_keys: tuple[str, ...] = ()
-    watermark_col: str | None = None
+    order: tuple[str, ...] = ()       # the version that wins, greatest first
     delete_missing: bool = False      # full merge: drop target keys the source lacks
 
 
@@ -58,10 +63,37 @@ class SalesPipeline:
         self.gold = VersionedTable(self.spark, f"{self.root}/gold/batch/ventas_kpis",
                                    contract=R.GOLD_KPIS)
         self.ops_log = f"{self.root}/ops_log"
+        self.quarantine = f"{self.root}/quarantine"
+        # tables of the specs, by their contract's name
+        self.tables = {R.BRONZE_SALES.full_name: self.bronze, R.SILVER_SALES.full_name: self.silver}
         self.bronze_specs = [IngestionSpec("ventas", self.landing, R.LANDING_SALES, R.BRONZE_SALES)]
         self.silver_specs = [IngestionSpec("ventas", self.bronze.path, R.BRONZE_SALES,
                                            R.SILVER_SALES, merge_keys=tuple(R.SALES_KEYS),
-                                           watermark_col=R.SALES_WATERMARK)]
+                                           order=R.SALES_ORDER)]
+
+    def bronze_table(self, contract: Contract) -> PartitionedTable:
+        """The Bronze table of a contract, one folder each."""
+        if contract.full_name not in self.tables:
+            path = f"{self.root}/bronze/{contract.schema_name}/{contract.name}"
+            self.tables[contract.full_name] = PartitionedTable(self.spark, path, contract=contract)
+        return self.tables[contract.full_name]
+
+    def silver_table(self, contract: Contract) -> VersionedTable:
+        if contract.full_name not in self.tables:
+            path = f"{self.root}/silver/{contract.schema_name}/{contract.name}"
+            self.tables[contract.full_name] = VersionedTable(self.spark, path, contract=contract)
+        return self.tables[contract.full_name]
+
+    def load_contracts(self, folder: str, config: dict | None = None) -> dict[str, Contract]:
+        """Table contracts of a folder (``*.json``), with ``{section.key}`` filled from config."""
+        found = [Contract.load(p, config) for p in sorted(Path(folder).glob("*.json"))]
+        return {c.full_name: c for c in found}
+
+    def add_bronze_spec(self, name: str, source_path: str, source: Contract, destination: Contract,
+                        **options) -> IngestionSpec:
+        spec = IngestionSpec(name, source_path, source, destination, **options)
+        self.bronze_specs.append(spec)
+        return spec
 
     # A producer drops JSON Lines files in landing
     def land(self, rows: DataFrame, sub: str = "part") -> None:
@@ -82,18 +114,22 @@ class SalesPipeline:
             try:
                 raw = read_jsonl(self.spark, spec.source_path, spec.source_contract.schema,
                                  options=spec.options)
-                obs = Observation()
-                good = (raw.observe(obs, F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"),
-                                    F.count(F.lit(1)).alias("rows"))
-                        .where(F.col(CORRUPT).isNull()).drop(CORRUPT))
-                (table or self.bronze).write(add_ingest_metadata(good, ingested_at, ingested_date))
-                got = obs.get
-                self._log("ingest_bronze", spec.destination.full_name, "ok", got["rows"],
-                          f"corrupt={got['corrupt']}", ingested_at)
+                rows = raw.withColumn("_source_file", F.col("_metadata.file_path")).persist()
+                try:
+                    bad = rows.where(F.col(CORRUPT).isNotNull())
+                    n_bad = quarantine(bad, f"{self.quarantine}/landing", f"ingest_bronze {spec.name}",
+                                       F.lit("corrupt line"), F.col(CORRUPT), F.col("_source_file"), ingested_at)
+                    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+                    (table or self.bronze_table(spec.destination)).write(
+                        add_ingest_metadata(good, ingested_at, ingested_date))
+                    self._log("ingest_bronze", spec.destination.full_name, "ok", rows.count(),
+                              f"rejected={n_bad}", ingested_at)
+                finally:
+                    rows.unpersist()
             except Exception as exc:  # noqa: BLE001 - collected and re-raised below
                 failed.append(spec.name)
                 self._log("ingest_bronze", spec.destination.full_name, "failed", None,
-                          str(exc)[:500], ingested_at)
+                          str(exc), ingested_at)
         if failed and raise_on_failure:
             raise PipelineFailed(failed)
         return failed
@@ -105,49 +141,72 @@ class SalesPipeline:
 
         ``ingested_since`` makes the promotion incremental: only the Bronze
         partitions ingested since that day are read (partition pruning), and a
-        stored row is replaced only by a row with a watermark at least as new.
+        stored row is replaced only by a row that is not older in the spec's order.
         """
         failed = []
         for spec in self.silver_specs:
             if not spec.enabled:
                 continue
             try:
-                bronze = self.bronze.read()
-                target = self.silver.read() if self.silver.exists() else None
+                bronze = self.bronze_table(spec.source_contract).read()
+                silver = self.silver_table(spec.destination)
+                target = silver.read() if silver.exists() else None
                 if ingested_since is not None and target is not None:
                     bronze = bronze.where(F.col("_ingested_date") >= F.lit(ingested_since))
-                    latest = full_merge_frame(None, bronze, spec.merge_keys, spec.watermark_col,
-                                              stamp=stamp).persist()
+                    latest = full_merge_frame(None, bronze, spec.merge_keys, spec.order, stamp=stamp)
+                    latest, n = measured(latest)
                     try:
-                        n = rows_at_most(latest, max_rows(latest))
-                        fresh = newer_rows(target, latest, spec.merge_keys, spec.watermark_col,
-                                           small=n <= max_rows(latest))
-                        self.silver.upsert(fresh, spec.merge_keys, "INCREMENTAL MERGE", stamp,
-                                           check_keys=False, skip_empty=True)
+                        fresh = newer_rows(target, latest, spec.merge_keys, spec.order,
+                                           skip=("_silver_modified_at",))
+                        silver.upsert(fresh, spec.merge_keys, "INCREMENTAL MERGE", stamp,
+                                      check_keys=False, skip_empty=True)
                     finally:
                         latest.unpersist()
-                elif target is None or spec.delete_missing:
-                    merged = full_merge_frame(None, bronze, spec.merge_keys, spec.watermark_col,
-                                              stamp=stamp)
-                    self.silver.overwrite(merged, "FULL MERGE", stamp)
                 else:
-                    latest = full_merge_frame(None, bronze, spec.merge_keys, spec.watermark_col,
-                                              stamp=stamp)
-                    self.silver.upsert(latest, spec.merge_keys, "FULL MERGE", stamp)
+                    latest = full_merge_frame(None, bronze, spec.merge_keys, spec.order, stamp=stamp)
+                    if target is None or spec.delete_missing:
+                        silver.overwrite(latest, "FULL MERGE", stamp)
+                    else:
+                        silver.upsert(latest, spec.merge_keys, "FULL MERGE", stamp)
                 self._log("promote_silver", spec.destination.full_name, "ok", None, "", stamp)
             except Exception as exc:  # noqa: BLE001
                 failed.append(spec.name)
                 self._log("promote_silver", spec.destination.full_name, "failed", None,
-                          str(exc)[:500], stamp)
+                          str(exc), stamp)
         if failed and raise_on_failure:
             raise PipelineFailed(failed)
         return failed
 
-    def build_gold(self, stamp: dt.datetime | None = None) -> int:
-        """Silver -> Gold KPIs, a full overwrite (re-running does not duplicate)."""
-        kpis = compute_kpis(self.silver.read(), stamp=stamp, **R.SALES_ROLE)
-        # rows whose date text does not parse have no day; the contract check counts them
-        return self.gold.overwrite(kpis.where(F.col("fecha").isNotNull()), "OVERWRITE", stamp)
+    def build_gold(self, stamp: dt.datetime | None = None, dates: DataFrame | None = None) -> int:
+        """Silver -> Gold KPIs (re-running does not duplicate).
+
+        Without ``dates`` the whole table is recomputed; with a frame of touched dates
+        (column ``fecha``) only their groups are recomputed and replaced. Sales whose
+        date text does not parse have no day: they are kept in the quarantine table
+        ``quarantine/gold``, rewritten with each full build, and counted in the log.
+        """
+        silver = self.silver.read()
+        day = as_date(silver, R.SALES_ROLE["date"])
+        if dates is not None and self.gold.exists():
+            dates, _ = measured(dates.select("fecha").where("fecha IS NOT NULL").distinct())
+            try:
+                touched = (silver.withColumn("fecha", day).join(dates, "fecha", "left_semi").drop("fecha"))
+                kpis = compute_kpis(touched, stamp=stamp, **R.SALES_ROLE)
+                v = self.gold.replace_groups(dates, kpis, keys=["fecha"], operation="RECOMPUTE DATES", stamp=stamp)
+            finally:
+                dates.unpersist()
+            self._log("build_gold", R.GOLD_KPIS.full_name, "ok", None, "touched dates", stamp)
+            return v
+        bad = silver.where(day.isNull())
+        path = f"{self.quarantine}/gold/{self.run_id}-{uuid.uuid4().hex[:6]}"
+        n_bad = quarantine(bad, path, "build_gold",
+                           F.when(F.col(R.SALES_ROLE["date"]).isNull(), "no date").otherwise("unparseable date"),
+                           F.to_json(F.struct(*silver.columns)), F.col("_source_file"), stamp)
+        self.rejected_sales = path
+        kpis = compute_kpis(silver.where(day.isNotNull()), stamp=stamp, **R.SALES_ROLE)
+        v = self.gold.overwrite(kpis, "OVERWRITE", stamp)
+        self._log("build_gold", R.GOLD_KPIS.full_name, "ok", None, f"rejected={n_bad}", stamp)
+        return v
 
     def register_views(self) -> list[str]:
         """Expose the three layers to ``spark.sql`` under their contract names."""

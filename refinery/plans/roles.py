@@ -29,7 +29,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SALES_KEYS = ["l_orderkey", "l_linenumber"]
 SALES_ROLE = dict(date="l_shipdate", category="l_returnflag", channel="l_linestatus",
                   quantity="l_quantity", amount="l_extendedprice")
-SALES_WATERMARK = "l_shipdate"
+# the version ingested last wins; within one ingestion the latest ship date, then all columns
+SALES_ORDER = ("_ingested_at", "l_shipdate")
 
 _LANDING_COLS = [
     ("l_orderkey", "LONG", False), ("l_partkey", "LONG", True), ("l_suppkey", "LONG", True),
@@ -86,7 +87,7 @@ ORDER_TRANSITIONS = {"O": ["P"], "P": ["F"], "F": []}
 DELETE_MOD, DELETE_REM = 17, 3
 UPDATE_MOD, UPDATE_REM = 10, 0
 INSERT_MOD, INSERT_REM = 23, 1
-INSERT_KEY_OFFSET = 10_000_000
+# new keys are negative (-1 - key), so they cannot exist at any scale
 
 SILVER_ORDERS = Contract.from_dict({
     "name": "pedidos", "schema": "cdf", "catalog": "silver", "keys": ORDER_KEYS,
@@ -124,7 +125,7 @@ def proposed_batch(rows: DataFrame) -> dict[str, DataFrame]:
     """The raw change batch, before the quality gate (Q1, Q3)."""
     k = F.col("o_orderkey")
     inserts = (rows.where(k % INSERT_MOD == INSERT_REM)
-               .withColumn("o_orderkey", k + INSERT_KEY_OFFSET)
+               .withColumn("o_orderkey", -k - 1)
                .withColumn(ORDER_GROUP, F.lit("O")))
     updates = rows.where(k % UPDATE_MOD == UPDATE_REM).withColumn(ORDER_GROUP, _advance(ORDER_GROUP))
     deletes = rows.where(k % DELETE_MOD == DELETE_REM).select(*ORDER_KEYS)
@@ -150,13 +151,18 @@ CDC_UPDATE = (3, 1)
 CDC_DELETE = (5, 2)
 CDC_REVIVE = (7, 2)
 CDC_BALANCE_STEP = 100.0
+CDC_EPOCH = 1_704_067_200         # 2024-01-01 00:00:00 UTC
 
 SILVER_CUSTOMERS = Contract.from_dict({
     "name": "clientes", "schema": "cdc", "catalog": "silver", "keys": CUSTOMER_KEYS,
     "columns": _cols([("c_custkey", "LONG", False), ("c_name", "STRING", True),
                       ("c_nationkey", "INTEGER", True), ("c_acctbal", "DOUBLE", True),
                       ("c_mktsegment", "STRING", True), ("_seq", "LONG", True),
-                      ("is_deleted", "BOOLEAN", True)])})
+                      ("is_deleted", "BOOLEAN", True), ("deleted_at", "TIMESTAMP", True)])})
+GOLD_CUSTOMERS = Contract.from_dict({
+    "name": "clientes_segmento", "schema": "cdc", "catalog": "gold", "keys": ["c_mktsegment"],
+    "columns": _cols([("c_mktsegment", "STRING", True), ("active_customers", "LONG", True),
+                      ("deleted_customers", "LONG", True), ("active_balance", "DOUBLE", True)])})
 
 
 def customer_changes(customer: DataFrame) -> DataFrame:
@@ -175,4 +181,17 @@ def customer_changes(customer: DataFrame) -> DataFrame:
             .withColumn("op_type", F.lit("D")).withColumn("_seq", F.lit(3).cast("long")))
     rev = (base.where(k % CDC_REVIVE[0] == CDC_REVIVE[1])
            .withColumn("op_type", F.lit("I")).withColumn("_seq", F.lit(4).cast("long")))
-    return ins.unionByName(upd).unionByName(dele).unionByName(rev)
+    every = ins.unionByName(upd).unionByName(dele).unionByName(rev)
+    # the operation's time: one hour per sequence number
+    return every.withColumn("op_time", F.timestamp_seconds(F.lit(CDC_EPOCH) + F.col("_seq") * 3600))
+
+
+def planted_changes(customer: DataFrame) -> DataFrame:
+    """Change records that must be refused: an unknown operation, none, and a null key,
+    all with a sequence that would win if they were applied."""
+    k = F.col("c_custkey")
+    base = customer_changes(customer).where("_seq = 1").withColumn("_seq", F.lit(9).cast("long"))
+    return (base.where(k % 13 == 0).withColumn("op_type", F.lit("X"))
+            .unionByName(base.where(k % 19 == 0).withColumn("op_type", F.lit(None).cast("string")))
+            .unionByName(base.where(k % 23 == 0).withColumn("op_type", F.lit("D"))
+                         .withColumn("c_custkey", F.lit(None).cast("long"))))

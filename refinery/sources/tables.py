@@ -29,7 +29,7 @@ from pyspark.sql.utils import AnalysisException
 from refinery.contracts import Contract, conform
 from refinery.functions.stamps import now_or
 from refinery.operators import merge as M
-from refinery.operators.joins import max_rows, rows_at_most
+from refinery.operators.joins import measured
 
 COMMIT_DDL = ("version long, committed_at timestamp, operation string, "
               "num_rows long, num_changes long")
@@ -55,8 +55,7 @@ class VersionedTable:
         # reads filtered on them prune folders at the scan
         self.partition_by = list(partition_by or (contract.partitions if contract else ()))
         self.change_feed = change_feed or bool(contract and contract.change_data_feed)
-        # newest version this object knows of (one writer per table); a stale
-        # writer is stopped by the "errorifexists" write of the commit row
+        # newest version this object knows of (one writer per table)
         self._version: int | None = None
         self._version_read = False
 
@@ -104,80 +103,40 @@ class VersionedTable:
     def read_changes(self, starting_version: int, ending_version: int | None = None) -> DataFrame:
         """Change rows of versions start..end, both inclusive.
 
-        The filter on the partition column prunes the folders outside the range.
+        Only the folders of the range are listed. A version that is not committed, or
+        whose change rows are gone, is an error, never a shorter result.
         """
         if not self.change_feed:
             raise TableError(f"{self.path}: change feed is not enabled")
         if starting_version < 1:
             raise TableError("the change feed starts at version 1 (version 0 is the creation)")
+        current = self.current_version()
+        if current is None:
+            raise TableError(f"{self.path}: table does not exist")
         if ending_version is None:
-            # open range: up to the newest *committed* version, never the
-            # folder of a version whose job died before its commit row
-            ending_version = self.current_version()
-            if ending_version is None:
-                raise TableError(f"{self.path}: table does not exist")
-        cond = (F.col(COMMIT_VERSION) >= starting_version) & (F.col(COMMIT_VERSION) <= ending_version)
-        return self.spark.read.parquet(f"{self.path}/changes").where(cond)
+            ending_version = current
+        if ending_version > current:
+            raise TableError(f"{self.path}: version {ending_version} is not committed")
+        if starting_version > ending_version:
+            raise TableError(f"{self.path}: no versions from {starting_version} to {ending_version}")
+        folders = [f"{self.path}/changes/{COMMIT_VERSION}={v}"
+                   for v in range(starting_version, ending_version + 1)]
+        try:
+            return self.spark.read.option("basePath", f"{self.path}/changes").parquet(*folders)
+        except AnalysisException as exc:
+            raise TableError(f"{self.path}: change rows of versions {starting_version} to "
+                             f"{ending_version} are not all there") from exc
 
     def feed_complete(self, starting_version: int, ending_version: int) -> bool:
-        """every version of the range still has its change folder.
-
-        Checked on the file listing (``inputFiles``), not on rows: a version
-        whose change set is empty still has its (empty) file.
-        """
-        if starting_version < 1:
-            return False
+        """every version of the range still has its change rows (an empty change
+        set still has its file)."""
+        if starting_version > ending_version:
+            return starting_version >= 1
         try:
-            files = self.spark.read.parquet(f"{self.path}/changes").inputFiles()
-        except AnalysisException:
+            self.read_changes(starting_version, ending_version)
+        except TableError:
             return False
-        marker = f"/{COMMIT_VERSION}="
-        have = set()
-        for f in files:
-            if marker in f:
-                v = f.split(marker, 1)[1].split("/", 1)[0]
-                if v.isdigit():
-                    have.add(int(v))
-        return all(v in have for v in range(starting_version, ending_version + 1))
-
-    # ---- retention ------------------------------------------------------
-    def vacuum(self, keep_versions: int = 10, keep_changes: int | None = None) -> dict:
-        """Delete the snapshot folders of all but the newest ``keep_versions``
-        versions and, with ``keep_changes``, the change folders older than that
-        many versions (F7: a pointer behind the kept feed triggers a rebuild).
-
-        Commit rows stay as history; reading a removed version fails. Files are
-        removed through the Hadoop FileSystem client of the session, so the
-        shared storage of a cluster works like a local folder.
-        """
-        if keep_versions < 1:
-            raise ValueError("keep at least the current version")
-        cur = self.current_version()
-        if cur is None:
-            return {"snapshots": [], "changes": []}
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-
-        def remove(folder: str, marker: str, below: int) -> list[int]:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            fs = path.getFileSystem(conf)
-            if not fs.exists(path):
-                return []
-            gone = []
-            for st in fs.listStatus(path):
-                name = st.getPath().getName()
-                if st.isDirectory() and name.startswith(marker) and name[len(marker):].isdigit():
-                    v = int(name[len(marker):])
-                    if v < below and fs.delete(st.getPath(), True):
-                        gone.append(v)
-            return sorted(gone)
-
-        out = {"snapshots": remove(f"{self.path}/snapshot", "_v=", cur - keep_versions + 1),
-               "changes": []}
-        if keep_changes is not None:
-            out["changes"] = remove(f"{self.path}/changes", f"{COMMIT_VERSION}=",
-                                    cur - keep_changes + 1)
-        return out
+        return True
 
     # ---- SQL ------------------------------------------------------------
     def create_view(self, name: str, version: int | None = None) -> str:
@@ -212,8 +171,7 @@ class VersionedTable:
                check_keys: bool = True, skip_empty: bool = False) -> int:
         """K4: matched rows updated, the rest inserted; duplicate/NULL keys refused.
 
-        The batch is persisted once; its size decides whether it is broadcast
-        into the joins with the table (see ``joins.py``).
+        The batch is cached once, so its size is known to the joins (see ``joins.py``).
         """
         keys = list(keys or self.keys)
         v = self._next_version()
@@ -224,18 +182,14 @@ class VersionedTable:
         source = self._conform(source).persist()
         matched = None
         try:
-            if check_keys:
-                n = M.require_unique_keys(source, keys)
-            else:
-                n = rows_at_most(source, max_rows(source))
+            n = M.require_unique_keys(source, keys) if check_keys else source.count()
             if n == 0 and skip_empty:
                 return v - 1            # nothing to merge: no new version
-            small = n <= max_rows(source)
             old = self.read(v - 1)
-            new = M.upsert_frame(old, source, keys, small)
+            new = M.upsert_frame(old, source, keys)
             if self.change_feed:    # batch-sized; computed once for both feed branches
-                matched = M.matched_rows(old, source, keys, small).persist()
-            changes = ((lambda _new: M.upsert_changes(old, source, keys, small, matched))
+                matched = M.matched_rows(old, source, keys).persist()
+            changes = ((lambda _new: M.upsert_changes(old, source, keys, matched))
                        if self.change_feed else None)
             return self._commit(v, new, changes, operation, stamp)
         finally:
@@ -252,17 +206,14 @@ class VersionedTable:
         if v == 0:
             raise TableError(f"{self.path}: table does not exist")
         old = self.read(v - 1)
-        small = False
         if keys_df is not None:
-            keys_df = keys_df.select(*keys).persist()
-            n = rows_at_most(keys_df, max_rows(keys_df))
+            keys_df, n = measured(keys_df.select(*keys))
             if n == 0 and skip_empty:
                 keys_df.unpersist()
                 return v - 1            # nothing to delete: no new version
-            small = n <= max_rows(keys_df)
         try:
-            new = M.delete_frame(old, keys, keys_df, condition, small)
-            changes = ((lambda _new: M.delete_changes(old, keys, keys_df, condition, small))
+            new = M.delete_frame(old, keys, keys_df, condition)
+            changes = ((lambda _new: M.delete_changes(old, keys, keys_df, condition))
                        if self.change_feed else None)
             return self._commit(v, new, changes, operation, stamp)
         finally:
@@ -288,20 +239,17 @@ class VersionedTable:
                 else ups.select(*keys).limit(0)).persist()
         matched = None
         try:
-            n_ups = M.require_unique_keys(ups, keys)
-            n_dels = rows_at_most(dels, max_rows(dels))
-            if n_ups == 0 and n_dels == 0:
+            if M.require_unique_keys(ups, keys) + dels.count() == 0:
                 return v - 1
-            bound = max_rows(ups)
-            small = n_ups <= bound and n_dels <= bound
-            kept_ups = ups.join(F.broadcast(dels) if small else dels, keys, "left_anti")
+            kept_ups = ups.join(dels, keys, "left_anti")
             old = self.read(v - 1)
             touched = ups.select(*keys).unionByName(dels)
-            new = M.upsert_frame(M.delete_frame(old, keys, touched, small=small), kept_ups, keys)
+            # the touched keys leave the table once; the kept upserts are among them
+            new = M.delete_frame(old, keys, touched).unionByName(M.align(kept_ups, old.columns))
             if self.change_feed:    # batch-sized; computed once for both feed branches
-                matched = M.matched_rows(old, kept_ups, keys, small).persist()
-            changes = ((lambda _new: M.upsert_changes(old, kept_ups, keys, small, matched)
-                        .unionByName(M.delete_changes(old, keys, dels, small=small)))
+                matched = M.matched_rows(old, kept_ups, keys).persist()
+            changes = ((lambda _new: M.upsert_changes(old, kept_ups, keys, matched)
+                        .unionByName(M.delete_changes(old, keys, dels)))
                        if self.change_feed else None)
             return self._commit(v, new, changes, operation, stamp)
         finally:
@@ -311,12 +259,8 @@ class VersionedTable:
                 matched.unpersist()
 
     def replace_groups(self, groups: DataFrame, rows: DataFrame, keys: Sequence[str] | None = None,
-                       operation: str = "REPLACE GROUPS", stamp: dt.datetime | None = None,
-                       small: bool = False) -> int:
-        """Upsert ``rows`` and delete the ``groups`` keys that ``rows`` lacks, in one commit.
-
-        ``small``: the caller checked that ``groups`` may be broadcast.
-        """
+                       operation: str = "REPLACE GROUPS", stamp: dt.datetime | None = None) -> int:
+        """Upsert ``rows`` and delete the ``groups`` keys that ``rows`` lacks, in one commit."""
         keys = list(keys or self.keys)
         v = self._next_version()
         rows = self._conform(rows)
@@ -324,7 +268,6 @@ class VersionedTable:
             return self._commit(v, rows, None, operation, stamp)
         old = self.read(v - 1)
         g = groups.select(*keys)
-        g = F.broadcast(g) if small else g
         new = old.join(g, keys, "left_anti").unionByName(rows.select(old.columns))
         changes = ((lambda new_: M.diff_changes(old.join(g, keys, "left_semi"),
                                                 new_().join(g, keys, "left_semi"), keys))
@@ -342,20 +285,8 @@ class VersionedTable:
     def _conform(self, df: DataFrame) -> DataFrame:
         return conform(df, self.contract) if self.contract else df
 
-    def _committed(self, v: int) -> bool:
-        """Does version ``v`` have a commit row? (a listing on the driver, no job)"""
-        try:
-            return bool(self.spark.read.schema(COMMIT_DDL)
-                        .parquet(f"{self.path}/commits/_v={v}").inputFiles())
-        except AnalysisException:
-            return False
-
     def _commit(self, v: int, new: DataFrame, changes, operation: str,
                 stamp: dt.datetime | None) -> int:
-        if self._committed(v):
-            # another writer got there first: never touch a committed version
-            self._version_read = False
-            raise TableError(f"{self.path}: version {v} is already committed")
         ts = stamp or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         num_rows = _write_counted(new, self._snapshot(v), self.partition_by)
         num_changes = 0
@@ -377,6 +308,8 @@ def _write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     half-written folder.
     """
     obs = Observation()
+    if partition_by:    # even files per partition folder, hot partitions split
+        df = df.hint("rebalance", *partition_by)
     # static: the whole folder is replaced, whatever the session's overwrite mode;
     # a partition left by a dead attempt must not survive into the version
     w = (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
@@ -416,6 +349,20 @@ class PartitionedTable:
         return self.spark.read.parquet(self.path)
 
 
+QUARANTINE_DDL = "step string, reason string, raw string, source_file string"
+
+
+def quarantine(rows: DataFrame, path: str, step: str, reason, raw, source_file=None,
+               stamp: dt.datetime | None = None) -> int:
+    """Append rejected rows (their reason, raw text and file) to a quarantine table; returns how many."""
+    obs = Observation()
+    out = rows.select(F.lit(step).alias("step"), reason.alias("reason"), raw.cast("string").alias("raw"),
+                      (F.lit(None).cast("string") if source_file is None else source_file).alias("source_file"))
+    (out.withColumn("quarantined_at", now_or(stamp)).observe(obs, F.count(F.lit(1)).alias("n"))
+     .write.mode("append").parquet(path))
+    return int(obs.get["n"])
+
+
 OPS_DDL = ("run_id string, step string, target string, status string, "
            "rows long, message string, logged_at timestamp")
 

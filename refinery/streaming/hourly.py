@@ -1,14 +1,13 @@
-"""T4: hourly tumbling metrics per event type, with a 10-minute watermark.
+"""T4: hourly tumbling metrics per event type.
 
-Update mode: each micro-batch emits the groups whose running totals changed,
-and ``foreachBatch`` upserts them into a versioned Gold table, so Gold always
-holds the final value of every window, including the one still open (append
-mode would hold it back until the watermark passes). The watermark lets Spark
-drop the state of windows that can no longer change, so the state stays
-bounded by the number of open windows, not by the history.
+Each micro-batch is appended to an hourly event log, and the hours that it touches are
+recomputed from the log and replaced in Gold. An event that arrives late, by any time, is
+counted in its hour: nothing falls behind a watermark, and no state is kept between
+runs. ``hourly_aggregate`` also runs as a stateful stream with a 10-minute watermark, for
+consumers that want final windows only.
 
-Timestamps of the test data are ``timestamp_ntz``; the watermark needs a
-``timestamp``, so event time is cast (session time zone UTC).
+Timestamps of the test data are ``timestamp_ntz``; a watermark needs a ``timestamp``, so
+event time is cast (session time zone UTC).
 """
 
 from __future__ import annotations
@@ -20,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refinery.functions.money import cents, from_cents, mean_cents
+from refinery.operators.joins import measured
+from refinery.sources.files import CORRUPT
 from refinery.sources.tables import VersionedTable
 from refinery.streaming.ingest import stream_source
 
@@ -46,21 +47,55 @@ def finish(agg: DataFrame) -> DataFrame:
                       mean_cents("value_cents", "n").alias("value_avg"))
 
 
+def _hour(ts: str = "ts"):
+    return F.date_trunc("hour", F.col(ts).cast("timestamp"))
+
+
 def run_hourly(spark: SparkSession, landing: str, schema: T.StructType | str,
-               gold: VersionedTable, checkpoint: str, stamp: dt.datetime | None = None) -> None:
-    """Drain pending landing files through the windowed aggregate into ``gold``."""
-    agg = hourly_aggregate(stream_source(spark, landing, schema))
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = finish(batch)
-        if gold.exists():
-            gold.upsert(rows, HOURLY_KEYS, f"STREAM BATCH {batch_id}", stamp)
-        else:
-            gold.overwrite(rows, f"STREAM BATCH {batch_id}", stamp)
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(upsert)
+               gold: VersionedTable, checkpoint: str, stamp: dt.datetime | None = None) -> dict:
+    """Drain pending landing files into ``gold``; returns rows read, late, rejected.
+
+    A row is late if its hour was in Gold before its micro-batch. Malformed lines and
+    events without a time are rejected into ``<gold>/../events_rejected``; the log and
+    the rejected rows are written per micro-batch, so a replayed batch replaces its own.
+    """
+    log, rejected = f"{gold.path}_events", f"{gold.path}_rejected"
+    counts = {"rows": 0, "late": 0, "rejected": 0}
+
+    def replace_hours(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            good = F.col(CORRUPT).isNull() & F.col("ts").isNotNull()
+            bad = batch.where(~good)
+            bad.write.mode("overwrite").parquet(f"{rejected}/_batch={batch_id}")
+            events = (batch.where(good).drop(CORRUPT).withColumn("_hour", _hour())
+                      .withColumn("_day", F.to_date("_hour")))
+            (events.hint("rebalance", "_day").write.mode("overwrite").partitionBy("_day")
+             .parquet(f"{log}/_batch={batch_id}"))
+            per_hour, _ = measured(events.groupBy("_hour", "_day").agg(F.count(F.lit(1)).alias("n")))
+            days = [r[0] for r in per_hour.select("_day").distinct().collect()]     # days of one batch
+            hours = per_hour.select("_hour")
+            counts["rows"] += batch.count()
+            counts["rejected"] += bad.count()
+            known = gold.exists()
+            if known:
+                counts["late"] += per_hour.join(gold.read().select(F.col("window_start").alias("_hour")).distinct(),
+                                                "_hour", "left_semi").agg(F.sum("n")).first()[0] or 0
+            whole = (spark.read.parquet(log).where(F.col("_day").isin(days))        # prunes day folders
+                     .join(hours, "_hour", "left_semi"))
+            rows = finish(hourly_aggregate(whole))
+            if known:
+                gold.upsert(rows, HOURLY_KEYS, f"STREAM BATCH {batch_id}", stamp, skip_empty=True)
+            else:
+                gold.overwrite(rows, f"STREAM BATCH {batch_id}", stamp)
+            per_hour.unpersist()
+        finally:
+            batch.unpersist()
+
+    q = (stream_source(spark, landing, schema).writeStream.foreachBatch(replace_hours)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
+    return counts

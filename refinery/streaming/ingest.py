@@ -17,17 +17,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refinery.functions.stamps import now_or
-from refinery.operators.joins import max_rows, rows_at_most
+from refinery.operators.joins import measured
 from refinery.operators.latest import latest_per_key
 from refinery.operators.merge import newer_rows
-from refinery.sources.files import TIME_OPTIONS, add_ingest_metadata
-from refinery.sources.tables import VersionedTable
+from refinery.sources.files import CORRUPT, TIME_OPTIONS, add_ingest_metadata, with_corrupt_column
+from refinery.sources.tables import QUARANTINE_DDL, VersionedTable
 
 
 def stream_source(spark: SparkSession, landing: str, schema: T.StructType | str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """New JSON Lines files under ``landing`` as a stream."""
-    reader = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    """New JSON Lines files under ``landing`` as a stream; malformed lines keep their
+    text in ``_corrupt_record``."""
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    reader = (spark.readStream.schema(with_corrupt_column(schema))
+              .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", "true")
               .option("multiLine", "false").options(**TIME_OPTIONS))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -37,14 +41,26 @@ def stream_source(spark: SparkSession, landing: str, schema: T.StructType | str,
 def ingest_available(spark: SparkSession, landing: str, schema: T.StructType | str,
                      bronze_path: str, checkpoint: str,
                      ingested_at: dt.datetime | None = None) -> int:
-    """T1 + T2: drain pending landing files into Bronze; returns the rows written."""
+    """T1 + T2: drain pending landing files into Bronze; returns the rows written.
+
+    Malformed lines go to ``<bronze_path>_rejected``, per micro-batch like Bronze.
+    """
     written = {"rows": 0}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         obs = Observation()
-        out = add_ingest_metadata(batch, ingested_at).observe(obs, F.count(F.lit(1)).alias("n"))
-        out.write.mode("overwrite").parquet(f"{bronze_path}/_batch={batch_id}")
-        written["rows"] += int(obs.get["n"])
+        batch = batch.persist()
+        try:
+            bad = batch.where(F.col(CORRUPT).isNotNull()).select(
+                F.lit("stream ingest").alias("step"), F.lit("corrupt line").alias("reason"),
+                F.col(CORRUPT).alias("raw"), F.col("_source_file").alias("source_file"))
+            bad.write.mode("overwrite").parquet(f"{bronze_path}_rejected/_batch={batch_id}")
+            good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            out = add_ingest_metadata(good, ingested_at).observe(obs, F.count(F.lit(1)).alias("n"))
+            out.write.mode("overwrite").parquet(f"{bronze_path}/_batch={batch_id}")
+            written["rows"] += int(obs.get["n"])
+        finally:
+            batch.unpersist()
 
     q = (stream_source(spark, landing, schema).writeStream
          .foreachBatch(write_batch)
@@ -64,6 +80,11 @@ def read_bronze(spark: SparkSession, bronze_path: str, after_batch: int | None =
     return df.drop("_batch")
 
 
+def read_rejected(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """Malformed lines of a stream's landing files."""
+    return spark.read.schema(QUARANTINE_DDL + ", _batch int").parquet(f"{bronze_path}_rejected").drop("_batch")
+
+
 def last_batch(spark: SparkSession, bronze_path: str) -> int | None:
     """Highest micro-batch id written to Bronze (a partition-column max)."""
     return spark.read.parquet(bronze_path).agg(F.max("_batch")).first()[0]
@@ -75,18 +96,24 @@ def promote(spark: SparkSession, bronze_path: str, silver: VersionedTable, keys:
     """Bronze -> Silver after a stream run: latest row per key, merged (K6).
 
     ``after_batch`` promotes only the micro-batches written after that id, and
-    a stored row is replaced only by a row at least as new by ``order_col``.
+    a stored row is replaced only by a row that is not older (``order_col``, then all
+    columns). Rows with a null key cannot be merged: they go to ``<bronze_path>_unkeyed``,
+    replaced with each promotion of the same range.
     """
-    latest = latest_per_key(read_bronze(spark, bronze_path, after_batch), keys, [order_col])
+    rows = read_bronze(spark, bronze_path, after_batch)
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    rows.where(~keyed).write.mode("overwrite").parquet(f"{bronze_path}_unkeyed/_after={after_batch}")
+    latest = latest_per_key(rows.where(keyed), keys, [order_col])
     latest = latest.withColumn("_silver_modified_at", now_or(stamp))
     if not silver.exists():
         return silver.overwrite(latest, "STREAM MERGE", stamp)
     if after_batch is None:
         return silver.upsert(latest, keys, "STREAM MERGE", stamp)
-    latest = latest.persist()
+    latest, _ = measured(latest)
     try:
-        n = rows_at_most(latest, max_rows(latest))
-        fresh = newer_rows(silver.read(), latest, keys, order_col, small=n <= max_rows(latest))
+        fresh = newer_rows(silver.read(), latest, keys, [order_col], skip=("_silver_modified_at",))
         return silver.upsert(fresh, keys, "STREAM MERGE", stamp, check_keys=False, skip_empty=True)
     finally:
         latest.unpersist()
