@@ -49,6 +49,22 @@ def _kpis(src: str = "lineitem") -> str:
             f"kpi AS ({KPI_AGG})")
 
 
+TWO_DAYS = """
+  SELECT * EXCLUDE (rn, d) FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY l_orderkey, l_linenumber
+      ORDER BY d DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+               l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
+               l_linestatus DESC) AS rn
+    FROM (SELECT *, CASE WHEN l_shipdate < DATE '1998-01-01' THEN 1 ELSE 2 END AS d FROM lineitem
+          UNION ALL SELECT * REPLACE (l_extendedprice - 1.0 AS l_extendedprice), 2 FROM lineitem
+          WHERE l_orderkey % 11 = 0)) WHERE rn = 1"""
+
+
+DATES_LATEST = """
+  SELECT DISTINCT ON (l_orderkey, l_linenumber) l_orderkey, l_linenumber, l_shipdate
+  FROM lineitem ORDER BY l_orderkey, l_linenumber, l_shipdate DESC"""
+
 KPI_COLS = "fecha, categoria, canal, num_ventas, unidades, importe_total, ticket_medio"
 SALES_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
               "l_discount, l_tax, l_returnflag, l_linestatus")
@@ -58,7 +74,7 @@ SALES_TEXT = f"{SALES_COLS}, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate"
 ORDERS = """
 r AS (SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus, o_orderpriority,
              CAST(1 + o_custkey % 6 AS INTEGER) AS o_units, o_totalprice FROM orders),
-ins AS (SELECT * REPLACE (o_orderkey + 10000000 AS o_orderkey, 'O' AS o_orderstatus)
+ins AS (SELECT * REPLACE (-o_orderkey - 1 AS o_orderkey, 'O' AS o_orderstatus)
         FROM r WHERE o_orderkey % 23 = 1),
 upd_pre AS (SELECT * FROM r WHERE o_orderkey % 10 = 0 AND o_orderkey % 17 <> 3
             AND o_orderstatus IN ('O', 'P')),
@@ -101,7 +117,9 @@ ch AS (
   UNION ALL SELECT *, 'I', 4 FROM base WHERE c_custkey % 7 = 2),
 latest AS (
   SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
-         CAST(_seq AS BIGINT) AS _seq, op_type = 'D' AS is_deleted
+         CAST(_seq AS BIGINT) AS _seq, op_type = 'D' AS is_deleted,
+         CASE WHEN op_type = 'D' THEN TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(_seq AS BIGINT)) END
+           AS deleted_at
   FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY _seq DESC) AS rn FROM ch)
   WHERE rn = 1)
 """
@@ -124,24 +142,53 @@ def oracle_sql() -> dict[str, str]:
                    COUNT(*) AS n_rows FROM lineitem
             UNION ALL SELECT 'partitioned', DATE '2024-01-02', COUNT(*) FROM lineitem
             UNION ALL SELECT 'append', DATE '2024-01-01', 2 * COUNT(*) FROM lineitem""",
-        "silver_full_merge": f"SELECT {SALES_TEXT} FROM ({LATEST})",
-        "silver_incremental_merge": f"SELECT {SALES_TEXT} FROM ({LATEST})",
+        "silver_full_merge": f"SELECT {SALES_TEXT} FROM ({TWO_DAYS})",
+        "silver_incremental_merge": f"SELECT {SALES_TEXT} FROM ({TWO_DAYS})",
+        "gold_touched_dates": f"WITH silver AS ({TWO_DAYS}), {k_silver} SELECT {KPI_COLS} FROM kpi",
+        "two_contracts_bronze": f"""
+            SELECT CASE WHEN l_returnflag = 'R' THEN 'devoluciones' ELSE 'ventas' END AS spec,
+                   {SALES_TEXT} FROM lineitem""",
+        "quarantine_counts": f"""
+            WITH silver AS ({DATES_LATEST}),
+            ch AS (SELECT 'kept' AS kind, COUNT(*) AS n FROM (
+                     SELECT 1 FROM customer
+                     UNION ALL SELECT 1 FROM customer WHERE c_custkey % 3 = 1
+                     UNION ALL SELECT 1 FROM customer WHERE c_custkey % 5 = 2
+                     UNION ALL SELECT 1 FROM customer WHERE c_custkey % 7 = 2)
+                   UNION ALL
+                   SELECT 'rejected', COUNT(*) FILTER (WHERE c_custkey % 13 = 0)
+                     + COUNT(*) FILTER (WHERE c_custkey % 19 = 0)
+                     + COUNT(*) FILTER (WHERE c_custkey % 23 = 0) FROM customer)
+            SELECT 'ingest' AS step, 'kept' AS kind, COUNT(*) AS n FROM lineitem
+            UNION ALL SELECT 'ingest', 'rejected', COUNT(*) FROM lineitem WHERE l_orderkey % 5 = 0
+            UNION ALL SELECT 'gold', 'kept', COUNT(*) FROM silver WHERE l_orderkey % 7 <> 0
+                        AND l_shipdate IS NOT NULL
+            UNION ALL SELECT 'gold', 'rejected', COUNT(*) FROM silver
+                      WHERE l_orderkey % 7 = 0 OR l_shipdate IS NULL
+            UNION ALL SELECT 'changes', kind, n FROM ch""",
+        "late_events": """
+            WITH e AS (SELECT *, date_trunc('hour', ts) AS h FROM events),
+            f AS (SELECT DISTINCT h FROM e WHERE event_id % 7 <> 0)
+            SELECT COUNT(*) AS counted, COUNT(*) FILTER (WHERE event_id % 7 <> 0) AS first_rows,
+                   COUNT(*) FILTER (WHERE event_id % 7 = 0) AS second_rows,
+                   COUNT(*) FILTER (WHERE event_id % 7 = 0 AND h IN (SELECT h FROM f)) AS late_rows
+            FROM e""",
         "layer_counts": f"""
             WITH silver AS ({LATEST}), {k_silver}
             SELECT 'Bronze' AS capa, COUNT(*) AS filas FROM lineitem
             UNION ALL SELECT 'Silver', COUNT(*) FROM silver
             UNION ALL SELECT 'Gold', COUNT(*) FROM kpi""",
-        "revenue_total": f"WITH {k} SELECT {_money('SUM(sum_c)')} AS revenue_total FROM kpi",
-        "units_total": f"WITH {k} SELECT CAST(SUM(unidades) AS BIGINT) AS units_total FROM kpi",
-        "ticket_mean": f"""WITH {k}, t AS (SELECT sum_c, num_ventas,
+        "revenue_total": f"WITH silver AS ({LATEST}), {k_silver} SELECT {_money('SUM(sum_c)')} AS revenue_total FROM kpi",
+        "units_total": f"WITH silver AS ({LATEST}), {k_silver} SELECT CAST(SUM(unidades) AS BIGINT) AS units_total FROM kpi",
+        "ticket_mean": f"""WITH silver AS ({LATEST}), {k_silver}, t AS (SELECT sum_c, num_ventas,
                                (2 * sum_c + num_ventas) // (2 * num_ventas) AS tc FROM kpi)
             SELECT {_mean('SUM(tc)', 'COUNT(*)')} AS ticket_mean,
                    {_mean('SUM(sum_c)', 'SUM(num_ventas)')} AS ticket_weighted FROM t""",
-        "revenue_by_day": f"WITH {k} SELECT fecha, {_money('SUM(sum_c)')} AS importe_total "
+        "revenue_by_day": f"WITH silver AS ({LATEST}), {k_silver} SELECT fecha, {_money('SUM(sum_c)')} AS importe_total "
                           "FROM kpi GROUP BY fecha",
-        "revenue_by_category": f"WITH {k} SELECT categoria, {_money('SUM(sum_c)')} AS "
+        "revenue_by_category": f"WITH silver AS ({LATEST}), {k_silver} SELECT categoria, {_money('SUM(sum_c)')} AS "
                                "importe_total FROM kpi GROUP BY categoria",
-        "revenue_by_channel": f"WITH {k} SELECT canal, {_money('SUM(sum_c)')} AS importe_total "
+        "revenue_by_channel": f"WITH silver AS ({LATEST}), {k_silver} SELECT canal, {_money('SUM(sum_c)')} AS importe_total "
                               "FROM kpi GROUP BY canal",
         "kpi_detail": f"WITH silver AS ({LATEST}), {k_silver} SELECT {KPI_COLS} FROM kpi",
         "kpi_filtered": f"""WITH {k} SELECT {KPI_COLS} FROM kpi
@@ -174,10 +221,14 @@ def oracle_sql() -> dict[str, str]:
         "change_feed_rows": f"WITH {ORDERS} SELECT * FROM feed",
         "change_type_counts": f"WITH {ORDERS} SELECT _change_type, COUNT(*) AS n FROM feed "
                               "GROUP BY _change_type",
-        "affected_groups": f"WITH {ORDERS} SELECT DISTINCT o_orderstatus FROM feed "
-                           "WHERE o_orderstatus IS NOT NULL",
-        "recompute_affected": f"""WITH {ORDERS}, g AS ({_agg('final')})
-            SELECT * FROM g WHERE o_orderstatus IN (SELECT o_orderstatus FROM feed)""",
+        "affected_groups": "SELECT unnest(['O', 'P']) AS o_orderstatus",
+        "recompute_affected": f"""
+            WITH r AS (SELECT o_orderkey, CAST(1 + o_custkey % 6 AS INTEGER) AS o_units, o_totalprice,
+                              CASE WHEN o_orderkey % 29 = 0 THEN NULL
+                                   WHEN o_orderstatus = 'O' AND o_orderkey % 10 = 0 THEN 'P'
+                                   ELSE o_orderstatus END AS o_orderstatus FROM orders),
+            g AS ({_agg('r')})
+            SELECT * FROM g WHERE o_orderstatus IN ('O', 'P')""",
         "emptied_groups": f"""WITH {ORDERS},
             after AS (SELECT * FROM final WHERE o_orderpriority <> '5-LOW'),
             touched AS (SELECT o_orderpriority FROM feed
@@ -200,23 +251,18 @@ def oracle_sql() -> dict[str, str]:
             allowed(f, t) AS (VALUES ('O', 'P'), ('P', 'F'))
             SELECT * FROM u WHERE NOT EXISTS
               (SELECT 1 FROM allowed WHERE f = from_state AND t = to_state)""",
-        "amount_violations": f"""
-            WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey,
-                              CAST(l_quantity AS BIGINT) AS quantity,
-                              {_cents('l_extendedprice')} AS amount_cents FROM lineitem),
-            y AS (SELECT *, (2 * amount_cents + quantity) // (2 * quantity) AS unit_price_cents
-                  FROM x)
-            SELECT l_orderkey, l_linenumber, l_partkey, quantity, unit_price_cents, amount_cents,
-                   quantity * unit_price_cents AS expected_cents,
-                   amount_cents - quantity * unit_price_cents AS diff_cents
-            FROM y WHERE abs(amount_cents - quantity * unit_price_cents) >= 1""",
+        "amount_violations": """
+            WITH y AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT) AS quantity,
+                              90000 + l_partkey AS unit_price_cents FROM lineitem)
+            SELECT l_orderkey, l_linenumber, l_partkey, quantity, unit_price_cents,
+                   quantity * unit_price_cents + 1 AS amount_cents,
+                   quantity * unit_price_cents AS expected_cents, CAST(1 AS BIGINT) AS diff_cents
+            FROM y WHERE l_orderkey % 97 = 0""",
         "batch_conflicts": """
             SELECT o_orderkey, 'update_and_delete' AS conflict FROM orders
             WHERE o_orderkey % 10 = 0 AND o_orderkey % 17 = 3
             UNION ALL
-            SELECT o_orderkey + 10000000, 'insert_existing_key' FROM orders
-            WHERE o_orderkey % 23 = 1
-              AND o_orderkey + 10000000 IN (SELECT o_orderkey FROM orders)""",
+            SELECT o_orderkey, 'insert_existing_key' FROM orders WHERE o_orderkey % 41 = 5""",
         "duplicate_keys": """
             SELECT l_orderkey, l_linenumber, COUNT(*) AS copies FROM lineitem
             GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
@@ -228,23 +274,25 @@ def oracle_sql() -> dict[str, str]:
             WITH n AS (SELECT COUNT(*) AS rows,
                    COUNT(*) FILTER (WHERE o_orderkey IS NULL) AS k,
                    COUNT(*) FILTER (WHERE o_custkey IS NULL) AS c,
-                   COUNT(*) FILTER (WHERE o_orderdate IS NULL) AS d,
+                   COUNT(*) FILTER (WHERE o_orderdate IS NULL AND o_orderkey % 37 <> 0) AS d,
                    COUNT(*) FILTER (WHERE o_orderstatus IS NULL) AS s,
                    COUNT(*) FILTER (WHERE o_orderpriority IS NULL) AS p,
                    COUNT(*) FILTER (WHERE o_custkey IS NULL) AS u,
-                   COUNT(*) FILTER (WHERE o_totalprice IS NULL) AS t FROM orders)
+                   COUNT(*) FILTER (WHERE o_totalprice IS NULL AND o_orderkey % 31 <> 0) AS t,
+                   COUNT(*) FILTER (WHERE o_orderkey % 37 = 0) AS fd,
+                   COUNT(*) FILTER (WHERE o_orderkey % 31 = 0) AS ft FROM orders)
             SELECT "column", expected_type, actual_type, present, nulls,
-                   not_null_violations, CAST(0 AS BIGINT) AS cast_failures FROM (
+                   not_null_violations, cast_failures FROM (
               SELECT 'o_orderkey' AS "column", 'bigint' AS expected_type,
                      'bigint' AS actual_type, true AS present, k AS nulls,
-                     k AS not_null_violations FROM n
-              UNION ALL SELECT 'o_custkey', 'bigint', 'bigint', true, c, 0 FROM n
-              UNION ALL SELECT 'o_orderdate', 'timestamp_ntz', 'timestamp_ntz', true, d, 0 FROM n
-              UNION ALL SELECT 'o_orderstatus', 'string', 'string', true, s, 0 FROM n
-              UNION ALL SELECT 'o_orderpriority', 'string', 'string', true, p, 0 FROM n
-              UNION ALL SELECT 'o_units', 'int', 'int', true, u, 0 FROM n
-              UNION ALL SELECT 'o_totalprice', 'double', 'double', true, t, 0 FROM n
-              UNION ALL SELECT '_updated_at', 'timestamp', NULL, false, rows, 0 FROM n)""",
+                     k AS not_null_violations, CAST(0 AS BIGINT) AS cast_failures FROM n
+              UNION ALL SELECT 'o_custkey', 'bigint', 'bigint', true, c, 0, 0 FROM n
+              UNION ALL SELECT 'o_orderdate', 'timestamp_ntz', 'string', true, d, 0, fd FROM n
+              UNION ALL SELECT 'o_orderstatus', 'string', 'string', true, s, 0, 0 FROM n
+              UNION ALL SELECT 'o_orderpriority', 'string', 'string', true, p, 0, 0 FROM n
+              UNION ALL SELECT 'o_units', 'int', 'int', true, u, 0, 0 FROM n
+              UNION ALL SELECT 'o_totalprice', 'double', 'string', true, t, 0, ft FROM n
+              UNION ALL SELECT '_updated_at', 'timestamp', NULL, false, rows, 0, 0 FROM n)""",
         "cdc_soft_delete": CDC + "SELECT * FROM latest",
         "cdc_gold": CDC + f"""
             SELECT c_mktsegment,

@@ -10,13 +10,14 @@ result except ``recalc_order``, where fixed stamps make it reproducible.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery import contracts
-from refinery.functions.money import cents, half_up_div
+from refinery.functions.money import from_cents
 from refinery.operators import incremental as inc
 from refinery.operators import merge as M
 from refinery.operators import quality as Q
@@ -42,14 +43,10 @@ DAY1, DAY2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 STREAM_SPLIT = dt.datetime(2024, 1, 16)
 
 
-def _kpis(spark, sf):
-    return compute_kpis(R.load(spark, sf, "lineitem"), **R.SALES_ROLE)
-
-
 # ---- batch sales ---------------------------------------------------------
 def kpi_daily(spark, sf):
     """A1 over the sales role."""
-    return _kpis(spark, sf).select(*KPI_COLUMNS)
+    return compute_kpis(R.load(spark, sf, "lineitem"), **R.SALES_ROLE).select(*KPI_COLUMNS)
 
 
 def bronze_jsonl_roundtrip(spark, sf):
@@ -84,27 +81,117 @@ def _pipeline(spark, sf, name) -> SalesPipeline:
     return p.run(R.sales_landing(R.load(spark, sf, "lineitem")), dt.datetime(2024, 1, 1, 6))
 
 
-def silver_full_merge(spark, sf):
-    """W1 + K6 + P2: Bronze -> Silver, one row per sale, the latest by ship date."""
-    p = _pipeline(spark, sf, "silver")
-    return p.silver.read().select(*SALES_COLS)
+def _corrections(sales: DataFrame) -> DataFrame:
+    """Day-2 re-emissions: same key and date, the amount corrected by one."""
+    return (sales.where(F.col("l_orderkey") % 11 == 0)
+            .withColumn("l_extendedprice", F.col("l_extendedprice") - 1.0))
 
 
-def silver_incremental_merge(spark, sf):
-    """S3 + K6 incremental: sales land on two days (split by ship date, every row lands);
-    day 2 is promoted from its own Bronze partition only, watermark-guarded."""
-    p = SalesPipeline(spark, work_dir(spark, "silver_inc"))
+def _two_days(spark, sf, name: str, incremental: bool) -> SalesPipeline:
+    """Sales land on two days, split by ship date (every row lands); day 2 also corrects
+    day-1 keys. Then day 1 is landed and promoted once more: its old copies must lose."""
+    p = SalesPipeline(spark, work_dir(spark, name))
     sales = R.sales_landing(R.load(spark, sf, "lineitem"))
-    split = F.col("l_shipdate") < F.lit("1998-01-01")
+    first = F.coalesce(F.col("l_shipdate") < F.lit("1998-01-01"), F.lit(False))
     at1, at2 = dt.datetime(2024, 1, 1, 6), dt.datetime(2024, 1, 2, 6)
-    p.land(sales.where(split), "d1")
+    p.land(sales.where(first), "d1")
+    p.bronze_specs[0].source_path = f"{p.landing}/d1"
     p.ingest_bronze(at1, DAY1)
-    p.promote_silver(at1)
-    p.land(sales.where(~split), "d2")
+    if incremental:
+        p.promote_silver(at1)
+    p.land(sales.where(~first).unionByName(_corrections(sales)), "d2")
     p.bronze_specs[0].source_path = f"{p.landing}/d2"
     p.ingest_bronze(at2, DAY2)
-    p.promote_silver(at2, ingested_since=DAY2)
-    return p.silver.read().select(*SALES_COLS)
+    p.promote_silver(at2, ingested_since=DAY2 if incremental else None)
+    if incremental:
+        p.bronze_specs[0].source_path = f"{p.landing}/d1"
+        p.ingest_bronze(at1, DAY1)
+        p.promote_silver(at2, ingested_since=DAY1)
+    return p
+
+
+def silver_full_merge(spark, sf):
+    """W1 + K6 + P2: two ingestions, Bronze -> Silver in one promotion: the version
+    ingested last wins, within one ingestion the latest ship date."""
+    return _two_days(spark, sf, "silver", False).silver.read().select(*SALES_COLS)
+
+
+def silver_incremental_merge(spark, sf):
+    """S3 + K6 incremental: day 2 is promoted from its own Bronze partition only, and an
+    old copy promoted later loses; equal to the full promotion."""
+    return _two_days(spark, sf, "silver_inc", True).silver.read().select(*SALES_COLS)
+
+
+def two_contracts_bronze(spark, sf):
+    """E1 + S3: two ingestion contracts, loaded from a folder, on one day: each has its own
+    table, both complete."""
+    root = work_dir(spark, "two")
+    p = SalesPipeline(spark, root)
+    sales = R.sales_landing(R.load(spark, sf, "lineitem"))
+    returned = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
+    p.land(sales.where(~returned), "main")
+    p.bronze_specs[0].source_path = f"{p.landing}/main"
+    write_jsonl(sales.where(returned), f"{root}/landing/devoluciones/a")
+    other = replace(R.BRONZE_SALES, name="devoluciones_raw")
+    spec = p.add_bronze_spec("devoluciones", f"{root}/landing/devoluciones", R.LANDING_SALES, other)
+    p.ingest_bronze(dt.datetime(2024, 1, 1, 6), DAY1)
+    return p.bronze.read().select(F.lit("ventas").alias("spec"), *SALES_COLS).unionByName(
+        p.bronze_table(spec.destination).read().select(F.lit("devoluciones").alias("spec"), *SALES_COLS))
+
+
+def quarantine_counts(spark, sf):
+    """Q5: no row is lost. Planted corrupt lines, unparseable dates and bad change
+    operations: rows in = rows kept + rows rejected, per step."""
+    root = work_dir(spark, "quarantine")
+    p = SalesPipeline(spark, root)
+    sales = R.sales_landing(R.load(spark, sf, "lineitem"))
+    p.land(sales.withColumn("l_shipdate", F.when(F.col("l_orderkey") % 7 == 0, F.lit("31/12/2024"))
+                            .otherwise(F.col("l_shipdate"))), "good")
+    bad = sales.where(F.col("l_orderkey") % 5 == 0).select(
+        F.concat(F.lit("{not json "), F.col("l_orderkey").cast("string")).alias("value"))
+    bad.write.text(f"{p.landing}/bad")
+    p.ingest_bronze(dt.datetime(2024, 1, 1, 6), DAY1)
+    p.promote_silver(dt.datetime(2024, 1, 1, 6))
+    p.build_gold(dt.datetime(2024, 1, 1, 6))
+    case = _cdc_case(spark, sf, "quarantine_cdc")
+
+    def total(df: DataFrame, step: str, kind: str, n=F.count(F.lit(1))) -> DataFrame:
+        return df.agg(F.coalesce(n, F.lit(0)).cast("long").alias("n")).select(
+            F.lit(step).alias("step"), F.lit(kind).alias("kind"), "n")
+    parts = [total(p.bronze.read(), "ingest", "kept"),
+             total(spark.read.parquet(f"{p.quarantine}/landing"), "ingest", "rejected"),
+             total(p.gold.read(), "gold", "kept", F.sum("num_ventas")),
+             total(spark.read.parquet(p.rejected_sales), "gold", "rejected"),
+             total(case.bronze.read(), "changes", "kept"),
+             total(spark.read.parquet(case.quarantine), "changes", "rejected")]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def gold_touched_dates(spark, sf):
+    """E3 incremental: after day 2 only the dates it touched are recomputed in Gold."""
+    p = SalesPipeline(spark, work_dir(spark, "gold_dates"))
+    sales = R.sales_landing(R.load(spark, sf, "lineitem"))
+    first = F.coalesce(F.col("l_shipdate") < F.lit("1998-01-01"), F.lit(False))
+    at1, at2 = dt.datetime(2024, 1, 1, 6), dt.datetime(2024, 1, 2, 6)
+    for part, name, at in ((sales.where(first), "d1", at1),
+                           (sales.where(~first).unionByName(_corrections(sales)), "d2", at2)):
+        before = p.silver.read().select("l_orderkey", "l_linenumber", "l_shipdate") if p.silver.exists() else None
+        p.land(part, name)
+        p.bronze_specs[0].source_path = f"{p.landing}/{name}"
+        p.ingest_bronze(at, at.date())
+        p.promote_silver(at, ingested_since=at.date())
+        if before is None:
+            p.build_gold(at)
+        else:       # the dates of the new rows and those that the replaced rows had
+            keys = p.bronze.read().where(F.col("_ingested_date") == F.lit(at.date())).select(*R.SALES_KEYS)
+            dates = (before.join(keys, R.SALES_KEYS, "left_semi").select("l_shipdate")
+                     .unionByName(p.silver.read().join(keys, R.SALES_KEYS, "left_semi").select("l_shipdate"))
+                     .select(F.to_date("l_shipdate").alias("fecha")))
+            p.build_gold(at, dates)
+    return p.gold.read().select(*KPI_COLUMNS)
 
 
 def layer_counts(spark, sf):
@@ -119,33 +206,38 @@ def kpi_detail(spark, sf):
     return RP.kpi_detail(_pipeline(spark, sf, "kpi_detail").gold.read())
 
 
+def _gold(spark, sf, name) -> DataFrame:
+    """The Gold KPI table that the pipeline writes (A7, A8 read it as the dashboard does)."""
+    return _pipeline(spark, sf, name).gold.read()
+
+
 def revenue_total(spark, sf):
-    return RP.revenue_total(_kpis(spark, sf))
+    return RP.revenue_total(_gold(spark, sf, "revenue"))
 
 
 def units_total(spark, sf):
-    return RP.units_total(_kpis(spark, sf))
+    return RP.units_total(_gold(spark, sf, "units"))
 
 
 def ticket_mean(spark, sf):
-    return RP.ticket_mean(_kpis(spark, sf))
+    return RP.ticket_mean(_gold(spark, sf, "ticket"))
 
 
 def revenue_by_day(spark, sf):
-    return RP.revenue_by(_kpis(spark, sf), "fecha")
+    return RP.revenue_by(_gold(spark, sf, "by_day"), "fecha")
 
 
 def revenue_by_category(spark, sf):
-    return RP.revenue_by(_kpis(spark, sf), "categoria")
+    return RP.revenue_by(_gold(spark, sf, "by_category"), "categoria")
 
 
 def revenue_by_channel(spark, sf):
-    return RP.revenue_by(_kpis(spark, sf), "canal")
+    return RP.revenue_by(_gold(spark, sf, "by_channel"), "canal")
 
 
 def kpi_filtered(spark, sf):
     """SQL-string predicate with AND and an IS NULL test."""
-    return RP.kpi_filtered(_kpis(spark, sf),
+    return RP.kpi_filtered(compute_kpis(R.load(spark, sf, "lineitem"), **R.SALES_ROLE),
                            "categoria = 'R' AND canal = 'F' AND NOT (ticket_medio IS NULL)")
 
 
@@ -197,16 +289,30 @@ def change_type_counts(spark, sf):
     return inc.change_type_counts(case.source.read_changes(1))
 
 
+def _narrow_case(spark, sf, name) -> OrdersCase:
+    """A seeded case whose feed touches two of the three states, and rows without a state:
+    some 'O' orders become 'P' in version 1, some orders lose their state before."""
+    case = OrdersCase(spark, work_dir(spark, name))
+    rows = _orders(spark, sf).withColumn(R.ORDER_GROUP, F.when(F.col("o_orderkey") % 29 == 0, F.lit(None))
+                                         .otherwise(F.col(R.ORDER_GROUP)))
+    case.seed(rows, stamp_at(0))
+    k = F.col("o_orderkey")
+    moved = rows.where((F.col(R.ORDER_GROUP) == "O") & (k % 10 == 0)).withColumn(R.ORDER_GROUP, F.lit("P"))
+    unnamed = rows.where(F.col(R.ORDER_GROUP).isNull() & (k % 2 == 0)).withColumn(R.ORDER_UNITS, F.lit(9))
+    case.apply_batch({"updates": moved.unionByName(unnamed)}, stamp_at(1))
+    return case
+
+
 def affected_groups(spark, sf):
-    """A3: groups touched by the feed, pre-images included."""
-    case = _feed_case(spark, sf, "affected")
-    return inc.affected_groups(case.source.read_changes(1, 3), [R.ORDER_GROUP])
+    """A3 + P8: groups touched by the feed, pre-images included, rows without a group left out."""
+    case = _narrow_case(spark, sf, "affected")
+    return inc.affected_groups(case.source.read_changes(1, 1), [R.ORDER_GROUP])
 
 
 def recompute_affected(spark, sf):
-    """A2 + J3 + P7 + P8: the aggregate of the affected groups only."""
-    case = _feed_case(spark, sf, "recompute")
-    groups = inc.affected_groups(case.source.read_changes(1, 3), [R.ORDER_GROUP])
+    """A2 + J3 + P7 + P8: the aggregate of the affected groups only (two of three states)."""
+    case = _narrow_case(spark, sf, "recompute")
+    groups = inc.affected_groups(case.source.read_changes(1, 1), [R.ORDER_GROUP])
     return inc.aggregate_groups(case.source.read(), [R.ORDER_GROUP], groups,
                                 R.ORDER_UNITS, R.ORDER_AMOUNT).drop("_recalculado_at")
 
@@ -306,18 +412,21 @@ def transition_violations(spark, sf):
 
 
 def amount_violations(spark, sf):
-    """Q2 + X5: amount vs quantity x unit price (unit price = amount / quantity, to the cent)."""
+    """Q2 + X5: amount vs quantity x unit price, with amounts written from a price list
+    (90,000 + part key cents) and every 97th order off by a cent."""
     li = R.load(spark, sf, "lineitem")
-    price = half_up_div(cents("l_extendedprice"), F.col("l_quantity").cast("long"))
-    return Q.amount_violations(li, R.SALES_KEYS + ["l_partkey"], "l_quantity", price,
-                               "l_extendedprice")
+    price = F.lit(90_000) + F.col("l_partkey")
+    wrong = F.when(F.col("l_orderkey") % 97 == 0, 1).otherwise(0)
+    sold = li.withColumn("amount", from_cents(F.col("l_quantity").cast("long") * price + wrong))
+    return Q.amount_violations(sold, R.SALES_KEYS + ["l_partkey"], "l_quantity", price, "amount")
 
 
 def batch_conflicts(spark, sf):
     """Q3 + U3: keys both updated and deleted; inserts reusing a key."""
     rows = _orders(spark, sf)
     b = R.proposed_batch(rows)
-    return Q.batch_conflicts(b["inserts"], b["updates"], b["deletes"], rows, R.ORDER_KEYS)
+    reused = rows.where(F.col("o_orderkey") % 41 == 5)       # planted: keys that exist
+    return Q.batch_conflicts(b["inserts"].unionByName(reused), b["updates"], b["deletes"], rows, R.ORDER_KEYS)
 
 
 def duplicate_keys(spark, sf):
@@ -331,8 +440,13 @@ def reemission_count(spark, sf):
 
 
 def contract_check(spark, sf):
-    """Q5 + K11: the orders role against the Silver orders contract."""
-    return contracts.check(_orders(spark, sf), R.SILVER_ORDERS)
+    """Q5 + K11: the orders role, with planted text that is no number and no date, against
+    the Silver orders contract."""
+    k = F.col("o_orderkey")
+    planted = _orders(spark, sf).withColumns({
+        "o_totalprice": F.when(k % 31 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")),
+        "o_orderdate": F.when(k % 37 == 0, F.lit("31/12/2024")).otherwise(F.col("o_orderdate").cast("string"))})
+    return contracts.check(planted, R.SILVER_ORDERS)
 
 
 # ---- CDC customers -------------------------------------------------------
@@ -340,8 +454,9 @@ def _cdc_case(spark, sf, name) -> CustomersCase:
     """Two landing batches arriving out of order: deletes and revivals first,
     then the inserts and updates they supersede."""
     case = CustomersCase(spark, work_dir(spark, name))
-    changes = R.customer_changes(R.load(spark, sf, "customer"))
-    late = case.land(changes.where(F.col("_seq") >= 3), "b1")
+    customer = R.load(spark, sf, "customer")
+    changes = R.customer_changes(customer)
+    late = case.land(changes.where(F.col("_seq") >= 3).unionByName(R.planted_changes(customer)), "b1")
     early = case.land(changes.where(F.col("_seq") < 3), "b2")
     for i, path in enumerate([late, early]):
         at = dt.datetime(2024, 1, 1 + i, 6)
@@ -351,19 +466,23 @@ def _cdc_case(spark, sf, name) -> CustomersCase:
 
 def cdc_soft_delete(spark, sf):
     """S9 + C1 + K7 + C2: final customers with soft-delete flags."""
-    return _cdc_case(spark, sf, "cdc").silver.read()
+    silver = _cdc_case(spark, sf, "cdc").silver.read()
+    return silver.withColumn("deleted_at", F.col("deleted_at").cast("timestamp_ntz"))
 
 
 def cdc_gold(spark, sf):
     """active/deleted customers and active balance per segment."""
-    return _cdc_case(spark, sf, "cdc_gold").gold()
+    case = _cdc_case(spark, sf, "cdc_gold")
+    case.build_gold(dt.datetime(2024, 1, 3, 6))
+    return case.gold_table.read()
 
 
 # ---- streaming -----------------------------------------------------------
 def _land_events(spark, sf, root):
     ev = R.load(spark, sf, "events")
-    write_jsonl(ev.where(F.col("ts") < F.lit(STREAM_SPLIT)), f"{root}/landing/w1")
-    return ev
+    first = F.coalesce(F.col("ts") < F.lit(STREAM_SPLIT), F.lit(False))
+    write_jsonl(ev.where(first), f"{root}/landing/w1")
+    return ev.where(~first)
 
 
 def stream_ingest(spark, sf):
@@ -376,7 +495,7 @@ def stream_ingest(spark, sf):
     S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt)
     S.promote(spark, bronze, silver, ["event_id"], "ts")
     done = S.last_batch(spark, bronze)
-    write_jsonl(ev.where(F.col("ts") >= F.lit(STREAM_SPLIT)), f"{root}/landing/w2")
+    write_jsonl(ev, f"{root}/landing/w2")
     S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt)
     if S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt) != 0:
         raise RuntimeError("a third run with no new files must read nothing")
@@ -391,13 +510,35 @@ def stream_hourly(spark, sf):
     gold = VersionedTable(spark, f"{root}/gold/events_hourly", keys=H.HOURLY_KEYS)
     ckpt = f"{root}/_checkpoints/hourly"
     H.run_hourly(spark, f"{root}/landing", EVENT_DDL, gold, ckpt)
-    write_jsonl(ev.where(F.col("ts") >= F.lit(STREAM_SPLIT)), f"{root}/landing/w2")
+    write_jsonl(ev, f"{root}/landing/w2")
     H.run_hourly(spark, f"{root}/landing", EVENT_DDL, gold, ckpt)
     return gold.read().select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                               "event_type", "n", "value_sum", "value_avg")
 
 
+def late_events(spark, sf):
+    """T4: every seventh event lands a wave late, most of them long after their hour:
+    Gold still counts all of them, and the run says how many rows came late."""
+    root = work_dir(spark, "late")
+    ev = R.load(spark, sf, "events")
+    late = F.col("event_id") % 7 == 0
+    gold = VersionedTable(spark, f"{root}/gold/events_hourly", keys=H.HOURLY_KEYS)
+    ckpt = f"{root}/_checkpoints/hourly"
+    write_jsonl(ev.where(~late), f"{root}/landing/w1")
+    first = H.run_hourly(spark, f"{root}/landing", EVENT_DDL, gold, ckpt)
+    write_jsonl(ev.where(late), f"{root}/landing/w2")
+    second = H.run_hourly(spark, f"{root}/landing", EVENT_DDL, gold, ckpt)
+    return (gold.read().agg(F.sum("n").cast("long").alias("counted"))
+            .select("counted", F.lit(first["rows"]).cast("long").alias("first_rows"),
+                    F.lit(second["rows"]).cast("long").alias("second_rows"),
+                    F.lit(second["late"]).cast("long").alias("late_rows")))
+
+
 QUERIES: dict[str, Query] = {
+    "two_contracts_bronze": two_contracts_bronze,
+    "quarantine_counts": quarantine_counts,
+    "gold_touched_dates": gold_touched_dates,
+    "late_events": late_events,
     "kpi_daily": kpi_daily,
     "bronze_jsonl_roundtrip": bronze_jsonl_roundtrip,
     "bronze_day_overwrite": bronze_day_overwrite,

@@ -73,11 +73,11 @@ def main():
         "W1 latest per key": latest_per_key(R.sales_landing(li), R.SALES_KEYS, ["l_shipdate"]),
         "K4 upsert (new table)": M.upsert_frame(table.drop("_updated_at"), upd, R.ORDER_KEYS, small),
         "F1 upsert change rows": M.upsert_changes(table.drop("_updated_at"), upd, R.ORDER_KEYS, small),
-        "K5 delete by keys": M.delete_frame(table, R.ORDER_KEYS, batch["deletes"], small=True),
+        "K5 delete by keys": M.delete_frame(table, R.ORDER_KEYS, batch["deletes"]),
         "F1 diff of two states": M.diff_changes(rows, M.upsert_frame(rows, upd, R.ORDER_KEYS),
                                                 R.ORDER_KEYS),
         "A2 recompute, broadcast groups": inc.aggregate_groups(
-            table, ["o_orderstatus"], groups, "o_units", "o_totalprice", small=True),
+            table, ["o_orderstatus"], groups, "o_units", "o_totalprice"),
         "A2 recompute, IN list": inc.aggregate_groups(
             table, ["o_orderstatus"], None, "o_units", "o_totalprice", values=["F"]),
         "A3 affected groups": inc.affected_groups(
