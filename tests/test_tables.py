@@ -199,28 +199,41 @@ def test_first_upsert_refuses_duplicate_keys(spark, tmp_root):
         t.upsert(spark.createDataFrame([(1, "a"), (1, "b")], DDL))
 
 
-def test_stale_writer_is_refused_before_writing(spark, tmp_root):
-    a = VersionedTable(spark, f"{tmp_root}/t", keys=["k"])
-    a.overwrite(spark.createDataFrame([(1, "a")], DDL))
-    b = VersionedTable(spark, f"{tmp_root}/t", keys=["k"])
-    assert b.current_version() == 0                     # b now caches version 0
-    a.upsert(spark.createDataFrame([(2, "b")], DDL))    # a commits version 1
-    with pytest.raises(TableError):
-        b.upsert(spark.createDataFrame([(3, "c")], DDL))
-    assert _rows(a.read(1)) == [(1, "a"), (2, "b")]      # version 1 untouched
-    assert b.upsert(spark.createDataFrame([(3, "c")], DDL)) == 2   # b re-reads and goes on
-
-
-def test_vacuum_keeps_recent_versions_and_feed(spark, tmp_root):
+def test_feed_ranges_are_whole_or_refused(spark, tmp_root):
     t = VersionedTable(spark, f"{tmp_root}/t", keys=["k"], change_feed=True)
     t.overwrite(spark.createDataFrame([(1, "a")], DDL))
-    for i in range(2, 6):
-        t.upsert(spark.createDataFrame([(i, "x")], DDL))
-    assert t.current_version() == 4
-    out = t.vacuum(keep_versions=2, keep_changes=2)
-    assert out == {"snapshots": [0, 1, 2], "changes": [1, 2]}
-    assert t.read().count() == 5 and t.read(3).count() == 4
+    blind = VersionedTable(spark, f"{tmp_root}/t", keys=["k"])       # commits without a feed
+    blind.upsert(spark.createDataFrame([(2, "b")], DDL))
+    t.current_version()
+    t.upsert(spark.createDataFrame([(3, "c")], DDL))
+    # change rows of a version 3 that was never committed
+    t.read_changes(2).drop("_commit_version").write.parquet(f"{tmp_root}/t/changes/_commit_version=3")
+    assert t.read_changes(2, 2).count() == 1
+    for start, end in ((1, 2), (2, 3), (1, 1), (3, 3)):
+        with pytest.raises(TableError):
+            t.read_changes(start, end)
+    assert t.feed_complete(2, 2) and not t.feed_complete(1, 2)
+
+
+def test_conform_refuses_loss(spark):
+    c = Contract.from_dict(CONTRACT, {"catalog": {"silver": "x"}})
+    with pytest.raises(ContractError):      # a column that the contract does not declare
+        conform(spark.createDataFrame([(1, "a", 1, 2)], "k long, v string, n int, z int"), c)
+    frame = spark.createDataFrame([(1, "a", 2.0)], "k long, v string, n double")
+    assert conform(frame, c).collect()[0]["n"] == 2
     with pytest.raises(Exception):
-        t.read(1).count()
-    assert t.feed_complete(3, 4) and not t.feed_complete(2, 4)
-    assert t.history().count() == 5            # commit rows stay
+        conform(spark.createDataFrame([(1, "a", 2.7)], "k long, v string, n double"), c).collect()
+
+
+def test_scratch_folder_must_be_shared_on_a_cluster(spark):
+    from refinery import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Cluster:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Cluster())
