@@ -88,8 +88,8 @@ def _entries(docs: DataFrame, sketch, k: int, percent: int) -> DataFrame:
             tok, ids, ns, pos = [], [], [], []
             for d, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), k)):
                 n = len(s)
-                # with fewer than 3 entries no proper subset reaches the threshold
-                if d is None or not n or n * 100 - 100 < percent * n:
+                # a set so small that one more entry is too many links with its equals only
+                if d is None or not n or 100 * n < percent * (n + 1):
                     continue
                 key = xxhash.xxh3_128_digest(s.tobytes())
                 if key in seen:
