@@ -33,6 +33,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def apart(df: DataFrame, key: str) -> DataFrame:
+    """Deal a grouped table out anew before it is joined on its own key.
+
+    Joined straight after its aggregate, both sides of the join would sit in one stage,
+    and the runtime could not split the rows of a hot key; with an exchange of its own on
+    either side it can.
+    """
+    return df.repartition(F.xxhash64(key, F.lit("apart")))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it many times inside ``body``.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import stored
+from refinery.llm.common import apart, stored
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -32,11 +32,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # large star: larger neighbours of a node move to its smallest neighbour
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (both.where("b > a").join(low, "a")
+        large = (both.where("b > a").join(apart(low, "a"), "a")
                  .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"))
         # small star: smaller neighbours of a node move to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a")
+        small = (large.join(apart(low, "a"), "a")
                  .select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
                                            F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
                          .alias("e"))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import map_arrow, shingle_sets, stored, tune
+from refinery.llm.common import apart, map_arrow, shingle_sets, stored, tune
 from refinery.llm.components import connected_components
 
 SHINGLE = 5
@@ -181,10 +181,12 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
     prof = stored(_profile(docs, k), "ngram-profile")
-    cls = (prof.where("set_key is not null and doc_id is not null")
-           .groupBy("n_shingles", "set_key").agg(F.min("doc_id").alias("rep")))
-    rep = stored(prof.where("set_key is not null and doc_id is not null")
-                 .join(cls, ["n_shingles", "set_key"]).select("doc_id", "rep"), "ngram-classes")
+    sets = prof.where("set_key is not null and doc_id is not null")
+    copies = stored(sets.groupBy("n_shingles", "set_key")
+                    .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("rep"))
+                    .where("n > 1").drop("n"), "ngram-copies")
+    rep = stored(sets.join(copies, ["n_shingles", "set_key"], "left")
+                 .select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "ngram-classes")
     # a document stands for itself if it is in several classes (repeated id, other text)
     one = (rep.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
            .select("doc_id", F.when(F.col("lo") == F.col("hi"), F.col("lo"))
@@ -202,7 +204,7 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD
              .where("df > 1").select("token", "first", F.shiftright("_e", 32).cast("int").alias("first_n"),
                                      F.col("_e").bitwiseAND(0xFFFFFFFF).cast("int").alias("first_pos")))
     # entries of blocks with two documents or more, by class
-    shared = stored(entries.join(block, "token").join(one, "doc_id")
+    shared = stored(entries.join(apart(block, "token"), "token").join(one, "doc_id")
                     .select("token", "first", "first_n", "first_pos", F.col("rep").alias("id"), "n", "pos"),
                     "ngram-blocks")
     star = (shared.where(_may_link(F.col("n"), F.col("pos"), F.col("first_n"), F.col("first_pos"), percent))
@@ -219,7 +221,7 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD
              .select("token", "id", "n", "pos", F.coalesce("root", "id").alias("comp")))
     mixed = (named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo < hi").select("token"))
-    open_ = stored(named.join(mixed, "token"), "ngram-open")
+    open_ = stored(named.join(apart(mixed, "token"), "token"), "ngram-open")
     s, t = open_.alias("s"), open_.alias("t")
     n_s, n_t = F.col("s.n"), F.col("t.n")
     rest = (s.join(t, (F.col("s.token") == F.col("t.token")) & (F.col("s.comp") != F.col("t.comp"))

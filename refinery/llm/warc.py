@@ -53,8 +53,9 @@ def classified(pages: DataFrame, least_shared: int = LEAST_SHARED) -> DataFrame:
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                      html.alias("html"), F.sha2(html.cast("binary"), 256).alias("digest"))
     # digests that occur twice or more; only they take part in the join
-    shared = (p.where(F.octet_length("html") >= least_shared).groupBy("digest")
-              .agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first")).where("n > 1").drop("n"))
+    shared = stored(p.where(F.octet_length("html") >= least_shared).groupBy("digest")
+                    .agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first")).where("n > 1").drop("n"),
+                    "warc-shared")
     return p.join(shared, "digest", "left")
 
 
@@ -209,6 +210,7 @@ def assemble(records: DataFrame) -> DataFrame:
              .join(main.where("type = 'revisit'").select(F.col("digest").alias("_d"),
                                                          F.col("refers_to").cast("long").alias("_p")).distinct(),
                    ["_d", "_p"], "left_semi").distinct())
+    whole = stored(whole, "warc-originals")
     j = (main.join(whole, (F.col("type") == "revisit") & (F.col("digest") == F.col("_d"))
                    & (F.col("refers_to").cast("long") == F.col("_p")), "left")
          .join(side("request"), F.col("record_id") == F.col("_request"), "left")
