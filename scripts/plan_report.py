@@ -21,6 +21,7 @@ from refinery.functions.money import cents, half_up_div  # noqa: E402
 from refinery.operators import incremental as inc  # noqa: E402
 from refinery.operators import merge as M  # noqa: E402
 from refinery.operators import quality as Q  # noqa: E402
+from refinery.operators.joins import measured
 from refinery.operators.latest import latest_per_key  # noqa: E402
 from refinery.plans import roles as R  # noqa: E402
 from refinery.plans.changefeed import seeded_case  # noqa: E402
@@ -66,22 +67,30 @@ def main():
     batch["deletes"].write.parquet(f"{root}/deletes")
     upd = spark.read.parquet(f"{root}/updates")
     batch = {"deletes": spark.read.parquet(f"{root}/deletes")}
-    small = upd.count() <= 2_000_000
-    groups = spark.createDataFrame([("F",)], "o_orderstatus string")
+    R.customer_changes(R.load(spark, sf, "customer")).where("_seq > 2").write.parquet(f"{root}/changes")
+    changes = spark.read.parquet(f"{root}/changes")
+    customers = (R.load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+                 .withColumn("_seq", F.lit(1).cast("long")).withColumn("is_deleted", F.lit(False)))
+    groups, _ = measured(spark.createDataFrame([("F",)], "o_orderstatus string"))
     frames = {
         "A1 daily KPIs": compute_kpis(li, **R.SALES_ROLE),
         "W1 latest per key": latest_per_key(R.sales_landing(li), R.SALES_KEYS, ["l_shipdate"]),
-        "K4 upsert (new table)": M.upsert_frame(table.drop("_updated_at"), upd, R.ORDER_KEYS, small),
-        "F1 upsert change rows": M.upsert_changes(table.drop("_updated_at"), upd, R.ORDER_KEYS, small),
+        "K4 upsert (new table)": M.upsert_frame(table.drop("_updated_at"), upd, R.ORDER_KEYS),
+        "F1 upsert change rows": M.upsert_changes(table.drop("_updated_at"), upd, R.ORDER_KEYS),
         "K5 delete by keys": M.delete_frame(table, R.ORDER_KEYS, batch["deletes"]),
         "F1 diff of two states": M.diff_changes(rows, M.upsert_frame(rows, upd, R.ORDER_KEYS),
                                                 R.ORDER_KEYS),
-        "A2 recompute, broadcast groups": inc.aggregate_groups(
+        "A2 recompute of chosen groups": inc.aggregate_groups(
             table, ["o_orderstatus"], groups, "o_units", "o_totalprice"),
-        "A2 recompute, IN list": inc.aggregate_groups(
-            table, ["o_orderstatus"], None, "o_units", "o_totalprice", values=["F"]),
+        "K4 + K5 batch in one commit": M.delete_frame(
+            table.drop("_updated_at"), R.ORDER_KEYS,
+            upd.select(*R.ORDER_KEYS).unionByName(batch["deletes"])).unionByName(upd),
+        "K6 not older than stored": M.newer_rows(
+            table.drop("_updated_at"), upd, R.ORDER_KEYS, ["o_orderdate"]),
+        "K7 CDC merge rows": M.cdc_merge_rows(
+            customers, changes.drop("op_time"), R.CUSTOMER_KEYS),
         "A3 affected groups": inc.affected_groups(
-            M.upsert_changes(table.drop("_updated_at"), upd, R.ORDER_KEYS, small), ["o_orderstatus"]),
+            M.upsert_changes(table.drop("_updated_at"), upd, R.ORDER_KEYS), ["o_orderstatus"]),
         "Q2 amount check": Q.amount_violations(
             li, R.SALES_KEYS, "l_quantity",
             half_up_div(cents("l_extendedprice"), F.col("l_quantity").cast("long")),
