@@ -110,10 +110,14 @@ class VersionedTable:
             raise TableError(f"{self.path}: change feed is not enabled")
         if starting_version < 1:
             raise TableError("the change feed starts at version 1 (version 0 is the creation)")
-        current = self.current_version()
+        current = self.known_version()
+        if current is None or ending_version is None or ending_version > current:
+            current = self.current_version()        # another writer may have committed
         if current is None:
             raise TableError(f"{self.path}: table does not exist")
         if ending_version is None:
+            # open range: up to the newest committed version, never the folder of a
+            # version whose job died before its commit row
             ending_version = current
         if ending_version > current:
             raise TableError(f"{self.path}: version {ending_version} is not committed")
