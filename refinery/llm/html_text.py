@@ -309,7 +309,7 @@ def decode(z: np.ndarray, parent: np.ndarray, depth: np.ndarray, first: np.ndarr
     for rows in reversed(levels):
         np.add.at(keep, parent[rows], np.maximum(keep[rows], drop[rows]))
         np.add.at(drop, parent[rows], drop[rows])
-    kept = keep > drop
+    kept = keep >= drop
     for rows in levels:
         kept[rows] &= kept[parent[rows]]
     return kept
@@ -388,13 +388,18 @@ def compose(texts: list[str], rng: np.random.Generator) -> str:
     for t in [texts[i] for i in rng.permutation(len(texts))[:int(rng.integers(1, 9))]]:
         t = html.escape(t, quote=False)
         paras.append(pick(f"<p>{t}</p>", f"<p>{t}</p>", f"<p><b>{t}<br>", f"<blockquote><p>{t}</p></blockquote>",
-                          f"<h2>{some(2, 6)}</h2><p>{t}</p>", f"<ul><li>{t}</li><li>{some(3, 25)}</li></ul>"))
+                          f"<h2>{some(1, 6)}</h2><p>{t}</p>", f"<ul><li>{t}</li><li>{some(3, 25)}</li></ul>",
+                          f"<div>{t}</div>", f"<p>{t}</p><table><tr><td>{some(1, 5)}</td><td>{some(1, 12)}</td></tr>"
+                          f"<tr><td>{some(1, 5)}</td><td>{some(1, 12)}</td></tr></table>",
+                          f"<figure><figcaption>{some(2, 15)}</figcaption></figure><p>{t}</p>", f"<p>{some(1, 8)}</p>"))
+    if rng.random() < 0.06:         # a page of bare paragraphs
+        return "<html><body>" + "".join(f'<p data-label="1">{html.escape(t, quote=False)}</p>' for t in texts[:4]) + "</body></html>"
     inner = []
     for x in paras:
         inner.append(x)
         if rng.random() < 0.08:
             inner.append(pick(advert, side, share))
-    title = f"<h1>{some(3, 10)}</h1>"
+    title = f"<h1>{some(1, 10)}</h1>"
     body = pick(title, title, f"<header>{title}</header>") + "".join(inner)
     body += pick("", "", share, talk)
     body = wrap(body, ("article", "main", "div", "div", "section"),
