@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -186,6 +189,27 @@ def binary_texts(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
 
 
+def in_one_task(sample: DataFrame, fit: Callable[[pa.Table], object]):
+    """``fit`` of a bounded sample, run in a task: the driver only receives the result.
+
+    The sample's bound is the caller's; a lost executor repeats the task.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = list(batches)
+        made = fit(pa.Table.from_batches(rows)) if rows else None
+        yield pa.record_batch([pa.array([pickle.dumps(made)], pa.binary())], ["made"])
+    found = sample.repartition(1).mapInArrow(run, "made binary").collect()
+    return pickle.loads(found[0][0]) if found else None
+
+
+def summed_arrays(parts: RDD, combine: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray | None:
+    """Combine one array of fixed size per partition in two levels; one array reaches the driver."""
+    groups = max(1, math.isqrt(parts.getNumPartitions()))
+    found = (parts.mapPartitionsWithIndex(lambda i, xs: ((i % groups, x) for x in xs))
+             .reduceByKey(combine, groups).map(lambda kv: (0, kv[1])).reduceByKey(combine, 1).values().collect())
+    return found[0] if found else None
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
               schema: str) -> DataFrame:
     """``mapInArrow`` of a per-batch function; empty results are left out."""

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import map_arrow, tune
+from refinery.llm.common import in_one_task, map_arrow, tune
 
 #: Bounds of the training sample: pages, and bytes of a training page.
 TRAIN_PAGES, TRAIN_BYTES = 150, 30_000
@@ -441,8 +441,8 @@ def fit_extractor(pages: DataFrame, rows: int = TRAIN_PAGES, most_bytes: int = T
     """Train on the ``rows`` pages of smallest id hash among those of at most ``most_bytes`` bytes."""
     sample = (pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html"))
               .where(F.octet_length("html") <= most_bytes)
-              .orderBy(F.xxhash64("page_id"), "page_id").limit(rows).toArrow())
-    return train(sorted(x for x in sample.column("html").to_pylist()))
+              .orderBy(F.xxhash64("page_id"), "page_id").limit(rows))
+    return in_one_task(sample, lambda t: train(sorted(t.column("html").to_pylist())))
 
 
 def main_text(pages: DataFrame) -> DataFrame:

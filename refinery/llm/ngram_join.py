@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import apart, map_arrow, shingle_sets, stored, tune
+from refinery.llm.common import apart, map_arrow, shingle_sets, stored, summed_arrays, tune
 from refinery.llm.components import connected_components
 
 SHINGLE = 5
@@ -56,7 +56,7 @@ def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def shingle_sketch(docs: DataFrame, k: int = SHINGLE, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Counts of shingles per hash bucket over all documents (tree-summed, fixed size)."""
+    """Counts of shingles per hash bucket over all documents (summed in two levels, fixed size)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, np.int64)
         for batch in batches:
@@ -65,9 +65,8 @@ def shingle_sketch(docs: DataFrame, k: int = SHINGLE, bits: int = SKETCH_BITS) -
         yield pa.record_batch([pa.array([counts.tobytes()], pa.binary())], ["c"])
     parts = docs.select("text").mapInArrow(run, "c binary").rdd.map(
         lambda r: np.frombuffer(bytes(r[0]), np.int64))
-    if not parts.getNumPartitions():
-        return np.zeros(1 << bits, np.int64)
-    return parts.treeReduce(lambda x, y: x + y, 2)
+    found = summed_arrays(parts, lambda x, y: x + y)
+    return np.zeros(1 << bits, np.int64) if found is None else found
 
 
 def _prefix(n: int, num: int, den: int) -> int:
@@ -131,7 +130,7 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
             bits[slots(b.column(0).to_numpy())] = True
         yield pa.record_batch([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["b"])
     parts = ids.mapInArrow(build, "b binary").rdd.map(lambda r: np.frombuffer(bytes(r[0]), np.uint8))
-    bits = sc.broadcast(np.unpackbits(parts.treeReduce(lambda x, y: x | y, 2)).astype(bool))
+    bits = sc.broadcast(np.unpackbits(summed_arrays(parts, lambda x, y: x | y)).astype(bool))
 
     def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pa.array(bits.value[slots(batch.column("doc_id").to_numpy())]))

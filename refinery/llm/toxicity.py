@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import hash_word_prefixes, map_arrow, text_slices, tune
+from refinery.llm.common import hash_word_prefixes, in_one_task, map_arrow, text_slices, tune
 
 SLOTS = 1 << 15
 DIM = 12
@@ -256,11 +256,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROW
                         F.col("lang").cast("string").alias("lang"))
             .where("text is not null").where(F.octet_length("text") <= train_bytes)
             .join(F.broadcast(sample), "_id")
-            .dropDuplicates(["_id"]).select("_id", "_y", "lang", "text").toArrow().sort_by("_id"))
+            .dropDuplicates(["_id"]).select("_id", "_y", "lang", "text"))
     weight = share.get(0, 0) / max(1, min(share.get(0, 0), clean_rows)) / max(
         1.0, share.get(1, 0) / max(1, min(share.get(1, 0), toxic_rows)))
-    return train(rows.column("text").combine_chunks(), rows.column("_y").to_numpy(),
-                 rows.column("lang").to_pylist(), clean_weight=max(weight, 1e-3))
+
+    def fit(table: pa.Table) -> Model:
+        table = table.sort_by("_id")
+        return train(table.column("text").combine_chunks(), table.column("_y").to_numpy(),
+                     table.column("lang").to_pylist(), clean_weight=max(weight, 1e-3))
+    made = in_one_task(rows, fit)
+    return made if made is not None else train(pa.array([], pa.string()), np.zeros(0), [])
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
