@@ -3,22 +3,27 @@
 A word's vector is the sum of hashed embeddings of the word and of its byte
 prefixes (roots with many endings share the prefixes). Filters of widths 1, 2
 and 3 run over the word vectors of the whole text, are rectified and
-max-pooled, and a logistic unit scores the pooled values. Training runs in
+max-pooled, and a logistic unit scores the pooled values. Weights are trained in
 numpy on a bounded sample of labelled rows; scoring runs in Spark tasks over
 every text. Filters are linear, so a table of each hash slot's part of every
 filter replaces the products when scoring.
+
+Thresholds are chosen from the scores of all labelled rows outside the held-out
+part. Rows of the training sample take the score of a model that was trained
+without them (one of ``FOLDS``), all others that of the model itself.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import hash_word_prefixes, in_one_task, map_arrow, text_slices, tune
+from refinery.llm.common import hash_word_prefixes, in_one_task, map_arrow, stored, text_slices, tune
 
 SLOTS = 1 << 15
 DIM = 12
@@ -28,8 +33,12 @@ PREFIXES = (4, 5, 6)    # bytes; the whole word is always added
 #: Bounds of the training sample: rows per class, and bytes of a training text.
 TOXIC_ROWS, CLEAN_ROWS, TRAIN_BYTES = 1500, 2500, 20_000
 EPOCHS = 4
-#: Rows of each class that a language needs in the calibration part for a threshold of its own.
+#: Models that give the sample's own rows the scores of texts not trained on.
+FOLDS = 5
+#: Labelled rows of each class that a language needs for a threshold of its own.
 LEAST_PER_CLASS = 40
+#: Bins of the score histograms, per unit of log odds.
+BINS = 64
 PREDICT_AT = 0.3
 SCORE_SLICE = 1 << 20   # bytes scored at a time
 
@@ -92,11 +101,15 @@ def pooled(ids: np.ndarray, w: np.ndarray, model: Model) -> np.ndarray:
     return _pool(np.concatenate(parts, axis=1), w)
 
 
+def log_odds_of(ids: np.ndarray, w: np.ndarray, model: Model) -> np.ndarray:
+    x = pooled(ids, w, model) @ model.out + model.out_bias
+    return np.clip(x.astype(np.float64), -50, 50)
+
+
 def score(ids: np.ndarray, w: np.ndarray, model: Model) -> np.ndarray:
     if model.constant is not None:
         return np.full(len(w) - 1, model.constant)
-    x = pooled(ids, w, model) @ model.out + model.out_bias
-    return 1 / (1 + np.exp(-np.clip(x.astype(np.float64), -50, 50)))
+    return 1 / (1 + np.exp(-log_odds_of(ids, w, model)))
 
 
 def _log_odds(ids, w, y, rows, strength=5.0):
@@ -110,17 +123,15 @@ def _log_odds(ids, w, y, rows, strength=5.0):
     return np.log(p / (1 - p)) - np.log(prior / (1 - prior))
 
 
-def train(column: pa.Array, labels: np.ndarray, langs: list, seed: int = 7,
-          clean_weight: float = 1.0) -> Model:
-    """Fit on texts and 0/1 labels; one text in five is held back to set the thresholds.
+def train(column: pa.Array, labels: np.ndarray, seed: int = 7) -> tuple[Model, np.ndarray]:
+    """Model of texts and 0/1 labels, and the log odds of each text by a model trained without it.
 
-    ``clean_weight``: clean rows of the corpus for each sampled clean row, for
-    thresholds that hold at the corpus's own share of toxic texts.
+    Each class is dealt into ``FOLDS`` parts; a class of one row has no part to hold back.
     """
     y = np.asarray(labels, np.int64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros((SLOTS, 1), np.float32), None, None, 0.0, {},
-                     constant=float(y.mean()) * 0.99 if len(y) else 0.0)
+                     constant=float(y.mean()) * 0.99 if len(y) else 0.0), np.zeros(len(y))
     ids, counts = [], []
     for _, data, off in text_slices(column, SCORE_SLICE):
         i, w = slot_ids(data, off)
@@ -133,18 +144,29 @@ def train(column: pa.Array, labels: np.ndarray, langs: list, seed: int = 7,
         ids[at:at + len(part)] = part
         at += len(part)
     w = np.concatenate(([0], np.cumsum(np.concatenate(counts))))
-    rng = np.random.default_rng(seed)
-    order = rng.permutation(len(y))
-    held, fit = order[:len(y) // 5], order[len(y) // 5:]
-    if y[fit].min() == y[fit].max():
-        held, fit = order[:0], order
-
     def rows_of(sel):
         n = w[sel + 1] - w[sel]
         wo = np.concatenate(([0], np.cumsum(n)))
         idx = np.arange(wo[-1]) - np.repeat(wo[:-1], n) + np.repeat(w[sel], n)
         return ids[idx], wo
 
+    model = _fit(ids, w, y, np.arange(len(y)), rows_of, seed)
+    rng, fold = np.random.default_rng(seed), np.zeros(len(y), np.int64)
+    for label in (0, 1):
+        of = rng.permutation(np.flatnonzero(y == label))
+        fold[of] = np.arange(len(of)) % FOLDS
+    odds = np.zeros(len(y))
+    for k in range(FOLDS):
+        back, fit = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        if len(back):
+            both = len(fit) and y[fit].min() < y[fit].max()
+            odds[back] = log_odds_of(*rows_of(back), _fit(ids, w, y, fit, rows_of, seed) if both else model)
+    return model, odds
+
+
+def _fit(ids: np.ndarray, w: np.ndarray, y: np.ndarray, fit: np.ndarray, rows_of: Callable, seed: int) -> Model:
+    """Weights from the rows ``fit``, which hold both classes."""
+    rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.05, (SLOTS, DIM)).astype(np.float32)
     emb[:, 0] = _log_odds(ids, w, y, fit) / 4
     conv = [rng.normal(0, 0.2, (width, DIM, FILTERS)).astype(np.float32) for width in WIDTHS]
@@ -203,31 +225,18 @@ def train(column: pa.Array, labels: np.ndarray, langs: list, seed: int = 7,
                 seen_emb[slots] += (g * g).mean(1)
                 emb[slots] -= rate * g / np.sqrt(seen_emb[slots])[:, None]
     table = np.concatenate([emb @ conv[k][j] for k, width in enumerate(WIDTHS) for j in range(width)], axis=1)
-    model = Model(np.ascontiguousarray(table), bias, out, out_bias, {})
-    check = held if len(held) and y[held].max() else fit
-    s = score(*rows_of(check), model)
-    weight = np.where(y[check] == 1, 1.0, clean_weight)
-    cut = _best_cut(s, y[check], weight)
-    # the common cut is moved to PREDICT_AT by shifting the logit
-    model.out_bias += np.log(PREDICT_AT / (1 - PREDICT_AT)) - np.log(cut / (1 - cut))
-    s = score(*rows_of(check), model)
-    tongue = np.array([str(x) for x in langs])[check]
-    for lang in sorted(set(tongue)):
-        m = tongue == lang
-        if y[check][m].sum() >= LEAST_PER_CLASS and (1 - y[check][m]).sum() >= LEAST_PER_CLASS:
-            model.thresholds[lang] = _best_cut(s[m], y[check][m], weight[m])
-    return model
-
-
-def _best_cut(s: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """Cut of highest F1, in the middle (by logit) of the scores at which it is reached."""
-    order = np.argsort(-s, kind="stable")
-    t, f = np.cumsum((y * weight)[order]), np.cumsum(((1 - y) * weight)[order])
-    f1 = 2 * t / (t + f + (y * weight).sum())
-    at = int(f1.argmax())
-    logit = lambda p: np.log(np.clip(p, 1e-6, 1 - 1e-6) / (1 - np.clip(p, 1e-6, 1 - 1e-6)))
-    lo = s[order][at + 1] if at + 1 < len(s) else s[order][at] / 2
-    return float(1 / (1 + np.exp(-(logit(s[order][at]) + logit(lo)) / 2)))
+    return Model(np.ascontiguousarray(table), bias, out, out_bias, {})
+
+
+def _best_cut(bins: list) -> float:
+    """Cut (log odds) of highest F1 over (toxic, clean, lowest, highest) of each bin of scores.
+
+    It lies in the middle between the lowest score flagged and the highest left alone.
+    """
+    bins = sorted(bins, key=lambda b: -b[2])
+    t, f = np.cumsum([b[0] for b in bins]), np.cumsum([b[1] for b in bins])
+    at = int((2 * t / (t + f + t[-1])).argmax())
+    return (bins[at][2] + (bins[at + 1][3] if at + 1 < len(bins) else bins[at][2] - 1)) / 2
 
 
 def held_out(doc_id):
@@ -235,52 +244,90 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS,
-                 clean_rows: int = CLEAN_ROWS, train_bytes: int = TRAIN_BYTES) -> Model:
+def _labels(labels: DataFrame) -> DataFrame:
+    """_id and _y of the labelled documents outside the held-out part."""
+    return (labels.where("toxic is not null and doc_id is not null")
+            .select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_y"))
+            .where(~held_out(F.col("_id"))).groupBy("_id").agg(F.max("_y").alias("_y"))
+            .withColumn("_y", F.when(F.col("_y") > 0, 1).otherwise(0)))
+
+
+def fit_weights(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS,
+                clean_rows: int = CLEAN_ROWS, train_bytes: int = TRAIN_BYTES) -> tuple[Model, pa.Table]:
     """Train on at most ``toxic_rows`` + ``clean_rows`` labelled rows outside the held-out part.
 
     The rows are those of smallest id hash per class, so any partitioning of the
     input gives the same sample; texts over ``train_bytes`` bytes are left out of
     training only. A document labelled more than once is toxic if any label says so.
+    Returned with the model: _id and _own of the sample, the log odds by a model
+    trained without the row.
     """
-    lab = (labels.where("toxic is not null and doc_id is not null")
-           .select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_y"))
-           .where(~held_out(F.col("_id"))).groupBy("_id").agg(F.max("_y").alias("_y"))
-           .withColumn("_y", F.when(F.col("_y") > 0, 1).otherwise(0)))
-    share = dict(lab.groupBy("_y").count().collect())
+    lab = _labels(labels)
 
     def some(y: int, n: int) -> DataFrame:
         return lab.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
     sample = some(1, toxic_rows).unionByName(some(0, clean_rows))       # bounded: broadcast
-    rows = (docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"),
-                        F.col("lang").cast("string").alias("lang"))
+    rows = (docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
             .where("text is not null").where(F.octet_length("text") <= train_bytes)
             .join(F.broadcast(sample), "_id")
-            .dropDuplicates(["_id"]).select("_id", "_y", "lang", "text"))
-    weight = share.get(0, 0) / max(1, min(share.get(0, 0), clean_rows)) / max(
-        1.0, share.get(1, 0) / max(1, min(share.get(1, 0), toxic_rows)))
+            .dropDuplicates(["_id"]).select("_id", "_y", "text"))
 
-    def fit(table: pa.Table) -> Model:
+    def fit(table: pa.Table) -> tuple[Model, pa.Table]:
         table = table.sort_by("_id")
-        return train(table.column("text").combine_chunks(), table.column("_y").to_numpy(),
-                     table.column("lang").to_pylist(), clean_weight=max(weight, 1e-3))
+        model, odds = train(table.column("text").combine_chunks(), table.column("_y").to_numpy())
+        return model, pa.table({"_id": table.column("_id"), "_own": pa.array(odds, pa.float64())})
     made = in_one_task(rows, fit)
-    return made if made is not None else train(pa.array([], pa.string()), np.zeros(0), [])
+    return made if made is not None else (train(pa.array([], pa.string()), np.zeros(0))[0], None)
 
 
-def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang and score of every row; null texts score like empty ones."""
+def log_odds(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, lang and log odds of every row, before calibration; null texts score like empty ones."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        s = [score(*slot_ids(data, off), shared.value)
+        x = [log_odds_of(*slot_ids(data, off), shared.value)
              for _, data, off in text_slices(batch.column("text"), SCORE_SLICE)]
-        return pa.record_batch([batch.column("doc_id"), batch.column("lang"), pa.array(np.concatenate(s))],
-                               ["doc_id", "lang", "score"])
+        return pa.record_batch([batch.column("doc_id"), batch.column("lang"), pa.array(np.concatenate(x))],
+                               ["doc_id", "lang", "odds"])
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                  F.col("lang").cast("string").alias("lang"),
                                  F.col("text").cast("string").alias("text")),
-                     run, "doc_id long, lang string, score double")
+                     run, "doc_id long, lang string, odds double")
+
+
+def calibrate(scored: DataFrame, labels: DataFrame, model: Model, own: pa.Table) -> Model:
+    """The model with its common cut at ``PREDICT_AT`` and the cuts of the languages.
+
+    Counts are of every labelled row of ``scored`` (doc_id, lang, odds) outside the
+    held-out part, in histograms per language; the driver receives bins only, of
+    languages with enough rows of both classes.
+    """
+    spark = scored.sparkSession
+    known = (scored.withColumnRenamed("doc_id", "_id").join(_labels(labels), "_id")
+             .join(F.broadcast(spark.createDataFrame(own)), "_id", "left")
+             .withColumn("odds", F.coalesce("_own", "odds")))
+    bins = stored(known.groupBy("lang", F.floor(F.col("odds") * BINS).alias("bin"))
+                  .agg(F.sum("_y").alias("toxic"), F.sum(1 - F.col("_y")).alias("clean"),
+                       F.min("odds").alias("low"), F.max("odds").alias("high")), "toxicity-bins")
+    total = [F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.min("low").alias("low"),
+             F.max("high").alias("high")]
+    every = [tuple(r) for r in bins.groupBy("bin").agg(*total).select("toxic", "clean", "low", "high").collect()]
+    if not sum(b[0] for b in every):
+        return model
+    shift = float(np.log(PREDICT_AT / (1 - PREDICT_AT))) - _best_cut(every)
+    enough = (bins.where("lang is not null").groupBy("lang").agg(*total[:2])
+              .where((F.col("toxic") >= LEAST_PER_CLASS) & (F.col("clean") >= LEAST_PER_CLASS)).select("lang"))
+    parts = {}
+    for r in bins.join(enough, "lang").select("lang", "toxic", "clean", "low", "high").collect():
+        parts.setdefault(r[0], []).append(tuple(r)[1:])
+    return replace(model, out_bias=model.out_bias + shift, thresholds={
+        lang: float(1 / (1 + np.exp(-(_best_cut(b) + shift)))) for lang, b in sorted(parts.items())})
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Model:
+    """Weights from the bounded sample, thresholds from all labelled rows outside the held-out part."""
+    model, own = fit_weights(docs, labels)
+    return model if model.constant is not None else calibrate(log_odds(docs, model), labels, model, own)
 
 
 def threshold_of(model: Model, lang):
@@ -301,8 +348,16 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     classes every score is the share of label 1; an empty table gives no rows.
     """
     tune(docs.sparkSession)
-    model = fit_toxicity(docs, labels)
-    return (score_toxicity(docs, model)
+    model, own = fit_weights(docs, labels)
+    if model.constant is not None:
+        scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
+                             F.lit(model.constant).alias("score"))
+    else:       # every text is scored once; thresholds and result come from the stored numbers
+        raw = stored(log_odds(docs, model), "toxicity-odds")
+        bias, model = model.out_bias, calibrate(raw, labels, model, own)
+        scored = raw.select("doc_id", "lang", (1 / (1 + F.exp(
+            -(F.col("odds") + F.lit(float(model.out_bias - bias)))))).alias("score"))
+    return (scored
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                     F.when(F.col("score") >= PREDICT_AT, 1).otherwise(0).alias("predicted"),
                     threshold_of(model, F.col("lang")).alias("threshold"))
