@@ -11,6 +11,11 @@ stand in the window over the weight of all its shingles must reach 0.8.
 
 A window without any shingle of an item has similarity 0 with it, so only
 windows over a shared shingle are fingerprinted; this drops no match.
+
+Fingerprints propose and never veto: foreign words outweigh a passage whose
+shingles many items share, so its copies can lie beyond the radius. An item whose
+shingles in the whole text weigh 0.8 of it is a candidate in any case, and
+verification takes its best window of the text, near or not.
 """
 
 from __future__ import annotations
@@ -81,19 +86,19 @@ class Index:
         self.holders = defaultdict(list)            # shingle place -> items
         self.grams, self.total = [], []
         by_size = defaultdict(list)
-        prints = []
+        self.prints = []
         for n, g in enumerate(grams):
             at = np.searchsorted(found, g)
             for x in at.tolist():
                 self.holders[x].append(n)
             self.grams.append(at)
             self.total.append(float(self.weights[at].sum()))
-            prints.append(simhash((signs(g) * self.weights[at][:, None]).sum(0)))
+            self.prints.append(simhash((signs(g) * self.weights[at][:, None]).sum(0)))
             by_size[self.items[n][1]].append(n)
         dist = _ONES[np.arange(256)[:, None] ^ np.arange(256)]
         self.sizes = {}
         for size, members in by_size.items():
-            f = np.array([prints[n] for n in members], np.uint64)
+            f = np.array([self.prints[n] for n in members], np.uint64)
             b = blocks_of(f)
             self.sizes[size] = _Size(members, f, np.stack(
                 [dist[:, b[:, j]] <= BLOCK_RADIUS for j in range(BLOCKS)]))
@@ -110,55 +115,76 @@ class Index:
         return out
 
 
+def _weigh(g: np.ndarray, place: np.ndarray, index: Index) -> np.ndarray:
+    """Signed sums of each shingle: its signs times its weight."""
+    return signs(g) * np.where(place >= 0, index.weights[place], index.other)[:, None]
+
+
+def _best_window(place: np.ndarray, hits: np.ndarray, index: Index, n: int, m: int) -> tuple[int, float]:
+    """First start and similarity of the window of ``m`` shingles that holds most of item ``n``.
+
+    A shingle at p counts for the starts from p - m + 1 (or, where it occurred before,
+    from behind that occurrence) to p; the sum changes only at these ends, so the work
+    follows the shared shingles and not the windows.
+    """
+    at = hits[np.isin(place[hits], index.grams[n])]
+    at = at[np.lexsort((at, place[at]))]
+    kind, last = place[at], len(place) - m
+    before = np.where(np.concatenate(([False], kind[1:] == kind[:-1])), np.concatenate(([0], at[:-1])), -1)
+    begin = np.maximum(np.maximum(at - m + 1, before + 1), 0)
+    weight = index.weights[kind].astype(np.float64)
+    ends, end = np.unique(np.concatenate((begin, at + 1)), return_inverse=True)
+    held = np.round(np.cumsum(np.bincount(end, np.concatenate((weight, -weight)))), 9)[ends <= last]
+    best = int(held.argmax())
+    return int(ends[best]), min(1.0, float(held[best] / index.total[n]))
+
+
+def _proposed(g: np.ndarray, place: np.ndarray, hits: np.ndarray, index: Index, size: int, m: int) -> set:
+    """Items of ``size`` words within the radius of a window over a shared shingle."""
+    s, out = index.sizes[size], set()
+    starts = np.unique((hits[:, None] - np.arange(m)).ravel())
+    starts = starts[(starts >= 0) & (starts <= len(g) - m)]
+    # runs of starts that lie close share one array of running sums
+    for run in np.split(starts, np.flatnonzero(np.diff(starts) > m) + 1):
+        a, b = run[0], run[-1] + m
+        c = np.zeros((b - a + 1, 64), np.float64)
+        np.cumsum(_weigh(g[a:b], place[a:b], index), axis=0, out=c[1:])
+        prints = simhash(np.round(c[run - a + m] - c[run - a], 4))
+        blocks = blocks_of(prints)
+        cand = np.zeros((len(run), len(s.items)), bool)
+        for j in range(BLOCKS):
+            cand |= s.near[j][blocks[:, j]]
+        row, col = np.nonzero(cand)
+        near = _ONES[blocks_of(prints[row] ^ s.prints[col])].sum(1) <= RADIUS
+        out |= {s.items[q] for q in np.unique(col[near]).tolist()}
+    return out
+
+
 def _scan(g: np.ndarray, place: np.ndarray, index: Index, width: int, least: float) -> list:
     """Hits (item, first word, words, distance, similarity) of one text; best window per item."""
     hits = np.flatnonzero(place >= 0)
-    shared = {n for x in set(place[hits].tolist()) for n in index.holders[x]}
+    # weight of the distinct shingles that each item shares with the whole text
+    kinds = np.unique(place[hits])
+    holders = [index.holders[x] for x in kinds.tolist()]
+    shared, which = np.unique(np.concatenate(holders), return_inverse=True)
+    weight = np.bincount(which, np.repeat(index.weights[kinds].astype(np.float64), [len(x) for x in holders]))
+    by_size = defaultdict(dict)
+    for n, x in zip(shared.tolist(), weight.tolist()):
+        by_size[index.items[n][1]][n] = x >= (least - 1e-6) * index.total[n]
     found = []
-    for size in sorted({index.items[n][1] for n in shared}):
-        if min(index.k, size) != width:
-            continue
-        s, m = index.sizes[size], min(size - width + 1, len(g))
-        starts = np.unique((hits[:, None] - np.arange(m)).ravel())
-        starts = starts[(starts >= 0) & (starts <= len(g) - m)]
-        # runs of starts that lie close share one array of running sums
-        for run in np.split(starts, np.flatnonzero(np.diff(starts) > m) + 1):
-            a, b = run[0], run[-1] + m
-            weight = np.where(place[a:b] >= 0, index.weights[place[a:b]], index.other)
-            c = np.zeros((b - a + 1, 64), np.float64)
-            np.cumsum(signs(g[a:b]) * weight[:, None], axis=0, out=c[1:])
-            prints = simhash(np.round(c[run - a + m] - c[run - a], 4))
-            blocks = blocks_of(prints)
-            cand = np.zeros((len(run), len(s.items)), bool)
-            for j in range(BLOCKS):
-                cand |= s.near[j][blocks[:, j]]
-            row, col = np.nonzero(cand)
-            dist = _ONES[blocks_of(prints[row] ^ s.prints[col])].sum(1)
-            near = dist <= RADIUS
-            row, col, dist = row[near], col[near], dist[near]
-            for q in np.unique(col).tolist():
-                n = s.items[q]
-                if n not in shared:
-                    continue
-                at = np.flatnonzero(np.isin(place[a:b], index.grams[n]))
-                rows = row[col == q]
-                lo = run[rows] - a
-                # weight of the distinct item shingles within each window
-                inside = (at >= lo[:, None]) & (at < lo[:, None] + m)
-                kinds, kind = np.unique(place[a + at], return_inverse=True)
-                has = np.zeros((len(rows), len(kinds)), bool)
-                for x in range(len(kinds)):
-                    has[:, x] = inside[:, kind == x].any(1)
-                sim = (has @ index.weights[kinds].astype(np.float64)) / index.total[n]
-                best = int(sim.argmax())
-                if sim[best] >= least - 1e-6:
-                    found.append((n, int(run[rows[best]]), size, int(dist[col == q][best]),
-                                  min(1.0, float(sim[best]))))
-    best = {}
-    for hit in found:
-        if hit[0] not in best or hit[4] > best[hit[0]][4]:
-            best[hit[0]] = hit
-    return list(best.values())
+    for size, items in sorted(by_size.items()):
+        m = min(size - width + 1, len(g))
+        near = _proposed(g, place, hits, index, size, m)
+        for n, enough in items.items():
+            if not enough and n not in near:
+                continue
+            first, similarity = _best_window(place, hits, index, n, m)
+            if similarity >= least - 1e-6:
+                window = slice(first, first + m)
+                f = simhash(np.round(_weigh(g[window], place[window], index).sum(0, dtype=np.float64), 4))
+                bits = int(_ONES[blocks_of(np.array([f ^ index.prints[n]], np.uint64))].sum())
+                found.append((n, first, size, bits, similarity))
+    return found
 
 
 def scan_texts(column: pa.Array, index: Index, least: float = SIMILARITY) -> list[tuple[int, list]]:

@@ -2,9 +2,11 @@
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 
 from refinery.llm import toxicity
+from refinery.llm.decontaminate import Index, scan_texts
 
 
 def _held_out(doc_id):
@@ -50,3 +52,40 @@ def test_cuts_have_the_best_f1_of_all_rows(spark):
         best = max(f1(of, 1 / (1 + 2.718281828459045 ** -(k / 100 + model.out_bias))) for k in range(-200, 200))
         assert f1(of, cut) >= best - 0.01
     assert set(model.thresholds) == {"en", "fr"}
+
+
+def test_near_copies_of_items_that_many_share():
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    common, *others = [rng.choice(vocabulary, 54).tolist() for _ in range(601)]
+    index = Index(list(range(900)), pa.array([" ".join(x) for x in [common] * 300 + others[:600]]))
+    for at in range(4, 46):
+        for words, want in ((list(common), set(range(300))), (list(others[at]), {300 + at})):
+            words[at] = words[at + 4] = "changed"       # at most nine of 50 shingles go: 0.82 stays
+            text = " ".join([*rng.choice(vocabulary, 80), *words, *rng.choice(vocabulary, 70)])
+            got = {h[0]: h for _, hs in scan_texts(pa.array([text]), index) for h in hs}
+            assert set(got) == want and all(71 <= h[1] <= 80 and 0.8 <= h[4] < 0.93 for h in got.values())
+
+
+def test_best_windows_equal_brute_force():
+    rng = np.random.default_rng(11)
+    items = [" ".join(rng.choice(list("abc"), n)) for n in (9, 12, 15, 15, 3)]
+    index = Index(list(range(len(items))), pa.array(items))
+    for _ in range(40):
+        words = rng.choice(list("abcd"), int(rng.integers(1, 90)), p=[0.32, 0.32, 0.32, 0.04]).tolist()
+        got = {h[0]: (h[1], round(h[4], 6)) for _, hs in scan_texts(pa.array([" ".join(words)]), index, 0.5) for h in hs}
+        want = {}
+        for n, item in enumerate(x.split() for x in items):
+            k = min(5, len(item))
+            held = {g: sum(g in {tuple(o[i:i + k]) for i in range(len(o) - k + 1)} for o in map(str.split, items)
+                           if min(5, len(o)) == k) for g in (tuple(item[i:i + k]) for i in range(len(item) - k + 1))}
+            weight = {g: np.log1p(len(items) / c) for g, c in held.items()}
+            grams = [tuple(words[i:i + k]) for i in range(len(words) - k + 1)]
+            m = min(len(item) - k + 1, len(grams))
+            sims = [sum(weight[x] for x in weight.keys() & set(grams[a:a + m])) / sum(weight.values())
+                    for a in range(len(grams) - m + 1)] if grams else [0]
+            best = max(sims)
+            if best >= 0.5 - 1e-6:
+                want[n] = (next(a for a, x in enumerate(sims) if x >= best - 1e-9), round(best, 6))
+        assert {n: w[0] for n, w in got.items()} == {n: w[0] for n, w in want.items()}
+        assert all(abs(got[n][1] - want[n][1]) < 1e-5 for n in want)
