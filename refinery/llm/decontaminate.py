@@ -68,14 +68,15 @@ class Index:
 
     def __init__(self, ids: list, texts: pa.Array, k: int = SHINGLE):
         self.k, self.items = k, []
-        grams = []
+        grams, texts_grams = [], []
         for row, data, off in text_slices(texts):
             h, w = hash_words(data, off)
             for i in range(len(off) - 1):
                 words = h[w[i]:w[i + 1]]
                 if len(words):
                     self.items.append((ids[row + i], len(words)))
-                    grams.append(np.unique(ngram_hashes(words, k)))
+                    texts_grams.append(ngram_hashes(words, k))      # every occurrence, as in a window
+                    grams.append(np.unique(texts_grams[-1]))
         found, counts = np.unique(np.concatenate(grams), return_counts=True) if grams else (
             np.zeros(0, np.uint64), np.zeros(0))
         # shingles that many items share say less about any of them
@@ -93,7 +94,9 @@ class Index:
                 self.holders[x].append(n)
             self.grams.append(at)
             self.total.append(float(self.weights[at].sum()))
-            self.prints.append(simhash((signs(g) * self.weights[at][:, None]).sum(0)))
+            every = texts_grams[n]
+            self.prints.append(simhash(np.round(_weigh(every, np.searchsorted(found, every), self)
+                                                .sum(0, dtype=np.float64), 4)))
             by_size[self.items[n][1]].append(n)
         dist = _ONES[np.arange(256)[:, None] ^ np.arange(256)]
         self.sizes = {}

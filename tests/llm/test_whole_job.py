@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 
 from refinery.llm import toxicity
-from refinery.llm.decontaminate import Index, scan_texts
+from refinery.llm.common import hash_words, ngram_hashes, text_slices
+from refinery.llm.decontaminate import Index, _proposed, scan_texts
 
 
 def _held_out(doc_id):
@@ -89,3 +90,23 @@ def test_best_windows_equal_brute_force():
                 want[n] = (next(a for a, x in enumerate(sims) if x >= best - 1e-9), round(best, 6))
         assert {n: w[0] for n, w in got.items()} == {n: w[0] for n, w in want.items()}
         assert all(abs(got[n][1] - want[n][1]) < 1e-5 for n in want)
+
+
+def test_verbatim_copies_of_repetitive_items_have_distance_zero():
+    rng = np.random.default_rng(9)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    items = []
+    for single, refrain, times in ((50, 5, 20), (40, 5, 12), (20, 5, 10)):
+        for _ in range(10):
+            items.append(" ".join([*rng.choice(vocabulary, single), *(rng.choice(vocabulary, refrain).tolist() * times)]))
+    index = Index(list(range(len(items))), pa.array(items))
+    for n, item in enumerate(items):
+        text = " ".join([*rng.choice(vocabulary, 80), item, *rng.choice(vocabulary, 70)])
+        (_, hits), = scan_texts(pa.array([text]), index)
+        assert [h[0] for h in hits] == [n] and hits[0][4] > 0.999
+        # the copy itself, not only the window of its distinct shingles, is proposed
+        g = ngram_hashes(hash_words(*next(text_slices(pa.array([item])))[1:])[0], 5)
+        place = index.places(g)
+        assert n in _proposed(g, place, np.flatnonzero(place >= 0), index, len(item.split()), len(g))
+        (_, hits), = scan_texts(pa.array([item]), index)
+        assert [(h[0], h[3]) for h in hits] == [(n, 0)]
