@@ -5,7 +5,9 @@ group gets a minimum-covariance-determinant estimate: the mean and covariance
 of the half-and-more of its documents whose spread is least, found by
 concentration steps from two deterministic starts. Each step keeps the share
 ``KEEP`` of smallest Mahalanobis distances and re-estimates from it; the start
-with the smaller determinant wins. Groups with few documents use the estimate of
+with the smaller determinant wins. The covariance that judges is then estimated
+anew from all documents of the group within ``CUTOFF`` of that start, so the
+group's own spread decides what is far. Groups with few documents use the estimate of
 their language, or of all documents. A document is rejected when its distance,
 given its length, is beyond ``CUTOFF``.
 
@@ -26,8 +28,12 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 #: Vector: log length first, then what is judged given the length.
 DIMS = ("length", "word_length", "symbols", "repeats", "dup_lines")
-#: Variance that every dimension has at least, as squared scales of the transformed values.
+#: Variance that the start's dimensions have besides their own, as squared scales of the
+#: transformed values: most groups' inner three quarters have no symbols or repeats at all.
 FLOORS = (0.05 ** 2, 0.06 ** 2, 0.40 ** 2, 0.70 ** 2, 0.60 ** 2)
+#: Variance that every dimension of the judging covariance has at least: one symbol, one
+#: 3-word window that occurs twice or one duplicate line in 50 words reject nothing alone.
+LEAST = (0.05 ** 2, 0.06 ** 2, 0.18 ** 2, 0.42 ** 2, 0.18 ** 2)
 KEEP = 0.75             # share of a group that estimates are made from
 STEPS = 3               # concentration steps per start
 MIN_GROUP = 200         # smaller groups use a wider one's estimate
@@ -74,8 +80,16 @@ def _vector() -> list[Column]:
             rate("n_repeat_words"), rate("n_dup_lines")]
 
 
-def _moments(rows: DataFrame, by: list[str], weight: Column | None = None) -> DataFrame:
-    """Group sizes, means and Cholesky factors of the (floored) covariance."""
+def _moments(rows: DataFrame, by: list[str], weight: Column | None = None,
+             least: tuple[float, ...] | None = None) -> DataFrame:
+    """Group sizes, means and Cholesky factors of the covariance.
+
+    ``FLOORS`` are added to the variances; with ``least``, variances below it are raised to it.
+    """
+    floors = least or FLOORS
+
+    def floored(c: Column, i: int) -> Column:
+        return F.greatest(c, F.lit(floors[i])) if least else F.greatest(c, F.lit(0.0)) + F.lit(floors[i])
     p = len(DIMS)
     if weight is not None:
         rows = rows.where(weight)
@@ -83,12 +97,11 @@ def _moments(rows: DataFrame, by: list[str], weight: Column | None = None) -> Da
     sums = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), *[F.avg(x[i]).alias(f"m{i}") for i in range(p)],
         *[F.avg(x[i] * x[j]).alias(f"s{i}{j}") for i in range(p) for j in range(i, p)])
-    out = sums.withColumns({f"c{i}{j}": F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")
-                            + (F.greatest(F.lit(FLOORS[i]), F.lit(0.0)) if i == j else F.lit(0.0))
-                            for i in range(p) for j in range(i, p)})
+    cov = {(i, j): F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}") for i in range(p) for j in range(i, p)}
+    out = sums.withColumns({f"c{i}{j}": floored(c, i) if i == j else c for (i, j), c in cov.items()})
     for j in range(p):          # columns of the factor; each refers to earlier ones by name
         diag = F.col(f"c{j}{j}") - sum((F.col(f"l{j}{k}") ** 2 for k in range(j)), F.lit(0.0))
-        out = out.withColumn(f"l{j}{j}", F.sqrt(F.greatest(diag, F.lit(FLOORS[j] / 2))))
+        out = out.withColumn(f"l{j}{j}", F.sqrt(F.greatest(diag, F.lit(floors[j] / 2))))
         if j + 1 < p:
             out = out.withColumns({f"l{i}{j}": (F.col(f"c{j}{i}") - sum(
                 (F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l{j}{j}")
@@ -144,10 +157,14 @@ def _mcd(rows: DataFrame) -> DataFrame:
     # the smaller determinant wins; a tie goes to the first start
     best = est.groupBy("g").agg(F.min(F.struct("det", "s")).alias("_b"))
     est = stored(est.join(best, "g").where("s = _b.s").drop("_b", "s"), "mcd-best")
-    scale = _quantile(_distances(rows, est, ["g"]), ["g"], "d2_given", 0.5, "mid")
+    def scales(est: DataFrame) -> DataFrame:
+        return (_quantile(_distances(rows, est, ["g"]), ["g"], "d2_given", 0.5, "mid")
+                .withColumn("scale", F.greatest(F.lit(1.0), F.col("mid") / CHI_MEDIAN)).drop("mid"))
+    # the judging estimate: all rows that the start does not call outliers
+    near = _distances(rows, est, ["g"]).join(scales(est), "g")
+    est = stored(_moments(near, ["g"], F.col("d2_given") <= CUTOFF * F.col("scale"), LEAST), "mcd-judging")
     size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("rows"))
-    return stored(est.join(scale, "g").join(size, "g")
-                  .withColumn("scale", F.greatest(F.lit(1.0), F.col("mid") / CHI_MEDIAN)).drop("mid"), "mcd-group")
+    return stored(est.join(scales(est), "g").join(size, "g"), "mcd-group")
 
 
 def _group(*parts: Column | str) -> Column:

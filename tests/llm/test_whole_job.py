@@ -8,6 +8,7 @@ import pyarrow as pa
 from refinery.llm import toxicity
 from refinery.llm.common import hash_words, ngram_hashes, text_slices
 from refinery.llm.decontaminate import Index, _proposed, scan_texts
+from refinery.llm.quality import quality_rules
 
 
 def _held_out(doc_id):
@@ -110,3 +111,23 @@ def test_verbatim_copies_of_repetitive_items_have_distance_zero():
         assert n in _proposed(g, place, np.flatnonzero(place >= 0), index, len(item.split()), len(g))
         (_, hits), = scan_texts(pa.array([item]), index)
         assert [(h[0], h[3]) for h in hits] == [(n, 0)]
+
+
+def test_repetition_or_symbols_alone_reject_in_a_clean_group(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgk" for b in ("a", "en", "ilo", "or") for c in "mnprstvz"]
+
+    def clean(n):
+        while True:
+            words = rng.choice(vocabulary, n).tolist()
+            if len({tuple(words[i:i + 3]) for i in range(n - 2)}) == n - 2:
+                return words
+    rows = [(i, " ".join(clean(int(rng.integers(80, 300))))) for i in range(400)]
+    for i in range(4):      # 45 % of the words in windows that occur twice, and 5 symbols in 100 words
+        words = clean(155)
+        rows += [(1000 + i, " ".join(words + words[:45])), (2000 + i, " ".join(clean(200)) + " " + "# " * 10)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_rules(docs).collect()}
+    assert 0.4 < got[1000]["n_repeat_words"] / got[1000]["n_words"] < 0.5
+    assert not any(r["base_failed"] for r in got.values())
+    assert {i for i, r in got.items() if not r["kept"]} == {i for i in got if i >= 1000}
