@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from refinery.llm.common import table
+from refinery.llm.conversation_repair import conversation_repair
 from refinery.llm.decontaminate import contaminated
+from refinery.llm.fim_frames import fim_digests
 from refinery.llm.hilbert_shards import hilbert_shards
 from refinery.llm.html_text import main_text
 from refinery.llm.licenses import scan_licenses
+from refinery.llm.minhash_tensor import near_duplicates
 from refinery.llm.mixing import soft_mixing
 from refinery.llm.ngram_join import ngram_components
+from refinery.llm.oracles import ORACLES  # noqa: F401  (read by the entry point)
 from refinery.llm.quality import quality_rules
 from refinery.llm.secrets import find_secrets
 from refinery.llm.toxicity import toxicity
@@ -59,11 +63,22 @@ def op10_boosted_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_fim_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_minhash_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_transactions, op2_license_scan, op3_hilbert_sharding, op4_conv_toxicity, op5_benchmark_decontamination,
         op6_robust_quality, op7_ngram_jaccard_join, op8_soft_mixing,
-        op9_entropy_secrets, op10_boosted_html_text)
+        op9_entropy_secrets, op10_boosted_html_text, op11_fim_frames, op12_minhash_tensor,
+        op13_conversation_repair)
 }
-
-ORACLES: dict[str, str] = {}
