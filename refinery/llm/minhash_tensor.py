@@ -12,7 +12,10 @@ with probability ``1 - (1 - (1 - J^3)^16)^2``: 2 in 100,000 at J = 0.8, 4 in a m
    costs 32 rows instead of 256.
 3. Star step: in each table key every document is paired with the smallest one. Linked
    pairs make components. This is linear in the size of a group.
-4. Rest: keys that still hold several components give the pairs between these.
+4. Rest: documents of keys that still hold several components. A large family of texts that
+   are alike, but mostly not alike enough, fills a key with documents that do not link; of
+   these only pairs of different components are formed that also share one of their rarest
+   shingles, as sets that reach the threshold must (size-derived prefix and position bounds).
 5. A pair whose 96 minhashes agree in fewer than half of the places is dropped (at
    J = 0.8 that happens once in 10^10 pairs); all others are confirmed on the full sets.
 """
@@ -29,13 +32,17 @@ from pyspark.sql import functions as F
 
 from refinery.llm.common import apart, map_arrow, shingle_sets, stored, tune
 from refinery.llm.components import connected_components
+from refinery.llm.ngram_join import _entries as prefix_entries
+from refinery.llm.ngram_join import _may_link as may_link
 from refinery.llm.ngram_join import _only as only_ids
+from refinery.llm.ngram_join import shingle_sketch
 
 SHINGLE = 2
 THRESHOLD = 80          # percent
 SIDE = 16               # groups in each of the two collections
 GROUP = 3               # minhashes in a group
 LEAST_AGREE = 48        # of the 96 minhashes, for a pair to be compared in full
+BATCH_ROWS = 200        # rows of an Arrow batch: pairs of whole texts travel in them
 
 _rng = np.random.default_rng(20250307)
 _XOR = _rng.integers(0, 1 << 64, 2 * SIDE * GROUP, np.uint64)
@@ -145,6 +152,28 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     return x.mapInArrow(run, "a long, b long").distinct()
 
 
+def _rest_pairs(docs: DataFrame, open_: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components among the documents ``open_`` (id, comp) whose
+    sizes and rarest shingles leave room for a link."""
+    if open_.isEmpty():
+        return open_.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    texts = stored(only_ids(docs, open_.select("id")), "minhash-open-texts")
+    order = docs.sparkSession.sparkContext.broadcast(shingle_sketch(texts, k))
+    entries = (prefix_entries(texts, order, k, percent).join(open_, F.col("doc_id") == F.col("id"))
+               .select("token", "id", "comp", "n", "pos"))
+    entries = stored(entries, "minhash-prefixes")
+    order.unpersist()
+    meeting = (entries.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+               .where("lo < hi").select("token"))
+    several = stored(entries.join(apart(meeting, "token"), "token"), "minhash-meeting")
+    s, t = several.alias("s"), several.alias("t")
+    n, m = F.col("s.n"), F.col("t.n")
+    return (s.join(t, (F.col("s.token") == F.col("t.token")) & (F.col("s.comp") != F.col("t.comp"))
+                   & ((n < m) | ((n == m) & (F.col("s.id") < F.col("t.id"))))
+                   & may_link(n, F.col("s.pos"), m, F.col("t.pos"), percent))
+            .select(F.least("s.id", "t.id").alias("a"), F.greatest("s.id", "t.id").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -157,7 +186,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD)
     repeat a doc_id are one document with the links of any of its rows. Other columns are
     left out. An empty table gives an empty result.
     """
-    tune(docs.sparkSession)
+    tune(docs.sparkSession).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     prof = stored(_signed(docs, k), "minhash-signed")
     sets = prof.where("set_key is not null and doc_id is not null")
@@ -186,16 +215,12 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD)
     links = ties.unionByName(_confirmed(stored(_agreeing(star, reps), "minhash-agree"), docs, k, percent))
     comp = stored(connected_components(stored(links, "minhash-links")), "minhash-components")
 
-    named = (shared.select("key", "id", "n").join(comp, F.col("id") == F.col("node"), "left")
-             .select("key", "id", "n", F.coalesce("root", "id").alias("comp")))
+    named = (shared.select("key", "id").join(comp, F.col("id") == F.col("node"), "left")
+             .select("key", "id", F.coalesce("root", "id").alias("comp")))
     mixed = (named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo < hi").select("key"))
-    open_ = stored(named.join(apart(mixed, "key"), "key"), "minhash-open")
-    s, t = open_.alias("s"), open_.alias("t")
-    rest = (s.join(t, (F.col("s.key") == F.col("t.key")) & (F.col("s.comp") != F.col("t.comp"))
-                   & (F.col("s.id") < F.col("t.id")) & _sizes_allow(F.col("s.n"), F.col("t.n"), percent))
-            .select(F.col("s.id").alias("a"), F.col("t.id").alias("b")).distinct()
-            .join(star, ["a", "b"], "left_anti"))
+    open_ = stored(named.join(apart(mixed, "key"), "key").select("id", "comp").distinct(), "minhash-open")
+    rest = stored(_rest_pairs(docs, open_, k, percent).join(star, ["a", "b"], "left_anti"), "minhash-rest")
     more = stored(_confirmed(stored(_agreeing(rest, reps), "minhash-agree"), docs, k, percent), "minhash-links")
     if not more.isEmpty():
         # links between components found so far, as links between their roots
