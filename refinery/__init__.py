@@ -8,7 +8,7 @@ incrementally by recomputing only the groups that the feed touched.
 
 from refinery.contracts import Contract, check, conform
 from refinery.session import build_session, work_dir
-from refinery.sources.tables import PartitionedTable, VersionedTable
+from refinery.sources.tables import IngestTable, PartitionedTable, VersionedTable
 
-__all__ = ["Contract", "PartitionedTable", "VersionedTable", "build_session", "check",
+__all__ = ["Contract", "IngestTable", "PartitionedTable", "VersionedTable", "build_session", "check",
            "conform", "work_dir"]

@@ -30,6 +30,7 @@ TYPE_NAMES = {
     "TIMESTAMP": T.TimestampType(),
     "TIMESTAMP_NTZ": T.TimestampNTZType(),
     "BOOLEAN": T.BooleanType(),
+    "MAP<STRING,LONG>": T.MapType(T.StringType(), T.LongType()),
 }
 
 _TEMPLATE = re.compile(r"\{([a-z_]+)\.([a-z_]+)\}")
@@ -152,6 +153,25 @@ def conform(df: DataFrame, contract: Contract, check_nulls: bool = True) -> Data
     return df.select(out)
 
 
+def row_fault(df: DataFrame, contract: Contract):
+    """Why a row does not fit its contract, as a column, or NULL where it fits: the rules of
+    :func:`conform` row by row, for callers that keep such rows aside."""
+    missing = missing_columns(df, contract)
+    if missing:
+        raise ContractError(f"{contract.full_name}: missing columns {missing}")
+    faults = [F.lit(None).cast("string")]
+    for c in contract.columns:
+        col, have = F.col(c.name), df.schema[c.name].dataType
+        if not c.nullable:
+            faults.append(F.when(col.isNull(), F.lit(f"null {c.name}")))
+        if have != c.spark_type:
+            faults.append(F.when(col.isNotNull() & col.try_cast(c.spark_type).isNull(),
+                                 F.lit(f"{c.name} is no {c.spark_type.simpleString()}")))
+        if isinstance(have, T.FractionalType) and isinstance(c.spark_type, T.IntegralType):
+            faults.append(F.when(col != F.floor(col), F.lit(f"{c.name} has a fraction")))
+    return F.coalesce(*faults)
+
+
 def check(df: DataFrame, contract: Contract) -> DataFrame:
     """Q5: one row per contract column, from one aggregate pass over ``df``.
 

@@ -25,10 +25,11 @@ from pyspark.sql import SparkSession
 
 from refinery.plans.cdc import CustomersCase
 from refinery.plans.changefeed import OrdersCase
+from refinery.plans.ingestion import pipeline_from
 from refinery.plans.pipeline import PipelineFailed, SalesPipeline
 from refinery.sources.tables import VersionedTable, log_operation
 from refinery.streaming.hourly import HOURLY_KEYS, run_hourly
-from refinery.streaming.ingest import ingest_available, last_batch, promote, read_rejected
+from refinery.streaming.ingest import ingest_available, last_batch, promote
 
 
 def _session(cfg: dict) -> SparkSession:
@@ -39,7 +40,9 @@ def _session(cfg: dict) -> SparkSession:
     return b.getOrCreate()
 
 
-def _sales(spark, cfg) -> SalesPipeline:
+def _sales(spark, cfg, contracts: str | None = None) -> SalesPipeline:
+    if contracts:
+        return pipeline_from(spark, cfg["path"]["root"], contracts, cfg)
     p = SalesPipeline(spark, cfg["path"]["root"])
     if "landing" in cfg["path"]:
         p.landing = f"{cfg['path']['landing'].rstrip('/')}/ventas"
@@ -58,8 +61,9 @@ def _stream_job(spark: SparkSession, root: str, args) -> str:
     name = Path(args.path.rstrip("/")).name
     bronze, log = f"{root}/bronze/stream/{name}", f"{root}/ops_log"
     if args.job == "stream_ingest":
-        rows = ingest_available(spark, args.path, args.schema, bronze, f"{root}/_checkpoints/{name}")
-        note = f"rejected={read_rejected(spark, bronze).count()} in all"
+        n = ingest_available(spark, args.path, args.schema, bronze, f"{root}/_checkpoints/{name}",
+                             max_files_per_trigger=args.max_files)
+        rows, note = n["kept"], f"rejected={n['rejected']} batches={n['batches']}"
     elif args.job == "promote_stream":
         # the last promoted micro-batch is stored next to the stream's checkpoint
         position = VersionedTable(spark, f"{root}/_checkpoints/{name}_promoted", keys=["stream"])
@@ -73,7 +77,8 @@ def _stream_job(spark: SparkSession, root: str, args) -> str:
             position.upsert(spark.createDataFrame([(name, newest)], "stream string, batch long"))
     else:
         gold = VersionedTable(spark, f"{root}/gold/stream/{name}_hourly", keys=HOURLY_KEYS)
-        counts = run_hourly(spark, args.path, args.schema, gold, f"{root}/_checkpoints/{name}_hourly")
+        counts = run_hourly(spark, args.path, args.schema, gold, f"{root}/_checkpoints/{name}_hourly",
+                            max_files_per_trigger=args.max_files)
         rows, note = counts["rows"], f"late={counts['late']} rejected={counts['rejected']}"
     log_operation(spark, log, "", args.job, name, "ok", rows, note)
     return f"rows {rows} {note}"
@@ -91,6 +96,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--rows", help="seed rows (parquet folder or .json)")
     ap.add_argument("--path", help="landing folder of one change batch / stream")
     ap.add_argument("--schema", help="DDL schema of the stream's files")
+    ap.add_argument("--max-files", type=int, help="files per micro-batch of a stream")
+    ap.add_argument("--contracts", help="folder of ingestion contracts for the batch sales jobs")
     ap.add_argument("--since", type=dt.date.fromisoformat, help="first ingestion day to promote")
     ap.add_argument("--keys", help="comma-separated key columns of a stream's rows")
     ap.add_argument("--order", help="column by which the latest row of a key wins")
@@ -100,9 +107,9 @@ def main(argv: list[str] | None = None) -> int:
     root = cfg["path"]["root"].rstrip("/")
     try:
         if args.job == "ingest_bronze":
-            _sales(spark, cfg).ingest_bronze()
+            _sales(spark, cfg, args.contracts).ingest_bronze()
         elif args.job == "promote_silver":
-            _sales(spark, cfg).promote_silver(ingested_since=args.since)
+            _sales(spark, cfg, args.contracts).promote_silver(ingested_since=args.since)
         elif args.job == "build_gold":
             _sales(spark, cfg).build_gold()
         elif args.job == "seed_orders":

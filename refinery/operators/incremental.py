@@ -3,8 +3,10 @@
 Instead of rebuilding the aggregate from the whole table, the feed says which
 groups changed since the last run; only those groups are recomputed from the
 table and swapped into Gold in one commit. The groups never leave the
-cluster: they stay a cached DataFrame of measured size and reach the recompute as a
-semi join, broadcast or shuffled as the planner sees fit (``joins.py``).
+cluster: they are written to a scratch table of known size and reach the recompute as a
+semi join. Where they are broadcast and the table is partitioned by the group, the scan reads
+only the folders of these groups (dynamic partition pruning); otherwise the table is shuffled
+after a runtime Bloom filter (``joins.py``).
 
 Recomputing from the table, not adding deltas, is the primary method because
 a replayed range then converges instead of double counting (A14 is built as a
@@ -17,12 +19,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from refinery.functions.money import cents, from_cents
 from refinery.functions.stamps import now_or
-from refinery.operators.joins import measured
+from refinery.operators.joins import written
 from refinery.operators.merge import (CHANGE_TYPE, DELETE, INSERT, UPDATE_POST,
                                       UPDATE_PRE)
 
@@ -136,7 +138,7 @@ def advance_pointer(control, dataset: str, version: int, change_rows: int,
     spark = control.spark
     row = (spark.createDataFrame([(dataset, version, change_rows)], CONTROL_DDL)
            .withColumn("_actualizado_at", now_or(stamp)))
-    control.upsert(row, keys=["dataset"], operation="POINTER", stamp=stamp, check_keys=False)
+    control.replace_where(F.col("dataset") == dataset, row, "POINTER", stamp)
 
 
 def propagate(source, gold, control, dataset: str, group_cols: Sequence[str],
@@ -171,18 +173,13 @@ def propagate(source, gold, control, dataset: str, group_cols: Sequence[str],
 
     feed = source.read_changes(pointer + 1, current)
     n = source.change_rows(pointer + 1, current)
-    groups, n_groups = measured(affected_groups(feed, group_cols))
-    try:
-        emptied = 0
-        if n_groups:
-            fresh = aggregate_groups(table, group_cols, groups, units, amount, stamp).persist()
-            try:
-                emptied = emptied_groups(fresh, groups, group_cols).count()
-                gold.replace_groups(groups, fresh, keys=group_cols,
-                                    operation="RECOMPUTE GROUPS", stamp=stamp)
-            finally:
-                fresh.unpersist()
-    finally:
-        groups.unpersist()
+    groups, n_groups = written(feed.where(_not_null(group_cols)), group_cols, "groups")
+    emptied = 0
+    if n_groups:
+        fresh_rows = Observation()
+        fresh = (aggregate_groups(table, group_cols, groups, units, amount, stamp)
+                 .observe(fresh_rows, F.count(F.lit(1)).alias("n")))
+        gold.replace_groups(groups, fresh, keys=group_cols, operation="RECOMPUTE GROUPS", stamp=stamp)
+        emptied = n_groups - int(fresh_rows.get["n"])       # one recomputed row per group left
     advance_pointer(control, dataset, current, n, stamp)
     return PropagateResult("incremental", current, n, n_groups, emptied)

@@ -80,6 +80,19 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return target.join(src.select(*keys), list(keys), "left_anti").unionByName(src)
 
 
+def full_outer_merge(target: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """K6 for a source as large as the target: source rows replace or join the target's.
+
+    One full outer join on the key. ``latest`` has unique keys and its plan may already be
+    partitioned by them (latest-per-key), which the join then uses; keys are not NULL.
+    """
+    cols = target.columns
+    old = target.select(*keys, F.struct(*cols).alias("_old"))
+    new = align(latest, cols).select(*keys, F.struct(*cols).alias("_new"))
+    return (old.join(new, list(keys), "full_outer").select(F.coalesce("_new", "_old").alias("_row"))
+            .select("_row.*"))
+
+
 def delete_frame(target: DataFrame, keys: Sequence[str] | None = None,
                  keys_df: DataFrame | None = None, condition: str | Column | None = None) -> DataFrame:
     """K5: drop the rows whose key is in ``keys_df``, or where ``condition`` is true.
@@ -216,41 +229,78 @@ def valid_changes(changes: DataFrame, keys: Sequence[str], op_col: str = "op_typ
     return changes.where(change_fault(keys, op_col).isNull())
 
 
+def fold_changes(changes: DataFrame, keys: Sequence[str], data: Sequence[str], seq_col: str, op_col: str) -> DataFrame:
+    """Change records folded to one row per key: keys, ``_last`` (the record of the highest
+    sequence, as a struct) and per data column ``_w_<column>`` = (sequence, value) of the
+    highest sequence that carried one.
+
+    An insert or update carries every column, NULL included; a delete carries those that it
+    fills. Records of one sequence are told apart by all their columns, so the fold does not
+    depend on the order of arrival. One aggregate with partial results before the shuffle.
+    """
+    is_del = F.upper(F.trim(F.col(op_col))) == "D"
+    order = F.struct(F.col(seq_col), *[F.col(c) for c in order_columns(changes, keys, [seq_col])[1:]])
+    record = F.struct(*[F.col(c) for c in changes.columns])
+    aggs = [F.max_by(record, order).alias("_last")]
+    for c in data:
+        carried = F.when(~is_del | F.col(c).isNotNull(), order)
+        aggs.append(F.max_by(F.struct(F.col(seq_col).alias("seq"), F.col(c).alias("value")), carried).alias(f"_w_{c}"))
+    return changes.groupBy(*keys).agg(*aggs)
+
+
 def cdc_merge_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                    seq_col: str = "_seq", op_col: str = "op_type",
-                   deleted_col: str = "is_deleted",
-                   time_col: str | None = None, deleted_at_col: str = "deleted_at") -> DataFrame:
+                   deleted_col: str = "is_deleted", time_col: str | None = None,
+                   deleted_at_col: str = "deleted_at", columns_col: str = "_column_seq") -> DataFrame:
     """K7: the rows a CDC batch writes into a soft-delete table.
 
-    ``changes`` carries the data columns, ``op_col`` in I/U/D and a sequence
-    ``seq_col``; ``target`` carries the data columns, ``seq_col`` and
-    ``deleted_col``. Per key only the change with the highest sequence counts,
-    and only when it is newer than the row already stored, so the order in
-    which batches arrive does not matter. ``D`` sets ``deleted_col`` and keeps
-    the row: its values are the delete record's image, and the stored values
-    where the record carries only the key. A later ``I``/``U`` revives the row.
-    When the target has ``deleted_at_col`` and the changes carry ``time_col``,
-    a delete stamps the change's time there (NULL on I/U).
+    ``changes`` carries the data columns, ``op_col`` in I/U/D and a sequence ``seq_col``;
+    ``target`` carries the data columns, ``seq_col``, ``deleted_col`` and ``columns_col``. The
+    record of the highest sequence says whether a row is deleted. An insert or update
+    replaces the row; a delete keeps it: each column has the value of the highest sequence that
+    carried one, so a delete with only its key keeps what is known, and an older record that
+    arrives after it still fills what it left open. ``columns_col`` (map, NULL on live rows)
+    remembers those sequences, which makes the result independent of the order in which records
+    and batches arrive (without that column a tombstone's values all count as its own). A later insert or update revives the row. When the target has
+    ``deleted_at_col`` and the changes carry ``time_col``, a delete stamps its time there.
+    Records of a sequence that is already applied change nothing.
     """
     stamped = time_col is not None and deleted_at_col in target.columns
-    skip = (seq_col, deleted_col) + ((deleted_at_col,) if stamped else ())
+    skip = (seq_col, deleted_col, columns_col) + ((deleted_at_col,) if stamped else ())
     changes = valid_changes(changes, keys, op_col)
     data = [c for c in target.columns if c not in skip and c not in keys]
-    latest = latest_per_key(changes, keys, [seq_col])
-    stored = (target.join(latest.select(*keys), list(keys), "left_semi")
+    folded = fold_changes(changes, keys, data, seq_col, op_col)
+    stored = (target.join(folded.select(*keys), list(keys), "left_semi")
               .select(*keys, F.struct(*target.columns).alias("_t")))
-    j = latest.join(stored, list(keys), "left")
-    fresh = j.where(F.col("_t").isNull() | (F.col(seq_col) > F.col(f"_t.{seq_col}")))
-    is_del = F.upper(F.col(op_col)) == F.lit("D")
-    out = [F.col(k) for k in keys]
+    j = folded.join(stored, list(keys), "left")
+    newer = F.col("_t").isNull() | (F.col(f"_last.{seq_col}") > F.col(f"_t.{seq_col}"))
+    is_del = F.when(newer, F.upper(F.trim(F.col(f"_last.{op_col}"))) == "D").otherwise(F.col(f"_t.{deleted_col}"))
+    remembers = columns_col in target.columns
+    writers, fills = {}, F.lit(False)
     for c in data:
-        out.append(F.when(is_del, F.coalesce(F.col(c), F.col(f"_t.{c}")))
-                   .otherwise(F.col(c)).alias(c))
-    out += [F.col(seq_col), is_del.alias(deleted_col)]
+        # a live row's columns are all of its own sequence; a tombstone's are in its map
+        held = F.col(f"_t.{seq_col}")
+        if remembers:
+            held = F.when(F.coalesce(F.col(f"_t.{deleted_col}"), F.lit(False)), F.col(f"_t.{columns_col}")[c]).otherwise(held)
+        mine = F.col(f"_w_{c}.seq")
+        wins = mine.isNotNull() & (held.isNull() | (mine > held))
+        fills = fills | wins
+        writers[c] = (F.when(wins, mine).otherwise(held), F.when(wins, F.col(f"_w_{c}.value")).otherwise(F.col(f"_t.{c}")))
+    out = [F.col(k) for k in keys]
+    out += [value.alias(c) for c, (_, value) in writers.items()]
+    out += [F.when(newer, F.col(f"_last.{seq_col}")).otherwise(F.col(f"_t.{seq_col}")).alias(seq_col),
+            is_del.alias(deleted_col)]
     if stamped:
-        out.append(F.when(is_del, F.col(time_col)).cast(target.schema[deleted_at_col].dataType)
-                   .alias(deleted_at_col))
-    return fresh.select(*out).select(*target.columns)
+        at = F.when(newer, F.col(f"_last.{time_col}")).otherwise(F.col(f"_t.{deleted_at_col}"))
+        out.append(F.when(is_del, at).cast(target.schema[deleted_at_col].dataType).alias(deleted_at_col))
+    if remembers:
+        held_by = F.map_filter(F.map_from_arrays(F.array(*[F.lit(c) for c in writers]),
+                                                 F.array(*[seq for seq, _ in writers.values()])),
+                               lambda _, seq: seq.isNotNull())
+        out.append(F.when(is_del, held_by).alias(columns_col))
+    # live rows are only replaced by newer records; tombstones also by what fills them
+    changed = newer | (F.col(f"_t.{deleted_col}") & fills)
+    return j.where(changed).select(*out).select(*target.columns)
 
 
 def cdc_merge_frame(target: DataFrame, changes: DataFrame, keys: Sequence[str], **kw) -> DataFrame:

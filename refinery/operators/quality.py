@@ -94,10 +94,14 @@ def reemission_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
                        (F.sum("copies") - F.count(F.lit(1))).alias("reemitted"))
 
 
-def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
-    """U1 + A12 (Q6): rows per layer, as a union of counts re-aggregated by layer."""
-    parts = [df.agg(F.count(F.lit(1)).alias("filas")).withColumn("capa", F.lit(name))
-             for name, df in layers.items()]
+def layer_counts(layers: Mapping[str, DataFrame | int]) -> DataFrame:
+    """U1 + A12 (Q6): rows per layer, as a union of counts re-aggregated by layer.
+
+    A layer is a frame, which is counted, or a number that its commit row already holds."""
+    spark = next(x for x in layers.values() if isinstance(x, DataFrame)).sparkSession
+    parts = [(spark.range(1).select(F.lit(x).cast("long").alias("filas")) if isinstance(x, int)
+              else x.agg(F.count(F.lit(1)).alias("filas"))).withColumn("capa", F.lit(name))
+             for name, x in layers.items()]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)

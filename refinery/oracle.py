@@ -114,7 +114,9 @@ ch AS (
   UNION ALL SELECT * REPLACE (CASE WHEN c_custkey % 3 = 1 THEN c_acctbal + 100.0
                                    ELSE c_acctbal END AS c_acctbal), 'D', 3 FROM base
             WHERE c_custkey % 5 = 2
-  UNION ALL SELECT *, 'I', 4 FROM base WHERE c_custkey % 7 = 2),
+  UNION ALL SELECT *, 'I', 4 FROM base WHERE c_custkey % 7 = 2
+  UNION ALL SELECT * REPLACE ('renamed ' || c_name AS c_name, CAST(NULL AS DOUBLE) AS c_acctbal), 'D', 6
+            FROM base WHERE c_custkey % 29 = 4),
 latest AS (
   SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
          CAST(_seq AS BIGINT) AS _seq, op_type = 'D' AS is_deleted,
@@ -154,13 +156,15 @@ def oracle_sql() -> dict[str, str]:
                      SELECT 1 FROM customer
                      UNION ALL SELECT 1 FROM customer WHERE c_custkey % 3 = 1
                      UNION ALL SELECT 1 FROM customer WHERE c_custkey % 5 = 2
-                     UNION ALL SELECT 1 FROM customer WHERE c_custkey % 7 = 2)
+                     UNION ALL SELECT 1 FROM customer WHERE c_custkey % 7 = 2
+                     UNION ALL SELECT unnest([5, 6]) FROM customer WHERE c_custkey % 29 = 4)
                    UNION ALL
                    SELECT 'rejected', COUNT(*) FILTER (WHERE c_custkey % 13 = 0)
                      + COUNT(*) FILTER (WHERE c_custkey % 19 = 0)
                      + COUNT(*) FILTER (WHERE c_custkey % 23 = 0) FROM customer)
             SELECT 'ingest' AS step, 'kept' AS kind, COUNT(*) AS n FROM lineitem
-            UNION ALL SELECT 'ingest', 'rejected', COUNT(*) FROM lineitem WHERE l_orderkey % 5 = 0
+            UNION ALL SELECT 'ingest', 'rejected', COUNT(*) FILTER (WHERE l_orderkey % 5 = 0)
+                        + COUNT(*) FILTER (WHERE l_orderkey % 23 = 0) FROM lineitem
             UNION ALL SELECT 'gold', 'kept', COUNT(*) FROM silver WHERE l_orderkey % 7 <> 0
                         AND l_shipdate IS NOT NULL
             UNION ALL SELECT 'gold', 'rejected', COUNT(*) FROM silver
@@ -173,6 +177,49 @@ def oracle_sql() -> dict[str, str]:
                    COUNT(*) FILTER (WHERE event_id % 7 = 0) AS second_rows,
                    COUNT(*) FILTER (WHERE event_id % 7 = 0 AND h IN (SELECT h FROM f)) AS late_rows
             FROM e""",
+        "operations_log": f"""
+            WITH silver AS ({TWO_DAYS}), {k_silver},
+            d AS (SELECT COUNT(*) FILTER (WHERE l_shipdate < DATE '1998-01-01') AS d1,
+                         COUNT(*) FILTER (WHERE l_shipdate IS NULL OR l_shipdate >= DATE '1998-01-01')
+                         + COUNT(*) FILTER (WHERE l_orderkey % 11 = 0) AS d2 FROM lineitem)
+            SELECT 'ingest_bronze' AS step, 'bronze.batch.ventas_raw' AS target, 'ok' AS status,
+                   'rejected=0' AS message, CAST(3 AS BIGINT) AS runs, greatest(d1, d2) AS most_rows FROM d
+            UNION ALL SELECT 'promote_silver', 'silver.batch.ventas', 'ok', '', 3, COUNT(*) FROM silver
+            UNION ALL SELECT 'build_gold', 'gold.batch.ventas_kpis', 'ok',
+                   'rejected=' || (SELECT COUNT(*) FROM silver WHERE l_shipdate IS NULL), 1, COUNT(*)
+                   FROM kpi WHERE fecha IS NOT NULL""",
+        "contract_ingestion": f"""SELECT {SALES_TEXT} FROM (
+            SELECT *, row_number() OVER (
+              PARTITION BY l_orderkey, l_linenumber
+              ORDER BY l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
+                       l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC, l_shipdate DESC) AS rn
+            FROM lineitem) WHERE rn = 1""",
+        "changes_function": f"""WITH {ORDERS}
+            SELECT 1 AS since, _change_type, COUNT(*) AS n FROM feed GROUP BY _change_type
+            UNION ALL SELECT 2, _change_type, COUNT(*) FROM feed WHERE _commit_version >= 2 GROUP BY _change_type""",
+        "feed_refused": f"""WITH {ORDERS}
+            SELECT "range", true AS refused, CAST(0 AS BIGINT) AS change_rows
+            FROM (SELECT unnest(['from version 0', 'beyond the newest', 'empty range']) AS "range")
+            UNION ALL SELECT 'whole', false, COUNT(*) FROM feed""",
+        "feed_gap_rebuild": GOLD + "SELECT *, 'cold,rebuild,incremental' AS modes FROM gold",
+        "distinct_groups": "SELECT DISTINCT o_orderstatus FROM orders WHERE o_orderkey % 29 <> 0",
+        "stream_drain": """
+            SELECT COUNT(*) AS kept, COUNT(DISTINCT event_id) AS events,
+                   COUNT(*) FILTER (WHERE event_id % 11 = 0) AS rejected, 3 AS batches, 0 AS batches_after
+            FROM events""",
+        "stream_dedup": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+        "stream_windows": f"""
+            WITH e AS (SELECT *, date_trunc('hour', ts) AS h, date_trunc('hour', ts) + INTERVAL 1 HOUR AS h_end,
+                              ts < TIMESTAMP '2024-01-16' AND event_id % 7 <> 0 AS one
+                       FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL),
+            w AS (SELECT date_trunc('milliseconds', MAX(ts) FILTER (WHERE one)) - INTERVAL 10 MINUTE AS w1,
+                         date_trunc('milliseconds', MAX(ts)) - INTERVAL 10 MINUTE AS w2 FROM e),
+            k AS (SELECT e.*, one OR h_end > w1 AS counted FROM e, w WHERE h_end <= w2)
+            SELECT h AS window_start, event_type, COUNT(*) FILTER (WHERE counted) AS n,
+                   {_money(f"SUM({_cents('value')}) FILTER (WHERE counted)")} AS value_sum,
+                   {_mean(f"SUM({_cents('value')}) FILTER (WHERE counted)", 'COUNT(*) FILTER (WHERE counted)')} AS value_avg,
+                   COUNT(*) FILTER (WHERE NOT counted) AS late
+            FROM k GROUP BY h, event_type""",
         "layer_counts": f"""
             WITH silver AS ({LATEST}), {k_silver}
             SELECT 'Bronze' AS capa, COUNT(*) AS filas FROM lineitem

@@ -7,17 +7,17 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from refinery.functions.stamps import now_or
-from refinery.operators.joins import measured
 from refinery.operators.merge import cdc_merge_rows, change_fault
 from refinery.plans import roles as R
 from refinery.plans.reports import customer_gold
 from refinery.sources.files import CORRUPT, add_ingest_metadata, read_change_files, write_jsonl
-from refinery.sources.tables import PartitionedTable, VersionedTable, log_operation, quarantine
+from refinery.sources.tables import IngestTable, VersionedTable, log_operation
 
 CHANGE_DDL = ("c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
               "c_mktsegment string, op_type string, _seq long, op_time timestamp")
+BRONZE_DDL = CHANGE_DDL + ", _ingested_at timestamp, _ingested_date date, _source_file string"
 
 
 @dataclass
@@ -27,16 +27,14 @@ class CustomersCase:
 
     def __post_init__(self):
         self.landing = f"{self.root}/landing/clientes"
-        # append-only: a change log is never replaced; replays are harmless
-        # because the merge keeps only the newest change per key. Day partitions
-        # let a batch be read back without scanning the whole history.
-        self.bronze = PartitionedTable(self.spark, f"{self.root}/bronze/cdc/clientes_raw",
-                                       partition_by=["_ingested_date"], append=True)
+        # a log of change records, one folder per landed batch: a batch that is ingested
+        # again replaces its own records, rejected ones included; no other is touched
+        self.bronze = IngestTable(self.spark, f"{self.root}/bronze/cdc/clientes_raw",
+                                  T._parse_datatype_string(BRONZE_DDL))
         self.silver = VersionedTable(self.spark, f"{self.root}/silver/cdc/clientes",
                                      contract=R.SILVER_CUSTOMERS)
         self.gold_table = VersionedTable(self.spark, f"{self.root}/gold/cdc/clientes_segmento",
                                          contract=R.GOLD_CUSTOMERS)
-        self.quarantine = f"{self.root}/quarantine/cdc"
         self.ops_log = f"{self.root}/ops_log"
 
     def land(self, changes: DataFrame, name: str) -> str:
@@ -46,38 +44,29 @@ class CustomersCase:
 
     def ingest_bronze(self, path: str, ingested_at: dt.datetime) -> DataFrame:
         """One landing batch of change files (S9) to Bronze (P1, K1); returns the batch."""
-        raw = read_change_files(self.spark, path, CHANGE_DDL)
-        fault = F.when(F.col(CORRUPT).isNotNull(), "corrupt record").otherwise(change_fault(R.CUSTOMER_KEYS))
-        rows = raw.withColumn("_fault", fault).withColumn("_source_file", F.col("_metadata.file_path")).persist()
-        try:
-            bad = rows.where("_fault IS NOT NULL")
-            record = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*[c for c in raw.columns if c != CORRUPT])))
-            n_bad = quarantine(bad, self.quarantine, "ingest_changes", F.col("_fault"), record,
-                               F.col("_source_file"), ingested_at)
-            good = rows.where("_fault IS NULL").drop(CORRUPT, "_fault")
-            self.bronze.write(add_ingest_metadata(good, ingested_at, ingested_at.date()))
-            log_operation(self.spark, self.ops_log, path, "ingest_changes", self.bronze.path, "ok",
-                          rows.count(), f"rejected={n_bad}", ingested_at)
-        finally:
-            rows.unpersist()
-        return (self.bronze.read()
-                .where(F.col("_ingested_date") == F.lit(ingested_at.date()))   # partition pruning
-                .where(F.col("_ingested_at") == now_or(ingested_at)))
+        rows = add_ingest_metadata(read_change_files(self.spark, path, CHANGE_DDL), ingested_at)
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        n = self.bronze.ingest(rows, ingested_at.date(), corrupt=CORRUPT, fault=change_fault(R.CUSTOMER_KEYS),
+                               batch=name)
+        log_operation(self.spark, self.ops_log, path, "ingest_changes", self.bronze.path, "ok",
+                      n["kept"], f"rejected={n['rejected']}", ingested_at)
+        return self.bronze.read(batch=name)
 
     def merge_silver(self, changes: DataFrame, stamp: dt.datetime | None = None) -> int:
-        """Apply a change batch with soft deletes."""
-        changes, n = measured(changes)
-        try:
-            if not self.silver.exists():
-                empty = self.spark.createDataFrame([], R.SILVER_CUSTOMERS.schema)
-                rows = cdc_merge_rows(empty, changes, R.CUSTOMER_KEYS, time_col="op_time")
-                v = self.silver.overwrite(rows, "CDC MERGE", stamp)
-            else:
-                rows = cdc_merge_rows(self.silver.read(), changes, R.CUSTOMER_KEYS, time_col="op_time")
-                v = self.silver.upsert(rows, R.CUSTOMER_KEYS, "CDC MERGE", stamp)
-        finally:
-            changes.unpersist()
-        log_operation(self.spark, self.ops_log, "", "promote_silver", self.silver.path, "ok", n, "", stamp)
+        """Apply a change batch with soft deletes.
+
+        The changes are folded to one row per key once; that row set is what the merge caches.
+        """
+        target = self.silver.read() if self.silver.exists() else None
+        if target is None:
+            target = self.spark.createDataFrame([], R.SILVER_CUSTOMERS.schema)
+        rows = cdc_merge_rows(target, changes, R.CUSTOMER_KEYS, time_col="op_time")
+        if not self.silver.exists():
+            v = self.silver.overwrite(rows, "CDC MERGE", stamp)
+        else:       # one row per key by construction
+            v = self.silver.upsert(rows, R.CUSTOMER_KEYS, "CDC MERGE", stamp, check_keys=False)
+        log_operation(self.spark, self.ops_log, "", "promote_silver", self.silver.path, "ok", self.silver.num_rows(),
+                      "", stamp)
         return v
 
     def promote_silver(self, since: dt.date | None = None, stamp: dt.datetime | None = None) -> int:
@@ -95,6 +84,7 @@ class CustomersCase:
     def build_gold(self, stamp: dt.datetime | None = None) -> int:
         """C3 as a table."""
         v = self.gold_table.overwrite(self.gold(), "OVERWRITE", stamp)
-        log_operation(self.spark, self.ops_log, "", "build_gold", self.gold_table.path, "ok", None, "", stamp)
+        log_operation(self.spark, self.ops_log, "", "build_gold", self.gold_table.path, "ok",
+                      self.gold_table.num_rows(), "", stamp)
         return v
 

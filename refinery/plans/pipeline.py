@@ -2,8 +2,9 @@
 
 Ingestion specs play the role of ingestion contracts: each names a source, a
 destination contract with a table of its own, and a strategy, and carries an
-``enabled`` switch. Rejected rows (corrupt landing lines, unparseable dates) go to
-quarantine tables with their reason and are counted in the operations log.
+``enabled`` switch; :mod:`refinery.plans.ingestion` makes them from JSON documents. Rejected
+rows (corrupt landing lines, null keys, unparseable dates) are kept with their reason and
+counted in the operations log.
 ``ingest_bronze`` and ``promote_silver`` run every enabled spec, collect the
 names that failed and raise if any did (after trying all of them).
 """
@@ -19,14 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.contracts import Contract
-from refinery.operators.joins import measured
+from refinery.operators.joins import measured, written
 from refinery.operators.merge import full_merge_frame, newer_rows
 from refinery.plans import roles as R
 from refinery.plans.gold import compute_kpis
 from refinery.sources.files import CORRUPT, add_ingest_metadata, read_jsonl, write_jsonl
 from refinery.functions.dates import as_date
-from refinery.sources.tables import (PartitionedTable, VersionedTable, log_operation,
-                                     quarantine)
+from refinery.functions.stamps import now_or
+from refinery.sources.tables import IngestTable, VersionedTable, log_operation
 
 
 @dataclass
@@ -56,14 +57,14 @@ class SalesPipeline:
 
     def __post_init__(self):
         self.landing = f"{self.root}/landing/ventas"
-        self.bronze = PartitionedTable(self.spark, f"{self.root}/bronze/batch/ventas_raw",
-                                       contract=R.BRONZE_SALES)
+        self.bronze = IngestTable(self.spark, f"{self.root}/bronze/batch/ventas_raw",
+                                  contract=R.BRONZE_SALES)
         self.silver = VersionedTable(self.spark, f"{self.root}/silver/batch/ventas",
                                      contract=R.SILVER_SALES)
         self.gold = VersionedTable(self.spark, f"{self.root}/gold/batch/ventas_kpis",
                                    contract=R.GOLD_KPIS)
         self.ops_log = f"{self.root}/ops_log"
-        self.quarantine = f"{self.root}/quarantine"
+        self.rejected_sales = VersionedTable(self.spark, f"{self.root}/quarantine/gold")
         # tables of the specs, by their contract's name
         self.tables = {R.BRONZE_SALES.full_name: self.bronze, R.SILVER_SALES.full_name: self.silver}
         self.bronze_specs = [IngestionSpec("ventas", self.landing, R.LANDING_SALES, R.BRONZE_SALES)]
@@ -71,11 +72,11 @@ class SalesPipeline:
                                            R.SILVER_SALES, merge_keys=tuple(R.SALES_KEYS),
                                            order=R.SALES_ORDER)]
 
-    def bronze_table(self, contract: Contract) -> PartitionedTable:
+    def bronze_table(self, contract: Contract) -> IngestTable:
         """The Bronze table of a contract, one folder each."""
         if contract.full_name not in self.tables:
             path = f"{self.root}/bronze/{contract.schema_name}/{contract.name}"
-            self.tables[contract.full_name] = PartitionedTable(self.spark, path, contract=contract)
+            self.tables[contract.full_name] = IngestTable(self.spark, path, contract=contract)
         return self.tables[contract.full_name]
 
     def silver_table(self, contract: Contract) -> VersionedTable:
@@ -105,8 +106,12 @@ class SalesPipeline:
 
     def ingest_bronze(self, ingested_at: dt.datetime | None = None,
                       ingested_date: dt.date | None = None, raise_on_failure: bool = True,
-                      table: PartitionedTable | None = None) -> list[str]:
-        """Landing (full load) -> Bronze, replacing the ingestion day's partition."""
+                      table: IngestTable | None = None) -> list[str]:
+        """Landing (full load) -> Bronze, replacing the ingestion day's folder.
+
+        The landing is read once and both outcomes are written in one job; rows that could
+        not be parsed or do not fit the contract (a null key) are in ``bronze.rejected()``.
+        """
         failed = []
         for spec in self.bronze_specs:
             if not spec.enabled:
@@ -114,18 +119,12 @@ class SalesPipeline:
             try:
                 raw = read_jsonl(self.spark, spec.source_path, spec.source_contract.schema,
                                  options=spec.options)
-                rows = raw.withColumn("_source_file", F.col("_metadata.file_path")).persist()
-                try:
-                    bad = rows.where(F.col(CORRUPT).isNotNull())
-                    n_bad = quarantine(bad, f"{self.quarantine}/landing", f"ingest_bronze {spec.name}",
-                                       F.lit("corrupt line"), F.col(CORRUPT), F.col("_source_file"), ingested_at)
-                    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-                    (table or self.bronze_table(spec.destination)).write(
-                        add_ingest_metadata(good, ingested_at, ingested_date))
-                    self._log("ingest_bronze", spec.destination.full_name, "ok", rows.count(),
-                              f"rejected={n_bad}", ingested_at)
-                finally:
-                    rows.unpersist()
+                at = ingested_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+                rows = add_ingest_metadata(raw, at)
+                n = (table or self.bronze_table(spec.destination)).ingest(
+                    rows, ingested_date or at.date(), corrupt=CORRUPT)
+                self._log("ingest_bronze", spec.destination.full_name, "ok", n["kept"],
+                          f"rejected={n['rejected']}", ingested_at)
             except Exception as exc:  # noqa: BLE001 - collected and re-raised below
                 failed.append(spec.name)
                 self._log("ingest_bronze", spec.destination.full_name, "failed", None,
@@ -167,8 +166,8 @@ class SalesPipeline:
                     if target is None or spec.delete_missing:
                         silver.overwrite(latest, "FULL MERGE", stamp)
                     else:
-                        silver.upsert(latest, spec.merge_keys, "FULL MERGE", stamp)
-                self._log("promote_silver", spec.destination.full_name, "ok", None, "", stamp)
+                        silver.merge_latest(latest, spec.merge_keys, "FULL MERGE", stamp)
+                self._log("promote_silver", spec.destination.full_name, "ok", silver.num_rows(), "", stamp)
             except Exception as exc:  # noqa: BLE001
                 failed.append(spec.name)
                 self._log("promote_silver", spec.destination.full_name, "failed", None,
@@ -182,30 +181,28 @@ class SalesPipeline:
 
         Without ``dates`` the whole table is recomputed; with a frame of touched dates
         (column ``fecha``) only their groups are recomputed and replaced. Sales whose
-        date text does not parse have no day: they are kept in the quarantine table
-        ``quarantine/gold``, rewritten with each full build, and counted in the log.
+        date text does not parse have no day: every build replaces ``rejected_sales`` by
+        those that Silver holds now (a scan of one column), and the log counts them.
         """
         silver = self.silver.read()
         day = as_date(silver, R.SALES_ROLE["date"])
+        why = F.when(F.col(R.SALES_ROLE["date"]).isNull(), "no date").otherwise("unparseable date")
+        self.rejected_sales.overwrite(
+            silver.where(day.isNull()).select(
+                why.alias("reason"), F.to_json(F.struct(*silver.columns)).alias("raw"),
+                F.col("_source_file").alias("source_file"), now_or(stamp).alias("quarantined_at")),
+            "REJECTED", stamp)
         if dates is not None and self.gold.exists():
-            dates, _ = measured(dates.select("fecha").where("fecha IS NOT NULL").distinct())
-            try:
-                touched = (silver.withColumn("fecha", day).join(dates, "fecha", "left_semi").drop("fecha"))
-                kpis = compute_kpis(touched, stamp=stamp, **R.SALES_ROLE)
-                v = self.gold.replace_groups(dates, kpis, keys=["fecha"], operation="RECOMPUTE DATES", stamp=stamp)
-            finally:
-                dates.unpersist()
-            self._log("build_gold", R.GOLD_KPIS.full_name, "ok", None, "touched dates", stamp)
-            return v
-        bad = silver.where(day.isNull())
-        path = f"{self.quarantine}/gold/{self.run_id}-{uuid.uuid4().hex[:6]}"
-        n_bad = quarantine(bad, path, "build_gold",
-                           F.when(F.col(R.SALES_ROLE["date"]).isNull(), "no date").otherwise("unparseable date"),
-                           F.to_json(F.struct(*silver.columns)), F.col("_source_file"), stamp)
-        self.rejected_sales = path
-        kpis = compute_kpis(silver.where(day.isNotNull()), stamp=stamp, **R.SALES_ROLE)
-        v = self.gold.overwrite(kpis, "OVERWRITE", stamp)
-        self._log("build_gold", R.GOLD_KPIS.full_name, "ok", None, f"rejected={n_bad}", stamp)
+            dates, _ = written(dates.where("fecha IS NOT NULL"), ["fecha"], "dates")
+            touched = silver.withColumn("fecha", day).join(dates, "fecha", "left_semi").drop("fecha")
+            kpis = compute_kpis(touched, stamp=stamp, **R.SALES_ROLE)
+            v = self.gold.replace_groups(dates, kpis, keys=["fecha"], operation="RECOMPUTE DATES", stamp=stamp)
+            what = "touched dates, "
+        else:
+            kpis = compute_kpis(silver.where(day.isNotNull()), stamp=stamp, **R.SALES_ROLE)
+            v, what = self.gold.overwrite(kpis, "OVERWRITE", stamp), ""
+        self._log("build_gold", R.GOLD_KPIS.full_name, "ok", self.gold.num_rows(),
+                  f"{what}rejected={self.rejected_sales.num_rows()}", stamp)
         return v
 
     def register_views(self) -> list[str]:

@@ -158,7 +158,8 @@ SILVER_CUSTOMERS = Contract.from_dict({
     "columns": _cols([("c_custkey", "LONG", False), ("c_name", "STRING", True),
                       ("c_nationkey", "INTEGER", True), ("c_acctbal", "DOUBLE", True),
                       ("c_mktsegment", "STRING", True), ("_seq", "LONG", True),
-                      ("is_deleted", "BOOLEAN", True), ("deleted_at", "TIMESTAMP", True)])})
+                      ("is_deleted", "BOOLEAN", True), ("deleted_at", "TIMESTAMP", True),
+                      ("_column_seq", "MAP<STRING,LONG>", True)])})
 GOLD_CUSTOMERS = Contract.from_dict({
     "name": "clientes_segmento", "schema": "cdc", "catalog": "gold", "keys": ["c_mktsegment"],
     "columns": _cols([("c_mktsegment", "STRING", True), ("active_customers", "LONG", True),
@@ -186,6 +187,20 @@ def customer_changes(customer: DataFrame) -> DataFrame:
     return every.withColumn("op_time", F.timestamp_seconds(F.lit(CDC_EPOCH) + F.col("_seq") * 3600))
 
 
+def key_only_deletes(customer: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Deletes that carry nothing but their key (sequence 6), and the older updates of the
+    same customers (sequence 5: a new name, no balance), for customers whose key % 29 is 4."""
+    base = customer_changes(customer).where("_seq = 1").where(F.col("c_custkey") % 29 == 4)
+    at = F.timestamp_seconds(F.lit(CDC_EPOCH) + F.col("_seq") * 3600)
+    bare = base.select("c_custkey", *[F.lit(None).cast(base.schema[c].dataType).alias(c)
+                                      for c in ("c_name", "c_nationkey", "c_acctbal", "c_mktsegment")],
+                       F.lit("D").alias("op_type"), F.lit(6).cast("long").alias("_seq")).withColumn("op_time", at)
+    older = (base.withColumn("_seq", F.lit(5).cast("long")).withColumn("op_type", F.lit("U"))
+             .withColumn("c_name", F.concat(F.lit("renamed "), "c_name"))
+             .withColumn("c_acctbal", F.lit(None).cast("double")).withColumn("op_time", at))
+    return bare, older
+
+
 def planted_changes(customer: DataFrame) -> DataFrame:
     """Change records that must be refused: an unknown operation, none, and a null key,
     all with a sequence that would win if they were applied."""

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,11 @@ from refinery.plans import roles as R
 from refinery.plans.cdc import CustomersCase
 from refinery.plans.changefeed import OrdersCase, run_standard, seeded_case, stamp_at
 from refinery.plans.gold import KPI_COLUMNS, compute_kpis
+from refinery.plans.ingestion import pipeline_from
 from refinery.plans.pipeline import SalesPipeline
 from refinery.session import work_dir
 from refinery.sources.files import add_ingest_metadata, read_jsonl, write_jsonl
-from refinery.sources.tables import PartitionedTable, VersionedTable
+from refinery.sources.tables import OPS_DDL, IngestTable, TableError, VersionedTable
 from refinery.streaming import hourly as H
 from refinery.streaming import ingest as S
 
@@ -41,6 +43,7 @@ EVENT_DDL = ("event_id long, ts timestamp_ntz, user_id long, event_type string,
              "value double, props string")
 DAY1, DAY2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 STREAM_SPLIT = dt.datetime(2024, 1, 16)
+CONTRACTS = Path(__file__).parent / "plans" / "contracts"
 
 
 # ---- batch sales ---------------------------------------------------------
@@ -66,7 +69,7 @@ def bronze_day_overwrite(spark, sf):
     p.ingest_bronze(at1, DAY1)
     p.ingest_bronze(at1, DAY1)          # same-day re-run: replaced, not duplicated
     p.ingest_bronze(at2, DAY2)
-    appended = PartitionedTable(spark, f"{root}/bronze/batch/ventas_append")
+    appended = IngestTable(spark, f"{root}/bronze/batch/ventas_append", contract=R.BRONZE_SALES, partitioned=False)
     p.ingest_bronze(at1, DAY1, table=appended)
     p.ingest_bronze(at1, DAY1, table=appended)   # no partition column: appends
     part = p.bronze.read().withColumn("table_kind", F.lit("partitioned"))
@@ -140,8 +143,9 @@ def two_contracts_bronze(spark, sf):
 
 
 def quarantine_counts(spark, sf):
-    """Q5: no row is lost. Planted corrupt lines, unparseable dates and bad change
-    operations: rows in = rows kept + rows rejected, per step."""
+    """Q5: no row is lost. Planted corrupt lines, null keys, unparseable dates and bad change
+    operations: rows in = rows kept + rows rejected, per step. Every step runs twice: a re-run
+    replaces what the first run kept and rejected."""
     root = work_dir(spark, "quarantine")
     p = SalesPipeline(spark, root)
     sales = R.sales_landing(R.load(spark, sf, "lineitem"))
@@ -150,20 +154,24 @@ def quarantine_counts(spark, sf):
     bad = sales.where(F.col("l_orderkey") % 5 == 0).select(
         F.concat(F.lit("{not json "), F.col("l_orderkey").cast("string")).alias("value"))
     bad.write.text(f"{p.landing}/bad")
-    p.ingest_bronze(dt.datetime(2024, 1, 1, 6), DAY1)
-    p.promote_silver(dt.datetime(2024, 1, 1, 6))
-    p.build_gold(dt.datetime(2024, 1, 1, 6))
+    p.land(sales.where(F.col("l_orderkey") % 23 == 0).withColumn("l_orderkey", F.lit(None).cast("long")), "unkeyed")
+    at = dt.datetime(2024, 1, 1, 6)
+    for _ in range(2):
+        p.ingest_bronze(at, DAY1)
+        p.promote_silver(at)
+        p.build_gold(at)
     case = _cdc_case(spark, sf, "quarantine_cdc")
+    case.merge_silver(case.ingest_bronze(f"{case.landing}/b1", dt.datetime(2024, 1, 3, 6)))
 
     def total(df: DataFrame, step: str, kind: str, n=F.count(F.lit(1))) -> DataFrame:
         return df.agg(F.coalesce(n, F.lit(0)).cast("long").alias("n")).select(
             F.lit(step).alias("step"), F.lit(kind).alias("kind"), "n")
     parts = [total(p.bronze.read(), "ingest", "kept"),
-             total(spark.read.parquet(f"{p.quarantine}/landing"), "ingest", "rejected"),
+             total(p.bronze.rejected(), "ingest", "rejected"),
              total(p.gold.read(), "gold", "kept", F.sum("num_ventas")),
-             total(spark.read.parquet(p.rejected_sales), "gold", "rejected"),
+             total(p.rejected_sales.read(), "gold", "rejected"),
              total(case.bronze.read(), "changes", "kept"),
-             total(spark.read.parquet(case.quarantine), "changes", "rejected")]
+             total(case.bronze.rejected(), "changes", "rejected")]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -195,10 +203,33 @@ def gold_touched_dates(spark, sf):
 
 
 def layer_counts(spark, sf):
-    """U1 + A12 + Q6: rows per layer after a full pipeline run."""
+    """U1 + A12 + Q6: rows per layer after a full pipeline run; Silver and Gold from their
+    commit rows, so none of their data is read."""
     p = _pipeline(spark, sf, "layers")
-    return Q.layer_counts({"Bronze": p.bronze.read(), "Silver": p.silver.read(),
-                           "Gold": p.gold.read()})
+    return Q.layer_counts({"Bronze": p.bronze.read(), "Silver": p.silver.num_rows(), "Gold": p.gold.num_rows()})
+
+
+def operations_log(spark, sf):
+    """Rows, status and note that each step of a two-day run with a correction wrote."""
+    p = _two_days(spark, sf, "ops_log", True)
+    p.build_gold(dt.datetime(2024, 1, 2, 6))
+    log = spark.read.schema(OPS_DDL).parquet(p.ops_log)
+    return (log.groupBy("step", "target", "status", "message")
+            .agg(F.count(F.lit(1)).alias("runs"), F.max("rows").alias("most_rows")))
+
+
+def contract_ingestion(spark, sf):
+    """S1 + S3 + E1 + E2 + E6 + K6: a pipeline made from JSON ingestion contracts alone (one
+    landing, one promotion, one landing that is switched off and whose source is missing)."""
+    root = work_dir(spark, "contracts")
+    config = {"path": {"landing": f"{root}/landing"}, "catalog": {"bronze": "bronze", "silver": "silver"}}
+    p = pipeline_from(spark, root, f"{CONTRACTS}/ingestion", config)
+    write_jsonl(R.sales_landing(R.load(spark, sf, "lineitem")), f"{root}/landing/lineas/a")
+    for at in (dt.datetime(2024, 1, 1, 6), dt.datetime(2024, 1, 2, 6)):
+        p.ingest_bronze(at, at.date())
+        p.promote_silver(at)
+    (spec,) = p.silver_specs
+    return p.silver_table(spec.destination).read().select(*SALES_COLS)
 
 
 def kpi_detail(spark, sf):
@@ -289,6 +320,48 @@ def change_type_counts(spark, sf):
     return inc.change_type_counts(case.source.read_changes(1))
 
 
+def changes_function(spark, sf):
+    """The feed as a SQL table function, from the first and from the second version."""
+    case = _feed_case(spark, sf, "feed_sql")
+    case.source.create_changes_function("changes")
+    return spark.sql("SELECT 1 AS since, _change_type, count(*) AS n FROM changes(1) GROUP BY _change_type "
+                     "UNION ALL SELECT 2, _change_type, count(*) FROM changes(2) GROUP BY _change_type")
+
+
+def feed_refused(spark, sf):
+    """reads of the feed that must be refused, beside one that is whole."""
+    case = _feed_case(spark, sf, "feed_refused")
+    rows = []
+    for name, bounds in (("from version 0", (0, 3)), ("beyond the newest", (1, 4)), ("empty range", (3, 2)),
+                         ("whole", (1, 3))):
+        try:
+            rows.append((name, False, case.source.read_changes(*bounds).count()))
+        except TableError:
+            rows.append((name, True, 0))
+    return spark.createDataFrame(rows, "range string, refused boolean, change_rows long")
+
+
+def feed_gap_rebuild(spark, sf):
+    """the middle one of three versions has no change rows (the feed was off), so the next
+    propagate rebuilds Gold; one more batch with the feed on is incremental again."""
+    case, rows = seeded_case(spark, work_dir(spark, "feed_gap"), R.load(spark, sf, "orders"))
+    modes = [case.propagate(stamp=stamp_at(1)).mode]
+    batch = R.valid_batch(case.source.read(0).drop("_updated_at"))
+    case.apply_batch({"updates": batch["updates"]}, stamp_at(2))
+    case.source.change_feed = False
+    case.apply_batch({"inserts": batch["inserts"]}, stamp_at(3))
+    case.source.change_feed = True
+    modes.append(case.propagate(stamp=stamp_at(4)).mode)
+    case.apply_batch({"deletes": batch["deletes"]}, stamp_at(5))
+    modes.append(case.propagate(stamp=stamp_at(6)).mode)
+    return case.gold.read().select(R.ORDER_GROUP, *inc.AGG_COLUMNS, F.lit(",".join(modes)).alias("modes"))
+
+
+def distinct_groups(spark, sf):
+    """A5: the groups of the table itself, rows without one left out."""
+    return inc.distinct_groups(_narrow_case(spark, sf, "groups").source.read(), [R.ORDER_GROUP])
+
+
 def _narrow_case(spark, sf, name) -> OrdersCase:
     """A seeded case whose feed touches two of the three states, and rows without a state:
     some 'O' orders become 'P' in version 1, some orders lose their state before."""
@@ -452,12 +525,14 @@ def contract_check(spark, sf):
 # ---- CDC customers -------------------------------------------------------
 def _cdc_case(spark, sf, name) -> CustomersCase:
     """Two landing batches arriving out of order: deletes and revivals first,
-    then the inserts and updates they supersede."""
+    then the inserts and updates they supersede. Deletes that carry only their key come before
+    the updates whose values they keep."""
     case = CustomersCase(spark, work_dir(spark, name))
     customer = R.load(spark, sf, "customer")
     changes = R.customer_changes(customer)
-    late = case.land(changes.where(F.col("_seq") >= 3).unionByName(R.planted_changes(customer)), "b1")
-    early = case.land(changes.where(F.col("_seq") < 3), "b2")
+    bare, older = R.key_only_deletes(customer)
+    late = case.land(changes.where(F.col("_seq") >= 3).unionByName(R.planted_changes(customer)).unionByName(bare), "b1")
+    early = case.land(changes.where(F.col("_seq") < 3).unionByName(older), "b2")
     for i, path in enumerate([late, early]):
         at = dt.datetime(2024, 1, 1 + i, 6)
         case.merge_silver(case.ingest_bronze(path, at), at)
@@ -467,7 +542,7 @@ def _cdc_case(spark, sf, name) -> CustomersCase:
 def cdc_soft_delete(spark, sf):
     """S9 + C1 + K7 + C2: final customers with soft-delete flags."""
     silver = _cdc_case(spark, sf, "cdc").silver.read()
-    return silver.withColumn("deleted_at", F.col("deleted_at").cast("timestamp_ntz"))
+    return silver.withColumn("deleted_at", F.col("deleted_at").cast("timestamp_ntz")).drop("_column_seq")
 
 
 def cdc_gold(spark, sf):
@@ -497,18 +572,75 @@ def stream_ingest(spark, sf):
     done = S.last_batch(spark, bronze)
     write_jsonl(ev, f"{root}/landing/w2")
     S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt)
-    if S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt) != 0:
+    if S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt)["kept"] != 0:
         raise RuntimeError("a third run with no new files must read nothing")
     S.promote(spark, bronze, silver, ["event_id"], "ts", after_batch=done)   # new batches only
     return silver.read().select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
+def stream_drain(spark, sf):
+    """S8 + T1: a backlog of five files drained two at a time (three micro-batches), with
+    malformed lines among them; every row in Bronze once, also after a restart."""
+    root = work_dir(spark, "drain")
+    ev = R.load(spark, sf, "events")
+    for i in range(4):
+        write_jsonl(ev.where(F.col("event_id") % 4 == i).coalesce(1), f"{root}/landing/w{i}")
+    ev.where(F.col("event_id") % 11 == 0).select(F.concat(F.lit("{bad "), "event_id").alias("value")).coalesce(1).write.text(
+        f"{root}/landing/bad")
+    bronze, ckpt = f"{root}/bronze/events", f"{root}/_checkpoints/bronze"
+    runs = [S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt, max_files_per_trigger=2) for _ in range(2)]
+    return (S.read_bronze(spark, bronze).agg(F.count(F.lit(1)).alias("kept"), F.countDistinct("event_id").alias("events"))
+            .crossJoin(S.read_rejected(spark, bronze).agg(F.count(F.lit(1)).alias("rejected")))
+            .select("kept", "events", "rejected", F.lit(runs[0]["batches"]).alias("batches"),
+                    F.lit(runs[1]["batches"]).alias("batches_after")))
+
+
+def stream_dedup(spark, sf):
+    """Events emitted again, in the same wave and in the next one (after a restart), reach
+    Bronze once; the state keeps five days of keys."""
+    root = work_dir(spark, "dedup")
+    ev = R.load(spark, sf, "events")
+    first = F.coalesce(F.col("ts") < F.lit(STREAM_SPLIT), F.lit(False))
+    recent = first & (F.col("ts") >= F.lit(STREAM_SPLIT - dt.timedelta(days=2)))
+    bronze, ckpt = f"{root}/bronze/events", f"{root}/_checkpoints/bronze"
+    args = dict(dedup_keys=["event_id"], event_time="ts", delay="5 days")
+    write_jsonl(ev.where(first).unionByName(ev.where(first & (F.col("event_id") % 5 == 0))), f"{root}/landing/w1")
+    S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt, **args)
+    write_jsonl(ev.where(~first).unionByName(ev.where(recent & (F.col("event_id") % 3 == 0))), f"{root}/landing/w2")
+    late = S.ingest_available(spark, f"{root}/landing", EVENT_DDL, bronze, ckpt, **args)["late"]
+    if late:
+        raise RuntimeError(f"{late} rows came more than five days late")
+    return S.read_bronze(spark, bronze).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+def stream_windows(spark, sf):
+    """T4: final hourly windows from a stateful stream with a watermark, over a restart. Every
+    seventh event comes a wave late: those whose window is closed by then are left out and counted."""
+    root = work_dir(spark, "windows")
+    ev = R.load(spark, sf, "events")
+    first = F.coalesce((F.col("ts") < F.lit(STREAM_SPLIT)) & (F.col("event_id") % 7 != 0), F.lit(False))
+    path, ckpt, landing = f"{root}/gold/windows", f"{root}/_checkpoints/windows", f"{root}/landing"
+    write_jsonl(ev.where(first), f"{landing}/w1")
+    H.run_windows(spark, landing, EVENT_DDL, path, ckpt)
+    write_jsonl(ev.where(~first), f"{landing}/w2")
+    closed = H.run_windows(spark, landing, EVENT_DDL, path, ckpt)
+    events = read_jsonl(spark, landing, EVENT_DDL).drop("_corrupt_record")
+    return (H.windows_with_late(H.read_windows(spark, path), events, closed)
+            .withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
+
+
 def stream_hourly(spark, sf):
-    """T4: hourly windows per event type from the stream, final values in Gold."""
+    """T4: hourly windows per event type from the stream, final values in Gold. The first wave
+    holds nothing but malformed lines and events without a type, which count in no hour."""
     root = work_dir(spark, "hourly")
-    ev = _land_events(spark, sf, root)
     gold = VersionedTable(spark, f"{root}/gold/events_hourly", keys=H.HOURLY_KEYS)
     ckpt = f"{root}/_checkpoints/hourly"
+    every = R.load(spark, sf, "events")
+    every.select(F.concat(F.lit("{bad "), "event_id").alias("value")).write.text(f"{root}/landing/bad")
+    write_jsonl(every.where(F.col("event_id") % 10 == 0).withColumn("event_type", F.lit(None).cast("string")),
+                f"{root}/landing/untyped")
+    H.run_hourly(spark, f"{root}/landing", EVENT_DDL, gold, ckpt)
+    ev = _land_events(spark, sf, root)
     H.run_hourly(spark, f"{root}/landing", EVENT_DDL, gold, ckpt)
     write_jsonl(ev, f"{root}/landing/w2")
     H.run_hourly(spark, f"{root}/landing", EVENT_DDL, gold, ckpt)
@@ -535,6 +667,15 @@ def late_events(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "operations_log": operations_log,
+    "contract_ingestion": contract_ingestion,
+    "changes_function": changes_function,
+    "feed_refused": feed_refused,
+    "feed_gap_rebuild": feed_gap_rebuild,
+    "distinct_groups": distinct_groups,
+    "stream_drain": stream_drain,
+    "stream_dedup": stream_dedup,
+    "stream_windows": stream_windows,
     "two_contracts_bronze": two_contracts_bronze,
     "quarantine_counts": quarantine_counts,
     "gold_touched_dates": gold_touched_dates,

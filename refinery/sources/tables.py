@@ -21,12 +21,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 import datetime as dt
+import re
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
-from refinery.contracts import Contract, conform
+from refinery.contracts import Contract, conform, row_fault
 from refinery.functions.stamps import now_or
 from refinery.operators import merge as M
 from refinery.operators.joins import measured
@@ -35,6 +37,8 @@ COMMIT_DDL = ("version long, committed_at timestamp, operation string, "
               "num_rows long, num_changes long")
 COMMIT_TS = "_commit_timestamp"
 COMMIT_VERSION = "_commit_version"
+FEED_FIELDS = [T.StructField(M.CHANGE_TYPE, T.StringType()), T.StructField(COMMIT_TS, T.TimestampType()),
+               T.StructField(COMMIT_VERSION, T.IntegerType())]
 
 
 class TableError(RuntimeError):
@@ -65,20 +69,35 @@ class VersionedTable:
         try:
             return (self.spark.read.schema(COMMIT_DDL + ", _v long")
                     .parquet(f"{self.path}/commits").drop("_v"))
-        except AnalysisException:
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":      # only a missing folder is "no table"
+                raise
             return self.spark.createDataFrame([], COMMIT_DDL)
 
     def current_version(self) -> int | None:
-        """Newest committed version, or None (O2 as a max aggregate)."""
-        self._version = self.history().agg(F.max("version")).first()[0]
+        """Newest committed version, or None, from the names of the commit files (one
+        small file per version): no job runs."""
+        found = (re.search(r"/_v=(\d+)/", f) for f in self.history().inputFiles())
+        self._version = max((int(m.group(1)) for m in found if m), default=None)
         self._version_read = True
         return self._version
 
+    def commit_row(self, version: int):
+        """The commit row of one version (only its file is read)."""
+        return self.spark.read.schema(COMMIT_DDL).parquet(f"{self.path}/commits/_v={version}").first()
+
+    def num_rows(self, version: int | None = None) -> int:
+        """A12 from the commit row: rows of one version, without reading its data."""
+        v = self.known_version() if version is None else version
+        return 0 if v is None else int(self.commit_row(v)["num_rows"])
+
     def change_rows(self, starting_version: int, ending_version: int) -> int:
         """A6 from the commit rows: change rows recorded for versions start..end."""
-        n = (self.history().where(F.col("version").between(starting_version, ending_version))
-             .agg(F.sum("num_changes")).first()[0])
-        return int(n or 0)
+        if starting_version > ending_version:
+            return 0
+        files = [f"{self.path}/commits/_v={v}" for v in range(starting_version, ending_version + 1)]
+        rows = self.spark.read.schema(COMMIT_DDL).parquet(*files).select("num_changes").collect()
+        return sum(r[0] for r in rows)
 
     def known_version(self) -> int | None:
         """The newest version this object has seen or written (reads it once if unknown)."""
@@ -125,9 +144,14 @@ class VersionedTable:
             raise TableError(f"{self.path}: no versions from {starting_version} to {ending_version}")
         folders = [f"{self.path}/changes/{COMMIT_VERSION}={v}"
                    for v in range(starting_version, ending_version + 1)]
+        reader = self.spark.read.option("basePath", f"{self.path}/changes")
+        if self.contract is not None:       # declared types: no file is opened to infer them
+            reader = reader.schema(T.StructType(self.contract.schema.fields + FEED_FIELDS))
         try:
-            return self.spark.read.option("basePath", f"{self.path}/changes").parquet(*folders)
+            return reader.parquet(*folders)
         except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             raise TableError(f"{self.path}: change rows of versions {starting_version} to "
                              f"{ending_version} are not all there") from exc
 
@@ -155,6 +179,23 @@ class VersionedTable:
         self.read_changes(starting_version, ending_version).createOrReplaceTempView(name)
         return name
 
+    def create_changes_function(self, name: str, upto: int | None = None) -> str:
+        """The feed as a SQL table function, ``SELECT ... FROM name(v)``: the change rows of
+        version ``v`` on, up to the newest (or ``upto``). The version is a partition column, so
+        only the folders from ``v`` on are read. Versions before 1 and after the newest are refused
+        when the call runs."""
+        feed = self.read_changes(1, upto)
+        last = self.known_version() if upto is None else upto
+        view = self.create_changes_view(f"{name}_feed", 1, upto)
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in feed.schema.fields)
+        names = ", ".join(f"`{c}`" for c in feed.columns)
+        self.spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(starting BIGINT) RETURNS TABLE({cols}) RETURN "
+            f"SELECT {names} FROM {view} WHERE {COMMIT_VERSION} >= starting AND "
+            f"CASE WHEN starting BETWEEN 1 AND {last} THEN true ELSE raise_error("
+            f"'no change rows from version ' || coalesce(string(starting), 'null')) END")
+        return name
+
     # ---- writes --------------------------------------------------------
     def overwrite(self, df: DataFrame, operation: str = "WRITE",
                   stamp: dt.datetime | None = None) -> int:
@@ -201,6 +242,24 @@ class VersionedTable:
             if matched is not None:
                 matched.unpersist()
 
+    def merge_latest(self, latest: DataFrame, keys: Sequence[str] | None = None,
+                     operation: str = "FULL MERGE", stamp: dt.datetime | None = None) -> int:
+        """K6: merge a source that holds one row per key by construction (``latest_per_key``).
+
+        For sources as large as the table: one full outer join, for which each side is
+        shuffled once by the key; the source's shuffle is the one its latest-per-key window
+        already made. Nothing is cached and the keys are not counted again.
+        """
+        keys = list(keys or self.keys)
+        v = self._next_version()
+        if v == 0:
+            return self.overwrite(latest, operation, stamp)
+        old = self.read(v - 1)
+        new = M.full_outer_merge(old, self._conform(latest), keys)
+        changes = ((lambda written: M.diff_changes(self.read(v - 1), written(), keys))
+                   if self.change_feed else None)
+        return self._commit(v, new, changes, operation, stamp)
+
     def delete(self, keys_df: DataFrame | None = None, condition=None,
                keys: Sequence[str] | None = None, operation: str = "DELETE",
                stamp: dt.datetime | None = None, skip_empty: bool = False) -> int:
@@ -278,6 +337,18 @@ class VersionedTable:
                    if self.change_feed else None)
         return self._commit(v, new, changes, operation, stamp)
 
+    def replace_where(self, condition: Column, rows: DataFrame, operation: str = "REPLACE",
+                      stamp: dt.datetime | None = None) -> int:
+        """Rows that meet ``condition`` are replaced by ``rows``, without a join."""
+        v = self._next_version()
+        rows = self._conform(rows)
+        if v == 0:
+            return self._commit(v, rows, None, operation, stamp)
+        old = self.read(v - 1)
+        new = M.delete_frame(old, condition=condition).unionByName(rows.select(old.columns))
+        changes = ((lambda written: M.diff_changes(old, written(), self.keys)) if self.change_feed else None)
+        return self._commit(v, new, changes, operation, stamp)
+
     # ---- internals -----------------------------------------------------
     def _snapshot(self, v: int) -> str:
         return f"{self.path}/snapshot/_v={v}"
@@ -301,6 +372,7 @@ class VersionedTable:
         (self.spark.createDataFrame([(v, ts, operation, num_rows, num_changes)], COMMIT_DDL)
          .coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/commits/_v={v}"))
         self._version, self._version_read = v, True
+        self.last_rows = num_rows       # for the operations log
         return v
 
 
@@ -353,18 +425,86 @@ class PartitionedTable:
         return self.spark.read.parquet(self.path)
 
 
-QUARANTINE_DDL = "step string, reason string, raw string, source_file string"
+KEPT, REJECTED = "kept", "rejected"
+STATUS, REASON, RAW, BATCH, DAY = "_status", "_reason", "_raw", "_batch", "_ingested_date"
+REJECTED_COLUMNS = ["reason", "raw", "source_file", DAY]
 
 
-def quarantine(rows: DataFrame, path: str, step: str, reason, raw, source_file=None,
-               stamp: dt.datetime | None = None) -> int:
-    """Append rejected rows (their reason, raw text and file) to a quarantine table; returns how many."""
-    obs = Observation()
-    out = rows.select(F.lit(step).alias("step"), reason.alias("reason"), raw.cast("string").alias("raw"),
-                      (F.lit(None).cast("string") if source_file is None else source_file).alias("source_file"))
-    (out.withColumn("quarantined_at", now_or(stamp)).observe(obs, F.count(F.lit(1)).alias("n"))
-     .write.mode("append").parquet(path))
-    return int(obs.get["n"])
+class IngestTable:
+    """A Bronze table that takes every row of an ingest: fitting ones and rejected ones.
+
+    One job reads the landing once and writes both outcomes; the outcome is a partition
+    column (``_status``), below the ingestion day::
+
+        _ingested_date=D/_status=kept|rejected/              one full load a day
+        _batch=B/_ingested_date=D/_status=kept|rejected/     a log, one folder per landed batch
+
+    The folder of the day (or batch) is replaced as a whole, rejected rows included, so a
+    re-run neither doubles nor keeps stale ones. A table without partitions appends.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 contract: Contract | None = None, partitioned: bool = True):
+        self.spark, self.path, self.contract = spark, path.rstrip("/"), contract
+        self.schema = contract.schema if contract else schema
+        self.partitioned = partitioned
+
+    def ingest(self, rows: DataFrame, day: dt.date, corrupt: str | None = None, fault: Column | None = None,
+               batch: str | None = None) -> dict[str, int]:
+        """Write one run's rows; returns how many were kept and rejected.
+
+        ``rows`` carries the table's columns but the day. Rows are rejected that could not be
+        parsed (``corrupt``, the column with their text), that have the caller's ``fault``, or that
+        do not fit the contract (null in a NOT NULL column, a value that is no such type).
+        """
+        data = [f for f in self.schema.fields if f.name != DAY]
+        why = [F.when(F.col(corrupt).isNotNull(), "corrupt line")] if corrupt else []
+        why += [fault] if fault is not None else []
+        if self.contract is not None:
+            why.append(row_fault(rows.withColumn(DAY, F.lit(day)), self.contract))
+        reason = F.coalesce(*why, F.lit(None).cast("string"))
+        text = F.to_json(F.struct(*[f.name for f in data if f.name not in ("_ingested_at", "_source_file")]))
+        raw = F.coalesce(F.col(corrupt), text) if corrupt else text
+        tested = rows.withColumn(REASON, reason)
+        out = tested.select(
+            *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in data], REASON,
+            F.when(F.col(REASON).isNotNull(), raw).alias(RAW),
+            F.when(F.col(REASON).isNull(), KEPT).otherwise(REJECTED).alias(STATUS))
+        obs = Observation()
+        out = out.observe(obs, F.count(F.lit(1)).alias("n"), F.count(REASON).alias("bad"))
+        if not self.partitioned:
+            out.withColumn(DAY, F.lit(day)).write.mode("append").partitionBy(STATUS).parquet(self.path)
+        elif batch is None:
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy(STATUS).parquet(f"{self.path}/{DAY}={day.isoformat()}"))
+        else:
+            (out.withColumn(DAY, F.lit(day)).write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy(DAY, STATUS).parquet(f"{self.path}/{BATCH}={batch}"))
+        found = obs.get
+        return {KEPT: int(found["n"] - found["bad"]), REJECTED: int(found["bad"])}
+
+    def _all(self) -> DataFrame:
+        extra = [T.StructField(n, T.StringType()) for n in (REASON, RAW, STATUS, BATCH)]
+        fields = [f for f in self.schema.fields if f.name != DAY] + [T.StructField(DAY, T.DateType())]
+        # declared types, nullable: rejected rows lack what they were rejected for
+        return self.spark.read.schema(T.StructType(
+            [T.StructField(f.name, f.dataType) for f in fields] + extra)).parquet(self.path)
+
+    def read(self, batch: str | None = None) -> DataFrame:
+        """The rows that were kept, in the declared order; ``batch`` reads one landed batch."""
+        rows = self._all().where(F.col(STATUS) == KEPT)
+        if batch is not None:
+            rows = rows.where(F.col(BATCH) == batch)
+        names = [f.name for f in self.schema.fields]
+        return rows.select(*names, *([] if DAY in names else [DAY]))
+
+    def rejected(self) -> DataFrame:
+        """Rejected rows: reason, raw text, source file, ingestion day."""
+        return self._all().where(F.col(STATUS) == REJECTED).select(
+            F.col(REASON).alias("reason"), F.col(RAW).alias("raw"), F.col("_source_file").alias("source_file"), DAY)
+
+
+QUARANTINE_DDL = "step string, reason string, raw string, source_file string"
 
 
 OPS_DDL = ("run_id string, step string, target string, status string, "
