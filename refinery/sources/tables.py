@@ -191,9 +191,8 @@ class VersionedTable:
         names = ", ".join(f"`{c}`" for c in feed.columns)
         self.spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(starting BIGINT) RETURNS TABLE({cols}) RETURN "
-            f"SELECT {names} FROM {view} WHERE {COMMIT_VERSION} >= starting AND "
-            f"CASE WHEN starting BETWEEN 1 AND {last} THEN true ELSE raise_error("
-            f"'no change rows from version ' || coalesce(string(starting), 'null')) END")
+            f"SELECT {names} FROM {view} WHERE {COMMIT_VERSION} >= CASE WHEN starting BETWEEN 1 AND {last} "
+            f"THEN starting ELSE raise_error('no change rows from version ' || coalesce(string(starting), 'null')) END")
         return name
 
     # ---- writes --------------------------------------------------------
