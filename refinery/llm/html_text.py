@@ -23,6 +23,9 @@ from refinery.llm.common import in_one_task, map_arrow, tune
 
 #: Bounds of the training sample: pages, and bytes of a training page.
 TRAIN_PAGES, TRAIN_BYTES = 150, 30_000
+#: Text of composed layouts where the sampled pages have none.
+FILLER = ("The first paragraph says what the page is about.", "A second one goes on with the matter, at more length.",
+          "Short ones follow.", "The last paragraph draws what was said before together.")
 LAYOUTS = 4             # composed layouts per sampled page
 TREES, DEPTH, BINS, RATE = 40, 4, 32, 0.3
 
@@ -32,7 +35,7 @@ BLOCKS = frozenset(
     "blockquote pre figure figcaption nav header footer aside form fieldset details summary address hgroup center menu "
     "dialog hr".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
-UNSEEN = frozenset("head script style template noscript iframe svg math object select textarea button title".split())
+UNSEEN = frozenset("head script style template noscript iframe svg select textarea button title".split())
 RAW = frozenset("script style title textarea".split())
 CONTROLS = frozenset("input select textarea button label".split())
 PAGE_PARTS = frozenset("nav header footer aside form fieldset menu dialog".split())
@@ -321,7 +324,19 @@ def extract(pages: list[Page], model: Trees) -> list[str]:
     if not len(x):
         return ["" for _ in pages]
     kept = decode(log_odds(x, model), parent, depth, first)
-    return ["\n\n".join(t for at, t in p.runs if kept[o + at]) for p, o in zip(pages, first)]
+    out = []
+    for p, o in zip(pages, first):
+        texts = [t for at, t in p.runs if kept[o + at]]
+        # a page that marks no part of itself as anything else is its own article
+        out.append("\n\n".join(texts if texts or not _unmarked(p) else [t for _, t in p.runs]))
+    return out
+
+
+def _unmarked(p: Page) -> bool:
+    """No element or attribute of the page says that it is a part beside an article."""
+    apart = PAGE_PARTS | CONTROLS | LISTS
+    return not any(t in apart for t in p.tag) and not any(
+        _tokens(a)[0] or _HIDDEN.search(a) for a in set(p.attrs) if a)
 
 
 # ---- training pages ---------------------------------------------------------
@@ -421,9 +436,8 @@ def train(sources: list[str], seed: int = 11, layouts: int = LAYOUTS) -> Trees |
             pages.append(p)
             labels.append(y)
         texts.append([t for _, t in p.runs if len(t) >= 20])
-    everything = [t for ts in texts for t in ts]
-    if not everything:
-        return None
+    # a sample of nothing but short runs still gives a model
+    everything = [t for ts in texts for t in ts] or list(FILLER)
     for ts in texts:
         for _ in range(layouts):
             p = parse(compose(ts if len(ts) > 3 else everything, rng))
@@ -438,10 +452,17 @@ def train(sources: list[str], seed: int = 11, layouts: int = LAYOUTS) -> Trees |
 
 
 def fit_extractor(pages: DataFrame, rows: int = TRAIN_PAGES, most_bytes: int = TRAIN_BYTES) -> Trees | None:
-    """Train on the ``rows`` pages of smallest id hash among those of at most ``most_bytes`` bytes."""
-    sample = (pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html"))
-              .where(F.octet_length("html") <= most_bytes)
-              .orderBy(F.xxhash64("page_id"), "page_id").limit(rows))
+    """Train on ``rows`` pages, those of at most ``most_bytes`` bytes first, by id hash.
+
+    Of a larger page the training sample takes the start, cut at a tag; every page is
+    extracted whole. None only where no page has html.
+    """
+    html = F.col("html").cast("string")
+    whole = F.octet_length("html") <= most_bytes
+    start = F.regexp_replace(F.left("html", F.lit(most_bytes // 4)), r"<[^<>]*\z", "")
+    sample = (pages.select(F.col("page_id").cast("long").alias("page_id"), html.alias("html")).where("html is not null")
+              .orderBy(~whole, F.xxhash64("page_id"), "page_id").limit(rows)
+              .select(F.when(whole, F.col("html")).otherwise(start).alias("html")))
     return in_one_task(sample, lambda t: train(sorted(t.column("html").to_pylist())))
 
 
@@ -450,7 +471,7 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Null or empty html gives an empty text; repeated rows give equal texts; pages
     without markup are one block; an empty table gives no rows. Nothing of the kept
-    blocks is cut.
+    blocks is cut, however long or deeply nested the page is.
     """
     tune(pages.sparkSession)
     model = pages.sparkSession.sparkContext.broadcast(fit_extractor(pages))

@@ -118,24 +118,29 @@ def parse_expression(tokens: list[str]) -> list[str]:
 def evaluate(postfix: list[str]) -> tuple[float, set[str]]:
     """(freedom, labels): ``and`` binds to the stricter side, ``or`` leaves the freer choice,
     ``with`` adds an exception to its license."""
-    stack = []
+    stack, labels = [], set()
     for t in postfix:
         if t in ("and", "or", "with"):
             (b, lb), (a, la) = stack.pop(), stack.pop()
-            if t == "with":
+            if t == "with":         # the exception's name is no license
                 stack.append((min(1.0, a + EXCEPTION), la))
             else:
-                stack.append(((min if t == "and" else max)(a, b), la | lb))
+                labels.update(x for x in (la, lb) if x)
+                stack.append(((min if t == "and" else max)(a, b), None))
         else:
             label = label_of(t)
-            stack.append((FREEDOM.get(label, UNKNOWN), {label}))
-    return stack[0]
+            stack.append((FREEDOM.get(label, UNKNOWN), label))
+    freedom, last = stack[0]
+    return freedom, labels | ({last} if last else set())
 
 
 def longest_expression(line: bytes) -> tuple[float, set[str]] | None:
-    """The expression at the start of a line: the longest prefix that parses."""
+    """The expression at the start of a line: the longest prefix that parses, in linear time.
+
+    The tokens taken are well formed so far, so a prefix parses where all brackets are
+    closed and its last token ends an operand."""
     tokens, rank = [], {"and", "or", "with"}
-    depth = 0
+    depth = whole = 0
     for m in _IDENTIFIER.finditer(line):
         t = m[0].decode("utf-8", "replace")
         ends = bool(tokens) and (tokens[-1] == ")" or tokens[-1] not in rank | {"("})
@@ -153,12 +158,9 @@ def longest_expression(line: bytes) -> tuple[float, set[str]] | None:
         elif ends or not re.fullmatch(r"[a-z0-9][a-z0-9.+-]*", t):
             break
         tokens.append(t.rstrip(".") if t not in rank else t)
-    while tokens:
-        try:
-            return evaluate(parse_expression(tokens))
-        except ExpressionError:
-            tokens.pop()
-    return None
+        if depth == 0 and t not in rank:
+            whole = len(tokens)
+    return evaluate(parse_expression(tokens[:whole])) if whole else None
 
 
 class Scanner:
@@ -185,7 +187,10 @@ class Scanner:
                 base.add(label)
                 # words before the match are as many as spaces before it
                 places.append((end - len(phrase) - 1, phrase))
-        starts = [joined.count(" ", 0, at) for at, _ in places]
+        starts, seen, to = [], 0, 0         # spaces are counted once, from place to place
+        for at, _ in sorted(places):
+            seen, to = seen + joined.count(" ", to, at), at
+            starts.append(seen)
         low = text.lower().decode("latin-1")
         for end, _ in self.tags.iter(low):
             stop = low.find("\n", end + 1)

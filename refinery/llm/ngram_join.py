@@ -248,16 +248,26 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
-    """The documents with one of each component: its smallest doc_id, one row of it.
+    """The documents with one of each component: the row of its smallest doc_id.
 
-    Rows without words or without an id link with nothing and stay.
+    Rows without words or without an id link with nothing and stay. Where ids repeat, rows
+    are told apart by id and text (a 64-bit hash): of equal rows one stays, of linked
+    texts the one of the smallest id (then hash), and a text that links with none stays
+    also if another one has its id. An empty table gives no rows.
     """
-    comp = ngram_components(docs, k, percent)
-    gone = comp.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    twice = stored(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null")
-                   .select("doc_id"), "ngram-repeated")
-    if twice.isEmpty():
-        return kept
-    return (kept.join(twice, "doc_id", "left_anti")
-            .unionByName(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])))
+    ids = docs.where("doc_id is not null").groupBy("doc_id").count()
+    if stored(ids.where("count > 1").select("doc_id"), "ngram-repeated").isEmpty():
+        gone = ngram_components(docs, k, percent).where("doc_id <> component_id").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti")
+    row = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.col("text").cast("string")))
+    keyed = docs.withColumn("_row", row)
+    comp = stored(ngram_components(keyed.select(F.col("_row").alias("doc_id"), "text"), k, percent)
+                  .where("doc_id is not null and n_shingles > 0").distinct(), "ngram-rows")
+    member = comp.select(F.col("doc_id").alias("_row"), "component_id").join(
+        keyed.where("_row is not null").select("_row", "doc_id").distinct(), "_row")
+    best = stored(member.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("_b"))
+                  .select("_b._row"), "ngram-kept")
+    linked = keyed.join(comp.select(F.col("doc_id").alias("_row")), "_row", "left_semi")
+    others = keyed.join(comp.select(F.col("doc_id").alias("_row")), "_row", "left_anti")
+    kept = linked.join(best, "_row", "left_semi").dropDuplicates(["_row"]).unionByName(others)
+    return kept.select(*docs.columns)

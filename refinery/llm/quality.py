@@ -28,14 +28,12 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 #: Vector: log length first, then what is judged given the length.
 DIMS = ("length", "word_length", "symbols", "repeats", "dup_lines")
-#: Variance that the start's dimensions have besides their own, as squared scales of the
-#: transformed values: most groups' inner three quarters have no symbols or repeats at all.
-FLOORS = (0.05 ** 2, 0.06 ** 2, 0.40 ** 2, 0.70 ** 2, 0.60 ** 2)
-#: Variance that every dimension of the judging covariance has at least: one symbol, one
-#: 3-word window that occurs twice or one duplicate line in 50 words reject nothing alone.
-LEAST = (0.05 ** 2, 0.06 ** 2, 0.18 ** 2, 0.42 ** 2, 0.18 ** 2)
-KEEP = 0.75             # share of a group that estimates are made from
-STEPS = 3               # concentration steps per start
+#: Variance that every dimension has at least: most groups' inner part has no symbols or
+#: repeats at all, which would make the covariance singular. One symbol, one 3-word window
+#: that occurs twice or one duplicate line in 50 words reject nothing alone.
+FLOORS = (0.05 ** 2, 0.06 ** 2, 0.18 ** 2, 0.42 ** 2, 0.18 ** 2)
+KEEP = 0.65             # share of a group that the subset of least determinant holds
+SETTLED = 1e-3          # concentration ends when no log-determinant falls by more
 MIN_GROUP = 200         # smaller groups use a wider one's estimate
 #: Squared distance of 4 dimensions; chi-square with 4 degrees: 1 in 10^7 beyond 38.2.
 CUTOFF = 38.2
@@ -80,16 +78,8 @@ def _vector() -> list[Column]:
             rate("n_repeat_words"), rate("n_dup_lines")]
 
 
-def _moments(rows: DataFrame, by: list[str], weight: Column | None = None,
-             least: tuple[float, ...] | None = None) -> DataFrame:
-    """Group sizes, means and Cholesky factors of the covariance.
-
-    ``FLOORS`` are added to the variances; with ``least``, variances below it are raised to it.
-    """
-    floors = least or FLOORS
-
-    def floored(c: Column, i: int) -> Column:
-        return F.greatest(c, F.lit(floors[i])) if least else F.greatest(c, F.lit(0.0)) + F.lit(floors[i])
+def _moments(rows: DataFrame, by: list[str], weight: Column | None = None) -> DataFrame:
+    """Group sizes, means and Cholesky factors of the covariance, variances raised to ``FLOORS``."""
     p = len(DIMS)
     if weight is not None:
         rows = rows.where(weight)
@@ -98,10 +88,10 @@ def _moments(rows: DataFrame, by: list[str], weight: Column | None = None,
         F.count(F.lit(1)).alias("n"), *[F.avg(x[i]).alias(f"m{i}") for i in range(p)],
         *[F.avg(x[i] * x[j]).alias(f"s{i}{j}") for i in range(p) for j in range(i, p)])
     cov = {(i, j): F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}") for i in range(p) for j in range(i, p)}
-    out = sums.withColumns({f"c{i}{j}": floored(c, i) if i == j else c for (i, j), c in cov.items()})
+    out = sums.withColumns({f"c{i}{j}": F.greatest(c, F.lit(FLOORS[i])) if i == j else c for (i, j), c in cov.items()})
     for j in range(p):          # columns of the factor; each refers to earlier ones by name
         diag = F.col(f"c{j}{j}") - sum((F.col(f"l{j}{k}") ** 2 for k in range(j)), F.lit(0.0))
-        out = out.withColumn(f"l{j}{j}", F.sqrt(F.greatest(diag, F.lit(floors[j] / 2))))
+        out = out.withColumn(f"l{j}{j}", F.sqrt(F.greatest(diag, F.lit(FLOORS[j] / 2))))
         if j + 1 < p:
             out = out.withColumns({f"l{i}{j}": (F.col(f"c{j}{i}") - sum(
                 (F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l{j}{j}")
@@ -150,10 +140,18 @@ def _mcd(rows: DataFrame) -> DataFrame:
         (F.pow(F.col(f"x{i}") - F.col(f"q{i}"), F.lit(2)) / FLOORS[i] for i in range(1, p)), F.lit(0.0)))
     cut = _quantile(near.where("s = 0"), ["g"], "d2", KEEP, "cut")
     est = stored(_moments(near.join(cut, "g"), by, (F.col("s") == 1) | (F.col("d2") <= F.col("cut"))), "mcd-estimate")
-    for _ in range(STEPS):
+    # concentration steps until no determinant falls; each lowers one by SETTLED or is the
+    # last, and the floors bound them from below
+    while True:
         d = _distances(twice, est, by)
         cut = _quantile(d, by, "d2", KEEP, "cut")
-        est = stored(_moments(d.join(cut, by), by, F.col("d2") <= F.col("cut")), "mcd-estimate")
+        nearer = stored(_moments(d.join(cut, by), by, F.col("d2") <= F.col("cut")), "mcd-estimate")
+        fell = (nearer.join(est.select(*by, F.col("det").alias("_before")), by)
+                .where(F.col("_before") - F.col("det") > SETTLED))
+        done = fell.isEmpty()
+        est = nearer
+        if done:
+            break
     # the smaller determinant wins; a tie goes to the first start
     best = est.groupBy("g").agg(F.min(F.struct("det", "s")).alias("_b"))
     est = stored(est.join(best, "g").where("s = _b.s").drop("_b", "s"), "mcd-best")
@@ -162,7 +160,7 @@ def _mcd(rows: DataFrame) -> DataFrame:
                 .withColumn("scale", F.greatest(F.lit(1.0), F.col("mid") / CHI_MEDIAN)).drop("mid"))
     # the judging estimate: all rows that the start does not call outliers
     near = _distances(rows, est, ["g"]).join(scales(est), "g")
-    est = stored(_moments(near, ["g"], F.col("d2_given") <= CUTOFF * F.col("scale"), LEAST), "mcd-judging")
+    est = stored(_moments(near, ["g"], F.col("d2_given") <= CUTOFF * F.col("scale")), "mcd-judging")
     size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("rows"))
     return stored(est.join(scales(est), "g").join(size, "g"), "mcd-group")
 

@@ -191,17 +191,17 @@ def _batch(rows: list) -> pa.RecordBatch:
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: response (or revisit), request and metadata.
+    """One nested row per capture: response (or revisit), requests and metadata (arrays).
 
     Request and metadata records meet their response by the identifier they are
-    concurrent to; identical repeated records count once per response. A capture
-    without one of them has null there. A revisit takes length and digest of
+    concurrent to; all of them are kept, by record id, identical repeated ones once. A
+    capture without one of them has null there. A revisit takes length and digest of
     its payload from the response with that digest and page.
     """
     def side(kind: str) -> DataFrame:
         s = F.struct("record_id", "uri", "content")
         return (records.where(F.col("type") == kind).groupBy(F.col("concurrent_to").alias(f"_{kind}"))
-                .agg(F.min(s).alias(kind)))
+                .agg(F.sort_array(F.collect_set(s)).alias(kind)))
 
     main = records.where("type in ('response', 'revisit')")
     whole = (main.where("type = 'response'")
@@ -220,7 +220,7 @@ def assemble(records: DataFrame) -> DataFrame:
             "record_id", "type", F.coalesce("payload_bytes", "_n").alias("payload_bytes"),
             F.coalesce("payload_digest", "_h").alias("payload_digest"), F.col("digest").alias("declared_digest"),
             F.col("refers_to").cast("long").alias("refers_to"), "payload").alias("response"),
-        "request", "metadata")
+        F.col("request").alias("requests"), "metadata")
 
 
 def warc_roundtrip(pages: DataFrame, path: str | None = None) -> DataFrame:
@@ -238,5 +238,5 @@ def warc_roundtrip(pages: DataFrame, path: str | None = None) -> DataFrame:
     records = stored(read_warc(spark, path, payloads=False), "warc-records")
     return assemble(records).select(
         "page_id", "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"),
-        "response.refers_to", F.col("request.record_id").alias("request_id"),
-        F.col("metadata.record_id").alias("metadata_id"))
+        "response.refers_to", F.col("requests")[0]["record_id"].alias("request_id"),
+        F.col("metadata")[0]["record_id"].alias("metadata_id"))

@@ -100,7 +100,8 @@ def test_ngram_defined_results(spark, docs):
     assert got[3] == got[4] == got[5] == {(0, 3)} or got[3] == {(0, 3)} and got[4] == {(0, 4)} and got[5] == {(0, 5)}
     assert got[7] == {(1, 7)} and got[8] == {(1, 7)}
     assert {c for _, c in got[None]} == {None}
-    assert sorted(str(r["doc_id"]) for r in keep_one(docs).collect()) == ["1", "3", "4", "5", "6", "7", "None"]
+    # both texts of id 1 stay: they do not link
+    assert sorted(str(r["doc_id"]) for r in keep_one(docs).collect()) == ["1", "1", "3", "4", "5", "6", "7", "None"]
 
 
 def test_stages_keep_columns_and_survive_empty_tables(spark, docs, labels, items, tmp_root):
