@@ -32,7 +32,9 @@ BUCKETS = 8192
 SAMPLE_ROWS = 4000
 PRIOR_COUNT = 8192.0    # weight of the overall slot frequencies in each domain's
 TEMPER = 0.5            # words are not independent: their evidence is scaled down
-ROUNDS, TOLERANCE = 24, 1e-6
+#: Relative misfit at which the targets are met exactly, gain below which a step is the last, and
+#: misfit up to which the result says that they are met.
+TOLERANCE, LEAST_GAIN, MET = 1e-6, 1e-3, 1e-3
 STORE_EVERY = 6
 WORDS = r"[\x20\x09-\x0D]+"
 
@@ -146,7 +148,9 @@ def fit_rates(rows: DataFrame, targets: dict, budget: float, max_rate: float | N
 
     ``rows`` has _tokens and _p_<domain>. The token total is ``budget`` times the
     corpus's. Domains without expected tokens are left out of the targets; a target
-    out of reach of ``max_rate`` is approached in the least-squares sense.
+    out of reach of ``max_rate`` is approached in the least-squares sense. Steps go on until
+    the targets are met or no step lowers the misfit (the norm of what is missing over the
+    token total) by a thousandth; the report has it as it is at the returned rates.
     """
     a = {d: F.col("_tokens") * F.col(f"_p_{d}") for d in DOMAINS}
     sums = [F.coalesce(F.sum("_tokens"), F.lit(0)).alias("tokens")]
@@ -166,20 +170,29 @@ def fit_rates(rows: DataFrame, targets: dict, budget: float, max_rate: float | N
         return rate if max_rate is None else F.least(F.lit(float(max_rate)), rate)
 
     base = rows.withColumn("_rate", clipped(F.lit(total / max(1, s["tokens"]))))
-    rate, steps, misfit = F.col("_rate"), 0, 0.0
     gram = [[s[f"g_{d}_{e}"] for e in DOMAINS] for d in DOMAINS]
-    for steps in range(1, ROUNDS + 1):
+    steepest = sum(gram[i][i] for i in range(len(DOMAINS)))     # at least the largest eigenvalue
+
+    def measured(rate: Column) -> tuple[float, list[float]]:
         got = base.agg(*[F.coalesce(F.sum(a[d] * rate), F.lit(0.0)).alias(d) for d in DOMAINS]).first()
         left = [got[d] - goal[d] for d in DOMAINS]
-        last, misfit = misfit, math.sqrt(sum(x * x for x in left)) / total
-        if misfit < TOLERANCE or (steps > 1 and abs(last - misfit) < 1e-3 * misfit):
+        return math.sqrt(sum(x * x for x in left)) / total, left
+
+    rate, rounds = F.col("_rate"), 0
+    misfit, left = measured(rate)
+    while misfit >= TOLERANCE:
+        # the scaled step first; where clipping spoils it, the plain gradient's, which never goes up
+        for step in (_solve(gram, left), [x / steepest for x in left]):
+            tried = clipped(rate - sum((F.col(f"_p_{d}") * F.lit(x) for d, x in zip(DOMAINS, step)), F.lit(0.0)))
+            new, new_left = measured(tried)
+            if new < (1 - LEAST_GAIN) * misfit:
+                break
+        else:
             break
-        step = _solve(gram, left)
-        move = sum((F.col(f"_p_{d}") * F.lit(x) for d, x in zip(DOMAINS, step)), F.lit(0.0))
-        rate = clipped(rate - move)
-        if steps % STORE_EVERY == 0:        # keeps the expression short
+        rate, misfit, left, rounds = tried, new, new_left, rounds + 1
+        if rounds % STORE_EVERY == 0:       # keeps the expression short
             base, rate = stored(base.withColumn("_rate", rate), "mixing-rates"), F.col("_rate")
-    return base.withColumn("_rate", rate), {"rounds": steps, "misfit": misfit, "goal": goal}
+    return base.withColumn("_rate", rate), {"rounds": rounds, "misfit": misfit, "goal": goal}
 
 
 def _copies(rate: Column) -> Column:
@@ -193,6 +206,8 @@ def soft_mixing(docs: DataFrame, labels: DataFrame, targets: dict | None = None,
                 sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per document: doc_id, n_tokens, posteriors, likeliest domain, rate, copies.
 
+    Every row also carries the relative ``misfit`` of the fitted rates and whether the targets
+    are met (``targets_met``: a misfit of at most a thousandth).
     Null and empty texts have 0 tokens and the prior as posterior; repeated rows get
     equal rates; ties of posteriors go to the first domain named; an empty table
     gives no rows; without labels all domains are equally likely.
@@ -201,18 +216,24 @@ def soft_mixing(docs: DataFrame, labels: DataFrame, targets: dict | None = None,
     rows = stored(posteriors(docs.select("doc_id", "text"), model)
                   .select(F.col("doc_id").cast("long").alias("doc_id"), "_tokens",
                           *[f"_p_{d}" for d in DOMAINS]), "mixing-posteriors")
-    rated, _ = fit_rates(rows, targets or TARGETS, budget, max_rate)
+    rated, report = fit_rates(rows, targets or TARGETS, budget, max_rate)
     best = F.greatest(*[F.col(f"_p_{d}") for d in DOMAINS])
     domain = F.coalesce(*[F.when(F.col(f"_p_{d}") == best, d) for d in DOMAINS])
     return rated.select("doc_id", F.col("_tokens").alias("n_tokens"),
                         *[F.col(f"_p_{d}").alias(f"p_{d}") for d in DOMAINS],
                         domain.alias("domain"), F.col("_rate").alias("rate"),
-                        _copies(F.col("_rate")).alias("copies"))
+                        _copies(F.col("_rate")).alias("copies"), F.lit(report["misfit"]).alias("misfit"),
+                        F.lit(report["misfit"] <= MET).alias("targets_met"))
 
 
 def thin_to_targets(docs: DataFrame, labels: DataFrame, targets: dict | None = None,
                     budget: float = 0.95) -> DataFrame:
-    """The documents drawn at rates of at most 1 for ``budget`` of the tokens; same columns."""
+    """The documents drawn at rates of at most 1 for ``budget`` of the tokens; same columns.
+
+    Null and empty texts are drawn like others, at the prior's rate. Rows that share an id are
+    drawn together and go if one of them is not drawn; rows with a null id always stay; an empty
+    table stays empty. Targets out of reach at a rate of 1 are approached.
+    """
     mixed = soft_mixing(docs, labels, targets, budget=budget, max_rate=1.0)
     out = mixed.where("copies < 1").select("doc_id").distinct()
     return docs.join(out, "doc_id", "left_anti")
