@@ -37,6 +37,7 @@ STEPS = 3               # concentration steps per start
 MIN_GROUP = 200         # smaller groups use a wider one's estimate
 #: Squared distance of 4 dimensions; chi-square with 4 degrees: 1 in 10^7 beyond 38.2.
 CUTOFF = 38.2
+SALTS = 32              # parts of a group that is dealt out
 CHI_MEDIAN = 3.3567     # median of chi-square with 4 degrees of freedom
 
 
@@ -101,10 +102,18 @@ def _moments(rows: DataFrame, by: list[str], weight: Column | None = None) -> Da
                       *[f"l{i}{j}" for i in range(p) for j in range(i + 1)])
 
 
+def _spread(rows: DataFrame, groups: DataFrame, by: list[str]) -> DataFrame:
+    """Rows joined to their group's values. Where the groups are too many to be broadcast, each
+    group's rows are dealt over ``SALTS`` tasks."""
+    salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+            .join(salted, [*by, "_salt"]).drop("_salt"))
+
+
 def _distances(rows: DataFrame, est: DataFrame, by: list[str]) -> DataFrame:
     """rows with d2 (squared distance) and d2_given (without the length's part)."""
     kept = rows.columns
-    j = rows.join(est.select(*by, *[c for c in est.columns if c[0] in "ml" and c[1:].isdigit()]), by)
+    j = _spread(rows, est.select(*by, *[c for c in est.columns if c[0] in "ml" and c[1:].isdigit()]), by)
     z = []
     for i in range(len(DIMS)):
         name = f"z{i}"
@@ -136,14 +145,14 @@ def _mcd(rows: DataFrame) -> DataFrame:
     # broadcast, so that rows are never dealt out by group)
     mid = stored(rows.groupBy("g").agg(*[F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"q{i}")
                                          for i in range(p)]), "mcd-median")
-    near = twice.join(mid, "g").withColumn("d2", sum(
+    near = _spread(twice, mid, ["g"]).withColumn("d2", sum(
         (F.pow(F.col(f"x{i}") - F.col(f"q{i}"), F.lit(2)) / FLOORS[i] for i in range(1, p)), F.lit(0.0)))
     cut = _quantile(near.where("s = 0"), ["g"], "d2", KEEP, "cut")
-    est = stored(_moments(near.join(cut, "g"), by, (F.col("s") == 1) | (F.col("d2") <= F.col("cut"))), "mcd-estimate")
+    est = stored(_moments(_spread(near, cut, ["g"]), by, (F.col("s") == 1) | (F.col("d2") <= F.col("cut"))), "mcd-estimate")
     for _ in range(STEPS):
         d = _distances(twice, est, by)
         cut = _quantile(d, by, "d2", KEEP, "cut")
-        est = stored(_moments(d.join(cut, by), by, F.col("d2") <= F.col("cut")), "mcd-estimate")
+        est = stored(_moments(_spread(d, cut, by), by, F.col("d2") <= F.col("cut")), "mcd-estimate")
     # the smaller determinant wins; a tie goes to the first start
     best = est.groupBy("g").agg(F.min(F.struct("det", "s")).alias("_b"))
     est = stored(est.join(best, "g").where("s = _b.s").drop("_b", "s"), "mcd-best")
@@ -151,7 +160,7 @@ def _mcd(rows: DataFrame) -> DataFrame:
         return (_quantile(_distances(rows, est, ["g"]), ["g"], "d2_given", 0.5, "mid")
                 .withColumn("scale", F.greatest(F.lit(1.0), F.col("mid") / CHI_MEDIAN)).drop("mid"))
     # the judging estimate: all rows that the start does not call outliers
-    near = _distances(rows, est, ["g"]).join(scales(est), "g")
+    near = _spread(_distances(rows, est, ["g"]), scales(est), ["g"])
     est = stored(_moments(near, ["g"], F.col("d2_given") <= CUTOFF * F.col("scale")), "mcd-judging")
     size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("rows"))
     return stored(est.join(scales(est), "g").join(size, "g"), "mcd-group")
@@ -193,7 +202,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     groups = stored(groups.select("lang", "source", pick.alias("e")).select("lang", "source", "e.*"), "quality-groups")
     vectors = rows.where("not base_failed").withColumns({f"x{i}": v for i, v in enumerate(_vector())})
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    scaled = (_distances(vectors.join(groups.select("lang", "source", "scale"), ["lang", "source"]),
+    scaled = (_distances(_spread(vectors, groups.select("lang", "source", "scale"), ["lang", "source"]),
                          groups, ["lang", "source"])
               .withColumn("distance", F.col("d2_given") / F.col("scale")))
     return (scaled.select(*out, "distance", (F.col("distance") <= CUTOFF).alias("kept"))
