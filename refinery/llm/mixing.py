@@ -34,7 +34,7 @@ PRIOR_COUNT = 8192.0    # weight of the overall slot frequencies in each domain'
 TEMPER = 0.5            # words are not independent: their evidence is scaled down
 #: Relative misfit at which the targets are met exactly, gain below which a step is the last, and
 #: misfit up to which the result says that they are met.
-TOLERANCE, LEAST_GAIN, MET = 1e-6, 1e-3, 1e-3
+TOLERANCE, LEAST_GAIN, MET = 1e-6, 0.05, 1e-3
 STORE_EVERY = 6
 WORDS = r"[\x20\x09-\x0D]+"
 
@@ -170,26 +170,33 @@ def fit_rates(rows: DataFrame, targets: dict, budget: float, max_rate: float | N
         return rate if max_rate is None else F.least(F.lit(float(max_rate)), rate)
 
     base = rows.withColumn("_rate", clipped(F.lit(total / max(1, s["tokens"]))))
-    gram = [[s[f"g_{d}_{e}"] for e in DOMAINS] for d in DOMAINS]
-    steepest = sum(gram[i][i] for i in range(len(DOMAINS)))     # at least the largest eigenvalue
-
-    def measured(rate: Column) -> tuple[float, list[float]]:
-        got = base.agg(*[F.coalesce(F.sum(a[d] * rate), F.lit(0.0)).alias(d) for d in DOMAINS]).first()
+    steepest = sum(s[f"g_{d}_{d}"] for d in DOMAINS)        # at least the largest eigenvalue
+
+    def measured(rate: Column) -> tuple[float, list[float], list[list[float]]]:
+        """Misfit, what is missing, and the products of the domains over the rows off the bounds."""
+        free = (rate > 0) if max_rate is None else (rate > 0) & (rate < float(max_rate))
+        got = base.withColumn("_r", rate).withColumn("_free", free.cast("double")).agg(
+            *[F.coalesce(F.sum(a[d] * F.col("_r")), F.lit(0.0)).alias(d) for d in DOMAINS],
+            *[F.coalesce(F.sum(a[d] * F.col(f"_p_{e}") * F.col("_free")), F.lit(0.0)).alias(f"g_{d}_{e}")
+              for d in DOMAINS for e in DOMAINS]).first()
         left = [got[d] - goal[d] for d in DOMAINS]
-        return math.sqrt(sum(x * x for x in left)) / total, left
+        gram = [[got[f"g_{d}_{e}"] for e in DOMAINS] for d in DOMAINS]
+        return math.sqrt(sum(x * x for x in left)) / total, left, gram
 
     rate, rounds = F.col("_rate"), 0
-    misfit, left = measured(rate)
+    misfit, left, gram = measured(rate)
     while misfit >= TOLERANCE:
-        # the scaled step first; where clipping spoils it, the plain gradient's, which never goes up
+        # the step scaled by the rows that can move; where clipping spoils it, the plain gradient's,
+        # which never goes up
         for step in (_solve(gram, left), [x / steepest for x in left]):
             tried = clipped(rate - sum((F.col(f"_p_{d}") * F.lit(x) for d, x in zip(DOMAINS, step)), F.lit(0.0)))
-            new, new_left = measured(tried)
-            if new < (1 - LEAST_GAIN) * misfit:
+            new = measured(tried)
+            if new[0] < (1 - LEAST_GAIN) * misfit:
                 break
         else:
             break
-        rate, misfit, left, rounds = tried, new, new_left, rounds + 1
+        rate, rounds = tried, rounds + 1
+        misfit, left, gram = new
         if rounds % STORE_EVERY == 0:       # keeps the expression short
             base, rate = stored(base.withColumn("_rate", rate), "mixing-rates"), F.col("_rate")
     return base.withColumn("_rate", rate), {"rounds": rounds, "misfit": misfit, "goal": goal}
