@@ -44,7 +44,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n, form,
 FROM p"""
 
 
+#: Captures as the archives give them back, with the identifiers that their records carry.
+WARC_CAPTURES = """
+WITH p AS (SELECT CAST(page_id AS BIGINT) AS page_id, url, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS n, sha256(html) AS digest,
+        coalesce(CAST(page_id AS VARCHAR), '-') || '|' || coalesce(url, '-') || '|' || sha256(html) AS k FROM p),
+f AS (SELECT digest, MIN(page_id) AS original FROM d WHERE n >= 100 GROUP BY digest),
+c AS (SELECT d.*, CASE WHEN page_id IS DISTINCT FROM original THEN original END AS refers_to
+      FROM d LEFT JOIN f ON f.digest = d.digest)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to,
+       '<urn:sha256:' || sha256('request|' || k) || '>' AS request_id,
+       '<urn:sha256:' || sha256('metadata|' || k) || '>' AS metadata_id
+FROM c"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_warc_transactions": WARC_CAPTURES,
     "op7_ngram_jaccard_join": shingle_components(5),
     "op11_fim_frames": FILL_IN_MIDDLE,
     "op12_minhash_tensor": shingle_components(2, ", MIN(r.root) = n.doc_id AS kept"),
