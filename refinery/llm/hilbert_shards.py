@@ -133,7 +133,11 @@ def hilbert_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The input's columns with shard and slot (columns of these names are replaced)."""
+    """The input's columns with shard and slot (columns of these names are replaced).
+
+    Every row is kept: nulls, ties and repeated rows are placed as in :func:`hilbert_shards`;
+    an empty table stays empty.
+    """
     kept = [c for c in docs.columns if c not in ("shard", "slot")]
     return shard_columns(docs, kept, shards).select(
         *[F.col("row").getField(c).alias(c) for c in kept], F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))

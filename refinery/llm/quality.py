@@ -211,6 +211,10 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass; same columns (rows that share an id pass if one of them does)."""
-    good = quality_rules(docs).where("kept").select("doc_id").distinct()
-    return docs.join(good, "doc_id", "left_semi")
+    """The documents that pass; same columns.
+
+    Rows that share an id (or have none) pass if one of them does. Null and blank texts fail the
+    base rules; an empty table stays empty.
+    """
+    good = quality_rules(docs).where("kept").select(F.col("doc_id").alias("_good")).distinct()
+    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("_good")), "left_semi")

@@ -367,7 +367,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score is below the threshold of their language; same columns.
 
-    The text passes through the scoring task, so nothing is shuffled.
+    The text passes through the scoring task, so nothing is shuffled. Each row is judged by its
+    own text, so repeated rows go or stay together and ids (null ones too) play no part; null and
+    empty texts are scored as texts without words; a null language has the common cut. Without
+    labels every row stays; an empty table stays empty.
     """
     tune(docs.sparkSession)
     model = fit_toxicity(docs, labels)

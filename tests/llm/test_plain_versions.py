@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from refinery.llm import licenses, mixing
 from refinery.llm.hilbert_shards import hilbert_shards, number_rows, shard_documents
 from refinery.llm.oracles import ORACLES
+from refinery.llm.quality import keep_good
 from refinery.llm.queries import QUERIES
 from refinery.llm.warc import warc_roundtrip
 
@@ -198,3 +199,11 @@ def test_posteriors_equal_plain_naive_bayes(spark):
         total = sum(math.exp(v - top) for v in x.values())
         for d in share:     # the weights travel with three decimals
             assert got[r["doc_id"]][f"_p_{d}"] == pytest.approx(math.exp(x[d] - top) / total, abs=0.02)
+
+
+def test_good_rows_without_an_id_are_kept(spark):
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 8))) for _ in range(120))
+    docs = spark.createDataFrame([(None, text, "en", "s"), (1, text, "en", "s"), (2, "short", "en", "s"), (3, None, None, None)],
+                                 "doc_id long, text string, lang string, source string")
+    assert {r["doc_id"] for r in keep_good(docs).collect()} == {None, 1}
