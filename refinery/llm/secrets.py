@@ -34,6 +34,7 @@ CLASSES = (("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0),
 ALLOW = (r"(?i)example|sample|placeholder|dummy|test_?key|0123456789|abcdefghij"
          r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^sha(256|384|512)-")
 _CHUNK = 128
+_COUNT_BITS = 7         # of a character's count in a window; eight counts are one number
 _PLOGP = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
@@ -75,14 +76,28 @@ def _spans(text: Column, pattern: str, keep=None, group: int | None = None) -> C
 def high_entropy(value: Column, least: Column) -> Column:
     """struct<first, last>: extent of the windows of ``value`` at or above ``least`` bits, or nulls.
 
-    The state holds the window's count of each ASCII character and the sum of
-    count * log2(count); each step adds one character and takes one away.
+    The state holds the window's count of each ASCII character, eight to a number, and the
+    sum of count * log2(count); each step adds one character and takes one away.
     """
     table = F.array(*[F.lit(x) for x in _PLOGP])
     chars = F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.ascii(F.substr(value, i, F.lit(1))))
 
+    def word(code: Column) -> Column:
+        return F.shiftright(code, 3)
+
+    def shift(code: Column) -> Column:
+        return code.bitwiseAND(7) * _COUNT_BITS
+
+    def held(counts: Column, code: Column) -> Column:
+        """Count of a character (0 for none)."""
+        packed = F.call_function("shiftright", F.get(counts, word(code)), shift(code))
+        return F.coalesce(packed.bitwiseAND((1 << _COUNT_BITS) - 1).cast("int"), F.lit(0))
+
+    def one(code: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), shift(code))
+
     def slide(codes: Column) -> Column:
-        start = F.struct(F.array_repeat(F.lit(0), 128).alias("n"), F.lit(0.0).alias("sum"),
+        start = F.struct(F.array_repeat(F.lit(0).cast("long"), 16).alias("n"), F.lit(0.0).alias("sum"),
                          F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
 
         def step(acc: Column, i: Column) -> Column:
@@ -94,15 +109,17 @@ def high_entropy(value: Column, least: Column) -> Column:
                 into = F.when(c["old"] != c["new"],
                               F.get(table, c["cn"] + 1) - F.get(table, c["cn"])).otherwise(0.0)
                 counts = F.when(c["old"] == c["new"], acc["n"]).otherwise(F.transform(
-                    acc["n"], lambda n, k: n + F.when(k == c["new"], 1).when(k == c["old"], -1).otherwise(0)))
+                    acc["n"], lambda n, k: n + F.when(k == c["word_in"], c["in"]).otherwise(0)
+                    - F.when(k == c["word_out"], c["out"]).otherwise(0)))
                 return let(acc["sum"] + out + into, lambda s: let(
                     (i >= WINDOW - 1) & (F.lit(math.log2(WINDOW)) - s / WINDOW >= least), lambda hit: F.struct(
                         counts.alias("n"), s.alias("sum"),
                         F.when(hit, F.coalesce(acc["first"], i - WINDOW + 1)).otherwise(acc["first"]).alias("first"),
                         F.when(hit, i + 1).otherwise(acc["last"]).alias("last"))))
             return let(F.struct(new.alias("new"), old.alias("old"),
-                                F.coalesce(F.get(acc["n"], new), F.lit(0)).alias("cn"),
-                                F.coalesce(F.get(acc["n"], F.greatest(old, F.lit(0))), F.lit(0)).alias("co")), moved)
+                                held(acc["n"], new).alias("cn"), held(acc["n"], old).alias("co"),
+                                word(new).alias("word_in"), one(new).alias("in"),
+                                word(old).alias("word_out"), one(old).alias("out")), moved)
         return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step)
     return let(let(chars, slide), lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last")))
 
