@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from refinery.functions.stamps import now_or
@@ -80,17 +80,28 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return target.join(src.select(*keys), list(keys), "left_anti").unionByName(src)
 
 
-def full_outer_merge(target: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
+def full_outer_merge(target: DataFrame, latest: DataFrame, keys: Sequence[str],
+                     newer: Sequence[str] = (), wins: Observation | None = None) -> DataFrame:
     """K6 for a source as large as the target: source rows replace or join the target's.
 
     One full outer join on the key. ``latest`` has unique keys and its plan may already be
-    partitioned by them (latest-per-key), which the join then uses; keys are not NULL.
+    partitioned by them (latest-per-key), which the join then uses; keys are not NULL. With
+    ``newer`` a stored row only gives way to one that is not older in these columns (nulls
+    lowest, as in :func:`newer_rows`). ``wins`` counts the source rows taken (``n``).
     """
     cols = target.columns
     old = target.select(*keys, F.struct(*cols).alias("_old"))
     new = align(latest, cols).select(*keys, F.struct(*cols).alias("_new"))
-    return (old.join(new, list(keys), "full_outer").select(F.coalesce("_new", "_old").alias("_row"))
-            .select("_row.*"))
+    taken = F.col("_new").isNotNull()
+    if newer:
+        def of(side: str) -> Column:
+            return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in newer])
+        taken = taken & (F.col("_old").isNull() | (of("_new") >= of("_old")))
+    rows = old.join(new, list(keys), "full_outer").select(
+        F.when(taken, F.col("_new")).otherwise(F.col("_old")).alias("_row"), taken.alias("_taken"))
+    if wins is not None:
+        rows = rows.observe(wins, F.count_if("_taken").alias("n"))
+    return rows.select("_row.*")
 
 
 def delete_frame(target: DataFrame, keys: Sequence[str] | None = None,

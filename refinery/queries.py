@@ -224,7 +224,7 @@ def contract_ingestion(spark, sf):
     root = work_dir(spark, "contracts")
     config = {"path": {"landing": f"{root}/landing"}, "catalog": {"bronze": "bronze", "silver": "silver"}}
     p = pipeline_from(spark, root, f"{CONTRACTS}/ingestion", config)
-    write_jsonl(R.sales_landing(R.load(spark, sf, "lineitem")), f"{root}/landing/lineas/a")
+    write_jsonl(R.sales_landing(R.load(spark, sf, "lineitem")), f"{root}/landing/lineas/a", compact=True)
     for at in (dt.datetime(2024, 1, 1, 6), dt.datetime(2024, 1, 2, 6)):
         p.ingest_bronze(at, at.date())
         p.promote_silver(at)

@@ -7,6 +7,8 @@ master is local (tests and single-machine runs).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 import tempfile
 import uuid
 
@@ -32,6 +34,19 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs run inside the block, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set a local one only if unset."""
     try:

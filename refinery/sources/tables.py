@@ -32,6 +32,7 @@ from refinery.contracts import Contract, conform, row_fault
 from refinery.functions.stamps import now_or
 from refinery.operators import merge as M
 from refinery.operators.joins import measured
+from refinery.session import settings
 
 COMMIT_DDL = ("version long, committed_at timestamp, operation string, "
               "num_rows long, num_changes long")
@@ -242,22 +243,28 @@ class VersionedTable:
                 matched.unpersist()
 
     def merge_latest(self, latest: DataFrame, keys: Sequence[str] | None = None,
-                     operation: str = "FULL MERGE", stamp: dt.datetime | None = None) -> int:
+                     operation: str = "FULL MERGE", stamp: dt.datetime | None = None,
+                     newer: Sequence[str] = ()) -> int:
         """K6: merge a source that holds one row per key by construction (``latest_per_key``).
 
         For sources as large as the table: one full outer join, for which each side is
         shuffled once by the key; the source's shuffle is the one its latest-per-key window
-        already made. Nothing is cached and the keys are not counted again.
+        already made. Nothing is cached and the keys are not counted again. With ``newer``
+        a stored row stays if it is the newer one in these columns, and a source of which no
+        row is taken makes no new version.
         """
         keys = list(keys or self.keys)
         v = self._next_version()
         if v == 0:
             return self.overwrite(latest, operation, stamp)
         old = self.read(v - 1)
-        new = M.full_outer_merge(old, self._conform(latest), keys)
+        wins = Observation() if newer else None
+        if self.contract:   # a null test on a key hides that the source is dealt by it, so
+            latest = conform(latest, self.contract, check_nulls=False)      # it follows the join
+        new = self._conform(M.full_outer_merge(old, latest, keys, newer, wins))
         changes = ((lambda written: M.diff_changes(self.read(v - 1), written(), keys))
                    if self.change_feed else None)
-        return self._commit(v, new, changes, operation, stamp)
+        return self._commit(v, new, changes, operation, stamp, wins)
 
     def delete(self, keys_df: DataFrame | None = None, condition=None,
                keys: Sequence[str] | None = None, operation: str = "DELETE",
@@ -360,9 +367,12 @@ class VersionedTable:
         return conform(df, self.contract) if self.contract else df
 
     def _commit(self, v: int, new: DataFrame, changes, operation: str,
-                stamp: dt.datetime | None) -> int:
+                stamp: dt.datetime | None, wins: Observation | None = None) -> int:
+        """``wins``: counts, while the rows are written, those that are news; none: no version."""
         ts = stamp or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         num_rows = _write_counted(new, self._snapshot(v), self.partition_by)
+        if wins is not None and not wins.get["n"]:
+            return v - 1        # the folder has no commit row: the next version replaces it
         num_changes = 0
         if changes is not None:
             written = lambda: self.read(v)
@@ -426,6 +436,10 @@ class PartitionedTable:
 
 KEPT, REJECTED = "kept", "rejected"
 STATUS, REASON, RAW, BATCH, DAY = "_status", "_reason", "_raw", "_batch", "_ingested_date"
+#: An ingest keeps a file open per outcome, so no task sorts its rows by outcome; tasks read
+#: a bounded piece of the landing, and row groups are small enough to be dealt to many tasks.
+INGEST_SETTINGS = {"spark.sql.maxConcurrentOutputFileWriters": "8", "spark.sql.files.maxPartitionBytes": "32m"}
+ROW_GROUP_BYTES = 32 << 20
 REJECTED_COLUMNS = ["reason", "raw", "source_file", DAY]
 
 
@@ -471,14 +485,18 @@ class IngestTable:
             F.when(F.col(REASON).isNull(), KEPT).otherwise(REJECTED).alias(STATUS))
         obs = Observation()
         out = out.observe(obs, F.count(F.lit(1)).alias("n"), F.count(REASON).alias("bad"))
-        if not self.partitioned:
-            out.withColumn(DAY, F.lit(day)).write.mode("append").partitionBy(STATUS).parquet(self.path)
-        elif batch is None:
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy(STATUS).parquet(f"{self.path}/{DAY}={day.isoformat()}"))
-        else:
-            (out.withColumn(DAY, F.lit(day)).write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy(DAY, STATUS).parquet(f"{self.path}/{BATCH}={batch}"))
+
+        def writer(df: DataFrame, mode: str):
+            return df.write.mode(mode).option("parquet.block.size", ROW_GROUP_BYTES)
+        with settings(self.spark, INGEST_SETTINGS):
+            if not self.partitioned:
+                writer(out.withColumn(DAY, F.lit(day)), "append").partitionBy(STATUS).parquet(self.path)
+            elif batch is None:
+                (writer(out, "overwrite").option("partitionOverwriteMode", "static")
+                 .partitionBy(STATUS).parquet(f"{self.path}/{DAY}={day.isoformat()}"))
+            else:
+                (writer(out.withColumn(DAY, F.lit(day)), "overwrite").option("partitionOverwriteMode", "static")
+                 .partitionBy(DAY, STATUS).parquet(f"{self.path}/{BATCH}={batch}"))
         found = obs.get
         return {KEPT: int(found["n"] - found["bad"]), REJECTED: int(found["bad"])}
 
