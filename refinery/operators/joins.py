@@ -6,7 +6,8 @@ shuffle the table. Here the small side is computed once; from then on the
 planner knows its size in bytes and broadcasts it under
 ``spark.sql.autoBroadcastJoinThreshold``. A larger one is joined by a shuffle, with
 the runtime splitting skewed partitions. There is one plan for every size, and no bound
-of this library's own.
+of this library's own (but for the sales promotion, which merges a large increment by one
+join of both sides, see ``plans.pipeline.LARGE_SHARE``).
 
 Two forms:
 
