@@ -69,14 +69,15 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-#: Bytes hashed at a time; a longer single text is one slice.
-SLICE = 4 << 20
+#: Bytes hashed at a time; a longer single text is one slice. Some arrays of 8 bytes a byte
+#: are made of a slice, in every Python worker of an executor.
+SLICE = 256 << 10
 _powers: dict[str, np.ndarray] = {}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("p", ())) < n:
-        size = max(n, 1 << 20)
+        size = max(n, SLICE)
         for name, base in (("p", _P), ("q", _P_INV)):
             t = np.full(size, base, np.uint64)
             t[0] = 1

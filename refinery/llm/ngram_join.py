@@ -56,17 +56,27 @@ def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def shingle_sketch(docs: DataFrame, k: int = SHINGLE, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Counts of shingles per hash bucket over all documents (summed in two levels, fixed size)."""
+    """Counts of shingles per hash bucket over all documents (summed in two levels, fixed size).
+
+    A count stops at the greatest number of 4 bytes: it only ranks the shingles.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.int64)
+        counts = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             sets = shingle_sets(batch.column("text"), k)
-            counts += np.bincount(_bucket(np.concatenate(sets), bits), minlength=1 << bits)
+            counts = capped_sum(counts, np.bincount(_bucket(np.concatenate(sets), bits), minlength=1 << bits))
         yield pa.record_batch([pa.array([counts.tobytes()], pa.binary())], ["c"])
     parts = docs.select("text").mapInArrow(run, "c binary").rdd.map(
-        lambda r: np.frombuffer(bytes(r[0]), np.int64))
-    found = summed_arrays(parts, lambda x, y: x + y)
-    return np.zeros(1 << bits, np.int64) if found is None else found
+        lambda r: np.frombuffer(bytes(r[0]), np.uint32))
+    found = summed_arrays(parts, capped_sum)
+    return np.zeros(1 << bits, np.uint32) if found is None else found
+
+
+def capped_sum(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sum of two arrays of counts in 4 bytes; too large ones stop at the greatest number."""
+    out = x + y.astype(np.uint32)
+    out[out < x] = 0xFFFFFFFF
+    return out
 
 
 def _prefix(n: int, num: int, den: int) -> int:
@@ -130,10 +140,11 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
             bits[slots(b.column(0).to_numpy())] = True
         yield pa.record_batch([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["b"])
     parts = ids.mapInArrow(build, "b binary").rdd.map(lambda r: np.frombuffer(bytes(r[0]), np.uint8))
-    bits = sc.broadcast(np.unpackbits(summed_arrays(parts, lambda x, y: x | y)).astype(bool))
+    bits = sc.broadcast(summed_arrays(parts, lambda x, y: x | y))       # packed, 8 ids a byte
 
     def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(bits.value[slots(batch.column("doc_id").to_numpy())]))
+        at = slots(batch.column("doc_id").to_numpy())
+        return batch.filter(pa.array((bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
     return map_arrow(docs.select("doc_id", "text").where("doc_id is not null"), keep,
                      "doc_id long, text string")
 
@@ -206,6 +217,7 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD
     shared = stored(entries.join(apart(block, "token"), "token").join(one, "doc_id")
                     .select("token", "first", "first_n", "first_pos", F.col("rep").alias("id"), "n", "pos"),
                     "ngram-blocks")
+    sketch.unpersist()
     star = (shared.where(_may_link(F.col("n"), F.col("pos"), F.col("first_n"), F.col("first_pos"), percent))
             .select("first", "id").distinct()
             .join(one.select(F.col("doc_id").alias("first"), F.col("rep").alias("a")), "first")
