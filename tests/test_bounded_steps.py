@@ -1,5 +1,8 @@
 """Landing, ingest and promotion move no more bytes than they need."""
 import datetime as dt
+import gzip
+from pathlib import Path
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -111,3 +114,14 @@ def test_large_and_small_increments_give_the_same_table(spark, tmp_root, monkeyp
         found.append((p.silver.current_version(),
                       sorted(map(tuple, p.silver.read().drop("_source_file").collect()))))
     assert found[0] == found[1] and len(found[0][1]) == 4
+
+
+def test_compact_landing_uses_the_fastest_gzip_level(spark, tmp_root):
+    rows = spark.range(0, 20_000, 1, 1).select("id", F.md5(F.col("id").cast("string")).alias("x"),
+                                               (F.col("id") % 50).cast("double").alias("q"))
+    write_jsonl(rows, f"{tmp_root}/l", compact=True)
+    (name,) = spark.read.text(f"{tmp_root}/l").inputFiles()
+    packed = Path(name.removeprefix("file://")).read_bytes()
+    text = gzip.decompress(packed)
+    fast, usual = (len(zlib.compress(text, level)) for level in (1, 6))
+    assert abs(len(packed) - fast) < abs(len(packed) - usual), (len(packed), fast, usual)
